@@ -1,0 +1,539 @@
+"""Registered queries, part 2: layers, documents, payloads, acceptance path,
+dimension, request state, manifests and data checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from skyledger.functions.timefmt import iso_instant_to_ts
+from skyledger.operators import checks as qc
+from skyledger.operators import current as cur
+from skyledger.operators import dimension as dim
+from skyledger.operators import layers as ly
+from skyledger.operators import metrics as mx
+from skyledger.operators import requests as rq
+from skyledger.plans import fixtures as fx
+from skyledger.plans.catalog import register
+from skyledger.session import checkpoint_root, scratch_dir
+from skyledger.sources import documents as docs
+from skyledger.sources import driver_tables as dt
+from skyledger.sources.driver_tables import oracle_with
+
+MEAS = ["wmo_index", "name", "country", "min_temp", "avg_temp", "max_temp", "precipitation"]
+
+
+# -- P1/P2/P3 layers (F4, F9, F30) ------------------------------------------------
+
+def _stations(spark, sf):
+    """S4-shaped rows (``observation_date, station, raw_object_key``) of the actual side."""
+    m = fx.measurements(spark, sf, "actual")
+    return m.select(F.col("date").alias("observation_date"), F.struct(*MEAS).alias("station"),
+                    rq.object_key_of(F.lit("actual"), F.col("date")).alias("raw_object_key"))
+
+
+def _raw(spark, sf):
+    return ly.to_raw(_stations(spark, sf), source_name="historical_fetcher", bucket="weather-raw",
+                     event_id="ev-1", trace_id="tr-1",
+                     event_created_at=iso_instant_to_ts(F.lit(fx.EVENT_CREATED_AT)),
+                     ingested_at=iso_instant_to_ts(F.lit(fx.RUN_INGESTED_AT)))
+
+
+_MEAS_SQL = """
+    meas AS (
+        SELECT w.day AS date, w.wmo_index, c.c_name AS name, n.n_name AS country, w.temp_min AS min_temp,
+               w.temperature AS avg_temp, w.temp_max AS max_temp, w.precipitation_mm AS precipitation
+        FROM wx w LEFT JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = w.wmo_index
+        LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+        WHERE w.dataset_type = 'actual')
+"""
+_RAW_SQL = oracle_with("wx").rstrip() + ",\n" + _MEAS_SQL.strip() + """,
+    raw AS (
+        SELECT 'historical_fetcher' AS source_name, date AS observation_date, wmo_index, name AS station_name,
+               country, min_temp, avg_temp, max_temp, precipitation, 'weather-raw' AS raw_bucket,
+               'actual/date=' || strftime(date, '%Y-%m-%d') || '.json' AS raw_object_key,
+               'ev-1' AS event_id, 'tr-1' AS trace_id,
+               '2026-07-06T12:20:00.000000' AS event_created_at, '2026-07-06T12:20:05.000000' AS ingested_at
+        FROM meas)
+"""
+
+
+@register("raw_layer", _RAW_SQL + "SELECT * FROM raw")
+def q_raw_layer(spark, sf):
+    return mx.to_contract_rows(_raw(spark, sf))
+
+
+@register("ods_layer", _RAW_SQL + "SELECT wmo_index, station_name, country, observation_date, avg_temp AS temperature, "
+          "min_temp AS temp_min, max_temp AS temp_max, precipitation AS precipitation_mm, trace_id, ingested_at FROM raw")
+def q_ods_layer(spark, sf):
+    return mx.to_contract_rows(ly.to_ods(_raw(spark, sf)))
+
+
+@register("dm_layer", _RAW_SQL + "SELECT wmo_index, observation_date AS day, avg_temp AS temperature, "
+          "min_temp AS temp_min, max_temp AS temp_max, precipitation AS precipitation_mm, trace_id, ingested_at FROM raw")
+def q_dm_layer(spark, sf):
+    return mx.to_contract_rows(ly.to_dm(ly.to_ods(_raw(spark, sf))))
+
+
+@register("run_summary", oracle_with("wx") +
+          "SELECT dataset_type, CAST(count(*) AS BIGINT) AS record_count, min(day) AS date_from, max(day) AS date_to "
+          "FROM wx GROUP BY dataset_type")
+def q_run_summary(spark, sf):
+    """A6/S12 per dataset over the adapter's DM rows."""
+    rows = dt.weather_rows(spark, sf)
+    return rows.groupBy("dataset_type").agg(F.count(F.lit(1)).cast("long").alias("record_count"),
+                                            F.min("day").alias("date_from"), F.max("day").alias("date_to"))
+
+
+# -- S11 -> S1 -> S4 roundtrip through files -------------------------------------------
+
+@register("documents_roundtrip", oracle_with("wx").rstrip() + ",\n" + _MEAS_SQL.strip() + """
+    SELECT date AS observation_date, wmo_index, name, country, min_temp, avg_temp, max_temp, precipitation,
+           'actual/date=' || strftime(date, '%Y-%m-%d') AS raw_object_key
+    FROM meas""")
+def q_documents_roundtrip(spark, sf):
+    checkpoint_root(spark, default=_local_default())
+    root = scratch_dir(spark, "documents")
+    m = fx.measurements(spark, sf, "actual")
+    docs.write_daily_documents(m, root, "actual")
+    bounds = m.agg(F.min("date").cast("string"), F.max("date").cast("string")).first()
+    back = docs.explode_stations(docs.scan_daily_documents(spark, root, "actual", bounds[0], bounds[1],
+                                                           layout="partitioned"))
+    return back.select("observation_date", "station.*", "raw_object_key")
+
+
+def _local_default():
+    import os
+    import tempfile
+    return os.path.join(tempfile.gettempdir(), "skyledger-checkpoints")
+
+
+# -- S10 / F24 / F25 provider payloads built from orders x lineitem -------------------------
+
+def _payload_text(spark, sf):
+    """One provider response per order: the order's lines are its days (ship date),
+    mean = quantity, min = discount, max only for lines 1..3 (a shorter array),
+    precipitation = tax. Responses are JSON text, parsed back with S10."""
+    li = dt.table(spark, sf, "lineitem")
+    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
+        "l_linenumber", F.col("l_shipdate").cast("date").alias("d"), "l_quantity", "l_discount", "l_tax"))).alias("ls"))
+    daily = F.struct(
+        F.transform("ls", lambda x: x["d"]).alias("time"),
+        F.transform("ls", lambda x: x["l_quantity"]).alias("temperature_2m_mean"),
+        F.transform("ls", lambda x: x["l_discount"]).alias("temperature_2m_min"),
+        F.transform(F.filter("ls", lambda x: x["l_linenumber"] <= 3), lambda x: x["l_quantity"] + x["l_tax"])
+        .alias("temperature_2m_max"),
+        F.transform("ls", lambda x: x["l_tax"]).alias("precipitation_sum"))
+    payload = F.struct(F.col("l_orderkey").cast("double").alias("latitude"), F.lit(0.0).alias("longitude"),
+                       F.lit(None).cast("double").alias("elevation"), F.lit("GMT").alias("timezone"),
+                       F.lit(0).alias("utc_offset_seconds"), daily.alias("daily"))
+    return lines.select(F.col("l_orderkey").alias("order_key"), F.to_json(payload).alias("value"))
+
+
+@register("payload_rows", """
+    WITH l AS (
+        SELECT l_orderkey AS order_key, CAST(l_shipdate AS DATE) AS date, l_quantity, l_discount, l_tax,
+               row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, CAST(l_shipdate AS DATE),
+                                  l_quantity, l_discount, l_tax) AS i,
+               count(*) FILTER (WHERE l_linenumber <= 3) OVER (PARTITION BY l_orderkey) AS n_max
+        FROM lineitem),
+    mx AS (
+        SELECT l_orderkey AS order_key,
+               row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, CAST(l_shipdate AS DATE),
+                                  l_quantity, l_discount, l_tax) AS j,
+               l_quantity + l_tax AS v
+        FROM lineitem WHERE l_linenumber <= 3)
+    SELECT l.order_key, CAST(0 AS INTEGER) AS pos, l.date, l.l_quantity AS temperature_2m_mean,
+           l.l_discount AS temperature_2m_min, mx.v AS temperature_2m_max, l.l_tax AS precipitation_sum
+    FROM l LEFT JOIN mx ON mx.order_key = l.order_key AND mx.j = l.i""")
+def q_payload_rows(spark, sf):
+    parsed = docs.parse_payload_text(_payload_text(spark, sf))
+    return docs.payload_rows(parsed, keep=["order_key", "pos"])
+
+
+# -- U4 merge of documents ----------------------------------------------------------------
+
+def _load(spark, sf, first: bool):
+    m = fx.measurements(spark, sf, "actual")
+    m = m.filter(F.col("ingested_at") < F.lit(fx.FIRST_LOAD_END).cast("timestamp_ntz")) if first else \
+        m.filter(F.col("ingested_at") >= F.lit(fx.SECOND_LOAD_START).cast("timestamp_ntz"))
+    # A document holds each station once: newest measurement of the load.
+    return cur.current(m, ["date", "wmo_index"], "ingested_at", "seq").select("date", *MEAS)
+
+
+_LOADS_SQL = oracle_with("wx").rstrip() + ",\n" + """
+    m AS (
+        SELECT w.day AS date, w.wmo_index, c.c_name AS name, n.n_name AS country, w.temp_min AS min_temp,
+               w.temperature AS avg_temp, w.temp_max AS max_temp, w.precipitation_mm AS precipitation,
+               w.ingested_at, w.seq
+        FROM wx w LEFT JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = w.wmo_index
+        LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey WHERE w.dataset_type = 'actual'),
+    first_load AS (
+        SELECT * EXCLUDE (rn, ingested_at, seq) FROM (
+            SELECT *, row_number() OVER (PARTITION BY date, wmo_index ORDER BY ingested_at DESC, seq DESC) AS rn
+            FROM m WHERE ingested_at < TIMESTAMP '2024-01-20') WHERE rn = 1),
+    second_load AS (
+        SELECT * EXCLUDE (rn, ingested_at, seq) FROM (
+            SELECT *, row_number() OVER (PARTITION BY date, wmo_index ORDER BY ingested_at DESC, seq DESC) AS rn
+            FROM m WHERE ingested_at >= TIMESTAMP '2024-01-15') WHERE rn = 1)
+"""
+
+
+@register("merge_documents", _LOADS_SQL + """
+    SELECT * FROM second_load
+    UNION ALL
+    SELECT f.* FROM first_load f ANTI JOIN second_load s ON s.date = f.date AND s.wmo_index = f.wmo_index""")
+def q_merge_documents(spark, sf):
+    return docs.merge_measurements(_load(spark, sf, True), _load(spark, sf, False))
+
+
+# -- acceptance path: J11 + F22 -> J12, F21 -> D2, D3 ---------------------------------------
+
+def _raw_events(spark, sf):
+    """J11 over every business date at once + F22 payload (nulls kept)."""
+    stations, wd = fx.operational_tables(spark, sf)
+    j = wd.join(stations, wd.station_id == stations.id, "inner")
+    payload = F.to_json(F.struct(stations.wmo_index, stations["name"], stations.country,
+                                 F.date_format(wd.observation_date, "yyyy-MM-dd").alias("observation_date"),
+                                 wd.quality_flag, wd.min_temp, wd.avg_temp, wd.max_temp, wd.precipitation),
+                        {"ignoreNullFields": "false"})
+    return j.select(wd.id.cast("string").alias("event_id"), stations.wmo_index.alias("station_id"),
+                    payload.alias("payload_json"), wd.ingested_at)
+
+
+_ACC_SQL = oracle_with("wx").rstrip() + """,
+    wd AS (
+        SELECT w.seq AS id, e.user_id AS station_id, w.day AS observation_date, e.event_type AS quality_flag,
+               w.temp_min AS min_temp, w.temperature AS avg_temp, w.temp_max AS max_temp,
+               w.precipitation_mm AS precipitation, w.ingested_at
+        FROM wx w JOIN events e ON e.event_id = w.seq WHERE w.dataset_type = 'actual'),
+    ods_all AS (
+        SELECT CAST(wd.station_id AS VARCHAR) AS station_id, wd.observation_date, wd.avg_temp AS temperature,
+               wd.min_temp AS temp_min, wd.max_temp AS temp_max, wd.precipitation AS precipitation_mm,
+               wd.observation_date AS business_date, wd.id, wd.ingested_at
+        FROM wd JOIN customer c ON c.c_custkey = wd.station_id)
+"""
+
+
+def _ods_from_raw(raw, extra=()):
+    """typed columns out of the JSON payload (extracted once per field)."""
+    j = F.col("payload_json")
+    d = F.to_date(F.get_json_object(j, "$.observation_date"))
+    return raw.select(*extra, "station_id", d.alias("observation_date"),
+                      F.get_json_object(j, "$.avg_temp").cast("double").alias("temperature"),
+                      F.get_json_object(j, "$.min_temp").cast("double").alias("temp_min"),
+                      F.get_json_object(j, "$.max_temp").cast("double").alias("temp_max"),
+                      F.get_json_object(j, "$.precipitation").cast("double").alias("precipitation_mm"),
+                      d.alias("business_date"), F.col("event_id").cast("long").alias("id"), "ingested_at")
+
+
+@register("json_extract", _ACC_SQL + """
+    SELECT station_id, observation_date, temperature, temp_min, temp_max, precipitation_mm, business_date,
+           CAST(9 AS INTEGER) AS n_keys FROM ods_all""")
+def q_json_extract(spark, sf):
+    raw = _raw_events(spark, sf).withColumn("n_keys", F.size(F.json_object_keys("payload_json")))
+    return _ods_from_raw(raw, extra=["n_keys"]).drop("id", "ingested_at")
+
+
+@register("insert_if_absent", _ACC_SQL + """
+    SELECT CAST(wd.id AS VARCHAR) AS event_id, CAST(wd.station_id AS VARCHAR) AS station_id
+    FROM wd JOIN customer c ON c.c_custkey = wd.station_id
+    WHERE wd.ingested_at >= TIMESTAMP '2024-01-20'""")
+def q_insert_if_absent(spark, sf):
+    raw = _raw_events(spark, sf)
+    existing = raw.filter(F.col("ingested_at") < F.lit(fx.FIRST_LOAD_END).cast("timestamp_ntz"))
+    return cur.insert_if_absent(existing, raw, ["event_id"]).select("event_id", "station_id")
+
+
+def _ods_load(spark, sf, first: bool):
+    ods = _ods_from_raw(_raw_events(spark, sf))
+    ods = ods.filter(F.col("ingested_at") < F.lit(fx.FIRST_LOAD_END).cast("timestamp_ntz")) if first else \
+        ods.filter(F.col("ingested_at") >= F.lit(fx.SECOND_LOAD_START).cast("timestamp_ntz"))
+    # One statement may not update a key twice: the newest row of the load per key.
+    return cur.current(ods, ["station_id", "observation_date"], "ingested_at", "id") \
+        .select("station_id", "observation_date", "temperature", "temp_min", "temp_max", "precipitation_mm",
+                "business_date")
+
+
+_ODS_LOADS_SQL = _ACC_SQL.rstrip() + """,
+    o1 AS (SELECT * EXCLUDE (rn, id, ingested_at) FROM (
+        SELECT *, row_number() OVER (PARTITION BY station_id, observation_date ORDER BY ingested_at DESC, id DESC) rn
+        FROM ods_all WHERE ingested_at < TIMESTAMP '2024-01-20') WHERE rn = 1),
+    o2 AS (SELECT * EXCLUDE (rn, id, ingested_at) FROM (
+        SELECT *, row_number() OVER (PARTITION BY station_id, observation_date ORDER BY ingested_at DESC, id DESC) rn
+        FROM ods_all WHERE ingested_at >= TIMESTAMP '2024-01-15') WHERE rn = 1)
+"""
+
+
+@register("upsert", _ODS_LOADS_SQL + """
+    SELECT * FROM o2
+    UNION ALL
+    SELECT a.* FROM o1 a ANTI JOIN o2 b ON a.station_id = b.station_id AND a.observation_date = b.observation_date""")
+def q_upsert(spark, sf):
+    return cur.upsert(_ods_load(spark, sf, True), _ods_load(spark, sf, False), ["station_id", "observation_date"])
+
+
+@register("replace_day", _ODS_LOADS_SQL + """
+    SELECT station_id, observation_date AS day, temperature, temp_min, temp_max, precipitation_mm FROM o2
+    UNION ALL
+    SELECT station_id, observation_date AS day, temperature, temp_min, temp_max, precipitation_mm
+    FROM o1 WHERE observation_date NOT IN (SELECT observation_date FROM o2)""")
+def q_replace_day(spark, sf):
+    def dm(o):
+        return o.select("station_id", F.col("observation_date").alias("day"), "temperature", "temp_min", "temp_max",
+                        "precipitation_mm")
+    return cur.replace_partitions(dm(_ods_load(spark, sf, True)), dm(_ods_load(spark, sf, False)), "day")
+
+
+# -- dimension: S5-shaped station table, A8, A9, W4, O5, O6, J5, J7, J13, F32 ----------------
+
+_DIM_SQL = oracle_with("station")
+
+
+@register("dim_stations", _DIM_SQL + """
+    SELECT s.*, coalesce(s.name || ' (' || s.wmo_index || ')', s.wmo_index) AS label,
+           coalesce(r.r_name, s.region_id) AS region_name
+    FROM station s LEFT JOIN region r ON CAST(r.r_regionkey AS VARCHAR) = s.region_id""")
+def q_dim_stations(spark, sf):
+    station = dim.station_label(dt.station_dimension(spark, sf))
+    return dim.with_region_names(station, dt.region_names(spark, sf))
+
+
+@register("region_station_counts", _DIM_SQL + """
+    SELECT region_id, CAST(count(*) AS BIGINT) AS n_stations, CAST(count(DISTINCT wmo_index) AS BIGINT) AS n_distinct_stations
+    FROM station WHERE region_id IS NOT NULL GROUP BY region_id""")
+def q_region_station_counts(spark, sf):
+    return dim.stations_by_region(dt.station_dimension(spark, sf))
+
+
+@register("dimension_stats", _DIM_SQL + """
+    SELECT CAST(count(*) FILTER (WHERE region_id IS NOT NULL) + count(*) FILTER (WHERE lat IS NOT NULL AND lng IS NOT NULL)
+                AS BIGINT) AS stations_loaded,
+           CAST(count(*) FILTER (WHERE name IS NOT NULL) AS BIGINT) AS stations_with_name,
+           CAST(0 AS BIGINT) AS skipped_no_id
+    FROM station""")
+def q_dimension_stats(spark, sf):
+    return dim.dimension_stats(dt.station_dimension(spark, sf))
+
+
+@register("last_non_blank", """
+    WITH a AS (
+        SELECT o_custkey, o_orderkey,
+               nullif(trim(CASE WHEN o_orderstatus = 'P' THEN ' ' ELSE o_orderpriority END), '') AS priority,
+               nullif(trim(CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE o_orderstatus END), '') AS status
+        FROM orders)
+    SELECT o_custkey, arg_max(priority, o_orderkey) FILTER (WHERE priority IS NOT NULL) AS priority,
+           arg_max(status, o_orderkey) FILTER (WHERE status IS NOT NULL) AS status
+    FROM a GROUP BY o_custkey""")
+def q_last_non_blank(spark, sf):
+    o = dt.table(spark, sf, "orders")
+    log = o.select("o_custkey", "o_orderkey",
+                   F.when(o.o_orderstatus == "P", F.lit(" ")).otherwise(o.o_orderpriority).alias("priority"),
+                   F.when(o.o_orderpriority == "5-LOW", F.lit("")).otherwise(o.o_orderstatus).alias("status"))
+    return dim.last_non_blank(log, "o_custkey", ["priority", "status"], "o_orderkey")
+
+
+def _search_sql(q: str, limit: int) -> str:
+    return _DIM_SQL + f"""
+    SELECT wmo_index, name FROM station
+    WHERE name IS NOT NULL AND (contains(lower(name), '{q}') OR starts_with(wmo_index, '{q}'))
+    ORDER BY CAST(wmo_index AS BIGINT), wmo_index LIMIT {limit}"""
+
+
+def _search(spark, sf, q, limit):
+    station = dt.station_dimension(spark, sf).withColumn("line_no", F.col("wmo_index").cast("long"))
+    return dim.search_stations(station, q, limit)
+
+
+@register("station_search", _search_sql("customer#00000001", 20))
+def q_station_search(spark, sf):
+    return _search(spark, sf, "  Customer#00000001 ", 20)
+
+
+@register("station_search_id", _search_sql("12", 50))
+def q_station_search_id(spark, sf):
+    return _search(spark, sf, "12", 500)   # limit clamps to 50
+
+
+@register("region_search", "SELECT CAST(r_regionkey AS VARCHAR) AS id, r_name AS name FROM region "
+          "WHERE contains(lower(r_name), 'ame')")
+def q_region_search(spark, sf):
+    return dim.search_regions(dt.region_names(spark, sf), " AME ")
+
+
+@register("station_coordinates_strict", _DIM_SQL + """
+    SELECT DISTINCT CAST(e.user_id AS VARCHAR) AS wmo_index FROM events e
+    WHERE CAST(e.user_id AS VARCHAR) NOT IN (SELECT wmo_index FROM station WHERE lat IS NOT NULL AND lng IS NOT NULL)""")
+def q_station_coordinates_strict(spark, sf):
+    ids = dt.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("wmo_index"))
+    return dim.unresolvable_stations(ids, dt.station_dimension(spark, sf))
+
+
+@register("names_for", _DIM_SQL + """
+    SELECT s.wmo_index, s.name FROM station s
+    WHERE s.name IS NOT NULL AND s.wmo_index IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'O')""")
+def q_names_for(spark, sf):
+    o = dt.table(spark, sf, "orders").filter(F.col("o_orderstatus") == "O")
+    return dim.names_for(o.select(F.col("o_custkey").cast("string").alias("wmo_index")), dt.station_dimension(spark, sf))
+
+
+# -- request state: A11, J10, T4 batch, P18 ------------------------------------------------------
+
+_REQ_SQL = "WITH " + fx.ORACLE_LINEITEM_REQUESTS.strip() + "\n"
+
+
+@register("request_status", _REQ_SQL + "SELECT * FROM status")
+def q_request_status(spark, sf):
+    waiters, outcomes = fx.lineitem_requests(spark, sf)
+    return rq.request_status_rollup(waiters, outcomes)
+
+
+@register("request_timeouts", _REQ_SQL + """
+    SELECT request_id, n_traces, n_pending, updated_at,
+           CASE WHEN status = 'pending' AND epoch((SELECT max(created_at) FROM outcomes)) - epoch(updated_at) > 600
+                THEN 'failed' ELSE status END AS status,
+           CASE WHEN status = 'pending' AND epoch((SELECT max(created_at) FROM outcomes)) - epoch(updated_at) > 600
+                THEN 'timed out waiting for upstream data' ELSE error_message END AS error_message
+    FROM status""")
+def q_request_timeouts(spark, sf):
+    waiters, outcomes = fx.lineitem_requests(spark, sf)
+    now = outcomes.agg(F.max("created_at")).scalar()
+    return rq.request_timeouts(rq.request_status_rollup(waiters, outcomes), now)
+
+
+@register("waiter_fanout", _REQ_SQL + """
+    SELECT o.trace_id, o.event_type, w.request_id FROM outcomes o JOIN waiters w ON w.trace_id = o.trace_id""")
+def q_waiter_fanout(spark, sf):
+    waiters, outcomes = fx.lineitem_requests(spark, sf)
+    return rq.resolve_waiters(outcomes.select("trace_id", "event_type"), waiters)
+
+
+@register("request_lookup", _REQ_SQL + """
+    SELECT CAST(o.o_orderkey AS VARCHAR) AS request_id, s.n_traces, s.n_pending, s.error_message, s.updated_at,
+           s.status, CASE WHEN s.status IS NULL THEN 'NOT_FOUND' END AS error_code
+    FROM orders o LEFT JOIN status s ON s.request_id = CAST(o.o_orderkey AS VARCHAR)""")
+def q_request_lookup(spark, sf):
+    waiters, outcomes = fx.lineitem_requests(spark, sf)
+    asked = dt.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("request_id"))
+    return rq.request_lookup(rq.request_status_rollup(waiters, outcomes), asked)
+
+
+# -- P10-P13, Q3, T13 over events derived from orders -------------------------------------------
+
+_OE_SQL = "WITH " + fx.ORACLE_ORDER_EVENTS.strip() + "\n"
+
+
+@register("need_info_routed", _OE_SQL + """
+    SELECT dataset_type, event_id, trace_id, date_from, date_to FROM oe
+    WHERE dataset_type IS NOT NULL AND trim(event_id) <> '' AND n_ids > 0
+      AND CAST(date_from AS DATE) <= CAST(date_to AS DATE)""")
+def q_need_info_routed(spark, sf):
+    ev = fx.order_events(spark, sf)
+    routed = [rq.valid_need_info(rq.route_need_info(ev, d)) for d in ("actual", "forecast")]
+    return routed[0].unionByName(routed[1]).select("dataset_type", "event_id", "trace_id", "date_from", "date_to")
+
+
+@register("manifest_split", _OE_SQL + """
+    SELECT trace_id, 'valid' AS route,
+           CASE WHEN topic = 'weather.forecast.raw.created' THEN 'forecast' ELSE 'actual' END AS dataset_type,
+           NULL AS reason, NULL AS details
+    FROM oe WHERE bucket IS NOT NULL AND n_ids > 0
+    UNION ALL
+    SELECT trace_id, 'failed', NULL, 'dm_trigger_invalid_event',
+           'missing trace_id/bucket/object_keys/date_from/date_to in ' || topic || ' event'
+    FROM oe WHERE NOT (bucket IS NOT NULL AND n_ids > 0)""")
+def q_manifest_split(spark, sf):
+    ev = fx.order_events(spark, sf).withColumnRenamed("wmo_indexes", "object_keys")
+    valid, failures = rq.split_manifests(ev)
+    v = valid.select("trace_id", F.lit("valid").alias("route"), rq.topic_to_dataset(F.col("topic")).alias("dataset_type"),
+                     F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("details"))
+    f = failures.select("trace_id", F.lit("failed").alias("route"), F.lit(None).cast("string").alias("dataset_type"),
+                        "reason", "details")
+    return v.unionByName(f)
+
+
+@register("manifest_errors", _OE_SQL + """
+    SELECT trace_id, array_to_string(list_filter([
+        CASE WHEN topic <> 'weather.actual.raw.created'
+             THEN 'event_type: expected weather.actual.raw.created, got ' || topic END,
+        CASE WHEN source_name <> 'historical_fetcher'
+             THEN 'source_name: expected historical_fetcher, got ' || source_name END,
+        CASE WHEN bucket IS NULL OR bucket <> 'weather-raw'
+             THEN 'bucket: expected weather-raw, got ' || coalesce(bucket, 'null') END], lambda x: x IS NOT NULL), '; ') AS errors
+    FROM oe""")
+def q_manifest_errors(spark, sf):
+    ev = fx.order_events(spark, sf).withColumnRenamed("topic", "event_type")
+    out = qc.manifest_errors(ev, F.lit("weather.actual.raw.created"), F.lit("historical_fetcher"), F.lit("weather-raw"))
+    return out.select("trace_id", F.array_join("errors", "; ").alias("errors"))
+
+
+@register("build_manifest", _OE_SQL.rstrip() + ",\n" + oracle_with("wx")[len("WITH "):].rstrip() + """
+    , ok AS (SELECT * FROM oe WHERE n_ids > 0 AND CAST(date_from AS DATE) <= CAST(date_to AS DATE)),
+    written AS (
+        SELECT DISTINCT ok.event_id, ok.trace_id, w.day
+        FROM ok JOIN wx w ON w.wmo_index = ok.first_id
+         AND w.day BETWEEN CAST(ok.date_from AS DATE) AND CAST(ok.date_to AS DATE))
+    SELECT ok.trace_id,
+           CASE WHEN count(w.day) > 0 THEN 'manifest' ELSE 'failed' END AS route,
+           CAST(count(w.day) AS BIGINT) AS n_keys,
+           string_agg('actual/date=' || strftime(w.day, '%Y-%m-%d') || '.json', ',' ORDER BY w.day) AS object_keys
+    FROM ok LEFT JOIN written w ON w.event_id = ok.event_id AND w.trace_id = ok.trace_id
+    GROUP BY ok.trace_id""")
+def q_build_manifest(spark, sf):
+    """Documents 'written' for a need-info event = the days of its range on which
+    its station has data (adapter rows); one manifest per event, or a failure."""
+    ev = fx.order_events(spark, sf).filter((F.size("wmo_indexes") > 0)
+                                           & (F.to_date("date_from") <= F.to_date("date_to")))
+    ev = ev.withColumn("dataset_type", F.lit("actual"))
+    wanted = ev.select("event_id", "trace_id", F.col("wmo_indexes")[0].alias("wmo_index"),
+                       F.to_date("date_from").alias("f"), F.to_date("date_to").alias("t"))
+    rows = dt.weather_rows(spark, sf).select("wmo_index", "day").distinct()
+    written = wanted.join(rows, "wmo_index").filter(F.col("day").between(F.col("f"), F.col("t"))) \
+        .select(F.concat_ws("|", "event_id", "trace_id").alias("event_id"), "day",
+                rq.object_key_of(F.lit("actual"), F.col("day")).alias("object_key"))
+    keyed = ev.withColumn("event_id", F.concat_ws("|", "event_id", "trace_id"))
+    manifests, failures = rq.build_manifests(keyed, written)
+    m = manifests.select("trace_id", F.lit("manifest").alias("route"), F.size("object_keys").cast("long").alias("n_keys"),
+                         F.array_join("object_keys", ",").alias("object_keys"))
+    f = failures.select("trace_id", F.lit("failed").alias("route"), F.lit(0).cast("long").alias("n_keys"),
+                        F.lit(None).cast("string").alias("object_keys"))
+    return m.unionByName(f)
+
+
+# -- Q1, Q2, Q4 ------------------------------------------------------------------------------
+
+@register("unexpected_stations", oracle_with("cur", "station") + """
+    SELECT DISTINCT day, wmo_index FROM cur WHERE dataset_type = 'actual'
+      AND wmo_index NOT IN (SELECT wmo_index FROM station WHERE region_id IN ('1', '3'))""")
+def q_unexpected_stations(spark, sf):
+    requested = dt.station_dimension(spark, sf).filter(F.col("region_id").isin("1", "3"))
+    return qc.unexpected_stations(fx.current_side(spark, sf, "actual"), requested)
+
+
+@register("landing_counts", oracle_with("cur") + """
+    SELECT dataset_type, CAST(count(DISTINCT day) AS BIGINT) AS n_keys, CAST(count(*) AS BIGINT) AS n_rows,
+           CAST(count(DISTINCT wmo_index) AS BIGINT) AS n_stations,
+           CAST(count(DISTINCT day) * count(DISTINCT wmo_index) AS BIGINT) AS expected_rows,
+           count(*) = count(DISTINCT day) * count(DISTINCT wmo_index) AS rows_ok
+    FROM cur GROUP BY dataset_type""")
+def q_landing_counts(spark, sf):
+    both = fx.current_side(spark, sf, "actual").withColumn("dataset_type", F.lit("actual")).unionByName(
+        fx.current_side(spark, sf, "forecast").withColumn("dataset_type", F.lit("forecast")))
+    return qc.landing_counts(both, ["dataset_type"])
+
+
+@register("key_violations", oracle_with("wx") + """
+    SELECT dataset_type, wmo_index, day, CAST(count(*) AS BIGINT) AS n_rows FROM wx
+    GROUP BY dataset_type, wmo_index, day HAVING count(*) > 1""")
+def q_key_violations(spark, sf):
+    return qc.duplicate_keys(dt.weather_rows(spark, sf), ["dataset_type", "wmo_index", "day"])
+
+
+@register("required_nulls", oracle_with("wx") + """
+    SELECT dataset_type, """ + ", ".join(
+    f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {c}_nulls"
+    for c in ["wmo_index", "day", "temperature", "precipitation_mm", "trace_id", "ingested_at"]) +
+          " FROM wx GROUP BY dataset_type")
+def q_required_nulls(spark, sf):
+    return qc.required_nulls(dt.weather_rows(spark, sf),
+                             ["wmo_index", "day", "temperature", "precipitation_mm", "trace_id", "ingested_at"],
+                             by=["dataset_type"])

@@ -67,3 +67,140 @@ ORACLE_REQUESTS = """
               FROM missing)
         GROUP BY request_id, g)
 """
+
+
+# -- further derived inputs ---------------------------------------------------
+
+RUN_INGESTED_AT = "2026-07-06T12:20:05Z"          # fixed run stamp (deterministic output)
+EVENT_CREATED_AT = "2026-07-06T12:20:00.123456Z"  # F4 input: fraction + zone
+FIRST_LOAD_END = "2024-01-20"                    # first load: events before this instant
+SECOND_LOAD_START = "2024-01-15"                 # second load: events from this instant on
+
+
+def measurements(spark: SparkSession, sf: str, dataset: str = "actual") -> DataFrame:
+    """Measurement rows (all versions) with station names, from the adapter:
+    ``date`` + the measurement fields of one dataset."""
+    rows = dt.dm_side(spark, sf, dataset)
+    cust = dt.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("wmo_index"),
+                                                  "c_name", "c_nationkey")
+    nation = dt.table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    named = rows.join(cust, "wmo_index", "left").join(nation, "c_nationkey", "left")
+    return named.select(F.col("day").alias("date"), "wmo_index", F.col("c_name").alias("name"),
+                        F.col("n_name").alias("country"), F.col("temp_min").alias("min_temp"),
+                        F.col("temperature").alias("avg_temp"), F.col("temp_max").alias("max_temp"),
+                        F.col("precipitation_mm").alias("precipitation"), "seq", "ingested_at")
+
+
+def operational_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Acceptance-path operational tables: ``stations`` and ``weather_data``."""
+    cust = dt.table(spark, sf, "customer")
+    nation = dt.table(spark, sf, "nation")
+    stations = cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left").select(
+        F.col("c_custkey").alias("id"), F.col("c_custkey").cast("string").alias("wmo_index"),
+        F.col("c_name").alias("name"), F.col("n_name").alias("country"))
+    ev = dt.table(spark, sf, "events")
+    rows = dt.weather_rows(spark, sf).filter(F.col("dataset_type") == "actual")
+    wd = rows.join(ev.select(F.col("event_id").alias("seq"), "user_id", "event_type"), "seq").select(
+        F.col("seq").alias("id"), F.col("user_id").alias("station_id"), F.col("day").alias("observation_date"),
+        F.col("event_type").alias("quality_flag"), F.col("temp_min").alias("min_temp"),
+        F.col("temperature").alias("avg_temp"), F.col("temp_max").alias("max_temp"),
+        F.col("precipitation_mm").alias("precipitation"), "ingested_at")
+    return stations, wd
+
+
+def lineitem_requests(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Request flow derived from ``lineitem``: an order is a request waiting on one
+    trace per line; a shipped line (status F) produced an outcome — a failure
+    when it was returned (flag R), else ``dm.ready``; open lines have none yet."""
+    li = dt.table(spark, sf, "lineitem")
+    trace = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    waiters = li.select(F.col("l_orderkey").cast("string").alias("request_id"), trace.alias("trace_id"))
+    done = li.filter(F.col("l_linestatus") == "F")
+    failed = F.col("l_returnflag") == "R"
+    outcomes = done.select(
+        trace.alias("trace_id"),
+        F.when(failed, F.lit("weather.pipeline.failed")).otherwise(F.lit("weather.dm.ready")).alias("event_type"),
+        F.col("l_shipdate").alias("created_at"),
+        F.concat(F.lit("ev-"), trace).alias("event_id"),
+        F.when(failed, F.lit("dm")).alias("stage"),
+        F.when(failed, F.lit("returned")).alias("reason"),
+        F.when(failed, F.format_string("order %d line %d", "l_orderkey", "l_linenumber")).alias("details"))
+    return waiters, outcomes
+
+
+ORACLE_LINEITEM_REQUESTS = """
+    waiters AS (
+        SELECT CAST(l_orderkey AS VARCHAR) AS request_id,
+               CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS trace_id
+        FROM lineitem),
+    outcomes AS (
+        SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS trace_id,
+               CASE WHEN l_returnflag = 'R' THEN 'weather.pipeline.failed' ELSE 'weather.dm.ready' END AS event_type,
+               l_shipdate AS created_at,
+               'ev-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS event_id,
+               CASE WHEN l_returnflag = 'R'
+                    THEN 'upstream failure (dm): returned — order ' || CAST(l_orderkey AS VARCHAR)
+                         || ' line ' || CAST(l_linenumber AS VARCHAR) END AS msg
+        FROM lineitem WHERE l_linestatus = 'F'),
+    per_trace AS (
+        SELECT trace_id,
+               bool_or(event_type = 'weather.dm.ready') AS ready,
+               max(CASE WHEN event_type = 'weather.pipeline.failed' THEN created_at END) AS fail_at,
+               arg_max(msg, (created_at, event_id)) FILTER (WHERE event_type = 'weather.pipeline.failed') AS fail_msg,
+               max((created_at, event_id)) FILTER (WHERE event_type = 'weather.pipeline.failed') AS fail_key,
+               max(created_at) AS last
+        FROM outcomes GROUP BY trace_id),
+    status AS (
+        SELECT w.request_id,
+               CAST(count(*) AS BIGINT) AS n_traces,
+               CAST(count(*) FILTER (WHERE p.ready IS NULL AND p.fail_key IS NULL) AS BIGINT) AS n_pending,
+               arg_max(p.fail_msg, p.fail_key) AS error_message,
+               max(p.last) AS updated_at,
+               CASE WHEN max(p.fail_key) IS NOT NULL THEN 'failed'
+                    WHEN count(*) FILTER (WHERE p.ready IS NULL AND p.fail_key IS NULL) = 0 THEN 'ready'
+                    ELSE 'pending' END AS status
+        FROM (SELECT DISTINCT request_id, trace_id FROM waiters) w
+        LEFT JOIN per_trace p ON p.trace_id = w.trace_id
+        GROUP BY w.request_id)
+"""
+
+
+def order_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Need-info / raw-created style events derived from ``orders`` (one per order):
+    dataset by priority (MEDIUM -> no type), a station list of the customer (empty
+    for every tenth customer), and a range of ``custkey mod 400 - 100`` days."""
+    o = dt.table(spark, sf, "orders")
+    d_from = o.o_orderdate.cast("date")
+    d_to = F.date_add(d_from, (o.o_custkey % 400 - 100).cast("int"))
+    dataset = F.when(o.o_orderpriority == "2-HIGH", F.lit("forecast")) \
+        .when(o.o_orderpriority == "3-MEDIUM", F.lit(None).cast("string")).otherwise(F.lit("actual"))
+    ids = F.when(o.o_custkey % 10 == 0, F.array().cast("array<string>")) \
+        .otherwise(F.array(o.o_custkey.cast("string")))
+    return o.select(
+        F.when(o.o_totalprice < 2000, F.lit(" ")).otherwise(o.o_orderkey.cast("string")).alias("event_id"),
+        F.concat(F.lit("tr-"), o.o_orderkey.cast("string")).alias("trace_id"),
+        dataset.alias("dataset_type"), F.date_format(d_from, "yyyy-MM-dd").alias("date_from"),
+        F.date_format(d_to, "yyyy-MM-dd").alias("date_to"), ids.alias("wmo_indexes"),
+        F.when(o.o_orderstatus == "P", F.lit(None).cast("string")).otherwise(F.lit("weather-raw")).alias("bucket"),
+        F.when(o.o_orderstatus == "O", F.lit("historical_fetcher")).otherwise(F.lit("forecast_fetcher"))
+        .alias("source_name"),
+        F.when(o.o_orderpriority == "2-HIGH", F.lit("weather.forecast.raw.created"))
+        .otherwise(F.lit("weather.actual.raw.created")).alias("topic"))
+
+
+ORACLE_ORDER_EVENTS = """
+    oe AS (
+        SELECT CASE WHEN o_totalprice < 2000 THEN ' ' ELSE CAST(o_orderkey AS VARCHAR) END AS event_id,
+               'tr-' || CAST(o_orderkey AS VARCHAR) AS trace_id,
+               CASE WHEN o_orderpriority = '2-HIGH' THEN 'forecast' WHEN o_orderpriority = '3-MEDIUM' THEN NULL
+                    ELSE 'actual' END AS dataset_type,
+               strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS date_from,
+               strftime(CAST(o_orderdate AS DATE) + CAST(o_custkey % 400 - 100 AS INTEGER), '%Y-%m-%d') AS date_to,
+               CASE WHEN o_custkey % 10 = 0 THEN 0 ELSE 1 END AS n_ids,
+               CAST(o_custkey AS VARCHAR) AS first_id,
+               CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 'weather-raw' END AS bucket,
+               CASE WHEN o_orderstatus = 'O' THEN 'historical_fetcher' ELSE 'forecast_fetcher' END AS source_name,
+               CASE WHEN o_orderpriority = '2-HIGH' THEN 'weather.forecast.raw.created'
+                    ELSE 'weather.actual.raw.created' END AS topic
+        FROM orders)
+"""
