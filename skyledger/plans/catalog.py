@@ -128,7 +128,7 @@ def q_station_rows(spark, sf):
           "ON s.wmo_index = e.wmo_index")
 def q_rows_with_names(spark, sf):
     rows = mx.project_error_rows(fx.mart(spark, sf))
-    return mx.to_contract_rows(mx.attach_station_names(rows, dt.station_dimension(spark, sf)))
+    return mx.to_contract_rows(mx.attach_station_names(rows, fx.station(spark, sf)))
 
 
 def _region_request(spark):
@@ -145,7 +145,7 @@ _REGION_VALUES = ", ".join(f"('{r}')" for r in REGION_REQUEST)
           "LEFT JOIN station s ON s.wmo_index = e.wmo_index")
 def q_region_rows(spark, sf):
     from skyledger.operators.dimension import stations_for_regions
-    station = dt.station_dimension(spark, sf)
+    station = fx.station(spark, sf)
     ids, _unknown = stations_for_regions(station, _region_request(spark))
     rows = mx.select_rows(fx.mart(spark, sf), stations=ids)
     return mx.to_contract_rows(mx.attach_station_names(rows, station).orderBy("day", "wmo_index"))
@@ -156,7 +156,7 @@ def q_region_rows(spark, sf):
           "WHERE r NOT IN (SELECT CAST(n_regionkey AS VARCHAR) FROM customer JOIN nation ON c_nationkey = n_nationkey)")
 def q_unknown_regions(spark, sf):
     from skyledger.operators.dimension import stations_for_regions
-    _ids, unknown = stations_for_regions(dt.station_dimension(spark, sf), _region_request(spark))
+    _ids, unknown = stations_for_regions(fx.station(spark, sf), _region_request(spark))
     return unknown
 
 

@@ -79,7 +79,7 @@ def q_dm_layer(spark, sf):
           "FROM wx GROUP BY dataset_type")
 def q_run_summary(spark, sf):
     """A6/S12 per dataset over the adapter's DM rows."""
-    rows = dt.weather_rows(spark, sf)
+    rows = fx.weather_rows(spark, sf)
     return rows.groupBy("dataset_type").agg(F.count(F.lit(1)).cast("long").alias("record_count"),
                                             F.min("day").alias("date_from"), F.max("day").alias("date_to"))
 
@@ -294,7 +294,7 @@ _DIM_SQL = oracle_with("station")
            coalesce(r.r_name, s.region_id) AS region_name
     FROM station s LEFT JOIN region r ON CAST(r.r_regionkey AS VARCHAR) = s.region_id""")
 def q_dim_stations(spark, sf):
-    station = dim.station_label(dt.station_dimension(spark, sf))
+    station = dim.station_label(fx.station(spark, sf))
     return dim.with_region_names(station, dt.region_names(spark, sf))
 
 
@@ -302,7 +302,7 @@ def q_dim_stations(spark, sf):
     SELECT region_id, CAST(count(*) AS BIGINT) AS n_stations, CAST(count(DISTINCT wmo_index) AS BIGINT) AS n_distinct_stations
     FROM station WHERE region_id IS NOT NULL GROUP BY region_id""")
 def q_region_station_counts(spark, sf):
-    return dim.stations_by_region(dt.station_dimension(spark, sf))
+    return dim.stations_by_region(fx.station(spark, sf))
 
 
 @register("dimension_stats", _DIM_SQL + """
@@ -312,7 +312,7 @@ def q_region_station_counts(spark, sf):
            CAST(0 AS BIGINT) AS skipped_no_id
     FROM station""")
 def q_dimension_stats(spark, sf):
-    return dim.dimension_stats(dt.station_dimension(spark, sf))
+    return dim.dimension_stats(fx.station(spark, sf))
 
 
 @register("last_non_blank", """
@@ -340,7 +340,7 @@ def _search_sql(q: str, limit: int) -> str:
 
 
 def _search(spark, sf, q, limit):
-    station = dt.station_dimension(spark, sf).withColumn("line_no", F.col("wmo_index").cast("long"))
+    station = fx.station(spark, sf).withColumn("line_no", F.col("wmo_index").cast("long"))
     return dim.search_stations(station, q, limit)
 
 
@@ -365,7 +365,7 @@ def q_region_search(spark, sf):
     WHERE CAST(e.user_id AS VARCHAR) NOT IN (SELECT wmo_index FROM station WHERE lat IS NOT NULL AND lng IS NOT NULL)""")
 def q_station_coordinates_strict(spark, sf):
     ids = dt.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("wmo_index"))
-    return dim.unresolvable_stations(ids, dt.station_dimension(spark, sf))
+    return dim.unresolvable_stations(ids, fx.station(spark, sf))
 
 
 @register("names_for", _DIM_SQL + """
@@ -373,7 +373,7 @@ def q_station_coordinates_strict(spark, sf):
     WHERE s.name IS NOT NULL AND s.wmo_index IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'O')""")
 def q_names_for(spark, sf):
     o = dt.table(spark, sf, "orders").filter(F.col("o_orderstatus") == "O")
-    return dim.names_for(o.select(F.col("o_custkey").cast("string").alias("wmo_index")), dt.station_dimension(spark, sf))
+    return dim.names_for(o.select(F.col("o_custkey").cast("string").alias("wmo_index")), fx.station(spark, sf))
 
 
 # -- request state: A11, J10, T4 batch, P18 ------------------------------------------------------
@@ -486,7 +486,7 @@ def q_build_manifest(spark, sf):
     ev = ev.withColumn("dataset_type", F.lit("actual"))
     wanted = ev.select("event_id", "trace_id", F.col("wmo_indexes")[0].alias("wmo_index"),
                        F.to_date("date_from").alias("f"), F.to_date("date_to").alias("t"))
-    rows = dt.weather_rows(spark, sf).select("wmo_index", "day").distinct()
+    rows = fx.weather_rows(spark, sf).select("wmo_index", "day").distinct()
     written = wanted.join(rows, "wmo_index").filter(F.col("day").between(F.col("f"), F.col("t"))) \
         .select(F.concat_ws("|", "event_id", "trace_id").alias("event_id"), "day",
                 rq.object_key_of(F.lit("actual"), F.col("day")).alias("object_key"))
@@ -505,7 +505,7 @@ def q_build_manifest(spark, sf):
     SELECT DISTINCT day, wmo_index FROM cur WHERE dataset_type = 'actual'
       AND wmo_index NOT IN (SELECT wmo_index FROM station WHERE region_id IN ('1', '3'))""")
 def q_unexpected_stations(spark, sf):
-    requested = dt.station_dimension(spark, sf).filter(F.col("region_id").isin("1", "3"))
+    requested = fx.station(spark, sf).filter(F.col("region_id").isin("1", "3"))
     return qc.unexpected_stations(fx.current_side(spark, sf, "actual"), requested)
 
 
@@ -525,7 +525,7 @@ def q_landing_counts(spark, sf):
     SELECT dataset_type, wmo_index, day, CAST(count(*) AS BIGINT) AS n_rows FROM wx
     GROUP BY dataset_type, wmo_index, day HAVING count(*) > 1""")
 def q_key_violations(spark, sf):
-    return qc.duplicate_keys(dt.weather_rows(spark, sf), ["dataset_type", "wmo_index", "day"])
+    return qc.duplicate_keys(fx.weather_rows(spark, sf), ["dataset_type", "wmo_index", "day"])
 
 
 @register("required_nulls", oracle_with("wx") + """
@@ -534,6 +534,6 @@ def q_key_violations(spark, sf):
     for c in ["wmo_index", "day", "temperature", "precipitation_mm", "trace_id", "ingested_at"]) +
           " FROM wx GROUP BY dataset_type")
 def q_required_nulls(spark, sf):
-    return qc.required_nulls(dt.weather_rows(spark, sf),
+    return qc.required_nulls(fx.weather_rows(spark, sf),
                              ["wmo_index", "day", "temperature", "precipitation_mm", "trace_id", "ingested_at"],
                              by=["dataset_type"])

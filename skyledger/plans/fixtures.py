@@ -3,32 +3,76 @@ request tables, all derived from the driver tables by Spark (lazy plans)."""
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.current import current
-from skyledger.operators.layers import error_mart
+from skyledger.operators.layers import current_pairs, forecast_error
 from skyledger.sources import driver_tables as dt
 
 KEYS = ["wmo_index", "day"]
 
+_MEMO: dict[tuple, object] = {}
+
+
+def per_session(view: str | None = None):
+    """Build a derived input once per (session, data folder) and reuse its lazy
+    plan. With ``view`` the plan is also registered as a temp view (D5), the
+    way the ``*_current`` views are exposed to SQL users."""
+    def deco(fn):
+        def wrapper(spark: SparkSession, sf: str, *args):
+            key = (fn.__name__, id(spark._jsparkSession), sf.rstrip("/"), args)
+            if key not in _MEMO:
+                out = fn(spark, sf, *args)
+                if view is not None and isinstance(out, DataFrame):
+                    out.createOrReplaceTempView(view_name(view.format(*args), sf))
+                _MEMO[key] = out
+            return _MEMO[key]
+        wrapper.__name__ = fn.__name__
+        wrapper.__doc__ = fn.__doc__
+        return wrapper
+    return deco
+
+
+def view_name(name: str, sf: str) -> str:
+    """Temp-view name of a derived input for one data folder."""
+    return f"{name}__{re.sub(r'[^0-9A-Za-z]', '_', os.path.basename(sf.rstrip('/')))}"
 
+
+@per_session("dm_fct_daily_{0}_current")
 def current_side(spark: SparkSession, sf: str, dataset: str) -> DataFrame:
     return current(dt.dm_side(spark, sf, dataset), KEYS, "ingested_at", "seq")
 
 
+@per_session("dm_fct_forecast_error_current")
 def mart(spark: SparkSession, sf: str) -> DataFrame:
-    return error_mart(current_side(spark, sf, "actual"), current_side(spark, sf, "forecast"))
+    """The current error mart: both DM sides come from one table here, so they
+    are paired in one aggregation (see :func:`current_pairs`)."""
+    return forecast_error(current_pairs(weather_rows(spark, sf)))
+
+
+@per_session()
+def weather_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return dt.weather_rows(spark, sf)
+
+
+@per_session("dim_station")
+def station(spark: SparkSession, sf: str) -> DataFrame:
+    return dt.station_dimension(spark, sf)
 
 
+@per_session()
 def coverage_requests(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Requests derived from the data: one per reporting station, and one per
     nation over that nation's reporting stations; each spans the whole
     observed day range (min..max day of both sides)."""
-    rows = dt.weather_rows(spark, sf)
+    rows = weather_rows(spark, sf)
     stations = rows.select("wmo_index").distinct()
     per_station = stations.select(F.concat(F.lit("st-"), "wmo_index").alias("request_id"), "wmo_index")
-    dim = dt.station_dimension(spark, sf).select("wmo_index", "lat")
+    dim = station(spark, sf).select("wmo_index", "lat")
     per_nation = stations.join(dim, "wmo_index").select(
         F.concat(F.lit("nat-"), F.col("lat").cast("int").cast("string")).alias("request_id"), "wmo_index")
     request_stations = per_station.unionByName(per_nation)
@@ -77,6 +121,7 @@ FIRST_LOAD_END = "2024-01-20"                    # first load: events before thi
 SECOND_LOAD_START = "2024-01-15"                 # second load: events from this instant on
 
 
+@per_session()
 def measurements(spark: SparkSession, sf: str, dataset: str = "actual") -> DataFrame:
     """Measurement rows (all versions) with station names, from the adapter:
     ``date`` + the measurement fields of one dataset."""
@@ -91,6 +136,7 @@ def measurements(spark: SparkSession, sf: str, dataset: str = "actual") -> DataF
                         F.col("precipitation_mm").alias("precipitation"), "seq", "ingested_at")
 
 
+@per_session()
 def operational_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Acceptance-path operational tables: ``stations`` and ``weather_data``."""
     cust = dt.table(spark, sf, "customer")
@@ -108,6 +154,7 @@ def operational_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFra
     return stations, wd
 
 
+@per_session()
 def lineitem_requests(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Request flow derived from ``lineitem``: an order is a request waiting on one
     trace per line; a shipped line (status F) produced an outcome — a failure
@@ -165,6 +212,7 @@ ORACLE_LINEITEM_REQUESTS = """
 """
 
 
+@per_session()
 def order_events(spark: SparkSession, sf: str) -> DataFrame:
     """Need-info / raw-created style events derived from ``orders`` (one per order):
     dataset by priority (MEDIUM -> no type), a station list of the customer (empty
