@@ -35,19 +35,19 @@ def kpi_band(value: Column, good: float, warning: float) -> Column:
 
 
 def needle_position(value: Column, maximum: float) -> Column:
-    """``min(|v|, max) / max``, 0 when null."""
-    return F.coalesce(F.least(F.abs(value), F.lit(maximum)) / F.lit(maximum), F.lit(0.0))
+    """``min(|v|, max) / max``, 0 when null (``least`` skips nulls, so guard first)."""
+    return F.when(value.isNull(), F.lit(0.0)).otherwise(F.least(F.abs(value), F.lit(maximum)) / F.lit(maximum))
 
 
 def bias_position(value: Column, domain: float = BIAS_DOMAIN) -> Column:
     """clamp to [-domain, domain], then ``v / domain * 50`` (percent of half track)."""
-    clamped = F.coalesce(F.greatest(F.lit(-domain), F.least(F.lit(domain), value)), F.lit(0.0))
-    return clamped / F.lit(domain) * F.lit(50.0)
+    clamped = F.greatest(F.lit(-domain), F.least(F.lit(domain), value))
+    return F.when(value.isNull(), F.lit(0.0)).otherwise(clamped / F.lit(domain) * F.lit(50.0))
 
 
 def bias_intensity(value: Column, domain: float = BIAS_DOMAIN) -> Column:
     """``min(|v| / domain, 1)``, 0 when null."""
-    return F.coalesce(F.least(F.abs(value) / F.lit(domain), F.lit(1.0)), F.lit(0.0))
+    return F.when(value.isNull(), F.lit(0.0)).otherwise(F.least(F.abs(value) / F.lit(domain), F.lit(1.0)))
 
 
 def display_round(value: Column, digits: int = 2) -> Column:

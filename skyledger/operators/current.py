@@ -51,5 +51,5 @@ def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def replace_partitions(target: DataFrame, new: DataFrame, part_col: str) -> DataFrame:
     """D3 as a plan: every partition value present in ``new`` is replaced wholly by ``new``."""
-    kept = target.join(new.select(part_col).distinct(), part_col, "left_anti")
+    kept = target.join(new.select(part_col).distinct(), part_col, "left_anti").select(*target.columns)
     return kept.unionByName(new.select(*target.columns))

@@ -225,7 +225,8 @@ def _kpi_sql():
             f"SELECT '{name}' AS kpi, {name} AS value, "
             f"CASE WHEN {name} IS NULL THEN NULL WHEN abs({name}) <= {good} THEN 'good' "
             f"WHEN abs({name}) <= {warning} THEN 'warning' ELSE 'poor' END AS band, "
-            f"round(coalesce(least(abs({name}), {maximum}) / {maximum}, 0.0), 9) AS needle FROM m")
+            f"round(CASE WHEN {name} IS NULL THEN 0.0 ELSE least(abs({name}), {maximum}) / {maximum} END, 9)"
+            f" AS needle FROM m")
     return oracle_with("err") + f", m AS (SELECT {_sql_metric_aggs()} FROM err) " + " UNION ALL ".join(parts)
 
 
@@ -241,8 +242,9 @@ def _bias_sql():
         c = f"{m}_bias"
         parts.append(
             f"SELECT '{c}' AS kpi, {c} AS value, "
-            f"round(coalesce(greatest(-{d}, least({d}, {c})), 0.0) / {d} * 50.0, 9) AS position_pct, "
-            f"round(coalesce(least(abs({c}) / {d}, 1.0), 0.0), 9) AS intensity FROM m")
+            f"round(CASE WHEN {c} IS NULL THEN 0.0 ELSE greatest(-{d}, least({d}, {c})) / {d} * 50.0 END, 9)"
+            f" AS position_pct, "
+            f"round(CASE WHEN {c} IS NULL THEN 0.0 ELSE least(abs({c}) / {d}, 1.0) END, 9) AS intensity FROM m")
     return oracle_with("err") + f", m AS (SELECT {_sql_metric_aggs()} FROM err) " + " UNION ALL ".join(parts)
 
 

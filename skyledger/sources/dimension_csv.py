@@ -24,7 +24,7 @@ def _blank_to_null(c: str) -> F.Column:
 
 def _safe_double(c: F.Column) -> F.Column:
     """strict float parse; failure -> null (regex guard keeps ``1.0d`` out)."""
-    return F.when(c.rlike(NUMBER_RX), F.try_cast(c, "double"))
+    return F.when(c.rlike(NUMBER_RX), c.try_cast("double"))
 
 
 def read_station_rows(spark: SparkSession, path: str) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.operators.metrics import between_days
 from skyledger.session import scratch_dir
@@ -23,14 +24,23 @@ def month_of(day_col: str) -> F.Column:
 
 
 def layout(df: DataFrame, day_col: str = "day", key: str = "wmo_index") -> DataFrame:
-    """Add the ``month`` partition column, cluster rows by month and sort by key inside files."""
-    return df.withColumn("month", month_of(day_col)).repartition("month").sortWithinPartitions(key, day_col)
+    """Add the ``month`` partition column; range-partition on ``(month, key, day)``
+    so a large month is split over many tasks/files, each a contiguous key range
+    sorted by ``(key, day)`` (row-group min/max then skip by key and day)."""
+    return df.withColumn("month", month_of(day_col)).repartitionByRange("month", key, day_col) \
+        .sortWithinPartitions(key, day_col)
 
 
 def read_table(spark: SparkSession, path: str, date_from: str | None = None, date_to: str | None = None,
-               day_col: str = "day") -> DataFrame:
-    """Table read with the inclusive range pushed to the scan (and month pruning)."""
-    df = spark.read.parquet(path)
+               day_col: str = "day", schema: T.StructType | None = None) -> DataFrame:
+    """Table read with the inclusive range pushed to the scan (and month pruning).
+
+    With ``schema`` (the table's columns; ``month`` is added as a string) the
+    read needs no footer inference and works on a table with no rows yet."""
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(T.StructType(schema.fields + [T.StructField("month", T.StringType())]))
+    df = reader.parquet(path)
     if date_from is None and date_to is None:
         return df
     return between_days(df, date_from, date_to, day_col)
