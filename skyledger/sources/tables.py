@@ -82,3 +82,24 @@ def compact_current(spark: SparkSession, path: str, keys: list[str], version: st
     if touched_months is not None:
         df = df.join(touched_months.select("month").distinct(), "month", "left_semi")
     replace_partitions(spark, current(df, keys + ["month"], version, tie), path)
+
+
+STATE_SCHEMA = "pipeline_name string, key string, value string, updated_at timestamp"
+
+
+def upsert_state(spark: SparkSession, path: str, updates: DataFrame) -> None:
+    """Pipeline state ``(pipeline_name, key) -> value``; a newer update replaces the old value.
+
+    The table is small and keyed; the merged result is staged under the shared
+    checkpoint folder first, so the table is never overwritten while it is read."""
+    from skyledger.operators.current import current
+    try:
+        old = spark.read.schema(STATE_SCHEMA).parquet(path)
+        old.schema  # noqa: B018 - resolve now: a missing table raises here
+    except Exception:  # noqa: BLE001 - first write
+        old = spark.createDataFrame([], STATE_SCHEMA)
+    both = old.withColumn("_src", F.lit(0)).unionByName(updates.select(*old.columns).withColumn("_src", F.lit(1)))
+    merged = current(both, ["pipeline_name", "key"], "_src").drop("_src")
+    staged = scratch_dir(spark, "state")
+    merged.write.mode("overwrite").parquet(staged)
+    spark.read.parquet(staged).write.mode("overwrite").parquet(path)

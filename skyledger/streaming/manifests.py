@@ -5,7 +5,8 @@ micro-batch: parse with an explicit schema (garbage -> quarantine), split
 valid/invalid manifests (P13), drop redeliveries of the same
 ``(dataset_type, event_id)`` within a watermark on ``created_at`` (T2), then
 ``foreachBatch`` runs the write path for every valid manifest and appends one
-outcome event per manifest (``dm.ready`` or ``pipeline.failed``).
+outcome event per manifest (``dm.ready`` or ``pipeline.failed``) under
+``<outcomes>/kind=run``; invalid manifests land under ``<outcomes>/kind=invalid``.
 
 At-least-once (T10): the checkpoint commits a batch only after the function
 returned; a replayed batch re-appends rows that newest-wins reads collapse.
@@ -73,7 +74,7 @@ def process_manifest_batch(batch: DataFrame, epoch_id: int, *, raw_root: str, ta
                              "reason": "dag_task_failed", "details": str(exc)[:rq.ERROR_TEXT_MAX],
                              "created_at": m.created_at})
     if outcomes:
-        _outcome_row(spark, outcomes).write.mode("append").json(outcome_path)
+        _outcome_row(spark, outcomes).write.mode("append").json(f"{outcome_path}/kind=run")
 
 
 def write_failures(failures: DataFrame, outcome_path: str, checkpoint: str):
@@ -83,7 +84,9 @@ def write_failures(failures: DataFrame, outcome_path: str, checkpoint: str):
                           F.lit(None).cast("string").alias("date_from"), F.lit(None).cast("string").alias("date_to"),
                           F.lit(None).cast("long").alias("record_count"), "stage", "source_name", "reason", "details",
                           F.lit(None).cast("string").alias("created_at"))
-    return out.writeStream.format("json").option("path", outcome_path) \
+    # Own partition folder: a streaming file sink keeps a metadata log that would
+    # hide files other writers add to the same folder.
+    return out.writeStream.format("json").option("path", f"{outcome_path}/kind=invalid") \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 

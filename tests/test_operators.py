@@ -197,3 +197,22 @@ def test_manifest_split_and_need_info(spark):
          ("d", "actual", ["1"], "2024-01-03", "2024-01-02"), ("e", "forecast", ["1"], "2024-01-01", "2024-01-01")],
         "event_id string, dataset_type string, wmo_indexes array<string>, date_from string, date_to string")
     assert [r.event_id for r in rq.valid_need_info(rq.route_need_info(ni, "actual")).collect()] == ["a"]
+
+
+def test_pipeline_state_upsert(spark, workdir):
+    from skyledger.sources.tables import STATE_SCHEMA, upsert_state
+    path = os.path.join(workdir, "etl_state")
+    first = spark.createDataFrame([("p", "last_day", "2024-01-01", None), ("p", "runs", "1", None)], STATE_SCHEMA)
+    upsert_state(spark, path, first)
+    upsert_state(spark, path, spark.createDataFrame([("p", "runs", "2", None)], STATE_SCHEMA))
+    got = {r.key: r.value for r in spark.read.parquet(path).collect()}
+    assert got == {"last_day": "2024-01-01", "runs": "2"}
+
+
+def test_text_functions(spark):
+    from skyledger.functions import text as tx
+    df = spark.createDataFrame([(" a, b ,,c ", None, "x")], "s string, n string, i string")
+    r = df.select(tx.comma_split(F.col("s")).alias("parts"), tx.empty_if_null(F.col("n")).alias("e"),
+                  tx.station_label(F.col("n"), F.col("i")).alias("label"),
+                  tx.is_empty(tx.remove_from(F.array(F.lit("t1")), F.lit("t1"))).alias("done")).first()
+    assert r.parts == ["a", "b", "c"] and r.e == "" and r.label == "x" and r.done
