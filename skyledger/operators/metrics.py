@@ -153,10 +153,12 @@ def bias_scale(metrics_row: DataFrame, domain: float = scores.BIAS_DOMAIN) -> Da
     return metrics_row.select(F.explode(F.array(*parts)).alias("k")).select("k.*")
 
 
-def sort_rows(df: DataFrame, column: str, descending: bool = False) -> DataFrame:
-    """Nulls last in both directions."""
+def sort_rows(df: DataFrame, column: str, descending: bool = False, tie: Sequence[str] = ()) -> DataFrame:
+    """Nulls last in both directions (Spark's plain ``asc`` puts nulls first).
+
+    A global sort: range-partitioned by sampling, so it scales without a single task."""
     c = F.col(column)
-    return df.orderBy(c.desc_nulls_last() if descending else c.asc_nulls_last())
+    return df.orderBy(c.desc_nulls_last() if descending else c.asc_nulls_last(), *tie)
 
 
 def to_series(rows: DataFrame, fields: Sequence[str], id_cols: Sequence[str] = ("day",)) -> DataFrame:

@@ -51,7 +51,6 @@ SQL_CONTRACT_COLS = ", ".join(
 # Feature parameters of the fixed requests.
 REGION_REQUEST = ["1", "3", "7"]          # "7" is not a known region
 TOP_LIMIT = 100
-PAGE_SIZE = 100
 EMPTY_RANGE = ("2030-01-01", "2030-01-31")
 
 
@@ -254,20 +253,17 @@ def q_bias_scale(spark, sf):
 
 
 @register("sorted_nulls_last_asc", oracle_with("err") +
-          f"SELECT {SQL_CONTRACT_COLS} FROM err ORDER BY temperature_error ASC NULLS LAST, wmo_index, day LIMIT {PAGE_SIZE}")
+          f"SELECT {SQL_CONTRACT_COLS} FROM err ORDER BY temperature_error ASC NULLS LAST, wmo_index, day")
 def q_sorted_asc(spark, sf):
     rows = mx.project_error_rows(fx.mart(spark, sf))
-    c = F.col("temperature_error")
-    return mx.to_contract_rows(rows.orderBy(c.asc_nulls_last(), "wmo_index", "day").limit(PAGE_SIZE))
+    return mx.to_contract_rows(mx.sort_rows(rows, "temperature_error", descending=False, tie=["wmo_index", "day"]))
 
 
 @register("sorted_nulls_last_desc", oracle_with("err") +
-          f"SELECT {SQL_CONTRACT_COLS} FROM err ORDER BY precipitation_mm_error DESC NULLS LAST, wmo_index, day "
-          f"LIMIT {PAGE_SIZE}")
+          f"SELECT {SQL_CONTRACT_COLS} FROM err ORDER BY precipitation_mm_error DESC NULLS LAST, wmo_index, day")
 def q_sorted_desc(spark, sf):
     rows = mx.project_error_rows(fx.mart(spark, sf))
-    c = F.col("precipitation_mm_error")
-    return mx.to_contract_rows(rows.orderBy(c.desc_nulls_last(), "wmo_index", "day").limit(PAGE_SIZE))
+    return mx.to_contract_rows(mx.sort_rows(rows, "precipitation_mm_error", descending=True, tie=["wmo_index", "day"]))
 
 
 _TREND_FIELDS = [f"{m}_{k}" for m in METRICS for k in ("mae", "bias")]

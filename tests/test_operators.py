@@ -216,3 +216,10 @@ def test_text_functions(spark):
                   tx.station_label(F.col("n"), F.col("i")).alias("label"),
                   tx.is_empty(tx.remove_from(F.array(F.lit("t1")), F.lit("t1"))).alias("done")).first()
     assert r.parts == ["a", "b", "c"] and r.e == "" and r.label == "x" and r.done
+
+
+def test_sort_rows_nulls_last_both_ways(spark):
+    df = spark.createDataFrame([(1.0, "a"), (None, "b"), (-2.0, "c")], "x double, k string")
+    asc = [r.k for r in mx.sort_rows(df, "x").collect()]
+    desc = [r.k for r in mx.sort_rows(df, "x", descending=True).collect()]
+    assert asc == ["c", "a", "b"] and desc == ["a", "c", "b"]
