@@ -68,32 +68,32 @@ def q_current_forecast(spark, sf):
 
 @register("forecast_error", oracle_with("err") + "SELECT * FROM err")
 def q_forecast_error(spark, sf):
-    return fx.mart(spark, sf)
+    return fx.mart(spark, sf)             # the full build: W1 for both sides + J1 + P4
 
 
 # -- A1 / A2 -------------------------------------------------------------------
 
 @register("model_metrics", oracle_with("err") + f"SELECT {_sql_metric_aggs()} FROM err")
 def q_model_metrics(spark, sf):
-    return mx.model_metrics(fx.mart(spark, sf))
+    return mx.model_metrics(fx.mart_rows(spark, sf))
 
 
 @register("model_metrics_empty", oracle_with("err") + f"SELECT {_sql_metric_aggs()} FROM err "
           f"WHERE day BETWEEN DATE '{EMPTY_RANGE[0]}' AND DATE '{EMPTY_RANGE[1]}'")
 def q_model_metrics_empty(spark, sf):
-    return mx.model_metrics(fx.mart(spark, sf), *EMPTY_RANGE)
+    return mx.model_metrics(fx.mart_table(spark, sf), *EMPTY_RANGE)
 
 
 @register("model_metrics_daily", oracle_with("err") + f"SELECT day, {_sql_metric_aggs()} FROM err GROUP BY day ORDER BY day")
 def q_model_metrics_daily(spark, sf):
-    return mx.model_metrics_daily(fx.mart(spark, sf))
+    return mx.model_metrics_daily(fx.mart_rows(spark, sf))
 
 
 # -- O2 top errors per metric ---------------------------------------------------
 
 def _top_query(metric):
     def q(spark, sf):
-        return mx.to_contract_rows(mx.top_errors(fx.mart(spark, sf), metric, limit=TOP_LIMIT))
+        return mx.to_contract_rows(mx.top_errors(fx.mart_rows(spark, sf), metric, limit=TOP_LIMIT))
     q.__name__ = f"q_top_errors_{metric}"
     return q
 
@@ -118,7 +118,7 @@ def _urgent_order_stations(spark, sf):
           "(SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderpriority = '1-URGENT') "
           "ORDER BY day, wmo_index")
 def q_station_rows(spark, sf):
-    return mx.to_contract_rows(mx.rows_by_stations(fx.mart(spark, sf), _urgent_order_stations(spark, sf)))
+    return mx.to_contract_rows(mx.rows_by_stations(fx.mart_rows(spark, sf), _urgent_order_stations(spark, sf)))
 
 
 @register("rows_with_names", oracle_with("err", "station") +
@@ -126,7 +126,7 @@ def q_station_rows(spark, sf):
           "LEFT JOIN (SELECT wmo_index, max(name) AS station_name FROM station WHERE name IS NOT NULL GROUP BY 1) s "
           "ON s.wmo_index = e.wmo_index")
 def q_rows_with_names(spark, sf):
-    rows = mx.project_error_rows(fx.mart(spark, sf))
+    rows = mx.project_error_rows(fx.mart_rows(spark, sf))
     return mx.to_contract_rows(mx.attach_station_names(rows, fx.station(spark, sf)))
 
 
@@ -146,7 +146,7 @@ def q_region_rows(spark, sf):
     from skyledger.operators.dimension import stations_for_regions
     station = fx.station(spark, sf)
     ids, _unknown = stations_for_regions(station, _region_request(spark))
-    rows = mx.select_rows(fx.mart(spark, sf), stations=ids)
+    rows = mx.select_rows(fx.mart_rows(spark, sf), stations=ids)
     return mx.to_contract_rows(mx.attach_station_names(rows, station).orderBy("day", "wmo_index"))
 
 
@@ -167,19 +167,19 @@ _COV = oracle_with("err", "station") .rstrip() + ",\n" + fx.ORACLE_REQUESTS.stri
 @register("covered_days", _COV + "SELECT request_id, day FROM covered")
 def q_covered_days(spark, sf):
     rs, rr = fx.coverage_requests(spark, sf)
-    return cov.covered_days(fx.mart(spark, sf), rs, rr)
+    return cov.covered_days(fx.mart_rows(spark, sf), rs, rr)
 
 
 @register("missing_days", _COV + "SELECT request_id, day FROM missing")
 def q_missing_days(spark, sf):
     rs, rr = fx.coverage_requests(spark, sf)
-    return cov.missing_days(fx.mart(spark, sf), rs, rr)
+    return cov.missing_days(fx.mart_rows(spark, sf), rs, rr)
 
 
 @register("missing_ranges", _COV + "SELECT request_id, range_start, range_end FROM ranges")
 def q_missing_ranges(spark, sf):
     rs, rr = fx.coverage_requests(spark, sf)
-    return cov.missing_ranges(fx.mart(spark, sf), rs, rr)
+    return cov.missing_ranges(fx.mart_rows(spark, sf), rs, rr)
 
 
 @register("need_info_requests", _COV +
@@ -190,7 +190,7 @@ def q_missing_ranges(spark, sf):
           "LEFT JOIN need n ON n.request_id = r.request_id")
 def q_need_info_requests(spark, sf):
     rs, rr = fx.coverage_requests(spark, sf)
-    return cov.need_info_requests(cov.missing_ranges(fx.mart(spark, sf), rs, rr), rs)
+    return cov.need_info_requests(cov.missing_ranges(fx.mart_rows(spark, sf), rs, rr), rs)
 
 
 # -- A4 / A5 / W3 / F18 / F19 / O4 / P17 -------------------------------------------------
@@ -198,13 +198,13 @@ def q_need_info_requests(spark, sf):
 @register("daily_mean_error", oracle_with("err") +
           "SELECT day, " + ", ".join(f"round(avg({f}), 6) AS {f}" for f in ERROR_FIELDS) + " FROM err GROUP BY day")
 def q_daily_mean_error(spark, sf):
-    return mx.daily_mean_error(fx.mart(spark, sf))
+    return mx.daily_mean_error(fx.mart_rows(spark, sf))
 
 
 @register("column_max_abs", oracle_with("err") + "SELECT " + ", ".join(
     f"greatest(1e-9, max(abs(coalesce({f}, 0.0)))) AS {f}_max_abs" for f in ERROR_FIELDS) + " FROM err")
 def q_column_max_abs(spark, sf):
-    return mx.column_max_abs(fx.mart(spark, sf))
+    return mx.column_max_abs(fx.mart_rows(spark, sf))
 
 
 @register("severity", oracle_with("err") +
@@ -213,7 +213,7 @@ def q_column_max_abs(spark, sf):
               f"round(CASE WHEN e.{f} IS NULL OR mx.{f}_m = 0 THEN 0.0 ELSE least(abs(e.{f}) / mx.{f}_m, 1.0) END, 9)"
               f" AS {f}_severity" for f in ERROR_FIELDS) + " FROM err e, mx")
 def q_severity(spark, sf):
-    return mx.severity(fx.mart(spark, sf))
+    return mx.severity(fx.mart_rows(spark, sf))
 
 
 def _kpi_sql():
@@ -231,7 +231,7 @@ def _kpi_sql():
 
 @register("kpi_bands", _kpi_sql())
 def q_kpi_bands(spark, sf):
-    return mx.kpi_bands(mx.model_metrics(fx.mart(spark, sf)))
+    return mx.kpi_bands(mx.model_metrics(fx.mart_rows(spark, sf)))
 
 
 def _bias_sql():
@@ -249,20 +249,20 @@ def _bias_sql():
 
 @register("bias_scale", _bias_sql())
 def q_bias_scale(spark, sf):
-    return mx.bias_scale(mx.model_metrics(fx.mart(spark, sf)))
+    return mx.bias_scale(mx.model_metrics(fx.mart_rows(spark, sf)))
 
 
 @register("sorted_nulls_last_asc", oracle_with("err") +
           f"SELECT {SQL_CONTRACT_COLS} FROM err ORDER BY temperature_error ASC NULLS LAST, wmo_index, day")
 def q_sorted_asc(spark, sf):
-    rows = mx.project_error_rows(fx.mart(spark, sf))
+    rows = mx.project_error_rows(fx.mart_rows(spark, sf))
     return mx.to_contract_rows(mx.sort_rows(rows, "temperature_error", descending=False, tie=["wmo_index", "day"]))
 
 
 @register("sorted_nulls_last_desc", oracle_with("err") +
           f"SELECT {SQL_CONTRACT_COLS} FROM err ORDER BY precipitation_mm_error DESC NULLS LAST, wmo_index, day")
 def q_sorted_desc(spark, sf):
-    rows = mx.project_error_rows(fx.mart(spark, sf))
+    rows = mx.project_error_rows(fx.mart_rows(spark, sf))
     return mx.to_contract_rows(mx.sort_rows(rows, "precipitation_mm_error", descending=True, tie=["wmo_index", "day"]))
 
 
@@ -273,7 +273,7 @@ _TREND_FIELDS = [f"{m}_{k}" for m in METRICS for k in ("mae", "bias")]
           "SELECT day, series, value FROM (UNPIVOT d ON " + ", ".join(_TREND_FIELDS) +
           " INTO NAME series VALUE value) WHERE value IS NOT NULL")
 def q_trend_series(spark, sf):
-    daily = mx.model_metrics_daily(fx.mart(spark, sf))
+    daily = mx.model_metrics_daily(fx.mart_rows(spark, sf))
     return mx.to_series(daily, _TREND_FIELDS)
 
 

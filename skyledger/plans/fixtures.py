@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import re
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,25 @@ def mart(spark: SparkSession, sf: str) -> DataFrame:
     return forecast_error(current_pairs(weather_rows(spark, sf)))
 
 
+@per_session()
+def mart_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The error mart as a stored table (month layout), written once per session
+    under the shared checkpoint folder — what the read path queries in the real
+    system (the write path maintains it). Carries the ``month`` partition column."""
+    from skyledger.session import checkpoint_root, scratch_dir
+    from skyledger.sources import tables as tb
+    checkpoint_root(spark, default=os.path.join(tempfile.gettempdir(), "skyledger-checkpoints"))
+    path = scratch_dir(spark, "mart")
+    tb.layout(mart(spark, sf)).write.mode("overwrite").partitionBy("month").parquet(path)
+    return spark.read.parquet(path)
+
+
+@per_session("dm_fct_forecast_error_current_table")
+def mart_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """:func:`mart_table` without the partition column (whole-table reads)."""
+    return mart_table(spark, sf).drop("month")
+
+
 @per_session()
 def weather_rows(spark: SparkSession, sf: str) -> DataFrame:
     return dt.weather_rows(spark, sf)
