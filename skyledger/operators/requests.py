@@ -93,14 +93,15 @@ def request_status_rollup(waiters: DataFrame, outcomes: DataFrame) -> DataFrame:
     latest failure by ``(created_at, event_id)``. One aggregation per request:
     partial aggregates keep a request with very many traces off one task."""
     w = waiters.select("request_id", "trace_id").distinct()
+    failed = F.col("event_type") == TOPIC_FAILED
     o = outcomes.filter(_non_blank(F.col("trace_id"))).select(
-        "trace_id", "event_type", "created_at", "event_id",
-        failure_message(F.col("stage"), F.col("reason"), F.col("details")).alias("_msg"))
+        "trace_id", (F.col("event_type") == TOPIC_DM_READY).alias("_is_ready"), "created_at",
+        F.when(failed, F.struct("created_at", "event_id")).alias("_fail_key"),
+        F.when(failed, failure_message(F.col("stage"), F.col("reason"), F.col("details"))).alias("_msg"))
     per_trace = o.groupBy("trace_id").agg(
-        F.max(F.when(F.col("event_type") == TOPIC_DM_READY, F.lit(True))).alias("_ready"),
-        F.max_by(F.col("_msg"), F.when(F.col("event_type") == TOPIC_FAILED,
-                                       F.struct("created_at", "event_id"))).alias("_fail_msg"),
-        F.max(F.when(F.col("event_type") == TOPIC_FAILED, F.struct("created_at", "event_id"))).alias("_fail_at"),
+        F.max(F.when(F.col("_is_ready"), F.lit(True))).alias("_ready"),
+        F.max_by(F.col("_msg"), F.col("_fail_key")).alias("_fail_msg"),
+        F.max("_fail_key").alias("_fail_at"),
         F.max("created_at").alias("_last"))
     joined = w.join(per_trace, "trace_id", "left")
     agg = joined.groupBy("request_id").agg(

@@ -537,3 +537,73 @@ def q_required_nulls(spark, sf):
     return qc.required_nulls(fx.weather_rows(spark, sf),
                              ["wmo_index", "day", "temperature", "precipitation_mm", "trace_id", "ingested_at"],
                              by=["dataset_type"])
+
+
+# -- J8: positional pairing of requested locations with provider responses --------------------
+
+@register("zip_locations", """
+    WITH coords AS (
+        SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey, l_shipdate, l_quantity)
+                    - 1 AS INTEGER) AS pos,
+               CAST(l_suppkey AS VARCHAR) AS wmo_index
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+    resp AS (
+        SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_suppkey, l_partkey,
+                    l_shipdate, l_quantity) - 1 AS INTEGER) AS pos
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag <> 'R')
+    SELECT c.o_orderkey, c.pos, c.wmo_index FROM coords c JOIN resp r ON r.o_orderkey = c.o_orderkey AND r.pos = c.pos""")
+def q_zip_locations(spark, sf):
+    """A request per order asks for the suppliers of its lines (in line order); the
+    provider answered one response per line that was not returned, in order; the
+    pairs are cut to the shorter side."""
+    from pyspark.sql import Window
+    li = dt.table(spark, sf, "lineitem").join(dt.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey")),
+                                               "l_orderkey")
+    # Line order within an order (a handful of lines; ties broken on the line's content).
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_suppkey", "l_partkey", "l_shipdate", "l_quantity")
+    coords = li.select(F.col("l_orderkey").alias("o_orderkey"), (F.row_number().over(w) - 1).cast("int").alias("pos"),
+                       F.col("l_suppkey").cast("string").alias("wmo_index"))
+    resp = li.filter(F.col("l_returnflag") != "R").select(
+        F.col("l_orderkey").alias("o_orderkey"), (F.row_number().over(w) - 1).cast("int").alias("pos"))
+    pairs, _report = docs.zip_locations(coords, resp, by=["o_orderkey"])
+    return pairs.select("o_orderkey", "pos", "wmo_index")
+
+
+# -- J5 lenient: coordinates for the asked ids, unknown -> null ----------------------------------
+
+@register("station_coordinates", _DIM_SQL + """
+    SELECT a.wmo_index, s.lat, s.lng
+    FROM (SELECT DISTINCT CAST(user_id AS VARCHAR) AS wmo_index FROM events) a
+    LEFT JOIN station s ON s.wmo_index = a.wmo_index""")
+def q_station_coordinates(spark, sf):
+    ids = dt.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("wmo_index")).distinct()
+    return dim.station_coordinates(ids, fx.station(spark, sf))
+
+
+# -- J11 for one business date (the first observed day) -----------------------------------------
+
+@register("operational_raw_day", _ACC_SQL + """
+    SELECT 'operational' AS source_name, wd.observation_date AS business_date,
+           CAST(c.c_custkey AS VARCHAR) AS wmo_index, c.c_name AS station_name, n.n_name AS country,
+           wd.observation_date, wd.min_temp, wd.avg_temp, wd.max_temp, wd.precipitation, wd.quality_flag
+    FROM wd JOIN customer c ON c.c_custkey = wd.station_id LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+    WHERE wd.observation_date = (SELECT min(day) FROM wx)""")
+def q_operational_raw_day(spark, sf):
+    stations, wd = fx.operational_tables(spark, sf)
+    first_day = fx.weather_rows(spark, sf).agg(F.min("day").cast("string")).first()[0]
+    return ly.operational_to_raw(wd, stations, first_day)
+
+
+# -- T6: requests -> (trace_id, request_id) waiter rows ------------------------------------------
+
+@register("waiter_rows", """
+    SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS request_id,
+           CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS trace_id
+    FROM lineitem""")
+def q_waiter_rows(spark, sf):
+    """Pending requests carry their trace list (bounded per request by its ranges x 2);
+    the fan-out rows are what outcome events are joined with."""
+    from skyledger.streaming.request_state import waiter_rows
+    waiters, _ = fx.lineitem_requests(spark, sf)
+    requests = waiters.groupBy("request_id").agg(F.collect_list("trace_id").alias("pending_trace_ids"))
+    return waiter_rows(requests)

@@ -117,3 +117,27 @@ def q_stream_manifest_dedup(spark, sf):
         .trigger(availableNow=True).start()
     _await(q)
     return spark.read.schema("dataset_type string, event_id string").parquet(f"{root}/out")
+
+
+# -- T5: one fetch per (dataset, station, day) within the lock lifetime ---------------------------
+
+@register("stream_fetch_locks", "WITH " + fx.ORACLE_ORDER_EVENTS.strip() + """
+    , ok AS (SELECT * FROM oe WHERE dataset_type IS NOT NULL AND trim(event_id) <> '' AND n_ids > 0
+                                AND CAST(date_from AS DATE) <= CAST(date_to AS DATE))
+    SELECT DISTINCT dataset_type, first_id AS wmo_index, CAST(d AS DATE) AS day
+    FROM ok, generate_series(CAST(date_from AS TIMESTAMP), CAST(date_to AS TIMESTAMP), INTERVAL 1 DAY) t(d)""")
+def q_stream_fetch_locks(spark, sf):
+    """Need-info events derived from ``orders`` (the valid ones; ranges are under a year),
+    all created at the same instant: every ``(dataset, station, day)`` cell is fetched once."""
+    root = _scratch(spark, "locks")
+    ev = fx.order_events(spark, sf)
+    ev = rq.valid_need_info(ev.filter(F.col("dataset_type").isNotNull())) \
+        .select("event_id", "trace_id", "dataset_type", F.lit("2026-07-06T12:20:00Z").alias("created_at"),
+                "date_from", "date_to", "wmo_indexes")
+    ev.write.mode("overwrite").json(f"{root}/in")
+    src = spark.readStream.schema(ev.schema).json(f"{root}/in")
+    cells = rs.suppress_duplicate_fetches(rs.need_info_cells(src)).select("dataset_type", "wmo_index", "day")
+    q = cells.writeStream.format("parquet").option("path", f"{root}/out") \
+        .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
+    _await(q)
+    return spark.read.schema("dataset_type string, wmo_index string, day date").parquet(f"{root}/out")
