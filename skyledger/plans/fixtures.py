@@ -88,7 +88,12 @@ def station(spark: SparkSession, sf: str) -> DataFrame:
 def coverage_requests(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Requests derived from the data: one per reporting station, and one per
     nation over that nation's reporting stations; each spans the whole
-    observed day range (min..max day of both sides)."""
+    observed day range (min..max day of both sides).
+
+    Requests are an input table of the read path, so they are stored once per
+    session under the shared checkpoint folder and read back (no re-derivation
+    inside every coverage plan)."""
+    from skyledger.session import checkpoint_root, scratch_dir
     rows = weather_rows(spark, sf)
     stations = rows.select("wmo_index").distinct()
     per_station = stations.select(F.concat(F.lit("st-"), "wmo_index").alias("request_id"), "wmo_index")
@@ -100,7 +105,11 @@ def coverage_requests(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
     bounds = rows.agg(F.struct(F.min("day").alias("date_from"), F.max("day").alias("date_to"))).scalar()
     request_ranges = request_stations.select("request_id").distinct().select(
         "request_id", bounds["date_from"].alias("date_from"), bounds["date_to"].alias("date_to"))
-    return request_stations, request_ranges
+    checkpoint_root(spark, default=os.path.join(tempfile.gettempdir(), "skyledger-checkpoints"))
+    root = scratch_dir(spark, "requests")
+    request_stations.write.mode("overwrite").parquet(f"{root}/request_stations")
+    request_ranges.write.mode("overwrite").parquet(f"{root}/request_ranges")
+    return spark.read.parquet(f"{root}/request_stations"), spark.read.parquet(f"{root}/request_ranges")
 
 
 # Oracle text for the same request tables.
