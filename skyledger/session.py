@@ -22,6 +22,9 @@ BASE_CONF = {
     # Dimension-sized sides only: anything larger goes through a shuffle join.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Partition values keep their written text (month = 'yyyyMM'); typed columns
+    # come from explicit schemas.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -72,13 +72,15 @@ def explode_stations(docs: DataFrame) -> DataFrame:
 def write_daily_documents(measurements: DataFrame, root: str, dataset: str, mode: str = "overwrite") -> None:
     """One folder per day under ``<root>/<prefix>/``; each line a measurement.
 
-    Days are written in parallel by ``partitionBy`` (dynamic overwrite
-    replaces only the days present), so no day is ever gathered into a
-    single row or task."""
+    Rows are range-partitioned on ``(date, wmo_index)`` before ``partitionBy``:
+    each task writes a contiguous station range of one or a few days, and a
+    day holding a third of all rows is split over many tasks and files. No day
+    is ever gathered into a single row or task."""
     prefix = DATASET_TABLES[dataset]["prefix"]
     cols = [f.name for f in MEASUREMENT.fields]
     out = measurements.select(F.col("date").cast("date").alias("date"), *cols)
-    out.repartition("date").write.mode(mode).partitionBy("date").json(f"{root.rstrip('/')}/{prefix}")
+    out.repartitionByRange("date", "wmo_index").sortWithinPartitions("date", "wmo_index") \
+        .write.mode(mode).partitionBy("date").json(f"{root.rstrip('/')}/{prefix}")
 
 
 def measurements_by_date(measurements: DataFrame) -> DataFrame:

@@ -71,7 +71,8 @@ def replace_days(spark: SparkSession, new: DataFrame, path: str, day_col: str =
         months = fresh.select("month").distinct()
         kept = old.join(months, "month", "left_semi").join(fresh.select(day_col).distinct(), day_col, "left_anti")
         fresh = kept.unionByName(fresh.select(*kept.columns))
-    replace_partitions(spark, fresh.repartition("month").sortWithinPartitions("wmo_index", day_col), path)
+    replace_partitions(spark, fresh.repartitionByRange("month", "wmo_index", day_col)
+                       .sortWithinPartitions("wmo_index", day_col), path)
 
 
 def compact_current(spark: SparkSession, path: str, keys: list[str], version: str, tie: str | None = None,

@@ -113,3 +113,28 @@ def test_partitioned_documents_roundtrip(spark, workdir):
     assert len(got) == 1 and got[0].max_temp == 2.0 and got[0].raw_object_key == "forecast/date=1960-01-02"
     by_date = docs.measurements_by_date(rows.withColumn("date", F.to_date("date"))).collect()
     assert [len(r.stations) for r in by_date] == [1, 1]
+
+
+def test_replace_days_and_compaction_on_disk(spark, workdir):
+    from skyledger.sources import tables as tb
+    path = f"{workdir}/dm"
+    first = spark.createDataFrame(
+        [("1", "2024-01-01", 1.0, "t1"), ("1", "2024-01-02", 2.0, "t1"), ("2", "2024-02-01", 3.0, "t1")],
+        "wmo_index string, day string, temperature double, trace_id string").withColumn("day", F.to_date("day"))
+    tb.replace_days(spark, first, path)
+    again = spark.createDataFrame([("9", "2024-01-02", 9.0, "t2")],
+                                  "wmo_index string, day string, temperature double, trace_id string") \
+        .withColumn("day", F.to_date("day"))
+    tb.replace_days(spark, again, path)
+    got = sorted((r.wmo_index, str(r.day), r.temperature) for r in spark.read.parquet(path).collect())
+    assert got == [("1", "2024-01-01", 1.0), ("2", "2024-02-01", 3.0), ("9", "2024-01-02", 9.0)]
+    # Append a newer version of a key, then compact the touched month.
+    newer = spark.createDataFrame([("1", "2024-01-01", 5.0, "t3")],
+                                  "wmo_index string, day string, temperature double, trace_id string") \
+        .withColumn("day", F.to_date("day"))
+    tb.append_layer(newer, path)
+    assert spark.read.parquet(path).count() == 4
+    tb.compact_current(spark, path, ["wmo_index", "day"], "trace_id")
+    got = sorted((r.wmo_index, str(r.day), r.temperature, r.month) for r in spark.read.parquet(path).collect())
+    assert got == [("1", "2024-01-01", 5.0, "202401"), ("2", "2024-02-01", 3.0, "202402"),
+                   ("9", "2024-01-02", 9.0, "202401")]
