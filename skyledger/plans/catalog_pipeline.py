@@ -607,3 +607,36 @@ def q_waiter_rows(spark, sf):
     waiters, _ = fx.lineitem_requests(spark, sf)
     requests = waiters.groupBy("request_id").agg(F.collect_list("trace_id").alias("pending_trace_ids"))
     return waiter_rows(requests)
+
+
+# -- T12 batch form: first-hit-anchored windows per user over events ------------------------------
+
+_RATE_LIMIT, _RATE_WINDOW = 60, 60          # the general contract: 60 hits per 60 s
+
+
+@register("rate_windows", f"""
+    WITH RECURSIVE
+    h AS (SELECT CAST(user_id AS VARCHAR) AS identity, epoch_us(CAST(ts AS TIMESTAMP)) AS t FROM events),
+    r AS (SELECT identity, t, row_number() OVER (PARTITION BY identity ORDER BY t) AS rn,
+                 count(*) OVER (PARTITION BY identity) AS n FROM h),
+    nx AS (SELECT a.identity, a.rn, min(b.rn) AS nrn
+           FROM r a LEFT JOIN r b ON b.identity = a.identity AND b.t >= a.t + {_RATE_WINDOW * 1_000_000}
+           GROUP BY a.identity, a.rn),
+    starts(identity, rn) AS (
+        SELECT identity, rn FROM r WHERE rn = 1
+        UNION ALL
+        SELECT s.identity, nx.nrn FROM starts s JOIN nx ON nx.identity = s.identity AND nx.rn = s.rn
+        WHERE nx.nrn IS NOT NULL),
+    w AS (SELECT s.identity, s.rn, r.t, coalesce(nx.nrn, r.n + 1) - s.rn AS n_hits
+          FROM starts s JOIN r ON r.identity = s.identity AND r.rn = s.rn
+          JOIN nx ON nx.identity = s.identity AND nx.rn = s.rn)
+    SELECT w.identity, make_timestamp(w.t) AS window_start, CAST(w.n_hits AS BIGINT) AS n_hits,
+           w.n_hits > {_RATE_LIMIT} AS breached, make_timestamp(b.t) AS first_breach_at
+    FROM w LEFT JOIN r b ON w.n_hits > {_RATE_LIMIT} AND b.identity = w.identity AND b.rn = w.rn + {_RATE_LIMIT}""")
+def q_rate_windows(spark, sf):
+    from skyledger.operators.anchored_windows import anchored_windows
+    checkpoint_root(spark, default=_local_default())
+    hits = dt.table(spark, sf, "events").select(F.col("user_id").alias("identity"), "ts")
+    out = anchored_windows(spark, hits, _RATE_WINDOW, _RATE_LIMIT)
+    return out.select("identity", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n_hits",
+                      "breached", F.col("first_breach_at").cast("timestamp_ntz").alias("first_breach_at"))

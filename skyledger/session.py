@@ -52,6 +52,8 @@ def checkpoint_root(spark: SparkSession, default: str | None = None) -> str:
 
     ``default`` is applied only when the session has none (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)         # DataFrame.checkpoint() writes here
     if not root:
         if default is None:
             raise RuntimeError("spark.checkpoint.dir is not set; configure shared storage for scratch data")

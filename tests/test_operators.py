@@ -223,3 +223,43 @@ def test_sort_rows_nulls_last_both_ways(spark):
     asc = [r.k for r in mx.sort_rows(df, "x").collect()]
     desc = [r.k for r in mx.sort_rows(df, "x", descending=True).collect()]
     assert asc == ["c", "a", "b"] and desc == ["a", "c", "b"]
+
+
+def _brute_windows(rows, window_s, limit):
+    out = []
+    by_id = {}
+    for ident, t in rows:
+        by_id.setdefault(ident, []).append(t)
+    for ident, ts in by_id.items():
+        ts.sort()
+        i = 0
+        while i < len(ts):
+            start = ts[i]
+            j = i
+            while j < len(ts) and ts[j] < start + window_s:
+                j += 1
+            n = j - i
+            out.append((ident, start, n, n > limit, ts[i + limit] if n > limit else None))
+            i = j
+    return sorted(out, key=lambda r: (r[0], r[1]))
+
+
+def test_anchored_windows_match_brute_force(spark):
+    import random
+    from datetime import datetime, timezone
+    from skyledger.operators.anchored_windows import anchored_windows
+    rnd = random.Random(3)
+    rows = []
+    for ident, n in (("hot", 3000), ("b", 200), ("c", 50), ("d", 1)):
+        t = 1_700_000_000
+        for _ in range(n):
+            t += rnd.choice([0, 0, 1, 3, 9, 20, 61, 300])       # ties, bursts and gaps
+            rows.append((ident, t))
+    hits = spark.createDataFrame([(i, datetime.fromtimestamp(t, timezone.utc)) for i, t in rows],
+                                 "identity string, ts timestamp")
+    limit, window = 10, 60
+    got = anchored_windows(spark, hits, window, limit, n_parts=7).collect()
+    norm = sorted(((r.identity, int(r.window_start.replace(tzinfo=timezone.utc).timestamp()), r.n_hits, r.breached,
+                    int(r.first_breach_at.replace(tzinfo=timezone.utc).timestamp()) if r.first_breach_at else None)
+                   for r in got), key=lambda r: (r[0], r[1]))
+    assert norm == _brute_windows(rows, window, limit)
