@@ -109,10 +109,12 @@ def _local_default():
 
 # -- S10 / F24 / F25 provider payloads built from orders x lineitem -------------------------
 
+@fx.per_session()
 def _payload_text(spark, sf):
     """One provider response per order: the order's lines are its days (ship date),
     mean = quantity, min = discount, max only for lines 1..3 (a shorter array),
-    precipitation = tax. Responses are JSON text, parsed back with S10."""
+    precipitation = tax. Responses are JSON text (stored once per session, as the
+    fetched responses are), parsed with S10."""
     li = dt.table(spark, sf, "lineitem")
     lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
         "l_linenumber", F.col("l_shipdate").cast("date").alias("d"), "l_quantity", "l_discount", "l_tax"))).alias("ls"))
@@ -126,7 +128,8 @@ def _payload_text(spark, sf):
     payload = F.struct(F.col("l_orderkey").cast("double").alias("latitude"), F.lit(0.0).alias("longitude"),
                        F.lit(None).cast("double").alias("elevation"), F.lit("GMT").alias("timezone"),
                        F.lit(0).alias("utc_offset_seconds"), daily.alias("daily"))
-    return lines.select(F.col("l_orderkey").alias("order_key"), F.to_json(payload).alias("value"))
+    return fx.store(spark, lines.select(F.col("l_orderkey").alias("order_key"), F.to_json(payload).alias("value")),
+                    "payloads")
 
 
 @register("payload_rows", """
@@ -188,16 +191,18 @@ def q_merge_documents(spark, sf):
 
 # -- acceptance path: J11 + F22 -> J12, F21 -> D2, D3 ---------------------------------------
 
+@fx.per_session()
 def _raw_events(spark, sf):
-    """J11 over every business date at once + F22 payload (nulls kept)."""
+    """J11 over every business date at once + F22 payload (nulls kept); the RAW table
+    of the acceptance path, stored once per session."""
     stations, wd = fx.operational_tables(spark, sf)
     j = wd.join(stations, wd.station_id == stations.id, "inner")
     payload = F.to_json(F.struct(stations.wmo_index, stations["name"], stations.country,
                                  F.date_format(wd.observation_date, "yyyy-MM-dd").alias("observation_date"),
                                  wd.quality_flag, wd.min_temp, wd.avg_temp, wd.max_temp, wd.precipitation),
                         {"ignoreNullFields": "false"})
-    return j.select(wd.id.cast("string").alias("event_id"), stations.wmo_index.alias("station_id"),
-                    payload.alias("payload_json"), wd.ingested_at)
+    return fx.store(spark, j.select(wd.id.cast("string").alias("event_id"), stations.wmo_index.alias("station_id"),
+                                    payload.alias("payload_json"), wd.ingested_at), "raw_daily_events")
 
 
 _ACC_SQL = oracle_with("wx").rstrip() + """,

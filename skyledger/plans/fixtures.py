@@ -55,6 +55,19 @@ def mart(spark: SparkSession, sf: str) -> DataFrame:
     return forecast_error(current_pairs(weather_rows(spark, sf)))
 
 
+def store(spark: SparkSession, df: DataFrame, purpose: str, partition_by: str | None = None) -> DataFrame:
+    """Write a derived input once under the shared checkpoint folder and read it back:
+    the stored form of an input log or table (what the system keeps at rest)."""
+    from skyledger.session import checkpoint_root, scratch_dir
+    checkpoint_root(spark, default=os.path.join(tempfile.gettempdir(), "skyledger-checkpoints"))
+    path = scratch_dir(spark, purpose)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
+    return spark.read.parquet(path)
+
+
 @per_session()
 def mart_table(spark: SparkSession, sf: str) -> DataFrame:
     """The error mart as a stored table (month layout), written once per session
@@ -201,7 +214,8 @@ def lineitem_requests(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
         F.when(failed, F.lit("dm")).alias("stage"),
         F.when(failed, F.lit("returned")).alias("reason"),
         F.when(failed, F.format_string("order %d line %d", "l_orderkey", "l_linenumber")).alias("details"))
-    return waiters, outcomes
+    # Both are input logs of the request path: stored once, then read.
+    return store(spark, waiters, "waiters"), store(spark, outcomes, "outcomes")
 
 
 ORACLE_LINEITEM_REQUESTS = """
