@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from skyledger.session import checkpoint_root
 
+ROWS_PER_PART = 1_000_000
 WINDOWS_SCHEMA = "identity string, window_start timestamp, n_hits long, breached boolean, first_breach_at timestamp"
 
 
@@ -92,11 +93,14 @@ def anchored_windows(spark: SparkSession, hits: DataFrame, window_s: int, limit:
                      identity_col: str = "identity", ts_col: str = "ts", n_parts: int | None = None) -> DataFrame:
     """Every window per identity: start, hit count, breach flag (> limit) and the first breaching hit."""
     checkpoint_root(spark)                     # fails fast without shared checkpoint storage
-    n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     window_us = int(window_s) * 1_000_000
     h = hits.select(F.col(identity_col).cast("string").alias("identity"),
                     F.unix_micros(F.col(ts_col).cast("timestamp")).alias("t")) \
         .filter(F.col("identity").isNotNull() & F.col("t").isNotNull())
+    if n_parts is None:
+        # Sized by data: about ROWS_PER_PART hits per range partition (the pandas fill
+        # holds one partition), independent of the session's shuffle setting.
+        n_parts = max(spark.sparkContext.defaultParallelism, -(-h.count() // ROWS_PER_PART))
     pos = _positions(spark, h, n_parts)
     jump = _successors(spark, pos, window_us, n_parts).checkpoint()        # next(h) = the next window start
     bounds = pos.groupBy("identity").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))

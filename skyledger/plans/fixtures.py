@@ -16,7 +16,13 @@ from skyledger.sources import driver_tables as dt
 
 KEYS = ["wmo_index", "day"]
 
-_MEMO: dict[tuple, object] = {}
+def session_memo(spark: SparkSession) -> dict:
+    """Derived plans kept on the session object itself: they live and die with it."""
+    memo = getattr(spark, "_skyledger_memo", None)
+    if memo is None:
+        memo = {}
+        setattr(spark, "_skyledger_memo", memo)
+    return memo
 
 
 def per_session(view: str | None = None):
@@ -25,13 +31,14 @@ def per_session(view: str | None = None):
     way the ``*_current`` views are exposed to SQL users."""
     def deco(fn):
         def wrapper(spark: SparkSession, sf: str, *args):
-            key = (fn.__name__, id(spark._jsparkSession), sf.rstrip("/"), args)
-            if key not in _MEMO:
+            memo = session_memo(spark)
+            key = (fn.__name__, sf.rstrip("/"), args)
+            if key not in memo:
                 out = fn(spark, sf, *args)
                 if view is not None and isinstance(out, DataFrame):
                     out.createOrReplaceTempView(view_name(view.format(*args), sf))
-                _MEMO[key] = out
-            return _MEMO[key]
+                memo[key] = out
+            return memo[key]
         wrapper.__name__ = fn.__name__
         wrapper.__doc__ = fn.__doc__
         return wrapper

@@ -47,6 +47,20 @@ def get_session(master: str | None = None, app_name: str = "skyledger",
     return spark
 
 
+# Session settings the operators rely on that can be changed at runtime.
+RUNTIME_CONF = {k: v for k, v in BASE_CONF.items()
+                if k.startswith("spark.sql.") and k != "spark.sql.execution.arrow.pyspark.enabled"}
+
+
+def apply_defaults(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings (UTC session zone, ANSI, AQE, partition value
+    typing, dynamic overwrite) to a session built elsewhere."""
+    for key, value in RUNTIME_CONF.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def checkpoint_root(spark: SparkSession, default: str | None = None) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 

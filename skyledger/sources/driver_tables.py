@@ -24,19 +24,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-_HANDLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A lazy scan of one driver table. The handle (plan + file listing, no data)
-    is kept per session and path, so repeated queries skip re-listing files
-    and re-reading parquet footers; the tables are read-only."""
+    is kept on the session, so repeated queries skip re-listing files and
+    re-reading parquet footers; the tables are read-only."""
+    handles = getattr(spark, "_skyledger_tables", None)
+    if handles is None:
+        handles = {}
+        setattr(spark, "_skyledger_tables", handles)
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _HANDLES.get(key)
-    if df is None:
-        df = _HANDLES[key] = spark.read.parquet(path)
-    return df
+    if path not in handles:
+        handles[path] = spark.read.parquet(path)
+    return handles[path]
 
 
 def weather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
