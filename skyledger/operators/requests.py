@@ -54,7 +54,7 @@ def split_manifests(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     topic = F.col("topic") if "topic" in events.columns else F.lit("raw.created")
     failures = flagged.filter(~F.col("_ok")).select(
         F.coalesce(F.col("trace_id"), F.lit("")).alias("trace_id"),
-        *failure_envelope(F.lit("dm_trigger"), F.lit("dm_trigger"), F.lit(INVALID_MANIFEST_REASON),
+        *failure_envelope(F.lit("trigger"), F.lit("manifest_trigger"), F.lit(INVALID_MANIFEST_REASON),
                           F.format_string("missing trace_id/bucket/object_keys/date_from/date_to in %s event",
                                           topic)))
     return valid, failures

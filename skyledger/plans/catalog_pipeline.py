@@ -32,7 +32,7 @@ def _stations(spark, sf):
 
 
 def _raw(spark, sf):
-    return ly.to_raw(_stations(spark, sf), source_name="historical_fetcher", bucket="weather-raw",
+    return ly.to_raw(_stations(spark, sf), source_name="actual_fetcher", bucket="weather-raw",
                      event_id="ev-1", trace_id="tr-1",
                      event_created_at=iso_instant_to_ts(F.lit(fx.EVENT_CREATED_AT)),
                      ingested_at=iso_instant_to_ts(F.lit(fx.RUN_INGESTED_AT)))
@@ -48,7 +48,7 @@ _MEAS_SQL = """
 """
 _RAW_SQL = oracle_with("wx").rstrip() + ",\n" + _MEAS_SQL.strip() + """,
     raw AS (
-        SELECT 'historical_fetcher' AS source_name, date AS observation_date, wmo_index, name AS station_name,
+        SELECT 'actual_fetcher' AS source_name, date AS observation_date, wmo_index, name AS station_name,
                country, min_temp, avg_temp, max_temp, precipitation, 'weather-raw' AS raw_bucket,
                'actual/date=' || strftime(date, '%Y-%m-%d') || '.json' AS raw_object_key,
                'ev-1' AS event_id, 'tr-1' AS trace_id,
@@ -460,14 +460,14 @@ def q_manifest_split(spark, sf):
     SELECT trace_id, array_to_string(list_filter([
         CASE WHEN topic <> 'weather.actual.raw.created'
              THEN 'event_type: expected weather.actual.raw.created, got ' || topic END,
-        CASE WHEN source_name <> 'historical_fetcher'
-             THEN 'source_name: expected historical_fetcher, got ' || source_name END,
+        CASE WHEN source_name <> 'actual_fetcher'
+             THEN 'source_name: expected actual_fetcher, got ' || source_name END,
         CASE WHEN bucket IS NULL OR bucket <> 'weather-raw'
              THEN 'bucket: expected weather-raw, got ' || coalesce(bucket, 'null') END], lambda x: x IS NOT NULL), '; ') AS errors
     FROM oe""")
 def q_manifest_errors(spark, sf):
     ev = fx.order_events(spark, sf).withColumnRenamed("topic", "event_type")
-    out = qc.manifest_errors(ev, F.lit("weather.actual.raw.created"), F.lit("historical_fetcher"), F.lit("weather-raw"))
+    out = qc.manifest_errors(ev, F.lit("weather.actual.raw.created"), F.lit("actual_fetcher"), F.lit("weather-raw"))
     return out.select("trace_id", F.array_join("errors", "; ").alias("errors"))
 
 

@@ -280,7 +280,7 @@ def order_events(spark: SparkSession, sf: str) -> DataFrame:
         dataset.alias("dataset_type"), F.date_format(d_from, "yyyy-MM-dd").alias("date_from"),
         F.date_format(d_to, "yyyy-MM-dd").alias("date_to"), ids.alias("wmo_indexes"),
         F.when(o.o_orderstatus == "P", F.lit(None).cast("string")).otherwise(F.lit("weather-raw")).alias("bucket"),
-        F.when(o.o_orderstatus == "O", F.lit("historical_fetcher")).otherwise(F.lit("forecast_fetcher"))
+        F.when(o.o_orderstatus == "O", F.lit("actual_fetcher")).otherwise(F.lit("forecast_fetcher"))
         .alias("source_name"),
         F.when(o.o_orderpriority == "2-HIGH", F.lit("weather.forecast.raw.created"))
         .otherwise(F.lit("weather.actual.raw.created")).alias("topic"))
@@ -297,7 +297,7 @@ ORACLE_ORDER_EVENTS = """
                CASE WHEN o_custkey % 10 = 0 THEN 0 ELSE 1 END AS n_ids,
                CAST(o_custkey AS VARCHAR) AS first_id,
                CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 'weather-raw' END AS bucket,
-               CASE WHEN o_orderstatus = 'O' THEN 'historical_fetcher' ELSE 'forecast_fetcher' END AS source_name,
+               CASE WHEN o_orderstatus = 'O' THEN 'actual_fetcher' ELSE 'forecast_fetcher' END AS source_name,
                CASE WHEN o_orderpriority = '2-HIGH' THEN 'weather.forecast.raw.created'
                     ELSE 'weather.actual.raw.created' END AS topic
         FROM orders)

@@ -70,7 +70,7 @@ def process_manifest_batch(batch: DataFrame, epoch_id: int, *, raw_root: str, ta
                              "record_count": summary["record_count"], "created_at": m.created_at})
         except Exception as exc:  # noqa: BLE001 - a failed run becomes a failure event (T7)
             outcomes.append({"event_id": f"failed-{m.dataset_type}-{m.event_id}", "trace_id": m.trace_id,
-                             "event_type": rq.TOPIC_FAILED, "stage": "dm", "source_name": "dm_pipeline",
+                             "event_type": rq.TOPIC_FAILED, "stage": "dm", "source_name": "mart_pipeline",
                              "reason": "dag_task_failed", "details": str(exc)[:rq.ERROR_TEXT_MAX],
                              "created_at": m.created_at})
     if outcomes:

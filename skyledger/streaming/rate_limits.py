@@ -71,7 +71,7 @@ def rate_breaches_stream(hits: DataFrame, limit: int = GENERAL_LIMIT[0], window_
 
 
 def brute_force_breaches(rows: list[tuple[str, int]], limit: int, window_s: int) -> list[tuple[str, int, int, int]]:
-    """Reference implementation for tests: ``(identity, window_start_s, ts_s, hit_no)``."""
+    """Plain-Python model for tests: ``(identity, window_start_s, ts_s, hit_no)``."""
     out = []
     by_id: dict[str, list[int]] = {}
     for ident, t in rows:

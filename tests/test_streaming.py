@@ -78,7 +78,7 @@ def test_manifest_stream_failures_and_quarantine(spark, workdir):
         {"wmo_index": "1", "name": "A", "country": "X", "min_temp": 1.0, "avg_temp": 2.0, "max_temp": 3.0,
          "precipitation": 0.0}])
     good = {"event_id": "e1", "trace_id": "t1", "event_type": "weather.actual.raw.created", "schema_version": 1,
-            "created_at": "2026-07-06T12:20:00Z", "source_name": "historical_fetcher", "bucket": "b",
+            "created_at": "2026-07-06T12:20:00Z", "source_name": "actual_fetcher", "bucket": "b",
             "object_keys": ["actual/date=1960-01-01.json"], "date_from": "1960-01-01", "date_to": "1960-01-01"}
     missing_file = dict(good, event_id="e2", trace_id="t2", date_to="1960-01-02")
     invalid = dict(good, event_id="e3", trace_id="t3", bucket="")
