@@ -52,10 +52,10 @@ def with_region_names(df: DataFrame, regions: DataFrame, id_col: str = "region_i
 
 
 def stations_by_region(members: DataFrame) -> DataFrame:
-    """Region -> station count and sorted id list (repeats kept).
+    """Region -> number of listed stations (repeats kept) and distinct stations.
 
-    The list is built with a partial aggregate; for catalogue-sized regions
-    prefer the long ``members`` form over materialising the array."""
+    The region's id list itself is the long ``members`` form (``region_id,
+    wmo_index``), so a catalogue-sized region is never gathered into one array."""
     return members.filter(F.col("region_id").isNotNull()).groupBy("region_id").agg(
         F.count(F.lit(1)).alias("n_stations"),
         F.count_distinct("wmo_index").alias("n_distinct_stations"))
@@ -92,7 +92,7 @@ def clamp_limit(limit: int) -> int:
 
 
 def search_stations(station: DataFrame, q: str, limit: int = SEARCH_LIMIT_DEFAULT,
-                    order: str = "line_no") -> DataFrame:
+                    order: str = "name_line") -> DataFrame:
     """Trimmed, lower-cased query; name contains it or id starts with it;
     only named stations; dimension order; limit clamped to 1..50; blank -> nothing."""
     query = (q or "").strip().lower()
@@ -104,8 +104,10 @@ def search_stations(station: DataFrame, q: str, limit: int = SEARCH_LIMIT_DEFAUL
 
 
 def search_regions(regions: DataFrame, q: str) -> DataFrame:
-    """Case-insensitive contains on the region name (all regions for a blank query)."""
+    """Trimmed, case-insensitive contains on the region name; a blank query matches nothing."""
     query = (q or "").strip().lower()
+    if not query:
+        return regions.limit(0)
     return regions.filter(F.lower(F.col("name")).contains(F.lit(query)))
 
 

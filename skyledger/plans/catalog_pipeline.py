@@ -345,7 +345,7 @@ def _search_sql(q: str, limit: int) -> str:
 
 
 def _search(spark, sf, q, limit):
-    station = fx.station(spark, sf).withColumn("line_no", F.col("wmo_index").cast("long"))
+    station = fx.station(spark, sf).withColumn("name_line", F.col("wmo_index").cast("long"))   # file order
     return dim.search_stations(station, q, limit)
 
 

@@ -14,7 +14,11 @@ from pyspark.sql import types as T
 
 CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
                            ("WMO_index", "Station", "Region", "Latitude", "Longitude")])
-NUMBER_RX = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Fixed value: the float syntax of the dimension loader (Python's ``float``): digits with
+# single underscores between them, optional fraction and exponent, or nan/inf/infinity.
+_DIGITS = r"[0-9](?:_?[0-9])*"
+NUMBER_RX = (rf"^[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+             r"|(?i:nan|inf|infinity))$")
 
 
 def _blank_to_null(c: str) -> F.Column:
@@ -23,8 +27,9 @@ def _blank_to_null(c: str) -> F.Column:
 
 
 def _safe_double(c: F.Column) -> F.Column:
-    """strict float parse; failure -> null (regex guard keeps ``1.0d`` out)."""
-    return F.when(c.rlike(NUMBER_RX), c.try_cast("double"))
+    """float parse with the loader's syntax; failure -> null. The regex keeps
+    Spark-only forms (``1.0d``) out and lets ``1_000.5`` and ``nan`` in."""
+    return F.when(c.rlike(NUMBER_RX), F.regexp_replace(c, "_", "").try_cast("double"))
 
 
 def read_station_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -58,9 +63,11 @@ def station_dimension(rows: DataFrame) -> DataFrame:
         F.max_by(F.col("name"), F.when(F.col("name").isNotNull(), last_line)).alias("name"),
         F.max_by(F.col("region_id"), F.when(F.col("region_id").isNotNull(), last_line)).alias("region_id"),
         F.max_by(coord, F.when(coord.isNotNull(), last_line)).alias("_c"),
-        F.min("line_no").alias("line_no"))
+        F.min("line_no").alias("line_no"),
+        # Search order: where the station first got a name (the name map's insertion order).
+        F.min(F.when(F.col("name").isNotNull(), F.col("line_no"))).alias("name_line"))
     return agg.select("wmo_index", "name", "region_id", F.col("_c.lat").alias("lat"), F.col("_c.lng").alias("lng"),
-                      "line_no")
+                      "line_no", "name_line")
 
 
 def skipped_rows(rows: DataFrame) -> DataFrame:

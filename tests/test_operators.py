@@ -263,3 +263,17 @@ def test_anchored_windows_match_brute_force(spark):
                     int(r.first_breach_at.replace(tzinfo=timezone.utc).timestamp()) if r.first_breach_at else None)
                    for r in got), key=lambda r: (r[0], r[1]))
     assert norm == _brute_windows(rows, window, limit)
+
+
+def test_station_search_order_and_float_syntax(spark, workdir):
+    path = os.path.join(workdir, "s.csv")
+    with open(path, "w") as fh:
+        fh.write("WMO_index,Station,Region,Latitude,Longitude\n")
+        fh.write("111,,1,1_0.5,nan\n")         # first line of 111 has no name
+        fh.write("222,Alpha,1,1.0d,2\n")       # '1.0d' is not a float for the loader
+        fh.write("111,Alpine,1,,\n")           # 111 gets its name after 222
+    station, _members, _skipped = dcsv.scan_station_dimension(spark, path)
+    rows = {r.wmo_index: r for r in station.collect()}
+    assert rows["111"].lat == 10.5 and rows["111"].lng != rows["111"].lng      # NaN kept, like float('nan')
+    assert rows["222"].lat is None
+    assert [r.wmo_index for r in dim.search_stations(station, "alp", 5).collect()] == ["222", "111"]
