@@ -90,9 +90,11 @@ def request_status_rollup(waiters: DataFrame, outcomes: DataFrame) -> DataFrame:
     ``ready`` when no trace is left unresolved and nothing failed; ``failed``
     if any waited-on trace failed (failure overrides ready, and nothing
     overrides failure); otherwise ``pending``. The message is that of the
-    latest failure by ``(created_at, event_id)``. One aggregation per request:
-    partial aggregates keep a request with very many traces off one task."""
-    w = waiters.select("request_id", "trace_id").distinct()
+    latest failure by ``(created_at, event_id)``; ``updated_at`` is the latest of
+    the request's creation (``waiters.created_at`` when given) and its outcomes.
+    Partial aggregates keep a request with very many traces off one task."""
+    created = "created_at" in waiters.columns
+    w = waiters.select("request_id", "trace_id", *(["created_at"] if created else [])).distinct()
     failed = F.col("event_type") == TOPIC_FAILED
     o = outcomes.filter(_non_blank(F.col("trace_id"))).select(
         "trace_id", (F.col("event_type") == TOPIC_DM_READY).alias("_is_ready"), "created_at",
@@ -109,7 +111,10 @@ def request_status_rollup(waiters: DataFrame, outcomes: DataFrame) -> DataFrame:
         F.count_if(F.col("_ready").isNull() & F.col("_fail_at").isNull()).cast("long").alias("n_pending"),
         F.max("_fail_at").alias("_fail_at"),
         F.max_by("_fail_msg", "_fail_at").alias("error_message"),
-        F.max("_last").alias("updated_at"))
+        F.max("_last").alias("_last"),
+        (F.max("created_at") if created else F.lit(None).cast("timestamp")).alias("_created"))
+    # The record is touched at creation and on every outcome (``greatest`` skips nulls).
+    agg = agg.withColumn("updated_at", F.greatest("_last", "_created")).drop("_last", "_created")
     status = F.when(F.col("_fail_at").isNotNull(), F.lit("failed")) \
         .when(F.col("n_pending") == 0, F.lit("ready")).otherwise(F.lit("pending"))
     return agg.withColumn("status", status).drop("_fail_at")

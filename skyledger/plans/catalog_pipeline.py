@@ -409,7 +409,8 @@ def q_request_timeouts(spark, sf):
     SELECT o.trace_id, o.event_type, w.request_id FROM outcomes o JOIN waiters w ON w.trace_id = o.trace_id""")
 def q_waiter_fanout(spark, sf):
     waiters, outcomes = fx.lineitem_requests(spark, sf)
-    return rq.resolve_waiters(outcomes.select("trace_id", "event_type"), waiters)
+    return rq.resolve_waiters(outcomes.select("trace_id", "event_type"), waiters) \
+        .select("trace_id", "event_type", "request_id")
 
 
 @register("request_lookup", _REQ_SQL + """

@@ -210,7 +210,11 @@ def lineitem_requests(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
     when it was returned (flag R), else ``dm.ready``; open lines have none yet."""
     li = dt.table(spark, sf, "lineitem")
     trace = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    waiters = li.select(F.col("l_orderkey").cast("string").alias("request_id"), trace.alias("trace_id"))
+    # A request was created at its order date (unknown when the order is missing).
+    created = dt.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
+                                                   F.col("o_orderdate").alias("created_at"))
+    waiters = li.join(created, "l_orderkey", "left").select(
+        F.col("l_orderkey").cast("string").alias("request_id"), trace.alias("trace_id"), "created_at")
     done = li.filter(F.col("l_linestatus") == "F")
     failed = F.col("l_returnflag") == "R"
     outcomes = done.select(
@@ -228,8 +232,9 @@ def lineitem_requests(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
 ORACLE_LINEITEM_REQUESTS = """
     waiters AS (
         SELECT CAST(l_orderkey AS VARCHAR) AS request_id,
-               CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS trace_id
-        FROM lineitem),
+               CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS trace_id,
+               o_orderdate AS created_at
+        FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey),
     outcomes AS (
         SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS trace_id,
                CASE WHEN l_returnflag = 'R' THEN 'weather.pipeline.failed' ELSE 'weather.dm.ready' END AS event_type,
@@ -252,11 +257,11 @@ ORACLE_LINEITEM_REQUESTS = """
                CAST(count(*) AS BIGINT) AS n_traces,
                CAST(count(*) FILTER (WHERE p.ready IS NULL AND p.fail_key IS NULL) AS BIGINT) AS n_pending,
                arg_max(p.fail_msg, p.fail_key) AS error_message,
-               max(p.last) AS updated_at,
+               greatest(max(p.last), max(w.created_at)) AS updated_at,
                CASE WHEN max(p.fail_key) IS NOT NULL THEN 'failed'
                     WHEN count(*) FILTER (WHERE p.ready IS NULL AND p.fail_key IS NULL) = 0 THEN 'ready'
                     ELSE 'pending' END AS status
-        FROM (SELECT DISTINCT request_id, trace_id FROM waiters) w
+        FROM (SELECT DISTINCT request_id, trace_id, created_at FROM waiters) w
         LEFT JOIN per_trace p ON p.trace_id = w.trace_id
         GROUP BY w.request_id)
 """
