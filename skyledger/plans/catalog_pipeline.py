@@ -219,16 +219,20 @@ _ACC_SQL = oracle_with("wx").rstrip() + """,
 """
 
 
+_PAYLOAD_SCHEMA = ("wmo_index string, name string, country string, observation_date date, quality_flag string, "
+                   "min_temp double, avg_temp double, max_temp double, precipitation double")
+
+
 def _ods_from_raw(raw, extra=()):
-    """typed columns out of the JSON payload (extracted once per field)."""
-    j = F.col("payload_json")
-    d = F.to_date(F.get_json_object(j, "$.observation_date"))
-    return raw.select(*extra, "station_id", d.alias("observation_date"),
-                      F.get_json_object(j, "$.avg_temp").cast("double").alias("temperature"),
-                      F.get_json_object(j, "$.min_temp").cast("double").alias("temp_min"),
-                      F.get_json_object(j, "$.max_temp").cast("double").alias("temp_max"),
-                      F.get_json_object(j, "$.precipitation").cast("double").alias("precipitation_mm"),
-                      d.alias("business_date"), F.col("event_id").cast("long").alias("id"), "ingested_at")
+    """typed columns out of the JSON payload — parsed once per row with an
+    explicit schema (not one ``get_json_object`` parse per field)."""
+    p = raw.select(*extra, "station_id", "event_id", "ingested_at",
+                   F.from_json("payload_json", _PAYLOAD_SCHEMA).alias("p"))
+    return p.select(*extra, "station_id", F.col("p.observation_date").alias("observation_date"),
+                    F.col("p.avg_temp").alias("temperature"), F.col("p.min_temp").alias("temp_min"),
+                    F.col("p.max_temp").alias("temp_max"), F.col("p.precipitation").alias("precipitation_mm"),
+                    F.col("p.observation_date").alias("business_date"), F.col("event_id").cast("long").alias("id"),
+                    "ingested_at")
 
 
 @register("json_extract", _ACC_SQL + """
