@@ -363,10 +363,17 @@ def q_station_search_id(spark, sf):
     return _search(spark, sf, "12", 500)   # limit clamps to 50
 
 
-@register("region_search", "SELECT CAST(r_regionkey AS VARCHAR) AS id, r_name AS name FROM region "
-          "WHERE contains(lower(r_name), 'ame')")
+@register("region_search", _DIM_SQL + """
+    SELECT CAST(r_regionkey AS VARCHAR) AS id, r_name AS name, CAST(count(s.wmo_index) AS BIGINT) AS n_stations
+    FROM region LEFT JOIN station s ON s.region_id = CAST(r_regionkey AS VARCHAR)
+    WHERE contains(lower(r_name), 'ame')
+    GROUP BY 1, 2""")
 def q_region_search(spark, sf):
-    return dim.search_regions(dt.region_names(spark, sf), " AME ")
+    """O6 over the region dictionary, each match with its number of stations."""
+    found = dim.search_regions(dt.region_names(spark, sf), " AME ")
+    counts = dim.stations_by_region(fx.station(spark, sf)).select(F.col("region_id").alias("id"), "n_stations")
+    return found.join(counts, "id", "left").select("id", "name",
+                                                   F.coalesce("n_stations", F.lit(0)).cast("long").alias("n_stations"))
 
 
 @register("station_coordinates_strict", _DIM_SQL + """
