@@ -30,7 +30,8 @@ def age_seconds(now: Column, then: Column) -> Column:
 
 def run_instant(spark) -> Column:
     """one ingestion instant per run, taken once on the driver and used as a
-    literal, so every layer written by the run carries the same stamp."""
+    literal, so every layer written by the run carries the same stamp. Kept at
+    microsecond precision so a later run never ties with an earlier one."""
     import datetime as _dt
-    now = _dt.datetime.now(_dt.timezone.utc).replace(microsecond=0, tzinfo=None)
-    return F.lit(now.isoformat(sep=" ")).cast("timestamp")
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(now.isoformat(sep=" ", timespec="microseconds")).cast("timestamp")
