@@ -141,3 +141,21 @@ def q_stream_fetch_locks(spark, sf):
         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
     _await(q)
     return spark.read.schema("dataset_type string, wmo_index string, day date").parquet(f"{root}/out")
+
+
+# -- D6: the write path without the stream, actual landing first ------------------------------------
+
+@register("order_independence", oracle_with("err") + f"SELECT {', '.join(_MART_COLS)} FROM err")
+def q_order_independence(spark, sf):
+    """Manifests run directly through the write path with the actual side first (the
+    stream query lands the forecast first); both give the same mart."""
+    from skyledger.plans.write_path import Manifest, run_manifest
+    root = _scratch(spark, "order")
+    bounds = fx.weather_rows(spark, sf).agg(F.min("day").cast("string").alias("f"),
+                                            F.max("day").cast("string").alias("t")).first()
+    for ds in ("actual", "forecast"):
+        docs.write_daily_documents(_side_documents(spark, sf, ds), f"{root}/raw", ds)
+        run_manifest(spark, f"{root}/raw", f"{root}/tables",
+                     Manifest(ds, bounds.f, bounds.t, f"tr-{ds}", f"ev-{ds}", "weather-raw", "fetcher",
+                              "2026-07-06T12:20:00Z"), layout="partitioned")
+    return read_current_errors(spark, f"{root}/tables").select(*_MART_COLS)

@@ -277,3 +277,13 @@ def test_station_search_order_and_float_syntax(spark, workdir):
     assert rows["111"].lat == 10.5 and rows["111"].lng != rows["111"].lng      # NaN kept, like float('nan')
     assert rows["222"].lat is None
     assert [r.wmo_index for r in dim.search_stations(station, "alp", 5).collect()] == ["222", "111"]
+
+
+def test_instant_functions(spark):
+    from skyledger.functions import timefmt as tf
+    r = spark.range(1).select(
+        tf.iso_instant_to_ts(F.lit("2026-07-06T15:20:00.123456+03:00")).alias("a"),
+        tf.iso_instant_text(tf.iso_instant_to_ts(F.lit("2026-07-06T12:20:00Z"))).alias("b"),
+        tf.month_bucket(F.to_date(F.lit("1960-01-31"))).alias("m")).first()
+    assert r.a.strftime("%Y-%m-%d %H:%M:%S.%f") == "2026-07-06 12:20:00.000000"   # UTC, cut to seconds
+    assert r.b == "2026-07-06T12:20:00.000000Z" and r.m == "196001"
