@@ -657,3 +657,10 @@ def q_rate_windows(spark, sf):
     out = anchored_windows(spark, hits, _RATE_WINDOW, _RATE_LIMIT)
     return out.select("identity", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n_hits",
                       "breached", F.col("first_breach_at").cast("timestamp_ntz").alias("first_breach_at"))
+
+
+@register("pending_requests", _REQ_SQL + "SELECT * FROM status WHERE status = 'pending'")
+def q_pending_requests(spark, sf):
+    """Every request still waiting on at least one trace."""
+    waiters, outcomes = fx.lineitem_requests(spark, sf)
+    return rq.pending_requests(rq.request_status_rollup(waiters, outcomes))
