@@ -95,3 +95,19 @@ def test_manifest_stream_failures_and_quarantine(spark, workdir):
     assert outcomes["t3"].reason == "dm_trigger_invalid_event"
     assert spark.read.json(out).filter(F.col("trace_id") == "t1").count() == 1     # redelivery dropped
     assert spark.read.text(out + "_quarantine").count() == 1
+
+
+def test_event_values_roundtrip_and_quarantine(spark, workdir):
+    from skyledger.schemas import DM_READY_EVENT
+    from skyledger.sources.events import parse_events, write_events
+    ev = spark.createDataFrame([("e1", "t1", "weather.dm.ready", 1, "2026-07-06T12:20:00Z", "actual", "1960-01-01",
+                                 "1960-01-03", 6)], DM_READY_EVENT)
+    target = os.path.join(workdir, "topic=weather.dm.ready")
+    write_events(ev, "text", target)
+    with open(os.path.join(target, "zz-poison.txt"), "w") as fh:
+        fh.write("not json\n")
+    raw = read_events(spark, "text", workdir, streaming=False)
+    good, bad = parse_events(raw, DM_READY_EVENT)
+    row = good.first()
+    assert (row.trace_id, row.record_count, row.topic) == ("t1", 6, "weather.dm.ready")
+    assert [r.raw_value for r in bad.collect()] == ["not json"]
