@@ -121,15 +121,15 @@ def column_max_abs(rows: DataFrame, fields: Sequence[str] = ERROR_FIELDS) -> Dat
 def severity(rows: DataFrame, fields: Sequence[str] = ERROR_FIELDS, digits: int | None = 9) -> DataFrame:
     """``min(|x| / max_abs, 1)`` per field; 0 when null.
 
-    The column maxima are one global partial/final aggregate — exactly one row,
-    so broadcasting it is size-safe — looked up by every row through an
-    equi-join on a constant key; never a window over the whole table."""
-    maxima = column_max_abs(rows, fields).withColumn("_one", F.lit(1))
+    The column maxima are one global partial/final aggregate evaluated once as
+    a scalar subquery returning a struct, bound to one column and read field by
+    field — no join and no window over the whole table."""
+    maxima = column_max_abs(rows, fields).select(F.struct("*").alias("m")).scalar()
     def r(c):
         return F.round(c, digits) if digits is not None else c
-    sev = [r(scores.clamp01_ratio(F.col(f), F.col(f"{f}_max_abs"))).alias(f"{f}_severity") for f in fields]
-    joined = rows.withColumn("_one", F.lit(1)).join(F.broadcast(maxima), "_one")
-    return joined.select(*rows.columns, *sev)
+    bound = rows.withColumn("_m", maxima)
+    sev = [r(scores.clamp01_ratio(F.col(f), F.col("_m")[f"{f}_max_abs"])).alias(f"{f}_severity") for f in fields]
+    return bound.select(*rows.columns, *sev)
 
 
 def kpi_bands(metrics_row: DataFrame) -> DataFrame:
