@@ -1,9 +1,9 @@
 """The write path: one manifest (dataset, day range, lineage) -> RAW, ODS, DM -> error mart.
 
 Storage is a folder of parquet tables (``<root>/<table>/month=yyyyMM/``).
-The JSON scan runs once: RAW is written first and ODS/DM are derived from the
-written RAW rows of this run (a table on shared storage cuts the lineage, so a
-lost executor never forces a re-scan of the documents). The mart is then
+The JSON scan runs once: the run's RAW rows are checkpointed to the shared
+checkpoint folder and RAW, ODS and DM are written from that copy (a lost
+executor never forces a re-scan of the documents). The mart is then
 recomputed for the touched days from the newest DM rows of both datasets, in
 one aggregation over their union; arrival order of actual and forecast does
 not matter and re-running a manifest leaves the newest-wins reads unchanged.
@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from skyledger.functions.timefmt import iso_instant_to_ts, run_instant
 from skyledger.operators import layers as ly
 from skyledger.operators.current import current
-from skyledger.schemas import DATASET_TABLES, DATASETS, DM, ERROR, ERROR_TABLE, RAW
+from skyledger.schemas import DATASET_TABLES, DATASETS, DM, ERROR, ERROR_TABLE
 from skyledger.sources import documents as docs
+from skyledger.session import checkpoint_root
 from skyledger.sources import tables as tb
 
 DM_KEYS = ["wmo_index", "day"]
@@ -91,11 +92,12 @@ def run_manifest(spark: SparkSession, raw_root: str, table_root: str, m: Manifes
     raw = ly.to_raw(stations, source_name=m.source_name, bucket=m.bucket, event_id=m.event_id,
                     trace_id=m.trace_id, event_created_at=iso_instant_to_ts(F.lit(m.created_at)),
                     ingested_at=stamp)
-    raw_path = table_path(table_root, names["raw"])
-    tb.append_layer(raw, raw_path, day_col="observation_date")
-    # Lineage cut: everything below reads the rows this run wrote.
-    written = tb.read_table(spark, raw_path, m.date_from, m.date_to, day_col="observation_date", schema=RAW) \
-        .filter((F.col("event_id") == m.event_id) & (F.col("ingested_at") == stamp)).drop("month")
+    # Lineage cut: the run's RAW rows are checkpointed once (reliable checkpoint under
+    # spark.checkpoint.dir); RAW, ODS and DM are all written from that copy, so the
+    # JSON is parsed once and a lost executor never re-reads documents or other runs.
+    checkpoint_root(spark)
+    written = raw.checkpoint()
+    tb.append_layer(written, table_path(table_root, names["raw"]), day_col="observation_date")
     ods = ly.to_ods(written)
     tb.append_layer(ods, table_path(table_root, names["ods"]), day_col="observation_date")
     dm = ly.to_dm(ods)
