@@ -19,8 +19,13 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Dimension-sized sides only: anything larger goes through a shuffle join.
+    # Dimension-sized sides only: anything larger goes through a shuffle join. Parquet
+    # sizes are compressed; the factor keeps the estimate on the safe side.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.sources.fileCompressionFactor": "3.0",
+    # Task sizes for large inputs: 256 MB scan splits and post-shuffle partitions.
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Partition values keep their written text (month = 'yyyyMM'); typed columns
     # come from explicit schemas.
