@@ -17,7 +17,9 @@ def _plan(df) -> str:
 
 
 def test_mart_build_is_one_exchange_and_no_join(spark):
-    plan = _plan(fx.mart(spark, SF))
+    from skyledger.operators.layers import current_pairs, forecast_error
+    from skyledger.sources import driver_tables as dt
+    plan = _plan(forecast_error(current_pairs(dt.weather_rows(spark, SF))))      # not yet executed
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Join" not in plan
 
