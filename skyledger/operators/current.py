@@ -23,8 +23,9 @@ def current(df: DataFrame, keys: Sequence[str], version: str, tie: str | None =
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), _version_key(version, tie)).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    order = f"struct({version}, {tie})" if tie else f"struct({version})"
+    picked = df.groupBy(*keys).agg(F.expr(f"max_by(struct({', '.join(rest)}), {order}) AS _row"))
+    return picked.selectExpr(*keys, *[f"_row.{c} AS {c}" for c in rest])
 
 
 def insert_if_absent(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -86,12 +86,13 @@ def top_errors(error: DataFrame, metric: str, date_from=None, date_to=None, limi
 
 
 def _metric_aggs(digits: int | None) -> list[Column]:
-    def r(c: Column) -> Column:
-        return F.round(c, digits) if digits is not None else c
-    aggs = [F.count(F.lit(1)).cast("long").alias("rows_count")]
+    """``rows_count`` + MAE/bias per metric, as SQL expressions (one driver call each)."""
+    def r(e: str) -> str:
+        return f"round({e}, {digits})" if digits is not None else e
+    aggs = [F.expr("CAST(count(1) AS BIGINT) AS rows_count")]
     for m in METRICS:
-        aggs.append(r(F.avg(f"{m}_abs_error")).alias(f"{m}_mae"))
-        aggs.append(r(F.avg(f"{m}_error")).alias(f"{m}_bias"))
+        aggs.append(F.expr(f"{r(f'avg({m}_abs_error)')} AS {m}_mae"))
+        aggs.append(F.expr(f"{r(f'avg({m}_error)')} AS {m}_bias"))
     return aggs
 
 
@@ -114,22 +115,22 @@ def daily_mean_error(rows: DataFrame, fields: Sequence[str] = ERROR_FIELDS, digi
 
 def column_max_abs(rows: DataFrame, fields: Sequence[str] = ERROR_FIELDS) -> DataFrame:
     """A5: largest magnitude per field (null counts as 0), floored at 1e-9."""
-    return rows.agg(*[F.greatest(F.lit(1e-9), F.max(F.abs(F.coalesce(F.col(f), F.lit(0.0))))).alias(f"{f}_max_abs")
-                      for f in fields])
+    return rows.selectExpr(*[f"greatest(1e-9, max(abs(coalesce({f}, 0.0)))) AS {f}_max_abs" for f in fields])
 
 
 def severity(rows: DataFrame, fields: Sequence[str] = ERROR_FIELDS, digits: int | None = 9) -> DataFrame:
-    """``min(|x| / max_abs, 1)`` per field; 0 when null.
+    """``min(|x| / max_abs, 1)`` per field; 0 when null.
 
     The column maxima are one global partial/final aggregate evaluated once as
     a scalar subquery returning a struct, bound to one column and read field by
     field — no join and no window over the whole table."""
-    maxima = column_max_abs(rows, fields).select(F.struct("*").alias("m")).scalar()
-    def r(c):
-        return F.round(c, digits) if digits is not None else c
+    maxima = column_max_abs(rows, fields).selectExpr("struct(*) AS m").scalar()
     bound = rows.withColumn("_m", maxima)
-    sev = [r(scores.clamp01_ratio(F.col(f), F.col("_m")[f"{f}_max_abs"])).alias(f"{f}_severity") for f in fields]
-    return bound.select(*rows.columns, *sev)
+    def r(e: str) -> str:
+        return f"round({e}, {digits})" if digits is not None else e
+    sev = [f"{r(f'CASE WHEN {f} IS NULL OR _m.{f}_max_abs = 0 THEN 0.0 ELSE least(abs({f}) / _m.{f}_max_abs, 1.0) END')}"
+           f" AS {f}_severity" for f in fields]
+    return bound.selectExpr(*rows.columns, *sev)
 
 
 def kpi_bands(metrics_row: DataFrame) -> DataFrame:
@@ -171,12 +172,12 @@ def to_series(rows: DataFrame, fields: Sequence[str], id_cols: Sequence[str] = (
 def to_contract_rows(df: DataFrame) -> DataFrame:
     """Fixed column list, dates and timestamps as ISO strings."""
     out = []
-    for c in df.columns:
-        typ = df.schema[c].dataType.typeName()
+    for field in df.schema.fields:                   # one schema fetch
+        typ, c = field.dataType.typeName(), field.name
         if typ == "date":
-            out.append(F.date_format(c, "yyyy-MM-dd").alias(c))
+            out.append(f"date_format({c}, 'yyyy-MM-dd') AS {c}")
         elif typ.startswith("timestamp"):
-            out.append(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(c))
+            out.append(f"date_format({c}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") AS {c}")
         else:
-            out.append(F.col(c))
-    return df.select(*out)
+            out.append(c)
+    return df.selectExpr(*out)

@@ -94,30 +94,30 @@ def request_status_rollup(waiters: DataFrame, outcomes: DataFrame) -> DataFrame:
     the request's creation (``waiters.created_at`` when given) and its outcomes.
     Partial aggregates keep a request with very many traces off one task."""
     created = "created_at" in waiters.columns
-    w = waiters.select("request_id", "trace_id", *(["created_at"] if created else [])).distinct()
-    failed = F.col("event_type") == TOPIC_FAILED
-    o = outcomes.filter(_non_blank(F.col("trace_id"))).select(
-        "trace_id", (F.col("event_type") == TOPIC_DM_READY).alias("_is_ready"), "created_at",
-        F.when(failed, F.struct("created_at", "event_id")).alias("_fail_key"),
-        F.when(failed, failure_message(F.col("stage"), F.col("reason"), F.col("details"))).alias("_msg"))
+    w = waiters.selectExpr("request_id", "trace_id", *(["created_at"] if created else [])).distinct()
+    msg = ("format_string('upstream failure (%s): %s — %s', coalesce(stage, '?'), coalesce(reason, 'unknown'), "
+           "coalesce(details, ''))")
+    o = outcomes.filter("trace_id IS NOT NULL AND trim(trace_id) <> ''").selectExpr(
+        "trace_id", f"event_type = '{TOPIC_DM_READY}' AS _is_ready", "created_at",
+        f"CASE WHEN event_type = '{TOPIC_FAILED}' THEN struct(created_at, event_id) END AS _fail_key",
+        f"CASE WHEN event_type = '{TOPIC_FAILED}' THEN {msg} END AS _msg")
     per_trace = o.groupBy("trace_id").agg(
-        F.max(F.when(F.col("_is_ready"), F.lit(True))).alias("_ready"),
-        F.max_by(F.col("_msg"), F.col("_fail_key")).alias("_fail_msg"),
-        F.max("_fail_key").alias("_fail_at"),
-        F.max("created_at").alias("_last"))
+        F.expr("max(CASE WHEN _is_ready THEN true END) AS _ready"),
+        F.expr("max_by(_msg, _fail_key) AS _fail_msg"),
+        F.expr("max(_fail_key) AS _fail_at"),
+        F.expr("max(created_at) AS _last"))
     joined = w.join(per_trace, "trace_id", "left")
     agg = joined.groupBy("request_id").agg(
-        F.count(F.lit(1)).cast("long").alias("n_traces"),
-        F.count_if(F.col("_ready").isNull() & F.col("_fail_at").isNull()).cast("long").alias("n_pending"),
-        F.max("_fail_at").alias("_fail_at"),
-        F.max_by("_fail_msg", "_fail_at").alias("error_message"),
-        F.max("_last").alias("_last"),
-        (F.max("created_at") if created else F.lit(None).cast("timestamp")).alias("_created"))
+        F.expr("CAST(count(1) AS BIGINT) AS n_traces"),
+        F.expr("CAST(count_if(_ready IS NULL AND _fail_at IS NULL) AS BIGINT) AS n_pending"),
+        F.expr("max(_fail_at) AS _fail_at"),
+        F.expr("max_by(_fail_msg, _fail_at) AS error_message"),
+        F.expr("max(_last) AS _last"),
+        F.expr("max(created_at) AS _created" if created else "CAST(NULL AS TIMESTAMP) AS _created"))
     # The record is touched at creation and on every outcome (``greatest`` skips nulls).
-    agg = agg.withColumn("updated_at", F.greatest("_last", "_created")).drop("_last", "_created")
-    status = F.when(F.col("_fail_at").isNotNull(), F.lit("failed")) \
-        .when(F.col("n_pending") == 0, F.lit("ready")).otherwise(F.lit("pending"))
-    return agg.withColumn("status", status).drop("_fail_at")
+    return agg.selectExpr(
+        "request_id", "n_traces", "n_pending", "error_message", "greatest(_last, _created) AS updated_at",
+        "CASE WHEN _fail_at IS NOT NULL THEN 'failed' WHEN n_pending = 0 THEN 'ready' ELSE 'pending' END AS status")
 
 
 def request_timeouts(status: DataFrame, now: Column, timeout_s: int = TIMEOUT_SECONDS) -> DataFrame:
