@@ -11,7 +11,7 @@ aggregate. Nothing is collected to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.schemas import DATASETS
@@ -24,6 +24,12 @@ REQUEST_MAX_DATE = "2026-06-30"
 ISO_DATE_RX = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
+def day_list_sql(date_from: str, date_to: str) -> str:
+    """F1 as SQL text: inclusive list of days; empty (not an error) when ``from > to`` or either is null."""
+    return (f"CASE WHEN {date_from} <= {date_to} THEN sequence({date_from}, {date_to}, INTERVAL 1 DAY) "
+            f"ELSE CAST(array() AS array<date>) END")
+
+
 def day_list(date_from: Column, date_to: Column) -> Column:
     """inclusive list of days; empty (not an error) when ``from > to`` or either is null."""
     return F.when(date_from <= date_to, F.sequence(date_from, date_to, F.expr("INTERVAL 1 DAY"))) \
@@ -48,7 +54,7 @@ def calendar(spark, date_from: str, date_to: str) -> DataFrame:
 
 def request_calendar(request_ranges: DataFrame) -> DataFrame:
     """U6 per request: ``(request_id, day)``."""
-    return request_ranges.select("request_id", F.explode(day_list(F.col("date_from"), F.col("date_to"))).alias("day"))
+    return request_ranges.selectExpr("request_id", f"explode({day_list_sql('date_from', 'date_to')}) AS day")
 
 
 def covered_days(error: DataFrame, request_stations: DataFrame, request_ranges: DataFrame) -> DataFrame:
@@ -58,13 +64,12 @@ def covered_days(error: DataFrame, request_stations: DataFrame, request_ranges:
     ``(wmo_index, day)``, so a count per ``(request, day)`` equals the number
     of distinct covered stations."""
     stations = request_stations.select("request_id", "wmo_index").distinct()
-    need = stations.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_stations"))
+    need = stations.groupBy("request_id").agg(F.expr("count(1) AS n_stations"))
     wanted = stations.join(request_ranges.select("request_id", "date_from", "date_to"), "request_id") \
-        .select("request_id", "wmo_index", F.explode(day_list(F.col("date_from"), F.col("date_to"))).alias("day"))
+        .selectExpr("request_id", "wmo_index", f"explode({day_list_sql('date_from', 'date_to')}) AS day")
     have = wanted.join(error.select("wmo_index", "day").distinct(), ["wmo_index", "day"], "left_semi")
-    per_day = have.groupBy("request_id", "day").agg(F.count(F.lit(1)).alias("n_covered"))
-    return per_day.join(need, "request_id").filter(F.col("n_covered") == F.col("n_stations")) \
-        .select("request_id", "day")
+    per_day = have.groupBy("request_id", "day").agg(F.expr("count(1) AS n_covered"))
+    return per_day.join(need, "request_id").filter("n_covered = n_stations").select("request_id", "day")
 
 
 def missing_days(error: DataFrame, request_stations: DataFrame, request_ranges: DataFrame) -> DataFrame:
@@ -80,11 +85,11 @@ def contiguous_ranges(days: DataFrame, by: list[str] | tuple[str, ...] = ("reque
     ``day - row_number()`` is constant inside an island. The window is per
     request, whose day count is bounded by the request-range cap."""
     by = list(by)
-    w = Window.partitionBy(*by).orderBy(day_col)
     distinct_days = days.select(*by, day_col).distinct()
-    grp = F.date_sub(F.col(day_col), F.row_number().over(w).cast("int"))
-    return distinct_days.withColumn("_grp", grp).groupBy(*by, "_grp") \
-        .agg(F.min(day_col).alias("range_start"), F.max(day_col).alias("range_end")).drop("_grp")
+    grp = (f"date_sub({day_col}, CAST(row_number() OVER (PARTITION BY {', '.join(by)} ORDER BY {day_col}) AS INT))"
+           " AS _grp")
+    return distinct_days.selectExpr(*by, day_col, grp).groupBy(*by, "_grp") \
+        .agg(F.expr(f"min({day_col}) AS range_start"), F.expr(f"max({day_col}) AS range_end")).drop("_grp")
 
 
 def missing_ranges(error: DataFrame, request_stations: DataFrame, request_ranges: DataFrame) -> DataFrame:
@@ -96,14 +101,14 @@ def need_info_requests(ranges: DataFrame, request_stations: DataFrame | None = N
 
     ``trace_id`` is derived from the content (request, dataset, range), so a
     replayed plan asks for the same trace instead of a new one."""
-    out = ranges.select("request_id", F.explode(F.array(*[F.lit(d) for d in DATASETS])).alias("dataset_type"),
-                        F.col("range_start").alias("date_from"), F.col("range_end").alias("date_to"))
-    out = out.withColumn("trace_id", F.sha2(F.concat_ws("|", "request_id", "dataset_type",
-                                                        F.col("date_from").cast("string"),
-                                                        F.col("date_to").cast("string")), 256))
+    datasets = ", ".join(f"'{d}'" for d in DATASETS)
+    out = ranges.selectExpr("request_id", f"explode(array({datasets})) AS dataset_type",
+                            "range_start AS date_from", "range_end AS date_to")
+    out = out.selectExpr("*", "sha2(concat_ws('|', request_id, dataset_type, CAST(date_from AS STRING), "
+                              "CAST(date_to AS STRING)), 256) AS trace_id")
     if request_stations is not None:
         counts = request_stations.select("request_id", "wmo_index").distinct() \
-            .groupBy("request_id").agg(F.count(F.lit(1)).alias("n_stations"))
+            .groupBy("request_id").agg(F.expr("count(1) AS n_stations"))
         out = out.join(counts, "request_id", "left")
     return out
 
