@@ -130,11 +130,12 @@ def q_rows_with_names(spark, sf):
     return mx.to_contract_rows(mx.attach_station_names(rows, fx.station(spark, sf)))
 
 
-def _region_request(spark):
-    return spark.createDataFrame([(r,) for r in REGION_REQUEST], "region_id string")
+_REGION_VALUES = ", ".join(f"('{r}')" for r in REGION_REQUEST)
 
 
-_REGION_VALUES = ", ".join(f"('{r}')" for r in REGION_REQUEST)
+def _region_request(spark):
+    """The requested region ids as a relation (one SQL call, no driver-side rows)."""
+    return spark.sql(f"SELECT region_id FROM VALUES {_REGION_VALUES} AS t(region_id)")
 
 
 @register("region_rows", oracle_with("err", "station") +
