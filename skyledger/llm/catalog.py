@@ -1,4 +1,15 @@
 """The queries of the training-data operators, and their SQL where SQL can express them."""
 
-from skyledger.llm import decontaminate, packing, sharding  # noqa: F401  (each registers its query)
+from skyledger.llm import (  # noqa: F401  (each registers its queries)
+    decontaminate,
+    language,
+    licenses,
+    near_dedup,
+    neighbours,
+    packing,
+    sharding,
+    substring_dedup,
+    suffix_dedup,
+    warc,
+)
 from skyledger.llm.common import ORACLE, QUERIES  # noqa: F401

@@ -32,6 +32,7 @@ from skyledger.llm.kernels import ALNUM_WORDS, LOWER, Rolling, spread, text_slic
 WINDOW = 13
 BLOCK_WORDS = 200_000          # words of benchmark items in one broadcast
 LANE = 512                     # words of text per search position
+FOUND = "__contamination"
 _BUCKETS = 1 << 16
 
 
@@ -136,10 +137,10 @@ def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> list[li
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW,
                   block_words: int = BLOCK_WORDS) -> DataFrame:
-    """All rows and columns of `docs`, and a struct column `contamination` with n_words, the hit word
-    ranges (array of start, end) and the item ids found (array of strings, sorted)."""
+    """All rows and columns of `docs`, and last a struct column FOUND with n_words, the hit word ranges
+    (arrays of starts and ends) and the item ids found (array of strings, sorted)."""
     spark = docs.sparkSession
-    out = docs.withColumn("contamination", F.lit(None).cast(
+    out = docs.withColumn(FOUND, F.lit(None).cast(
         "struct<n_words:bigint,starts:array<bigint>,ends:array<bigint>,item_ids:array<string>>"))
     blocks = [b for b in item_blocks(benchmark, block_words) if b] or [[]]
     for block in blocks:
@@ -149,7 +150,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
 def _searched(docs: DataFrame, block, text_col: str, window: int) -> DataFrame:
     names = docs.columns
-    text_at, found_at = names.index(text_col), names.index("contamination")
+    text_at, found_at = names.index(text_col), names.index(FOUND)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = None
@@ -204,25 +205,46 @@ def _union_length(starts: list[int], ends: list[int]) -> int:
     return total
 
 
+def _hits(rows: list[dict]) -> list[int]:
+    return [_union_length(r["starts"], r["ends"]) for r in rows]
+
+
+def _contaminated(n_hit: int, n_words: int) -> bool:
+    return n_hit > 0 and 20 * n_hit >= n_words
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of `docs` that are not contaminated, as they are."""
+    names = docs.columns
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(len(names)).to_pylist()
+            clean = pa.array([not _contaminated(h, r["n_words"]) for h, r in zip(_hits(rows), rows, strict=True)], pa.bool_())
+            yield batch.select(range(len(names))).filter(clean)
+
+    return contamination(docs, benchmark, **options).mapInArrow(run, docs.schema)
+
+
 def judged(docs: DataFrame, benchmark: DataFrame, keep: list[str], **options) -> DataFrame:
     """The columns `keep` of every document, with n_words, n_hit, n_items, items_sha256, contaminated."""
     found = contamination(docs, benchmark, **options)
-    names = [*keep, "contamination"]
+    names = [*keep, FOUND]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column(len(keep)).to_pylist()
-            hit = [_union_length(r["starts"], r["ends"]) for r in rows]
+            hit = _hits(rows)
             own = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([
                 *own, pa.array([r["n_words"] for r in rows], pa.int64()), pa.array(hit, pa.int64()),
                 pa.array([len(r["item_ids"]) for r in rows], pa.int64()),
                 pa.array([hashlib.sha256(",".join(r["item_ids"]).encode()).hexdigest() for r in rows], pa.string()),
-                pa.array([h > 0 and 20 * h >= r["n_words"] for h, r in zip(hit, rows, strict=True)], pa.bool_())],
+                pa.array([_contaminated(h, r["n_words"]) for h, r in zip(hit, rows, strict=True)], pa.bool_())],
                 [*keep, "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
     selected = found.select(*names)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in selected.schema if f.name != "contamination")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in selected.schema if f.name != FOUND)
     return selected.mapInArrow(run, f"{schema}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 

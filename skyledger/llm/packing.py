@@ -6,8 +6,8 @@ and the plan is applied to all pieces in parallel by their numbers among pieces
 
 The plan: the longest length left opens a bin, bitset subset-sum dynamic programming over the
 lengths left (with their counts) finds the fullest combination beside it, and the combination is
-taken as often as the counts allow. So each step uses up a length, and the plan has no more steps
-than there are lengths, whatever the number of documents.
+taken as often as the counts allow. After a step some length has fewer pieces left than the step
+took at once, so the number of steps depends on the lengths, not on the number of documents.
 
 Defined results: a null text counts as empty (the end token alone); repeated rows are packed as
 often as they occur; ties go to longer lengths; an empty table gives no rows; other columns are not read.
@@ -30,11 +30,11 @@ from skyledger.llm.kernels import spread
 
 SEQUENCE = 1024
 END_ID = 2
-CACHE_PIECES = 300_000          # distinct text pieces remembered by a worker (speed only)
+CACHE_PIECES = 700_000          # distinct text pieces remembered by a worker (speed only)
 _SLICE_CHARS = 1 << 20
 
 # White space as byte-level BPE's pattern means it, and letters of common Latin text.
-_WS = "\t-\r \x85\xa0  -     　"
+_WS = r"\t-\r \x85\xa0  -     　"
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 # Pieces that the byte-level pattern never joins with their neighbours, so that each has its ids alone:
 # Latin words before an ASCII non-letter, ASCII marks or digits before something of another kind, a

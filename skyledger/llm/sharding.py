@@ -5,11 +5,10 @@ any stretch of the order holds about as much as any other), and the order is cut
 shards. The capacity is the smallest one for which greedy filling needs no more shards than there
 are, found by binary search; the cuts are the greedy ones at that capacity.
 
-The driver never sees the groups. It works on sums over at most `fan` digest ranges of a level and
-looks into a range (its sub-ranges' sums, the next `bits` digest bits) only where a cut may fall:
-between the cut that treats ranges as indivisible and the one that treats them as fluid.
+The driver never sees the groups. It works on sums over digest ranges, 2^BITS of a level at most,
+and looks into a range (the sums by the next BITS digest bits) only where a cut may fall.
 
-Law: `bytes`. Defined results: a null text has no bytes (size 1) and is a group with the other null
+Law: `bytes`. Defined results: a null text has no bytes (size 1) and is in the group of the empty
 texts; repeated rows are kept; fewer groups than shards leave shards empty; an empty table gives no rows.
 """
 
@@ -137,7 +136,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = staged(docs.select(
         F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.when(F.col(text_col).isNull(), F.md5(F.lit("null text").cast("binary"))).otherwise(F.md5(text.cast("binary"))).alias("digest")), "shard-rows")
+        F.md5(text.cast("binary")).alias("digest")), "shard-rows")
     groups = staged(rows.groupBy("digest").agg(F.sum("size").alias("group_size")), "shard-groups")
     cuts, _ = contiguous_cuts(groups, shards)
     shard = F.lit(0)
