@@ -6,12 +6,15 @@ hash (the leftmost of equals). Equal strings have equal anchors, so only strings
 anchor need to meet, and consecutive strings with one anchor travel as one slice.
 
 1. Documents are gathered into blocks of bounded size, written once to the shared folder. A block
-   tells each bucket which anchors it has (40 bits each, once per block).
-2. A bucket answers which of them occur in two documents at least; other text goes no further.
+   tells each bucket which anchors it has, and a mark of each one's slice (72 bits, once per block).
+2. A bucket answers which anchors occur in two documents at least, and which of these have more
+   than one slice; other text goes no further.
 3. A block sends its distinct slices under repeated anchors, each once with the smallest and
-   largest of its documents in the block.
-4. A shard settles its slices (`settle`: the operator's own method): for every string of a slice,
-   the smallest document it starts in. Only strings that some document of the block must lose return.
+   largest of its documents in the block, and with its contents where the anchor has several
+   slices. (The strings of an anchor's only slice start where the slice does, and nowhere else.)
+4. A shard settles slices that share an anchor (`settle`: the operator's own method): for every
+   string of a slice, the smallest document it starts in. Only strings that some document of the
+   block must lose return.
 5. A block joins the answers with its documents and removes what a smaller document has.
 
 Nothing is gathered by content in one task: a passage that a third of all documents share is one
@@ -46,8 +49,9 @@ from skyledger.llm.kernels import (
 
 BLOCK_BYTES = 6 << 20
 _SLICE = 1 << 21
-_LOW = np.uint64((1 << 39) - 1)
-_ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
+_LOW_BITS, _TOLD = 30, 9                # bits of an anchor within its bucket; bytes told of an anchor
+_LOW = np.uint64((1 << _LOW_BITS) - 1)
+_ZSTD = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))
 
 
 @dataclass(frozen=True)
@@ -166,26 +170,37 @@ def _all_slices(unit: Unit, table: pa.Table, id_at: int, text_at: int, keep: Cal
     found, contents = [], []
     for row, _, sequence in _sequences(unit, table, text_at):
         s = sequence.slices()
-        chosen = known[s.row + row]
+        said = np.ones(len(s.row), np.int64) if keep is None else keep(s.anchor)
+        chosen = np.flatnonzero(known[s.row + row] & (said > 0))
+        own = Slices(s.row[chosen] + row, s.start[chosen], s.strings[chosen], s.anchor[chosen], s.mark[chosen], s.place[chosen])
         if keep is not None:
-            chosen &= keep(s.anchor)
-        chosen = np.flatnonzero(chosen)
-        if keep is not None:
-            contents.append(sequence.contents(s.place[chosen], s.strings[chosen]))
-        found.append(Slices(s.row[chosen] + row, s.start[chosen], s.strings[chosen], s.anchor[chosen], s.mark[chosen], s.place[chosen]))
+            alone = said[chosen] == 1
+            own.mark = np.where(alone, np.uint64(0), own.mark)
+            data, sizes = sequence.contents(own.place[~alone], own.strings[~alone])
+            every = np.zeros(len(chosen), np.int64)
+            every[~alone] = sizes
+            contents.append((data, every))
+        found.append(own)
     parts = [np.concatenate([getattr(f, n) for f in found]) if found else np.zeros(0, np.int64) for n in Slices.__annotations__]
     return Slices(*parts), contents
 
 
-def _told(anchor: np.ndarray, row: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct anchors as (bucket, 39 bits, whether two rows have it), in that order."""
-    bucket, low = _bucket(anchor, buckets).astype(np.uint64), anchor & _LOW
-    key = bucket << np.uint64(39) | low
+def _key(anchor: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and 30 bits of an anchor, as one number."""
+    return _bucket(anchor, buckets).astype(np.uint64) << np.uint64(_LOW_BITS) | (anchor & _LOW)
+
+
+def _told(slices: Slices, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct anchors in order: (key, whether two rows have it, whether it has two slices, mark of one of them)."""
+    key = _key(slices.anchor, buckets)
     order = np.argsort(key, kind="stable")
-    key, row = key[order], row[order]
+    key, row, mark = key[order], slices.row[order], slices.mark[order]
     new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-    many = np.maximum.reduceat(row, new) != np.minimum.reduceat(row, new) if len(new) else np.zeros(0, bool)
-    return (key[new] >> np.uint64(39)).astype(np.int64), key[new] & _LOW, many
+    if not len(new):
+        return key, np.zeros(0, bool), np.zeros(0, bool), mark
+    many = np.maximum.reduceat(row, new) != np.minimum.reduceat(row, new)
+    several = np.maximum.reduceat(mark, new) != np.minimum.reduceat(mark, new)
+    return key[new], many, several, mark[new]
 
 
 def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
@@ -211,29 +226,44 @@ def without_repeats(docs: DataFrame, unit: Unit, settle: Callable, finish: Calla
 
     def block(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _in_blocks(batches, text_at):
-            slices, _ = _all_slices(unit, table, id_at, text_at)
-            bucket, low, many = _told(slices.anchor, slices.row, buckets)
-            words = np.ascontiguousarray((low << np.uint64(1) | many).view(np.uint8).reshape(-1, 8)[:, :5])
-            told = [(b, words[part].tobytes()) for b, part in _by_bucket(bucket)]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([int.from_bytes(os.urandom(8), "little", signed=True)], pa.int64()),
-                pa.array([_stream(table)], pa.binary()), _listed(("bucket", "anchors"), told)], ["block", "payload", "told"])
+            yield pa.RecordBatch.from_arrays([pa.array([int.from_bytes(os.urandom(8), "little", signed=True)], pa.int64()),
+                                              pa.array([_stream(table)], pa.binary())], ["block", "payload"])
 
-    blocks = staged(docs.mapInArrow(block, "block long, payload binary, told array<struct<bucket:int,anchors:binary>>"), "blocks")
+    blocks = staged(docs.mapInArrow(block, "block long, payload binary"), "blocks")
+
+    def tell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                slices, _ = _all_slices(unit, _unpacked(batch.column(1)[r]), id_at, text_at)
+                key, many, several, mark = _told(slices, buckets)
+                words = np.zeros((len(key), _TOLD), np.uint8)
+                words[:, :4] = ((key & _LOW) << np.uint64(2) | many.astype(np.uint64) << np.uint64(1) | several).view(np.uint8).reshape(-1, 8)[:, :4]
+                words[:, 4:] = np.ascontiguousarray(mark).view(np.uint8).reshape(-1, 8)[:, :5]
+                parts = list(_by_bucket((key >> np.uint64(_LOW_BITS)).astype(np.int64)))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(parts), batch.column(0)[r].as_py()), pa.int64()), pa.array([b for b, _ in parts], pa.int32()),
+                    pa.array([words[part].tobytes() for _, part in parts], pa.binary())], ["block", "bucket", "anchors"])
 
     def answer(table: pa.Table) -> pa.Table:
-        sizes = [len(x.as_buffer()) // 5 for x in table.column("anchors")]
-        told = np.zeros((sum(sizes), 8), np.uint8)
-        told[:, :5] = np.frombuffer(b"".join(x.as_buffer().to_pybytes() for x in table.column("anchors")), np.uint8).reshape(-1, 5)
-        told = told.reshape(-1).view(np.uint64)
-        _, which, counts = np.unique(told >> np.uint64(1), return_inverse=True, return_counts=True)
-        repeated = counts > 1
-        repeated[which[(told & np.uint64(1)) == 1]] = True
+        sizes = [len(x.as_buffer()) // _TOLD for x in table.column("anchors")]
+        told = np.frombuffer(b"".join(x.as_buffer().to_pybytes() for x in table.column("anchors")), np.uint8).reshape(-1, _TOLD)
+        low = np.ascontiguousarray(told[:, :4]).view(np.uint32).reshape(-1)
+        mark = np.zeros((len(told), 8), np.uint8)
+        mark[:, :5] = told[:, 4:]
+        mark = mark.reshape(-1).view(np.uint64)
+        order = np.argsort(low >> 2, kind="stable")
+        sorted_low, sorted_mark = low[order], mark[order]
+        new = np.r_[True, sorted_low[1:] >> 2 != sorted_low[:-1] >> 2]
+        first, group = np.flatnonzero(new), np.cumsum(new) - 1
+        repeated = (np.diff(np.r_[first, len(order)]) > 1) | (np.maximum.reduceat(sorted_low & 2, first) > 0)
+        several = (np.maximum.reduceat(sorted_mark, first) != np.minimum.reduceat(sorted_mark, first)) | (np.maximum.reduceat(sorted_low & 1, first) > 0)
+        said = np.empty(len(order), np.uint8)                      # 0: one document only, 1: one slice, 2: several
+        said[order] = (repeated * (1 + several))[group]
         ends = np.cumsum(sizes)
-        bits = [np.packbits(repeated[which[e - s:e]]).tobytes() for s, e in zip(sizes, ends.tolist(), strict=True)]
-        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "bits": pa.array(bits, pa.binary())})
+        answers = [np.packbits(np.stack([said[e - s:e] > 0, said[e - s:e] > 1])).tobytes() for s, e in zip(sizes, ends.tolist(), strict=True)]
+        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "bits": pa.array(answers, pa.binary())})
 
-    answers = blocks.select("block", F.explode("told").alias("t")).select("block", "t.bucket", "t.anchors").groupBy("bucket").applyInArrow(
+    answers = blocks.mapInArrow(tell, "block long, bucket int, anchors binary").groupBy("bucket").applyInArrow(
         answer, "block long, bucket int, bits binary")
     answers = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))      # as many as there are buckets
 
@@ -243,16 +273,19 @@ def without_repeats(docs: DataFrame, unit: Unit, settle: Callable, finish: Calla
                 table = _unpacked(batch.column(1)[r])
                 bits = {a["bucket"]: a["bits"] for a in batch.column(2)[r].as_py()}
                 every, _ = _all_slices(unit, table, id_at, text_at)
-                bucket, low, _ = _told(every.anchor, every.row, buckets)
-                yes = np.concatenate([np.unpackbits(np.frombuffer(bits[b], np.uint8), count=part.stop - part.start) for b, part in _by_bucket(bucket)]) if len(bucket) else np.zeros(0, np.uint8)
-                repeated = (bucket.astype(np.uint64) << np.uint64(39) | low)[yes == 1]
+                key, _, _, _ = _told(every, buckets)
                 del every
-
-                def keep(anchor: np.ndarray, repeated=repeated) -> np.ndarray:
-                    key = _bucket(anchor, buckets).astype(np.uint64) << np.uint64(39) | (anchor & _LOW)
-                    at = np.searchsorted(repeated, key)
+                said = [np.unpackbits(np.frombuffer(bits[b], np.uint8), count=2 * (part.stop - part.start)).reshape(2, -1)
+                        for b, part in _by_bucket((key >> np.uint64(_LOW_BITS)).astype(np.int64))]
+                said = np.concatenate(said, axis=1).sum(axis=0) if said else np.zeros(0, np.int64)
+                repeated, said = key[said > 0], said[said > 0]
+
+                def keep(anchor: np.ndarray, repeated=repeated, said=said) -> np.ndarray:
+                    """0: goes no further, 1: the anchor's only slice, 2: one of several."""
+                    wanted = _key(anchor, buckets)
+                    at = np.searchsorted(repeated, wanted)
                     at[at == len(repeated)] = 0
-                    return repeated[at] == key if len(repeated) else np.zeros(len(anchor), bool)
+                    return np.where(repeated[at] == wanted, said[at], 0) if len(repeated) else np.zeros(len(anchor), np.int64)
 
                 slices, contents = _all_slices(unit, table, id_at, text_at, keep)
                 ids, _ = _ids(table, id_at)
@@ -315,7 +348,8 @@ def _sent(block: pa.Array, slices: Slices, contents: list, ids: np.ndarray, buck
     chosen = order[first]
     text = data[np.repeat(begins[chosen], sizes[chosen]) + spread(sizes[chosen])]
     column = binary_column(text, sizes[chosen])
-    groups = [(k, _packed({"anchor": anchor[first][p], "mark": mark[first][p], "least": least[p], "most": most[p], "content": column[p.start:p.stop]}))
+    strings = slices.strings[chosen].astype(np.int16)
+    groups = [(k, _packed({"anchor": anchor[first][p], "mark": mark[first][p], "least": least[p], "most": most[p], "strings": strings[p], "content": column[p.start:p.stop]}))
               for k, p in _by_bucket(b[first])]
     # occurrences: in order of bucket and of the slice's number in it
     number = np.cumsum(new) - 1
@@ -339,7 +373,14 @@ def _settled(unit: Unit, settle: Callable, table: pa.Table) -> pa.Table:
     group = np.cumsum(np.r_[True, a[first][1:] != a[first][:-1]]) - 1
     contents = got.column("content").combine_chunks()
     contents = contents.chunk(0) if isinstance(contents, pa.ChunkedArray) else contents
-    slice_, start, end, doc = settle(unit, group, contents.take(pa.array(order[first])), smallest)
+    several = np.flatnonzero(m[first] != 0)                        # an anchor's only slice comes without a mark
+    slice_, start, end, doc = settle(unit, group[several], contents.take(pa.array(order[first[several]])), smallest[several])
+    alone = np.flatnonzero(m[first] == 0)
+    slice_ = np.r_[several[slice_], alone]
+    start, end = np.r_[start, np.zeros(len(alone), np.int64)], np.r_[end, _number(got, "strings")[order[first[alone]]]]
+    doc = np.r_[doc, smallest[alone]]
+    by_slice = np.argsort(slice_, kind="stable")
+    slice_, start, end, doc = slice_[by_slice], start[by_slice], end[by_slice], doc[by_slice]
     lo, hi = np.searchsorted(slice_, which), np.searchsorted(slice_, which, "right")
     n = hi - lo
     at = np.repeat(lo, n) + spread(n)
