@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 def iso_instant_to_ts(s: Column) -> Column:
     """ISO-8601 instant with or without fraction and zone -> TIMESTAMP cut to seconds.
 
-    A bare local time (no zone) is read in the session zone (UTC)."""
-    return F.date_trunc("second", s.cast("timestamp"))
+    A bare local time (no zone) is read in the session zone (UTC); text that is no instant
+    gives null (it must not stop a stream)."""
+    return F.date_trunc("second", s.try_cast("timestamp"))
 
 
 def iso_instant_text(ts: Column) -> Column:

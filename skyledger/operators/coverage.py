@@ -3,10 +3,9 @@
 A request is ``request_id`` + a station set (``request_stations``: one row per
 ``(request_id, wmo_index)``) + an inclusive day range (``request_ranges``:
 ``request_id, date_from, date_to`` as DATE). Many requests are answered by one
-plan: the wanted cells ``(request, station, day)`` are generated with
-``explode(sequence)``, matched to the mart by an equi-join on
-``(wmo_index, day)``, and counted per ``(request, day)`` with a partial
-aggregate. Nothing is collected to the driver.
+plan: the mart, pruned to the days of all requests together, is joined with the
+requested stations, and the rows inside a request's range are counted per
+``(request, day)`` with a partial aggregate. Nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -57,17 +56,30 @@ def request_calendar(request_ranges: DataFrame) -> DataFrame:
     return request_ranges.selectExpr("request_id", f"explode({day_list_sql('date_from', 'date_to')}) AS day")
 
 
+def requested_rows(error: DataFrame, request_stations: DataFrame, request_ranges: DataFrame) -> DataFrame:
+    """The mart's rows of each request: one per (request, station, day) that is there.
+
+    The days of all requests together prune the mart's partitions (``month``, when it has one) and
+    row groups before anything is joined; the join is on the station, and a row is kept for
+    the requests whose range holds its day. Cells that the mart lacks are never generated."""
+    bounds = request_ranges.agg(F.struct(F.min("date_from").alias("f"), F.max("date_to").alias("t"))).scalar()
+    rows = error.filter((F.col("day") >= bounds["f"]) & (F.col("day") <= bounds["t"]))
+    if "month" in error.columns:
+        rows = rows.filter((F.col("month") >= F.date_format(bounds["f"], "yyyyMM")) & (F.col("month") <= F.date_format(bounds["t"], "yyyyMM"))).drop("month")
+    asked = request_stations.select("request_id", "wmo_index").distinct() \
+        .join(request_ranges.select("request_id", "date_from", "date_to"), "request_id")
+    return rows.join(asked, "wmo_index").filter("day BETWEEN date_from AND date_to").drop("date_from", "date_to")
+
+
 def covered_days(error: DataFrame, request_stations: DataFrame, request_ranges: DataFrame) -> DataFrame:
     """A3: ``(request_id, day)`` where **every** requested station has a mart row.
 
-    Exact: station sets are de-duplicated first and the mart is keyed by
-    ``(wmo_index, day)``, so a count per ``(request, day)`` equals the number
-    of distinct covered stations."""
-    stations = request_stations.select("request_id", "wmo_index").distinct()
-    need = stations.groupBy("request_id").agg(F.expr("count(1) AS n_stations"))
-    wanted = stations.join(request_ranges.select("request_id", "date_from", "date_to"), "request_id") \
-        .selectExpr("request_id", "wmo_index", f"explode({day_list_sql('date_from', 'date_to')}) AS day")
-    have = wanted.join(error.select("wmo_index", "day").distinct(), ["wmo_index", "day"], "left_semi")
+    Exact: station sets are de-duplicated and the current mart has one row per
+    ``(wmo_index, day)``, so a count per ``(request, day)`` equals the number of
+    distinct covered stations."""
+    need = request_stations.groupBy("request_id").agg(F.countDistinct("wmo_index").alias("n_stations"))
+    columns = [c for c in ("wmo_index", "day", "month") if c in error.columns]
+    have = requested_rows(error.select(*columns), request_stations, request_ranges)
     per_day = have.groupBy("request_id", "day").agg(F.expr("count(1) AS n_covered"))
     return per_day.join(need, "request_id").filter("n_covered = n_stations").select("request_id", "day")
 
@@ -113,6 +125,22 @@ def need_info_requests(ranges: DataFrame, request_stations: DataFrame | None = N
     return out
 
 
+def read_path(error: DataFrame, request_stations: DataFrame, request_ranges: DataFrame,
+              max_days: int = MAX_INNER_DAYS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ready or pending: ``(rows, need_info, refused)`` for a table of requests.
+
+    A request whose days are all covered gets its rows; any other gets the need-info events of
+    its missing ranges (and waits on their traces) and no rows. Ranges of more than
+    ``max_days`` days are refused before the mart is looked at."""
+    too_long = span_days(F.col("date_from"), F.col("date_to")) > max_days
+    refused = request_ranges.filter(too_long).select(
+        "request_id", span_days(F.col("date_from"), F.col("date_to")).alias("span_days"), F.lit("RANGE_TOO_LARGE").alias("error_code"))
+    ranges = request_ranges.filter(~F.coalesce(too_long, F.lit(False)))
+    gaps = missing_ranges(error, request_stations, ranges)
+    ready = ranges.join(gaps.select("request_id").distinct(), "request_id", "left_anti")
+    return requested_rows(error, request_stations, ready), need_info_requests(gaps, request_stations), refused
+
+
 def check_requests(requests: DataFrame, max_days: int = MAX_OUTER_DAYS,
                    from_col: str = "date_from", to_col: str = "date_to",
                    n_col: str | None = "n_stations") -> DataFrame:

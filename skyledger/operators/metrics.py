@@ -44,8 +44,7 @@ def between_days(df: DataFrame, date_from: str | None, date_to: str | None, day_
 def stations_in(df: DataFrame, stations: DataFrame | Sequence[str], col: str = "wmo_index") -> DataFrame:
     """IN-list for a literal list, a left-semi join for a DataFrame of ids."""
     if isinstance(stations, DataFrame):
-        ids = stations.select(F.col(stations.columns[0]).alias(col)).distinct()
-        return df.join(ids, col, "left_semi")
+        return df.join(stations.select(F.col(stations.columns[0]).alias(col)), col, "left_semi")
     return df.filter(F.col(col).isin(list(stations)))
 
 

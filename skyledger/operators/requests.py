@@ -6,7 +6,7 @@ functions per micro-batch; here they run over whole tables of events.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.schemas import DATASET_TABLES
@@ -17,9 +17,13 @@ TOPIC_RAW_CREATED = {"actual": "weather.actual.raw.created", "forecast": "weathe
 TOPIC_DM_READY = "weather.dm.ready"
 TOPIC_FAILED = "weather.pipeline.failed"
 INVALID_MANIFEST_REASON = "dm_trigger_invalid_event"
+INVALID_MANIFEST_DETAILS = "missing trace_id/bucket/object_keys/date_from/date_to in %s event"
+TRIGGER_STAGE = TRIGGER_SOURCE = "dm_trigger"
+JOB_STAGE, JOB_SOURCE, JOB_REASON = "dm", "dm_pipeline", "dag_task_failed"
+FAILURE_MESSAGE = "upstream failure (%s): %s — %s"
 TIMEOUT_SECONDS = 600
 TIMEOUT_MESSAGE = "timed out waiting for upstream data"
-ERROR_TEXT_MAX = 1000
+ERROR_TEXT_MAX = 1000            # of a job's exception text only
 
 
 def topic_to_dataset(topic: Column) -> Column:
@@ -37,8 +41,9 @@ def route_need_info(events: DataFrame, dataset: str) -> DataFrame:
 
 
 def valid_need_info(events: DataFrame) -> DataFrame:
-    """Non-blank ``event_id``, non-empty station list, both dates, ``from <= to``."""
-    d_from, d_to = F.to_date(F.col("date_from")), F.to_date(F.col("date_to"))
+    """Non-blank ``event_id``, non-empty station list, both dates, ``from <= to``.
+    Text that is no date counts as missing."""
+    d_from, d_to = F.col("date_from").try_cast("date"), F.col("date_to").try_cast("date")
     return events.filter(_non_blank(F.col("event_id")) & (F.coalesce(F.size("wmo_indexes"), F.lit(0)) > 0)
                          & d_from.isNotNull() & d_to.isNotNull() & (d_from <= d_to))
 
@@ -54,16 +59,16 @@ def split_manifests(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     topic = F.col("topic") if "topic" in events.columns else F.lit("raw.created")
     failures = flagged.filter(~F.col("_ok")).select(
         F.coalesce(F.col("trace_id"), F.lit("")).alias("trace_id"),
-        *failure_envelope(F.lit("trigger"), F.lit("manifest_trigger"), F.lit(INVALID_MANIFEST_REASON),
-                          F.format_string("missing trace_id/bucket/object_keys/date_from/date_to in %s event",
-                                          topic)))
+        *[c for c in ("event_id", "created_at") if c in events.columns],
+        *failure_envelope(F.lit(TRIGGER_STAGE), F.lit(TRIGGER_SOURCE), F.lit(INVALID_MANIFEST_REASON),
+                          F.format_string(INVALID_MANIFEST_DETAILS, topic)))
     return valid, failures
 
 
 def failure_envelope(stage: Column, source_name: Column, reason: Column, details: Column) -> list[Column]:
-    """The one failure contract of every stage (details cut to 1000 characters)."""
+    """The one failure contract of every stage."""
     return [F.lit(TOPIC_FAILED).alias("event_type"), stage.alias("stage"), source_name.alias("source_name"),
-            reason.alias("reason"), F.left(details, F.lit(ERROR_TEXT_MAX)).alias("details")]
+            reason.alias("reason"), details.alias("details")]
 
 
 def ready_envelope(trace_id: Column, dataset: Column, date_from: Column, date_to: Column,
@@ -75,7 +80,7 @@ def ready_envelope(trace_id: Column, dataset: Column, date_from: Column, date_to
 
 def failure_message(stage: Column, reason: Column, details: Column) -> Column:
     """``upstream failure (<stage>): <reason> — <details>`` with the contract's defaults."""
-    return F.format_string("upstream failure (%s): %s — %s", F.coalesce(stage, F.lit("?")),
+    return F.format_string(FAILURE_MESSAGE, F.coalesce(stage, F.lit("?")),
                            F.coalesce(reason, F.lit("unknown")), F.coalesce(details, F.lit("")))
 
 
@@ -84,40 +89,53 @@ def resolve_waiters(outcomes: DataFrame, waiters: DataFrame) -> DataFrame:
     return outcomes.filter(_non_blank(F.col("trace_id"))).join(waiters, "trace_id", "inner")
 
 
-def request_status_rollup(waiters: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Final request state from the pending traces and the outcome events.
+def request_status_rollup(waiters: DataFrame, outcomes: DataFrame, timeout_s: int = TIMEOUT_SECONDS) -> DataFrame:
+    """A11 + T4: request state from the pending traces and the outcome events, in time order.
 
-    ``ready`` when no trace is left unresolved and nothing failed; ``failed``
-    if any waited-on trace failed (failure overrides ready, and nothing
-    overrides failure); otherwise ``pending``. The message is that of the
-    latest failure by ``(created_at, event_id)``; ``updated_at`` is the latest of
-    the request's creation (``waiters.created_at`` when given) and its outcomes.
-    Partial aggregates keep a request with very many traces off one task."""
+    A request is touched when it is created and when a waited-on trace first succeeds. If two
+    touches lie more than ``timeout_s`` apart while it is pending, it has timed out, and what
+    succeeds later cannot revive it. ``failed`` if any waited-on trace failed (a failure
+    overrides ready and a timeout) or it timed out; ``ready`` when no trace is left
+    unresolved; otherwise ``pending``. The message is that of the latest failure by
+    ``(created_at, event_id)``, else the timeout's; ``updated_at`` is the latest of the
+    request's creation (``waiters.created_at`` when given) and its outcomes.
+
+    The result depends on the instants of the events, not on their order of arrival. Partial
+    aggregates keep a request with very many traces off one task: touches are reduced to the
+    first and last of each stretch of ``timeout_s`` before gaps are looked for."""
     created = "created_at" in waiters.columns
-    w = waiters.selectExpr("request_id", "trace_id", *(["created_at"] if created else [])).distinct()
-    msg = ("format_string('upstream failure (%s): %s — %s', coalesce(stage, '?'), coalesce(reason, 'unknown'), "
-           "coalesce(details, ''))")
-    o = outcomes.filter("trace_id IS NOT NULL AND trim(trace_id) <> ''").selectExpr(
-        "trace_id", f"event_type = '{TOPIC_DM_READY}' AS _is_ready", "created_at",
-        f"CASE WHEN event_type = '{TOPIC_FAILED}' THEN struct(created_at, event_id) END AS _fail_key",
-        f"CASE WHEN event_type = '{TOPIC_FAILED}' THEN {msg} END AS _msg")
+    w = waiters.groupBy("request_id", "trace_id").agg(
+        F.expr("min(created_at)" if created else "CAST(NULL AS TIMESTAMP)").alias("created_at"))
+    o = outcomes.filter("trace_id IS NOT NULL AND trim(trace_id) <> ''")
     per_trace = o.groupBy("trace_id").agg(
-        F.expr("max(CASE WHEN _is_ready THEN true END) AS _ready"),
-        F.expr("max_by(_msg, _fail_key) AS _fail_msg"),
-        F.expr("max(_fail_key) AS _fail_at"),
+        F.expr(f"min(CASE WHEN event_type = '{TOPIC_DM_READY}' THEN created_at END) AS _ready"),
+        F.expr(f"count_if(event_type = '{TOPIC_DM_READY}') > 0 AS _is_ready"),
+        F.expr(f"max(CASE WHEN event_type = '{TOPIC_FAILED}' THEN struct(created_at, event_id, stage, reason, details) END) AS _fail"),
         F.expr("max(created_at) AS _last"))
     joined = w.join(per_trace, "trace_id", "left")
     agg = joined.groupBy("request_id").agg(
         F.expr("CAST(count(1) AS BIGINT) AS n_traces"),
-        F.expr("CAST(count_if(_ready IS NULL AND _fail_at IS NULL) AS BIGINT) AS n_pending"),
-        F.expr("max(_fail_at) AS _fail_at"),
-        F.expr("max_by(_fail_msg, _fail_at) AS error_message"),
-        F.expr("max(_last) AS _last"),
-        F.expr("max(created_at) AS _created" if created else "CAST(NULL AS TIMESTAMP) AS _created"))
-    # The record is touched at creation and on every outcome (``greatest`` skips nulls).
-    return agg.selectExpr(
-        "request_id", "n_traces", "n_pending", "error_message", "greatest(_last, _created) AS updated_at",
-        "CASE WHEN _fail_at IS NOT NULL THEN 'failed' WHEN n_pending = 0 THEN 'ready' ELSE 'pending' END AS status")
+        F.expr("CAST(count_if(NOT coalesce(_is_ready, false) AND _fail IS NULL) AS BIGINT) AS n_pending"),
+        F.expr("max(_fail) AS _fail"),
+        F.expr("greatest(max(_last), max(created_at)) AS updated_at"))
+    status = agg.join(_timed_out(joined, timeout_s), "request_id", "left")
+    return status.select(
+        "request_id", "n_traces", "n_pending",
+        F.when(F.col("_fail").isNotNull(), failure_message(F.col("_fail.stage"), F.col("_fail.reason"), F.col("_fail.details")))
+        .when(F.col("_gap"), F.lit(TIMEOUT_MESSAGE)).alias("error_message"),
+        "updated_at",
+        F.expr("CASE WHEN _fail IS NOT NULL OR coalesce(_gap, false) THEN 'failed' WHEN n_pending = 0 THEN 'ready' "
+               "ELSE 'pending' END AS status"))
+
+
+def _timed_out(joined: DataFrame, timeout_s: int) -> DataFrame:
+    """``request_id, _gap`` for requests with two touches more than ``timeout_s`` apart."""
+    touches = joined.selectExpr("request_id", "explode(array(CAST(created_at AS TIMESTAMP), CAST(_ready AS TIMESTAMP))) AS at").filter("at IS NOT NULL")
+    stretches = touches.withColumn("_stretch", F.expr(f"unix_micros(at) div {timeout_s * 1_000_000}")) \
+        .groupBy("request_id", "_stretch").agg(F.min("at").alias("_first"), F.max("at").alias("_end"))
+    before = F.lag("_end").over(Window.partitionBy("request_id").orderBy("_stretch"))
+    gap = F.expr(f"unix_micros(_first) - unix_micros(_before) > {timeout_s * 1_000_000}")
+    return stretches.withColumn("_before", before).filter(gap).select("request_id", F.lit(True).alias("_gap")).distinct()
 
 
 def request_timeouts(status: DataFrame, now: Column, timeout_s: int = TIMEOUT_SECONDS) -> DataFrame:

@@ -84,6 +84,15 @@ def q_model_metrics_empty(spark, sf):
     return mx.model_metrics(fx.mart_table(spark, sf), *EMPTY_RANGE)
 
 
+PARTIAL_RANGE = ("2024-01-05", "2024-01-20")
+
+
+@register("model_metrics_range", oracle_with("err") + f"SELECT {_sql_metric_aggs()} FROM err "
+          f"WHERE day BETWEEN DATE '{PARTIAL_RANGE[0]}' AND DATE '{PARTIAL_RANGE[1]}'")
+def q_model_metrics_range(spark, sf):
+    return mx.model_metrics(fx.mart_table(spark, sf), *PARTIAL_RANGE)
+
+
 @register("model_metrics_daily", oracle_with("err") + f"SELECT day, {_sql_metric_aggs()} FROM err GROUP BY day ORDER BY day")
 def q_model_metrics_daily(spark, sf):
     return mx.model_metrics_daily(fx.mart_rows(spark, sf))
@@ -168,19 +177,19 @@ _COV = oracle_with("err", "station") .rstrip() + ",\n" + fx.ORACLE_REQUESTS.stri
 @register("covered_days", _COV + "SELECT request_id, day FROM covered")
 def q_covered_days(spark, sf):
     rs, rr = fx.coverage_requests(spark, sf)
-    return cov.covered_days(fx.mart_rows(spark, sf), rs, rr)
+    return cov.covered_days(fx.mart_table(spark, sf), rs, rr)
 
 
 @register("missing_days", _COV + "SELECT request_id, day FROM missing")
 def q_missing_days(spark, sf):
     rs, rr = fx.coverage_requests(spark, sf)
-    return cov.missing_days(fx.mart_rows(spark, sf), rs, rr)
+    return cov.missing_days(fx.mart_table(spark, sf), rs, rr)
 
 
 @register("missing_ranges", _COV + "SELECT request_id, range_start, range_end FROM ranges")
 def q_missing_ranges(spark, sf):
     rs, rr = fx.coverage_requests(spark, sf)
-    return cov.missing_ranges(fx.mart_rows(spark, sf), rs, rr)
+    return cov.missing_ranges(fx.mart_table(spark, sf), rs, rr)
 
 
 @register("need_info_requests", _COV +
@@ -191,7 +200,58 @@ def q_missing_ranges(spark, sf):
           "LEFT JOIN need n ON n.request_id = r.request_id")
 def q_need_info_requests(spark, sf):
     rs, rr = fx.coverage_requests(spark, sf)
-    return cov.need_info_requests(cov.missing_ranges(fx.mart_rows(spark, sf), rs, rr), rs)
+    return cov.need_info_requests(cov.missing_ranges(fx.mart_table(spark, sf), rs, rr), rs)
+
+
+# -- the read path: rows when covered, else what is missing ------------------------------
+
+_READ = oracle_with("err").rstrip() + """
+    , rr AS (SELECT 'rd-' || wmo_index AS request_id, wmo_index, min(day) AS date_from,
+                    min(day) + CAST(CAST(wmo_index AS BIGINT) % 4 * 2 AS INTEGER) + CASE WHEN CAST(wmo_index AS BIGINT) % 10 = 9 THEN 400 ELSE 0 END AS date_to
+             FROM err GROUP BY wmo_index),
+    ok AS (SELECT * FROM rr WHERE date_to - date_from + 1 <= 365),
+    cal AS (SELECT request_id, wmo_index, CAST(d AS DATE) AS day
+            FROM ok, generate_series(CAST(date_from AS TIMESTAMP), CAST(date_to AS TIMESTAMP), INTERVAL 1 DAY) t(d)),
+    missing AS (SELECT request_id, day FROM cal WHERE (wmo_index, day) NOT IN (SELECT (wmo_index, day) FROM err)),
+    ranges AS (
+        SELECT request_id, min(day) AS range_start, max(day) AS range_end
+        FROM (SELECT request_id, day, day - CAST(row_number() OVER (PARTITION BY request_id ORDER BY day) AS INTEGER) AS g FROM missing)
+        GROUP BY request_id, g)
+"""
+
+
+def _read_requests(spark, sf):
+    """One request per station, from its first day on: one, three, five or seven days, some over a year."""
+    id_ = F.col("wmo_index").cast("bigint")
+    per = fx.mart_rows(spark, sf).groupBy("wmo_index").agg(F.min("day").alias("date_from"))
+    days = (id_ % 4 * 2 + F.when(id_ % 10 == 9, 400).otherwise(0)).cast("int")
+    ranges = per.select(F.concat(F.lit("rd-"), "wmo_index").alias("request_id"), "wmo_index", "date_from", F.date_add("date_from", days).alias("date_to"))
+    return cov.read_path(fx.mart_table(spark, sf), ranges.select("request_id", "wmo_index"), ranges.select("request_id", "date_from", "date_to"))
+
+
+@register("read_path_rows", _READ + f"""
+    SELECT ok.request_id, {SQL_CONTRACT_COLS.replace('wmo_index', 'e.wmo_index')} FROM ok JOIN err e ON e.wmo_index = ok.wmo_index AND e.day BETWEEN ok.date_from AND ok.date_to
+    WHERE ok.request_id NOT IN (SELECT request_id FROM missing)""")
+def q_read_path_rows(spark, sf):
+    rows, _, _ = _read_requests(spark, sf)
+    ids = rows.select("request_id", *ROW_COLUMNS)
+    return mx.to_contract_rows(ids)
+
+
+@register("read_path_need_info", _READ + """
+    SELECT r.request_id, d.dataset_type, r.range_start AS date_from, r.range_end AS date_to,
+           sha256(r.request_id || '|' || d.dataset_type || '|' || CAST(r.range_start AS VARCHAR) || '|'
+                  || CAST(r.range_end AS VARCHAR)) AS trace_id, CAST(1 AS BIGINT) AS n_stations
+    FROM ranges r JOIN (VALUES ('actual'), ('forecast')) d(dataset_type) ON TRUE""")
+def q_read_path_need_info(spark, sf):
+    return _read_requests(spark, sf)[1]
+
+
+@register("read_path_refused", _READ + """
+    SELECT request_id, CAST(date_to - date_from + 1 AS INTEGER) AS span_days, 'RANGE_TOO_LARGE' AS error_code
+    FROM rr WHERE date_to - date_from + 1 > 365""")
+def q_read_path_refused(spark, sf):
+    return _read_requests(spark, sf)[2]
 
 
 # -- A4 / A5 / W3 / F18 / F19 / O4 / P17 -------------------------------------------------

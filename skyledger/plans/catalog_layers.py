@@ -14,7 +14,7 @@ from skyledger.operators import metrics as mx
 from skyledger.operators import requests as rq
 from skyledger.plans import fixtures as fx
 from skyledger.plans.catalog import register
-from skyledger.session import checkpoint_root, scratch_dir
+from skyledger.session import scratch_dir
 from skyledger.sources import documents as docs
 from skyledger.sources import driver_tables as dt
 from skyledger.sources.driver_tables import oracle_with
@@ -91,7 +91,6 @@ def q_run_summary(spark, sf):
            'actual/date=' || strftime(date, '%Y-%m-%d') AS raw_object_key
     FROM meas""")
 def q_documents_roundtrip(spark, sf):
-    checkpoint_root(spark, default=_local_default())
     root = scratch_dir(spark, "documents")
     m = fx.measurements(spark, sf, "actual")
     docs.write_daily_documents(m, root, "actual")
@@ -101,12 +100,6 @@ def q_documents_roundtrip(spark, sf):
     return back.select("observation_date", "station.*", "raw_object_key")
 
 
-def _local_default():
-    import os
-    import tempfile
-    return os.path.join(tempfile.gettempdir(), "skyledger-checkpoints")
-
-
 # -- S10 / F24 / F25 provider payloads built from orders x lineitem -------------------------
 
 @fx.per_session()
@@ -452,19 +445,19 @@ def q_need_info_routed(spark, sf):
 @register("manifest_split", _OE_SQL + """
     SELECT trace_id, 'valid' AS route,
            CASE WHEN topic = 'weather.forecast.raw.created' THEN 'forecast' ELSE 'actual' END AS dataset_type,
-           NULL AS reason, NULL AS details
+           NULL AS stage, NULL AS source_name, NULL AS reason, NULL AS details
     FROM oe WHERE bucket IS NOT NULL AND n_ids > 0
     UNION ALL
-    SELECT trace_id, 'failed', NULL, 'dm_trigger_invalid_event',
+    SELECT trace_id, 'failed', NULL, 'dm_trigger', 'dm_trigger', 'dm_trigger_invalid_event',
            'missing trace_id/bucket/object_keys/date_from/date_to in ' || topic || ' event'
     FROM oe WHERE NOT (bucket IS NOT NULL AND n_ids > 0)""")
 def q_manifest_split(spark, sf):
     ev = fx.order_events(spark, sf).withColumnRenamed("wmo_indexes", "object_keys")
     valid, failures = rq.split_manifests(ev)
     v = valid.select("trace_id", F.lit("valid").alias("route"), rq.topic_to_dataset(F.col("topic")).alias("dataset_type"),
-                     F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("details"))
+                     *[F.lit(None).cast("string").alias(c) for c in ("stage", "source_name", "reason", "details")])
     f = failures.select("trace_id", F.lit("failed").alias("route"), F.lit(None).cast("string").alias("dataset_type"),
-                        "reason", "details")
+                        "stage", "source_name", "reason", "details")
     return v.unionByName(f)
 
 
@@ -484,31 +477,36 @@ def q_manifest_errors(spark, sf):
 
 
 @register("build_manifest", _OE_SQL.rstrip() + ",\n" + oracle_with("wx")[len("WITH "):].rstrip() + """
-    , ok AS (SELECT * FROM oe WHERE n_ids > 0 AND CAST(date_from AS DATE) <= CAST(date_to AS DATE)),
+    , ok AS (SELECT *, CASE WHEN dataset_type = 'forecast' THEN 'forecast' ELSE 'actual' END AS ds
+             FROM oe WHERE n_ids > 0 AND CAST(date_from AS DATE) <= CAST(date_to AS DATE)),
+    pairs AS (SELECT event_id, trace_id, ds, date_from, date_to, first_id AS id FROM ok
+              UNION ALL SELECT event_id, trace_id, ds, date_from, date_to, CAST(CAST(first_id AS BIGINT) + 1 AS VARCHAR) FROM ok),
     written AS (
-        SELECT DISTINCT ok.event_id, ok.trace_id, w.day
-        FROM ok JOIN wx w ON w.wmo_index = ok.first_id
+        SELECT DISTINCT ok.event_id, ok.trace_id, ok.ds, w.day
+        FROM pairs ok JOIN wx w ON w.wmo_index = ok.id AND w.dataset_type = ok.ds
          AND w.day BETWEEN CAST(ok.date_from AS DATE) AND CAST(ok.date_to AS DATE))
     SELECT ok.trace_id,
            CASE WHEN count(w.day) > 0 THEN 'manifest' ELSE 'failed' END AS route,
            CAST(count(w.day) AS BIGINT) AS n_keys,
-           string_agg('actual/date=' || strftime(w.day, '%Y-%m-%d') || '.json', ',' ORDER BY w.day) AS object_keys
+           string_agg(w.ds || '/date=' || strftime(w.day, '%Y-%m-%d') || '.json', ',' ORDER BY w.day) AS object_keys
     FROM ok LEFT JOIN written w ON w.event_id = ok.event_id AND w.trace_id = ok.trace_id
     GROUP BY ok.trace_id""")
 def q_build_manifest(spark, sf):
     """Documents 'written' for a need-info event = the days of its range on which
-    its station has data (adapter rows); one manifest per event, or a failure."""
+    one of its stations has data of its dataset (adapter rows); one manifest per event, or a
+    failure. Each event asks for its customer's station and the next one. Events are expanded to
+    their (station, day) cells (ranges are capped), so the join is on dataset, station and day."""
     ev = fx.order_events(spark, sf).filter((F.size("wmo_indexes") > 0)
                                            & (F.to_date("date_from") <= F.to_date("date_to")))
-    ev = ev.withColumn("dataset_type", F.lit("actual"))
-    wanted = ev.select("event_id", "trace_id", F.col("wmo_indexes")[0].alias("wmo_index"),
-                       F.to_date("date_from").alias("f"), F.to_date("date_to").alias("t"))
-    rows = fx.weather_rows(spark, sf).select("wmo_index", "day").distinct()
-    written = wanted.join(rows, "wmo_index").filter(F.col("day").between(F.col("f"), F.col("t"))) \
-        .select(F.concat_ws("|", "event_id", "trace_id").alias("event_id"), "day",
-                rq.object_key_of(F.lit("actual"), F.col("day")).alias("object_key"))
-    keyed = ev.withColumn("event_id", F.concat_ws("|", "event_id", "trace_id"))
-    manifests, failures = rq.build_manifests(keyed, written)
+    ev = ev.withColumn("dataset_type", F.coalesce("dataset_type", F.lit("actual"))) \
+        .withColumn("wmo_indexes", F.flatten(F.transform("wmo_indexes", lambda x: F.array(x, (x.cast("long") + 1).cast("string"))))) \
+        .withColumn("event_id", F.concat_ws("|", "event_id", "trace_id"))
+    cells = ev.select("event_id", "dataset_type", F.explode(F.expr("sequence(to_date(date_from), to_date(date_to))")).alias("day"),
+                      "wmo_indexes").withColumn("wmo_index", F.explode("wmo_indexes")).drop("wmo_indexes")
+    rows = fx.weather_rows(spark, sf).select("dataset_type", "wmo_index", "day").distinct()
+    written = cells.join(rows, ["dataset_type", "wmo_index", "day"]) \
+        .select("event_id", "day", rq.object_key_of(F.col("dataset_type"), F.col("day")).alias("object_key"))
+    manifests, failures = rq.build_manifests(ev, written)
     m = manifests.select("trace_id", F.lit("manifest").alias("route"), F.size("object_keys").cast("long").alias("n_keys"),
                          F.array_join("object_keys", ",").alias("object_keys"))
     f = failures.select("trace_id", F.lit("failed").alias("route"), F.lit(0).cast("long").alias("n_keys"),
@@ -607,7 +605,7 @@ def q_station_coordinates(spark, sf):
     WHERE wd.observation_date = (SELECT min(day) FROM wx)""")
 def q_operational_raw_day(spark, sf):
     stations, wd = fx.operational_tables(spark, sf)
-    first_day = fx.weather_rows(spark, sf).agg(F.min("day").cast("string")).first()[0]
+    first_day = fx.weather_rows(spark, sf).agg(F.min("day").cast("string")).scalar()
     return ly.operational_to_raw(wd, stations, first_day)
 
 
@@ -652,7 +650,6 @@ _RATE_LIMIT, _RATE_WINDOW = 60, 60          # the general contract: 60 hits per
     FROM w LEFT JOIN r b ON w.n_hits > {_RATE_LIMIT} AND b.identity = w.identity AND b.rn = w.rn + {_RATE_LIMIT}""")
 def q_rate_windows(spark, sf):
     from skyledger.operators.anchored_windows import anchored_windows
-    checkpoint_root(spark, default=_local_default())
     hits = dt.table(spark, sf, "events").select(F.col("user_id").alias("identity"), "ts")
     out = anchored_windows(spark, hits, _RATE_WINDOW, _RATE_LIMIT)
     return out.select("identity", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n_hits",

@@ -4,10 +4,7 @@ back. Each one equals its batch form, so the batch oracle SQL applies."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.operators import requests as rq
@@ -15,19 +12,16 @@ from skyledger.plans import fixtures as fx
 from skyledger.plans.catalog import ORACLE, register
 from skyledger.plans.write_path import read_current_errors
 from skyledger.schemas import ERROR_FIELDS
-from skyledger.session import checkpoint_root, scratch_dir
+from skyledger.session import scratch_dir
 from skyledger.sources import documents as docs
+from skyledger.sources import driver_tables as dt
 from skyledger.sources.driver_tables import oracle_with
 from skyledger.sources.events import read_events, to_event_values
 from skyledger.streaming import manifests as sm
+from skyledger.streaming import rate_limits as rl
 from skyledger.streaming import request_state as rs
 
 
-def _scratch(spark: SparkSession, purpose: str) -> str:
-    checkpoint_root(spark, default=os.path.join(tempfile.gettempdir(), "skyledger-checkpoints"))
-    return scratch_dir(spark, purpose)
-
-
 def _publish(df: DataFrame, root: str, topic: str, copies: int = 1) -> None:
     """Write event values as JSON lines under ``<root>/topic=<topic>/`` (a file-based topic);
     ``copies > 1`` redelivers every event."""
@@ -45,15 +39,16 @@ def _await(*queries) -> None:
 
 @register("stream_request_status", ORACLE["request_status"])
 def q_stream_request_status(spark, sf):
-    root = _scratch(spark, "outcomes")
+    root = scratch_dir(spark, "outcomes")
     waiters, outcomes = fx.lineitem_requests(spark, sf)
     ready = outcomes.filter(F.col("event_type") == rq.TOPIC_DM_READY)
     failed = outcomes.filter(F.col("event_type") == rq.TOPIC_FAILED)
     _publish(ready, f"{root}/in", rq.TOPIC_DM_READY, copies=2)            # at-least-once delivery
     _publish(failed, f"{root}/in", rq.TOPIC_FAILED)
-    spark.createDataFrame([("not json",), ('{"trace_id": ',)], "value string") \
+    spark.createDataFrame([("not json",), ('{"trace_id": ',), ('{"trace_id": "none", "created_at": "yesterday"}',), ("{}",)],
+                          "value string") \
         .write.mode("append").text(f"{root}/in/topic={rq.TOPIC_FAILED}")     # poison messages
-    raw = read_events(spark, "text", f"{root}/in")
+    raw = read_events(spark, "text", f"{root}/in", maxFilesPerTrigger=1)
     _await(*rs.land_outcomes(raw, f"{root}/log", f"{root}/ckpt"))
     log = rs.read_outcome_log(spark, f"{root}/log")
     return rs.request_status(waiters, log).withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
@@ -74,7 +69,7 @@ _MART_COLS = ["wmo_index", "day", *ERROR_FIELDS]
 
 @register("stream_mart", oracle_with("err") + f"SELECT {', '.join(_MART_COLS)} FROM err")
 def q_stream_mart(spark, sf):
-    root = _scratch(spark, "mart")
+    root = scratch_dir(spark, "mart")
     bounds = fx.weather_rows(spark, sf).agg(F.min("day").cast("string").alias("f"),
                                             F.max("day").cast("string").alias("t")).first()
     manifests = []
@@ -98,11 +93,15 @@ def q_stream_mart(spark, sf):
 # -- T2: redelivered manifests are dropped --------------------------------------------------------
 
 @register("stream_manifest_dedup", "WITH " + fx.ORACLE_ORDER_EVENTS.strip() + """
-    SELECT DISTINCT CASE WHEN topic = 'weather.forecast.raw.created' THEN 'forecast' ELSE 'actual' END AS dataset_type,
-           event_id
-    FROM oe WHERE bucket IS NOT NULL AND n_ids > 0""")
+    , ok AS (SELECT CASE WHEN topic = 'weather.forecast.raw.created' THEN 'forecast' ELSE 'actual' END AS dataset_type,
+                    trace_id, event_id FROM oe WHERE bucket IS NOT NULL AND n_ids > 0)
+    SELECT dataset_type, trace_id FROM ok
+    UNION ALL
+    SELECT dataset_type, trace_id FROM ok WHERE trim(event_id) = ''""")
 def q_stream_manifest_dedup(spark, sf):
-    root = _scratch(spark, "dedup")
+    """Every manifest is delivered twice, in files whose event times go back and forth over years.
+    One with an id runs once; one without gets a fresh id each time it is delivered."""
+    root = scratch_dir(spark, "dedup")
     ev = fx.order_events(spark, sf)
     manifests = ev.select("event_id", "trace_id", F.lit("weather.raw.created").alias("event_type"),
                           F.lit(1).alias("schema_version"),
@@ -111,36 +110,99 @@ def q_stream_manifest_dedup(spark, sf):
                           "topic")
     for topic in rq.TOPIC_RAW_CREATED.values():
         _publish(manifests.filter(F.col("topic") == topic).drop("topic"), f"{root}/in", topic, copies=2)
-    valid, _failures, _bad = sm.prepare_manifests(read_events(spark, "text", f"{root}/in"))
-    q = sm.dedup_manifests(valid).select("dataset_type", "event_id").writeStream.format("parquet") \
-        .option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt") \
-        .trigger(availableNow=True).start()
-    _await(q)
-    return spark.read.schema("dataset_type string, event_id string").parquet(f"{root}/out")
+    valid, _failures, _bad = sm.prepare_manifests(read_events(spark, "text", f"{root}/in", maxFilesPerTrigger=1))
+
+    def batch(df, epoch_id):
+        fresh = sm.new_manifests(df, f"{root}/finished").select("dataset_type", "event_id", "trace_id")
+        fresh.write.mode("overwrite").parquet(f"{root}/runs/batch={epoch_id}")
+        sm.mark_finished(spark.read.parquet(f"{root}/runs/batch={epoch_id}"), f"{root}/finished")
+
+    _await(valid.writeStream.foreachBatch(batch).option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
+    return spark.read.schema("dataset_type string, trace_id string").parquet(f"{root}/runs").select("dataset_type", "trace_id")
 
 
 # -- T5: one fetch per (dataset, station, day) within the lock lifetime ---------------------------
 
-@register("stream_fetch_locks", "WITH " + fx.ORACLE_ORDER_EVENTS.strip() + """
+_LOCKS_SQL = "WITH " + fx.ORACLE_ORDER_EVENTS.strip() + """
     , ok AS (SELECT * FROM oe WHERE dataset_type IS NOT NULL AND trim(event_id) <> '' AND n_ids > 0
-                                AND CAST(date_from AS DATE) <= CAST(date_to AS DATE))
-    SELECT DISTINCT dataset_type, first_id AS wmo_index, CAST(d AS DATE) AS day
-    FROM ok, generate_series(CAST(date_from AS TIMESTAMP), CAST(date_to AS TIMESTAMP), INTERVAL 1 DAY) t(d)""")
-def q_stream_fetch_locks(spark, sf):
-    """Need-info events derived from ``orders`` (the valid ones; ranges are under a year),
-    all created at the same instant: every ``(dataset, station, day)`` cell is fetched once."""
-    root = _scratch(spark, "locks")
+                                AND CAST(date_from AS DATE) <= CAST(date_to AS DATE)),
+    cells AS (SELECT dataset_type, first_id AS wmo_index, CAST(d AS DATE) AS day, trace_id
+              FROM ok, generate_series(CAST(date_from AS TIMESTAMP), CAST(date_to AS TIMESTAMP), INTERVAL 1 DAY) t(d))
+"""
+
+
+def _lock_stream(spark, sf):
+    """Need-info events derived from ``orders`` (the valid ones; ranges are under a year), created
+    within five minutes but delivered in any order, over several micro-batches."""
+    root = scratch_dir(spark, "locks")
     ev = fx.order_events(spark, sf)
+    at = F.expr("date_format(timestampadd(SECOND, CAST(hash(trace_id) % 300 AS INT), TIMESTAMP '2026-07-06 12:20:00'), "
+                "\"yyyy-MM-dd'T'HH:mm:ss'Z'\")")
     ev = rq.valid_need_info(ev.filter(F.col("dataset_type").isNotNull())) \
-        .select("event_id", "trace_id", "dataset_type", F.lit("2026-07-06T12:20:00Z").alias("created_at"),
-                "date_from", "date_to", "wmo_indexes")
-    ev.write.mode("overwrite").json(f"{root}/in")
-    src = spark.readStream.schema(ev.schema).json(f"{root}/in")
-    cells = rs.suppress_duplicate_fetches(rs.need_info_cells(src)).select("dataset_type", "wmo_index", "day")
-    q = cells.writeStream.format("parquet").option("path", f"{root}/out") \
+        .select("event_id", "trace_id", "dataset_type", at.alias("created_at"), "date_from", "date_to", "wmo_indexes")
+    ev.repartition(3, "trace_id").write.mode("overwrite").json(f"{root}/in")
+    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).json(f"{root}/in")
+    q = rs.fetch_locks(rs.need_info_cells(src)).writeStream.format("parquet").option("path", f"{root}/out") \
+        .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
+    _await(q)
+    return spark.read.schema(rs.LOCK_OUTPUT).parquet(f"{root}/out")
+
+
+@register("stream_fetch_locks", _LOCKS_SQL + "SELECT DISTINCT dataset_type, wmo_index, day FROM cells")
+def q_stream_fetch_locks(spark, sf):
+    """Every ``(dataset, station, day)`` cell is fetched once."""
+    return _lock_stream(spark, sf).filter("acquired").select("dataset_type", "wmo_index", "day")
+
+
+@register("stream_lock_owners", _LOCKS_SQL + """
+    , asked AS (SELECT dataset_type, wmo_index, day, count(*) AS n FROM cells GROUP BY 1, 2, 3)
+    SELECT c.dataset_type, c.wmo_index, c.day, CAST(a.n AS BIGINT) AS n_asked, CAST(1 AS BIGINT) AS n_owners, true AS owner_asked
+    FROM (SELECT DISTINCT dataset_type, wmo_index, day FROM cells) c JOIN asked a USING (dataset_type, wmo_index, day)""")
+def q_stream_lock_owners(spark, sf):
+    """Every asking cell is answered with one owner's trace, and the owner is one that asked for it."""
+    locks = _lock_stream(spark, sf)
+    return locks.groupBy("dataset_type", "wmo_index", "day").agg(
+        F.count(F.lit(1)).alias("n_asked"), F.countDistinct("owner_trace_id").alias("n_owners"),
+        F.expr("count_if(acquired AND trace_id = owner_trace_id) = 1").alias("owner_asked"))
+
+
+# -- T12 stream form: hits over the limit ---------------------------------------------------------
+
+_HIT_LIMIT, _HIT_WINDOW = 2, 86_400           # of this query: two hits a day
+
+
+@register("stream_rate_breaches", f"""
+    WITH RECURSIVE
+    h AS (SELECT CAST(user_id AS VARCHAR) AS identity, epoch_us(CAST(ts AS TIMESTAMP)) AS t FROM events),
+    r AS (SELECT identity, t, row_number() OVER (PARTITION BY identity ORDER BY t) AS rn,
+                 count(*) OVER (PARTITION BY identity) AS n FROM h),
+    nx AS (SELECT a.identity, a.rn, min(b.rn) AS nrn
+           FROM r a LEFT JOIN r b ON b.identity = a.identity AND b.t >= a.t + {_HIT_WINDOW * 1_000_000}
+           GROUP BY a.identity, a.rn),
+    starts(identity, rn) AS (
+        SELECT identity, rn FROM r WHERE rn = 1
+        UNION ALL
+        SELECT s.identity, nx.nrn FROM starts s JOIN nx ON nx.identity = s.identity AND nx.rn = s.rn
+        WHERE nx.nrn IS NOT NULL)
+    SELECT r.identity, make_timestamp(w.t) AS window_start, make_timestamp(r.t) AS ts, CAST(r.rn - s.rn + 1 AS BIGINT) AS hit_no
+    FROM starts s JOIN nx ON nx.identity = s.identity AND nx.rn = s.rn
+    JOIN r w ON w.identity = s.identity AND w.rn = s.rn
+    JOIN r ON r.identity = s.identity AND r.rn >= s.rn + {_HIT_LIMIT} AND r.rn < coalesce(nx.nrn, r.n + 1)""")
+def q_stream_rate_breaches(spark, sf):
+    """Hits in three micro-batches, one after another in time, each in any order."""
+    root = scratch_dir(spark, "hits")
+    hits = dt.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("identity"), F.col("ts").cast("timestamp").alias("ts"))
+    third = F.ntile(3).over(Window.partitionBy(F.lit(0)).orderBy("day"))
+    days = hits.select(F.to_date("ts").alias("day")).distinct().withColumn("part", third)       # one row per day
+    parts = hits.withColumn("day", F.to_date("ts")).join(days, "day").drop("day")
+    for i in (1, 2, 3):
+        parts.filter(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    src = spark.readStream.schema(hits.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    q = rl.rate_breaches_stream(src, _HIT_LIMIT, _HIT_WINDOW).writeStream.format("parquet").option("path", f"{root}/out") \
         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
     _await(q)
-    return spark.read.schema("dataset_type string, wmo_index string, day date").parquet(f"{root}/out")
+    out = spark.read.schema(rl.OUTPUT_SCHEMA).parquet(f"{root}/out")
+    return out.select("identity", F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.col("ts").cast("timestamp_ntz").alias("ts"), "hit_no")
 
 
 # -- D6: the write path without the stream, actual landing first ------------------------------------
@@ -150,7 +212,7 @@ def q_order_independence(spark, sf):
     """Manifests run directly through the write path with the actual side first (the
     stream query lands the forecast first); both give the same mart."""
     from skyledger.plans.write_path import Manifest, run_manifest
-    root = _scratch(spark, "order")
+    root = scratch_dir(spark, "order")
     bounds = fx.weather_rows(spark, sf).agg(F.min("day").cast("string").alias("f"),
                                             F.max("day").cast("string").alias("t")).first()
     for ds in ("actual", "forecast"):

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import os
 import re
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,8 +64,7 @@ def mart(spark: SparkSession, sf: str) -> DataFrame:
 def store(spark: SparkSession, df: DataFrame, purpose: str, partition_by: str | None = None) -> DataFrame:
     """Write a derived input once under the shared checkpoint folder and read it back:
     the stored form of an input log or table (what the system keeps at rest)."""
-    from skyledger.session import checkpoint_root, scratch_dir
-    checkpoint_root(spark, default=os.path.join(tempfile.gettempdir(), "skyledger-checkpoints"))
+    from skyledger.session import scratch_dir
     path = scratch_dir(spark, purpose)
     writer = df.write.mode("overwrite")
     if partition_by:
@@ -80,9 +78,8 @@ def mart_table(spark: SparkSession, sf: str) -> DataFrame:
     """The error mart as a stored table (month layout), written once per session
     under the shared checkpoint folder — what the read path queries in the real
     system (the write path maintains it). Carries the ``month`` partition column."""
-    from skyledger.session import checkpoint_root, scratch_dir
+    from skyledger.session import scratch_dir
     from skyledger.sources import tables as tb
-    checkpoint_root(spark, default=os.path.join(tempfile.gettempdir(), "skyledger-checkpoints"))
     path = scratch_dir(spark, "mart")
     tb.layout(mart(spark, sf)).write.mode("overwrite").partitionBy("month").parquet(path)
     return spark.read.parquet(path)
@@ -113,7 +110,7 @@ def coverage_requests(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
     Requests are an input table of the read path, so they are stored once per
     session under the shared checkpoint folder and read back (no re-derivation
     inside every coverage plan)."""
-    from skyledger.session import checkpoint_root, scratch_dir
+    from skyledger.session import scratch_dir
     rows = weather_rows(spark, sf)
     stations = rows.select("wmo_index").distinct()
     per_station = stations.select(F.concat(F.lit("st-"), "wmo_index").alias("request_id"), "wmo_index")
@@ -125,7 +122,6 @@ def coverage_requests(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
     bounds = rows.agg(F.struct(F.min("day").alias("date_from"), F.max("day").alias("date_to"))).scalar()
     request_ranges = request_stations.select("request_id").distinct().select(
         "request_id", bounds["date_from"].alias("date_from"), bounds["date_to"].alias("date_to"))
-    checkpoint_root(spark, default=os.path.join(tempfile.gettempdir(), "skyledger-checkpoints"))
     root = scratch_dir(spark, "requests")
     request_stations.write.mode("overwrite").parquet(f"{root}/request_stations")
     request_ranges.write.mode("overwrite").parquet(f"{root}/request_ranges")
@@ -207,20 +203,22 @@ def operational_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFra
 def lineitem_requests(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Request flow derived from ``lineitem``: an order is a request waiting on one
     trace per line; a shipped line (status F) produced an outcome — a failure
-    when it was returned (flag R), else ``dm.ready``; open lines have none yet."""
+    when it was returned (flag R), else ``dm.ready``; open lines have none yet.
+    Outcomes come minutes after the request, line by line, so that some follow the one
+    before within the timeout and some do not. Lines that occur twice are redeliveries."""
     li = dt.table(spark, sf, "lineitem")
     trace = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     # A request was created at its order date (unknown when the order is missing).
     created = dt.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
                                                    F.col("o_orderdate").alias("created_at"))
-    waiters = li.join(created, "l_orderkey", "left").select(
-        F.col("l_orderkey").cast("string").alias("request_id"), trace.alias("trace_id"), "created_at")
-    done = li.filter(F.col("l_linestatus") == "F")
+    lines = li.join(created, "l_orderkey", "left")
+    waiters = lines.select(F.col("l_orderkey").cast("string").alias("request_id"), trace.alias("trace_id"), "created_at")
+    done = lines.filter(F.col("l_linestatus") == "F")
     failed = F.col("l_returnflag") == "R"
     outcomes = done.select(
         trace.alias("trace_id"),
         F.when(failed, F.lit("weather.pipeline.failed")).otherwise(F.lit("weather.dm.ready")).alias("event_type"),
-        F.col("l_shipdate").alias("created_at"),
+        F.expr("timestampadd(SECOND, CAST(l_linenumber * 300 + l_partkey % 500 AS INT), coalesce(created_at, l_shipdate))").alias("created_at"),
         F.concat(F.lit("ev-"), trace).alias("event_id"),
         F.when(failed, F.lit("dm")).alias("stage"),
         F.when(failed, F.lit("returned")).alias("reason"),
@@ -230,40 +228,53 @@ def lineitem_requests(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
 
 
 ORACLE_LINEITEM_REQUESTS = """
+    lines AS (SELECT l.*, o_orderdate FROM lineitem l LEFT JOIN orders ON o_orderkey = l_orderkey),
     waiters AS (
         SELECT CAST(l_orderkey AS VARCHAR) AS request_id,
                CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS trace_id,
                o_orderdate AS created_at
-        FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey),
+        FROM lines),
     outcomes AS (
         SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS trace_id,
                CASE WHEN l_returnflag = 'R' THEN 'weather.pipeline.failed' ELSE 'weather.dm.ready' END AS event_type,
-               l_shipdate AS created_at,
+               coalesce(o_orderdate, l_shipdate) + to_seconds(l_linenumber * 300 + l_partkey % 500) AS created_at,
                'ev-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS event_id,
                CASE WHEN l_returnflag = 'R'
                     THEN 'upstream failure (dm): returned — order ' || CAST(l_orderkey AS VARCHAR)
                          || ' line ' || CAST(l_linenumber AS VARCHAR) END AS msg
-        FROM lineitem WHERE l_linestatus = 'F'),
+        FROM lines WHERE l_linestatus = 'F'),
     per_trace AS (
         SELECT trace_id,
-               bool_or(event_type = 'weather.dm.ready') AS ready,
-               max(CASE WHEN event_type = 'weather.pipeline.failed' THEN created_at END) AS fail_at,
+               min(CASE WHEN event_type = 'weather.dm.ready' THEN created_at END) AS ready_at,
                arg_max(msg, (created_at, event_id)) FILTER (WHERE event_type = 'weather.pipeline.failed') AS fail_msg,
                max((created_at, event_id)) FILTER (WHERE event_type = 'weather.pipeline.failed') AS fail_key,
                max(created_at) AS last
         FROM outcomes GROUP BY trace_id),
-    status AS (
+    w1 AS (SELECT request_id, trace_id, min(created_at) AS created_at FROM waiters GROUP BY 1, 2),
+    touches AS (
+        SELECT request_id, created_at AS touched FROM w1 WHERE created_at IS NOT NULL
+        UNION ALL
+        SELECT w1.request_id, p.ready_at FROM w1 JOIN per_trace p ON p.trace_id = w1.trace_id WHERE p.ready_at IS NOT NULL),
+    timed_out AS (
+        SELECT DISTINCT request_id
+        FROM (SELECT request_id, touched, lag(touched) OVER (PARTITION BY request_id ORDER BY touched) AS prev FROM touches)
+        WHERE epoch_us(touched) - epoch_us(prev) > 600 * 1000000),
+    folded AS (
         SELECT w.request_id,
                CAST(count(*) AS BIGINT) AS n_traces,
-               CAST(count(*) FILTER (WHERE p.ready IS NULL AND p.fail_key IS NULL) AS BIGINT) AS n_pending,
-               arg_max(p.fail_msg, p.fail_key) AS error_message,
-               greatest(max(p.last), max(w.created_at)) AS updated_at,
-               CASE WHEN max(p.fail_key) IS NOT NULL THEN 'failed'
-                    WHEN count(*) FILTER (WHERE p.ready IS NULL AND p.fail_key IS NULL) = 0 THEN 'ready'
-                    ELSE 'pending' END AS status
-        FROM (SELECT DISTINCT request_id, trace_id, created_at FROM waiters) w
-        LEFT JOIN per_trace p ON p.trace_id = w.trace_id
-        GROUP BY w.request_id)
+               CAST(count(*) FILTER (WHERE p.ready_at IS NULL AND p.fail_key IS NULL) AS BIGINT) AS n_pending,
+               arg_max(p.fail_msg, p.fail_key) AS fail_msg, max(p.fail_key) AS fail_key,
+               greatest(max(p.last), max(w.created_at)) AS updated_at
+        FROM w1 w LEFT JOIN per_trace p ON p.trace_id = w.trace_id
+        GROUP BY w.request_id),
+    status AS (
+        SELECT f.request_id, n_traces, n_pending,
+               CASE WHEN fail_key IS NOT NULL THEN fail_msg
+                    WHEN t.request_id IS NOT NULL THEN 'timed out waiting for upstream data' END AS error_message,
+               updated_at,
+               CASE WHEN fail_key IS NOT NULL OR t.request_id IS NOT NULL THEN 'failed'
+                    WHEN n_pending = 0 THEN 'ready' ELSE 'pending' END AS status
+        FROM folded f LEFT JOIN timed_out t ON t.request_id = f.request_id)
 """
 
 

@@ -1,10 +1,10 @@
 """The write path: one manifest (dataset, day range, lineage) -> RAW, ODS, DM -> error mart.
 
 Storage is a folder of parquet tables (``<root>/<table>/month=yyyyMM/``).
-The JSON scan runs once: the run's RAW rows are checkpointed to the shared
-checkpoint folder and RAW, ODS and DM are written from that copy (a lost
-executor never forces a re-scan of the documents). The mart is then
-recomputed for the touched days from the newest DM rows of both datasets, in
+The JSON scan and the layout shuffle run once: the run's RAW files are written
+beside the RAW table, ODS and DM are derived from those files as they lie (no
+further shuffle), and then the RAW files are moved into their table; nothing is
+left behind. The mart is then recomputed for the touched days from the newest DM rows of both datasets, in
 one aggregation over their union; arrival order of actual and forecast does
 not matter and re-running a manifest leaves the newest-wins reads unchanged.
 """
@@ -21,8 +21,8 @@ from skyledger.operators import layers as ly
 from skyledger.operators.current import current
 from skyledger.schemas import DATASET_TABLES, DATASETS, DM, ERROR, ERROR_TABLE
 from skyledger.sources import documents as docs
-from skyledger.session import checkpoint_root
 from skyledger.sources import tables as tb
+from skyledger.sources.paths import adopt, path_exists, write_beside
 
 DM_KEYS = ["wmo_index", "day"]
 
@@ -54,25 +54,19 @@ def read_current_errors(spark: SparkSession, root: str, date_from: str | None =
                         date_to: str | None = None) -> DataFrame:
     """The current error mart (newest recomputation per key wins)."""
     path = table_path(root, ERROR_TABLE)
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], ERROR)
     df = tb.read_table(spark, path, date_from, date_to, schema=ERROR)
     return current(df.drop("month"), DM_KEYS, "ingested_at", "forecast_trace_id")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def recompute_errors(spark: SparkSession, root: str, date_from: str, date_to: str,
                      ingested_at: Column) -> DataFrame:
     """Mart rows for the touched days, from the newest rows of both DM tables."""
     sides = []
     for ds in DATASETS:
         path = table_path(root, DATASET_TABLES[ds]["dm"])
-        if not _exists(spark, path):
+        if not path_exists(spark, path):
             return spark.createDataFrame([], ERROR)          # the other side has not landed yet
         sides.append(tb.read_table(spark, path, date_from, date_to, schema=DM).drop("month")
                      .withColumn("dataset_type", F.lit(ds)))
@@ -82,31 +76,45 @@ def recompute_errors(spark: SparkSession, root: str, date_from: str, date_to: st
     return ly.forecast_error(pairs, ingested_at=ingested_at)
 
 
-def run_manifest(spark: SparkSession, raw_root: str, table_root: str, m: Manifest,
-                 layout: str = "document") -> dict:
-    """T1 body for one manifest: S1..S4 -> P1 -> RAW -> P2 -> ODS -> P3 -> DM -> D6 -> summary."""
+def land_manifest(spark: SparkSession, raw_root: str, table_root: str, m: Manifest, stamp: Column,
+                  layout: str = "document") -> dict:
+    """S1..S4 -> P1 -> RAW -> P2 -> ODS -> P3 -> DM -> S12 for one manifest."""
     names = DATASET_TABLES[m.dataset_type]
-    stamp = run_instant(spark)                                    # F9: one literal per run
     stations = docs.explode_stations(docs.scan_daily_documents(spark, raw_root, m.dataset_type, m.date_from,
                                                                m.date_to, layout=layout))
     raw = ly.to_raw(stations, source_name=m.source_name, bucket=m.bucket, event_id=m.event_id,
                     trace_id=m.trace_id, event_created_at=iso_instant_to_ts(F.lit(m.created_at)),
                     ingested_at=stamp)
-    # Lineage cut: the run's RAW rows are checkpointed once (reliable checkpoint under
-    # spark.checkpoint.dir); RAW, ODS and DM are all written from that copy, so the
-    # JSON is parsed once and a lost executor never re-reads documents or other runs.
-    checkpoint_root(spark)
-    written = raw.checkpoint()
-    tb.append_layer(written, table_path(table_root, names["raw"]), day_col="observation_date")
+    raw_table = table_path(table_root, names["raw"])
+    side = write_beside(tb.layout(raw, "observation_date"), raw_table, "month")
+    written = spark.read.schema(raw.schema).parquet(side)         # this run's rows, sorted files by month
     ods = ly.to_ods(written)
-    tb.append_layer(ods, table_path(table_root, names["ods"]), day_col="observation_date")
-    dm = ly.to_dm(ods)
-    tb.append_layer(dm, table_path(table_root, names["dm"]))
-    errors = recompute_errors(spark, table_root, m.date_from, m.date_to, stamp)
-    tb.append_layer(errors, table_path(table_root, ERROR_TABLE))
-    record_count = written.count()
-    return {"record_count": int(record_count), "date_from": m.date_from, "date_to": m.date_to,
-            "dataset_type": m.dataset_type}
+    tb.append_as_laid(ods, table_path(table_root, names["ods"]), day_col="observation_date")
+    tb.append_as_laid(ly.to_dm(ods), table_path(table_root, names["dm"]))
+    summary = run_summary(written, m.dataset_type, m.date_from, m.date_to).first().asDict()
+    adopt(spark, side, raw_table, "month")
+    return summary
+
+
+def recompute_mart(spark: SparkSession, table_root: str, ranges: list[tuple[str, str]], stamp: Column) -> None:
+    """D6 for the touched days of one or more manifests (overlapping ranges once)."""
+    merged: list[list[str]] = []
+    for first, last in sorted(ranges):
+        if merged and first <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], last)
+        else:
+            merged.append([first, last])
+    for first, last in merged:
+        tb.append_layer(recompute_errors(spark, table_root, first, last, stamp), table_path(table_root, ERROR_TABLE))
+
+
+def run_manifest(spark: SparkSession, raw_root: str, table_root: str, m: Manifest,
+                 layout: str = "document") -> dict:
+    """T1 body for one manifest: land its rows, recompute its days of the mart, return the summary."""
+    stamp = run_instant(spark)                                    # F9: one literal per run
+    summary = land_manifest(spark, raw_root, table_root, m, stamp, layout)
+    recompute_mart(spark, table_root, [(m.date_from, m.date_to)], stamp)
+    return summary
 
 
 def run_summary(df: DataFrame, dataset: str, date_from: str, date_to: str) -> DataFrame:

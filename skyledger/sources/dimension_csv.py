@@ -33,8 +33,9 @@ def _safe_double(c: F.Column) -> F.Column:
 
 
 def read_station_rows(spark: SparkSession, path: str) -> DataFrame:
-    """CSV rows in file order with an explicit ``line_no`` (file name, then offset)."""
-    raw = spark.read.schema(CSV_SCHEMA).option("header", "true").csv(path)
+    """CSV rows in file order with an explicit ``line_no`` (file name, then offset). A quoted
+    field may span lines and hold doubled quotes."""
+    raw = spark.read.schema(CSV_SCHEMA).option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
     raw = raw.select("*", F.col("_metadata.file_name").alias("_file"),
                      F.col("_metadata.file_block_start").alias("_block"))
     # Line order = (file, split offset, position inside the split): exact file

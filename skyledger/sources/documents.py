@@ -19,6 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.schemas import DAILY_ARRAYS, DATASET_TABLES, MEASUREMENT, PAYLOAD, RAW_DOC
+from skyledger.sources.paths import child_names
+
+class MissingDays(FileNotFoundError):
+    """Days of a requested range without documents."""
+
 
 SOURCE_KEY_RX = r"([^/]+/date=[0-9]{4}-[0-9]{2}-[0-9]{2}(?:\.json)?)(?:/[^/]*)?$"
 
@@ -44,15 +49,20 @@ def scan_daily_documents(spark: SparkSession, root: str, dataset: str, date_from
                          layout: str = "document") -> DataFrame:
     """S1 (+S2, S3, U1): ``date, stations, raw_object_key`` for every day of the range.
 
-    A missing daily file fails the scan (the run must not silently skip a day)."""
+    A missing day fails the scan in both layouts, and a document that is not JSON of the
+    schema (cut short, a value of another type) fails the run: no day is skipped silently."""
     root = root.rstrip("/")
     if layout == "document":
         paths = [f"{root}/{k}" for k in object_keys(dataset, date_from, date_to)]
-        docs = spark.read.schema(RAW_DOC).option("multiLine", "true").option("mode", "PERMISSIVE").json(paths)
+        docs = spark.read.schema(RAW_DOC).option("multiLine", "true").option("mode", "FAILFAST").json(paths)
         return with_source_key(docs).select("date", "stations", "raw_object_key")
     prefix = DATASET_TABLES[dataset]["prefix"]
+    there = set(child_names(spark, f"{root}/{prefix}"))
+    missing = [d for d in day_strings(date_from, date_to) if f"date={d}" not in there]
+    if missing:
+        raise MissingDays(f"[PATH_NOT_FOUND] no documents of {dataset} for {len(missing)} days, first {missing[0]}")
     lines = spark.read.schema(T.StructType(MEASUREMENT.fields + [T.StructField("date", T.DateType())])) \
-        .option("basePath", f"{root}/{prefix}").json(f"{root}/{prefix}")
+        .option("basePath", f"{root}/{prefix}").option("mode", "FAILFAST").json(f"{root}/{prefix}")
     lines = lines.filter(F.col("date").between(F.to_date(F.lit(date_from)), F.to_date(F.lit(date_to))))
     lines = with_source_key(lines)
     return lines.select("date", F.struct(*[f.name for f in MEASUREMENT.fields]).alias("station"), "raw_object_key")
@@ -80,7 +90,7 @@ def write_daily_documents(measurements: DataFrame, root: str, dataset: str, mode
     cols = [f.name for f in MEASUREMENT.fields]
     out = measurements.select(F.col("date").cast("date").alias("date"), *cols)
     out.repartitionByRange("date", "wmo_index").sortWithinPartitions("date", "wmo_index") \
-        .write.mode(mode).partitionBy("date").json(f"{root.rstrip('/')}/{prefix}")
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("date").json(f"{root.rstrip('/')}/{prefix}")
 
 
 def measurements_by_date(measurements: DataFrame) -> DataFrame:

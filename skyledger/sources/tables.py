@@ -3,9 +3,9 @@ month layout, and rewrite safely (S6, S7, S13, D1, D3).
 
 A table is a folder of parquet files partitioned by ``month`` (``yyyyMM``)
 and sorted by ``(wmo_index, day)`` inside each file, so a day range prunes
-partitions and row groups. Rewrites never overwrite a path that the same
-plan is reading: they stage the result under the shared checkpoint folder
-first and then replace the touched partitions from the staged copy.
+partitions and row groups. Rewrites write their new files in full, move them
+into the table and only then remove the files they replace: a crash loses no
+row, and rows appended meanwhile stay.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.operators.metrics import between_days
-from skyledger.session import scratch_dir
+from skyledger.sources.paths import path_exists, switch_files
 
 
 def month_of(day_col: str) -> F.Column:
@@ -51,28 +51,33 @@ def append_layer(df: DataFrame, path: str, day_col: str = "day") -> None:
     layout(df, day_col).write.mode("append").partitionBy("month").parquet(path)
 
 
-def replace_partitions(spark: SparkSession, new: DataFrame, path: str, part_col: str = "month") -> None:
-    """D3: dynamic partition overwrite — only partitions present in ``new`` are replaced."""
-    staged = scratch_dir(spark, "stage")
-    new.write.mode("overwrite").partitionBy(part_col).parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(part_col).parquet(path)
+def append_as_laid(df: DataFrame, path: str, day_col: str = "day") -> None:
+    """S7/D1 for rows that already lie in the month layout: append without another shuffle."""
+    df.withColumn("month", month_of(day_col)).write.mode("append").partitionBy("month").parquet(path)
+
+
+def replace_partitions(spark: SparkSession, new: DataFrame, path: str, part_col: str = "month",
+                       old_files: list[str] | None = None) -> None:
+    """D3: only partitions present in ``new`` are replaced. ``old_files``: the table's files as
+    they were when ``new`` was derived from them (default: those of now)."""
+    if old_files is None:
+        old_files = spark.read.parquet(path).inputFiles() if path_exists(spark, path) else []
+    switch_files(spark, new, path, old_files, part_col)
 
 
 def replace_days(spark: SparkSession, new: DataFrame, path: str, day_col: str = "day") -> None:
     """D3 (delete day, then insert): every day present in ``new`` is replaced wholly;
-    other days of the touched months are carried over from the current table."""
-    try:
+    other days of the touched months are carried over from the current table. Only an
+    absent table counts as empty; any other read error is raised."""
+    fresh, old_files = new.withColumn("month", month_of(day_col)), []
+    if path_exists(spark, path):
         old = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first write: no table yet
-        old = None
-    fresh = new.withColumn("month", month_of(day_col))
-    if old is not None:
+        old_files = old.inputFiles()
         months = fresh.select("month").distinct()
         kept = old.join(months, "month", "left_semi").join(fresh.select(day_col).distinct(), day_col, "left_anti")
         fresh = kept.unionByName(fresh.select(*kept.columns))
     replace_partitions(spark, fresh.repartitionByRange("month", "wmo_index", day_col)
-                       .sortWithinPartitions("wmo_index", day_col), path)
+                       .sortWithinPartitions("wmo_index", day_col), path, old_files=old_files)
 
 
 def compact_current(spark: SparkSession, path: str, keys: list[str], version: str, tie: str | None = None,
@@ -80,9 +85,10 @@ def compact_current(spark: SparkSession, path: str, keys: list[str], version: st
     """Rewrite touched months keeping only the newest version per key."""
     from skyledger.operators.current import current
     df = spark.read.parquet(path)
+    old_files = df.inputFiles()
     if touched_months is not None:
         df = df.join(touched_months.select("month").distinct(), "month", "left_semi")
-    replace_partitions(spark, current(df, keys + ["month"], version, tie), path)
+    replace_partitions(spark, current(df, keys + ["month"], version, tie), path, old_files=old_files)
 
 
 STATE_SCHEMA = "pipeline_name string, key string, value string, updated_at timestamp"
@@ -91,19 +97,15 @@ STATE_SCHEMA = "pipeline_name string, key string, value string, updated_at times
 def upsert_state(spark: SparkSession, path: str, updates: DataFrame) -> None:
     """Pipeline state ``(pipeline_name, key) -> value``; a newer update replaces the old value.
 
-    The table is small and keyed; the merged result is staged under the shared
-    checkpoint folder first, so the table is never overwritten while it is read."""
+    The table is small and keyed; the merged files are written first and then take the
+    place of the files they were read from. Only an absent table counts as empty."""
     from skyledger.operators.current import current
-    try:
+    fresh, old_files = updates.select("pipeline_name", "key", "value", "updated_at").withColumn("_src", F.lit(1)), []
+    if path_exists(spark, path):
         old = spark.read.schema(STATE_SCHEMA).parquet(path)
-        old.schema  # noqa: B018 - resolve now: a missing table raises here
-    except Exception:  # noqa: BLE001 - first write
-        old = spark.createDataFrame([], STATE_SCHEMA)
-    both = old.withColumn("_src", F.lit(0)).unionByName(updates.select(*old.columns).withColumn("_src", F.lit(1)))
-    merged = current(both, ["pipeline_name", "key"], "_src").drop("_src")
-    staged = scratch_dir(spark, "state")
-    merged.write.mode("overwrite").parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+        old_files = old.inputFiles()
+        fresh = old.withColumn("_src", F.lit(0)).unionByName(fresh)
+    switch_files(spark, current(fresh, ["pipeline_name", "key"], "_src").drop("_src"), path, old_files)
 
 
 def read_jdbc_table(spark: SparkSession, url: str, table: str, date_from: str | None = None,

@@ -2,39 +2,61 @@
 
 ``raw.created`` events arrive on a topic (or as JSON-lines files). Each
 micro-batch: parse with an explicit schema (garbage -> quarantine), split
-valid/invalid manifests (P13), drop redeliveries of the same
-``(dataset_type, event_id)`` within a watermark on ``created_at`` (T2), then
-``foreachBatch`` runs the write path for every valid manifest and appends one
-outcome event per manifest (``dm.ready`` or ``pipeline.failed``) under
-``<outcomes>/kind=run``; invalid manifests land under ``<outcomes>/kind=invalid``.
+valid/invalid manifests (P13), then ``foreachBatch`` drops redeliveries of a
+``(dataset_type, event_id)`` that a durable table of finished runs has (T2),
+runs the write path for every new manifest, appends one outcome event per
+manifest (``dm.ready`` or ``pipeline.failed``) under ``<outcomes>/kind=run`` and
+then its id to the table; invalid manifests land under ``<outcomes>/kind=invalid``.
+No manifest is dropped for its time, however late it is.
 
 At-least-once (T10): the checkpoint commits a batch only after the function
-returned; a replayed batch re-appends rows that newest-wins reads collapse.
+returned; a replayed batch re-appends rows that newest-wins reads collapse. Only
+faults of the input (missing or unreadable documents, bad dates) become failure
+events; any other error stops the batch, which is then tried again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.functions.timefmt import iso_instant_to_ts
 from skyledger.operators import requests as rq
-from skyledger.plans.write_path import Manifest, run_manifest
+from skyledger.functions.timefmt import run_instant
+from skyledger.plans.write_path import Manifest, land_manifest, recompute_mart
 from skyledger.schemas import RAW_CREATED_EVENT
+from skyledger.sources.documents import MissingDays
 from skyledger.sources.events import parse_events
+from skyledger.sources.paths import path_exists
 
-DEDUP_DELAY = "1 hour"
+AT_ONCE = 8                      # manifests that land side by side
+FINISHED_SCHEMA = "dataset_type string, event_id string"
+# Error classes of documents that are not there or not readable as documents.
+INPUT_ERRORS = ("PATH_NOT_FOUND", "MALFORMED_RECORD", "FAILED_READ_FILE.FILE_NOT_EXIST", "Malformed records", "DATETIME", "Invalid isoformat")
 OUTCOME_COLUMNS = ["event_id", "trace_id", "event_type", "dataset_type", "date_from", "date_to", "record_count",
                    "stage", "source_name", "reason", "details", "created_at"]
 
 
-def dedup_manifests(manifests: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
-    """A redelivered manifest (same dataset and event id) is dropped.
+def new_manifests(batch: DataFrame, finished_path: str) -> DataFrame:
+    """The manifests of a batch whose run is not finished yet, each ``(dataset_type, event_id)`` once.
+
+    A manifest without an id gets a fresh one, so that two of them are two runs."""
+    spark = batch.sparkSession
+    named = batch.withColumn("event_id", F.expr("CASE WHEN trim(event_id) <> '' THEN event_id ELSE uuid() END"))
+    if path_exists(spark, finished_path):
+        finished = spark.read.schema(FINISHED_SCHEMA).parquet(finished_path)
+        named = named.join(finished, ["dataset_type", "event_id"], "left_anti")
+    return named.dropDuplicates(["dataset_type", "event_id"])
+
+
+def mark_finished(manifests: DataFrame, finished_path: str) -> None:
+    manifests.select("dataset_type", "event_id").write.mode("append").parquet(finished_path)
+
 
-    The watermark is on the event's ``created_at`` (never on observation days,
-    which reach back to 1960), so dedup state is bounded by ``delay``."""
-    with_ts = manifests.withColumn("created_ts", iso_instant_to_ts(F.col("created_at")))
-    return with_ts.withWatermark("created_ts", delay).dropDuplicatesWithinWatermark(["dataset_type", "event_id"])
+def is_input_error(exc: BaseException) -> bool:
+    return isinstance(exc, (MissingDays, ValueError)) or any(k in str(exc) for k in INPUT_ERRORS)
 
 
 def prepare_manifests(raw_values: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -54,54 +76,68 @@ def _outcome_row(spark: SparkSession, rows: list[dict]) -> DataFrame:
 
 def process_manifest_batch(batch: DataFrame, epoch_id: int, *, raw_root: str, table_root: str,
                            outcome_path: str, layout: str = "document") -> None:
-    """``foreachBatch`` body. Only the manifests (small control records, bounded by
-    the trigger size) come to the driver; each one's data work is distributed."""
+    """``foreachBatch`` body. Manifests are small control records; they come to the driver one
+    partition at a time (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger`` bounds a batch), and each
+    one's data work is distributed. Up to ``AT_ONCE`` of them land side by side; the mart is then
+    recomputed once for all days they touched."""
     spark = batch.sparkSession
-    outcomes = []
-    for m in batch.select("dataset_type", "date_from", "date_to", "trace_id", "event_id", "bucket",
-                          "source_name", "created_at").collect():
-        manifest = Manifest(m.dataset_type, m.date_from, m.date_to, m.trace_id, m.event_id, m.bucket,
-                            m.source_name or "", m.created_at or "")
-        try:
-            summary = run_manifest(spark, raw_root, table_root, manifest, layout=layout)
-            outcomes.append({"event_id": f"ready-{m.dataset_type}-{m.event_id}", "trace_id": m.trace_id,
-                             "event_type": rq.TOPIC_DM_READY, "dataset_type": m.dataset_type,
-                             "date_from": m.date_from, "date_to": m.date_to,
-                             "record_count": summary["record_count"], "created_at": m.created_at})
-        except Exception as exc:  # noqa: BLE001 - a failed run becomes a failure event (T7)
-            outcomes.append({"event_id": f"failed-{m.dataset_type}-{m.event_id}", "trace_id": m.trace_id,
-                             "event_type": rq.TOPIC_FAILED, "stage": "dm", "source_name": "mart_pipeline",
-                             "reason": "dag_task_failed", "details": str(exc)[:rq.ERROR_TEXT_MAX],
-                             "created_at": m.created_at})
-    if outcomes:
-        _outcome_row(spark, outcomes).write.mode("append").json(f"{outcome_path}/kind=run")
-
-
-def write_failures(failures: DataFrame, outcome_path: str, checkpoint: str):
-    """Invalid manifests -> ``pipeline.failed`` rows (streaming append)."""
-    out = failures.select(F.concat(F.lit("invalid-"), F.col("trace_id")).alias("event_id"), "trace_id",
-                          "event_type", F.lit(None).cast("string").alias("dataset_type"),
+    finished_path = f"{outcome_path.rstrip('/')}_finished"
+    fresh = new_manifests(batch, finished_path).select(
+        "dataset_type", "date_from", "date_to", "trace_id", "event_id", "bucket", "source_name", "created_at").persist()
+    try:
+        rows = fresh.toLocalIterator()
+        while group := list(islice(rows, AT_ONCE)):
+            manifests = [Manifest(m.dataset_type, m.date_from, m.date_to, m.trace_id, m.event_id, m.bucket,
+                                  m.source_name or "", m.created_at or "") for m in group]
+            stamp = run_instant(spark)
+            with ThreadPoolExecutor(AT_ONCE) as pool:
+                outcomes = list(pool.map(lambda m, stamp=stamp: _landed(spark, m, raw_root, table_root, layout, stamp), manifests))
+            landed = [(m.date_from, m.date_to) for m, o in zip(manifests, outcomes) if o["event_type"] == rq.TOPIC_DM_READY]
+            recompute_mart(spark, table_root, landed, stamp)
+            _outcome_row(spark, outcomes).write.mode("append").json(f"{outcome_path}/kind=run")
+            mark_finished(spark.createDataFrame([(m.dataset_type, m.event_id) for m in manifests], FINISHED_SCHEMA), finished_path)
+    finally:
+        fresh.unpersist()
+
+
+def _landed(spark: SparkSession, m: Manifest, raw_root: str, table_root: str, layout: str, stamp: Column) -> dict:
+    """The outcome event of one manifest."""
+    try:
+        summary = land_manifest(spark, raw_root, table_root, m, stamp, layout)
+    except Exception as exc:  # noqa: BLE001 - only faults of the input become failure events
+        if not is_input_error(exc):
+            raise
+        return {"event_id": f"failed-{m.dataset_type}-{m.event_id}", "trace_id": m.trace_id,
+                "event_type": rq.TOPIC_FAILED, "stage": rq.JOB_STAGE, "source_name": rq.JOB_SOURCE,
+                "reason": rq.JOB_REASON, "details": str(exc)[:rq.ERROR_TEXT_MAX], "created_at": m.created_at}
+    return {"event_id": f"ready-{m.dataset_type}-{m.event_id}", "trace_id": m.trace_id,
+            "event_type": rq.TOPIC_DM_READY, "dataset_type": m.dataset_type, "date_from": m.date_from,
+            "date_to": m.date_to, "record_count": summary["record_count"], "created_at": m.created_at}
+
+
+def write_failures(failures: DataFrame, outcome_path: str, checkpoint: str, trigger: dict):
+    """Invalid manifests -> ``pipeline.failed`` rows (streaming append), each with an id of its own."""
+    out = failures.select(F.expr("concat('invalid-', CASE WHEN trim(event_id) <> '' THEN event_id ELSE uuid() END)").alias("event_id"),
+                          "trace_id", "event_type", F.lit(None).cast("string").alias("dataset_type"),
                           F.lit(None).cast("string").alias("date_from"), F.lit(None).cast("string").alias("date_to"),
                           F.lit(None).cast("long").alias("record_count"), "stage", "source_name", "reason", "details",
-                          F.lit(None).cast("string").alias("created_at"))
+                          F.coalesce("created_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("created_at"))
     # Own partition folder: a streaming file sink keeps a metadata log that would
     # hide files other writers add to the same folder.
     return out.writeStream.format("json").option("path", f"{outcome_path}/kind=invalid") \
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def run_manifest_stream(spark: SparkSession, raw_values: DataFrame, *, raw_root: str, table_root: str,
                         outcome_path: str, checkpoint: str, layout: str = "document", available_now: bool = True):
     """Start the manifest stream; returns the running queries (main, failures, quarantine)."""
     valid, failures, quarantine = prepare_manifests(raw_values)
-    deduped = dedup_manifests(valid)
-    writer = deduped.writeStream.foreachBatch(
+    trigger = {"availableNow": True} if available_now else {"processingTime": "30 seconds"}
+    main = valid.writeStream.foreachBatch(
         lambda df, eid: process_manifest_batch(df, eid, raw_root=raw_root, table_root=table_root,
                                                outcome_path=outcome_path, layout=layout)) \
-        .option("checkpointLocation", f"{checkpoint}/manifests")
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
-    main = writer.start()
-    fail_q = write_failures(failures, outcome_path, f"{checkpoint}/failures")
+        .option("checkpointLocation", f"{checkpoint}/manifests").trigger(**trigger).start()
+    fail_q = write_failures(failures, outcome_path, f"{checkpoint}/failures", trigger)
     quarantine_q = quarantine.writeStream.format("json").option("path", f"{outcome_path}_quarantine") \
-        .option("checkpointLocation", f"{checkpoint}/quarantine").trigger(availableNow=True).start()
+        .option("checkpointLocation", f"{checkpoint}/quarantine").trigger(**trigger).start()
     return main, fail_q, quarantine_q

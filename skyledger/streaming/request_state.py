@@ -1,35 +1,44 @@
 """Request state from event streams.
 
 State is an append-only log of outcome events on shared storage, and a
-request's status is an order-independent fold over it (A11): failure wins
-over everything, ``ready`` needs every waited-on trace resolved. Because the
-fold is idempotent (duplicates and replays change nothing) and commutative
-(arrival order changes nothing), the stream only has to land parsed events;
+request's status is a fold over it (A11 + T4): failure wins over everything, a
+timeout over later successes, and ``ready`` needs every waited-on trace
+resolved. The fold goes by the instants of the events, so duplicates, replays and
+the order of arrival change nothing; the stream only has to land parsed events,
 no per-request mutable state is kept in memory, a hot request is reduced by
 partial aggregates like any other, and a lost executor only replays a batch.
 
-T5 (suppress duplicate fetches) keeps one need-info cell per
-``(dataset, station, day)`` within the lock lifetime using native
-watermark-bounded dedup state.
+T5 (suppress duplicate fetches) keeps one lock per ``(dataset, station, day)``
+with the trace that owns it. No cell is dropped for being late: each one either
+takes the lock or is answered with its owner, whose trace the new request waits on.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from skyledger.functions.timefmt import iso_instant_to_ts
 from skyledger.operators import requests as rq
 from skyledger.schemas import ANY_EVENT
 from skyledger.sources.events import parse_events
 
-LOCK_TTL = "600 seconds"
+LOCK_TTL_SECONDS = 600
+LOCK_STATE = "owner string, locked_us long"
+LOCK_OUTPUT = ("dataset_type string, wmo_index string, day date, event_id string, trace_id string, created_ts timestamp, "
+               "acquired boolean, owner_trace_id string")
 
 
 def land_outcomes(raw_values: DataFrame, log_path: str, checkpoint: str, available_now: bool = True):
     """T3 input: parse ``dm.ready`` / ``pipeline.failed`` values and append them to the outcome log.
 
-    Unparsable values go to ``<log>_quarantine`` (T11) instead of stopping the stream."""
+    Unparsable values go to ``<log>_quarantine`` (T11) instead of stopping the stream; an event
+    whose ``created_at`` is no instant lands without one and still resolves its trace."""
     parsed, quarantine = parse_events(raw_values, ANY_EVENT)
     events = parsed.withColumn("created_at", iso_instant_to_ts(F.col("created_at"))) \
         .withColumn("event_type", F.coalesce(F.col("event_type"), F.col("topic"))) \
@@ -46,9 +55,9 @@ def request_status(waiters: DataFrame, outcome_log: DataFrame, now: Column | Non
                    timeout_s: int = rq.TIMEOUT_SECONDS) -> DataFrame:
     """T3 + T4: status of every request from its waited-on traces and the outcome log.
 
-    With ``now`` the timeout sweep is applied (pending and idle longer than the
+    With ``now`` the timeout sweep is applied to what is still pending (idle longer than the
     timeout -> failed)."""
-    status = rq.request_status_rollup(waiters, outcome_log)
+    status = rq.request_status_rollup(waiters, outcome_log, timeout_s)
     return rq.request_timeouts(status, now, timeout_s) if now is not None else status
 
 
@@ -57,22 +66,56 @@ def waiter_rows(requests: DataFrame) -> DataFrame:
     return requests.select("request_id", F.explode("pending_trace_ids").alias("trace_id")).distinct()
 
 
-def suppress_duplicate_fetches(cells: DataFrame, ts_col: str = "created_ts", ttl: str = LOCK_TTL) -> DataFrame:
-    """T5: first need-info cell per ``(dataset_type, wmo_index, day)`` within the lock lifetime.
-
-    Every cell of a range is checked (not only its first station and day).
-    The expiry is event-time based (watermark on ``ts_col``), not wall clock."""
-    return cells.withWatermark(ts_col, ttl).dropDuplicatesWithinWatermark(["dataset_type", "wmo_index", "day"])
+def fetch_locks(cells: DataFrame, ttl_s: int = LOCK_TTL_SECONDS) -> DataFrame:
+    """T5: every need-info cell with ``acquired`` and the trace that owns its lock.
+
+    The first cell of a ``(dataset_type, wmo_index, day)`` takes the lock for ``ttl_s`` seconds from
+    its instant; a cell within that time (or a late one, stamped before it) is answered with the
+    owner's trace; a later one takes the lock anew. A lock is forgotten after ``ttl_s`` seconds
+    of processing time without a cell: a late cell then is fetched again, never lost."""
+    ttl_us = ttl_s * 1_000_000
+
+    def lock(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        owner, locked = state.get if state.exists else (None, None)
+        for part in batches:
+            part = part.sort_values(["created_ts", "event_id"], kind="stable", na_position="first").reset_index(drop=True)
+            at = part["created_ts"].to_numpy().astype("datetime64[us]").astype("int64")
+            known = part["created_ts"].notna().to_numpy()
+            acquired = np.zeros(len(part), bool)
+            owners = np.empty(len(part), object)
+            i = 0
+            while i < len(part):                         # one step per lock, not per cell
+                if locked is None or known[i] and at[i] >= locked + ttl_us:
+                    owner, locked, acquired[i] = part["trace_id"][i], int(at[i]) if known[i] else 0, True
+                end = max(int(np.searchsorted(np.where(known, at, np.iinfo(np.int64).min), locked + ttl_us)), i + 1)
+                owners[i:end] = owner
+                i = end
+            yield part.assign(acquired=acquired, owner_trace_id=owners)[[f.split()[0] for f in LOCK_OUTPUT.split(", ")]]
+        if locked is not None:
+            state.update((owner, locked))
+            state.setTimeoutDuration(ttl_s * 1000)
+
+    return cells.groupBy("dataset_type", "wmo_index", "day").applyInPandasWithState(
+        lock, LOCK_OUTPUT, LOCK_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def suppress_duplicate_fetches(cells: DataFrame, ttl_s: int = LOCK_TTL_SECONDS) -> DataFrame:
+    """T5: the cells to fetch (those that took their lock)."""
+    return fetch_locks(cells, ttl_s).filter("acquired").drop("acquired", "owner_trace_id")
 
 
 def need_info_cells(need_info: DataFrame) -> DataFrame:
-    """Expand need-info events to ``(dataset_type, wmo_index, day)`` cells (range capped upstream)."""
-    d_from, d_to = F.to_date("date_from"), F.to_date("date_to")
+    """Expand need-info events to ``(dataset_type, wmo_index, day)`` cells (range capped upstream).
+    Events whose dates are no dates, or in the wrong order, have no cells (P12 reports them)."""
+    d_from, d_to = F.col("date_from").try_cast("date"), F.col("date_to").try_cast("date")
     return need_info.select(
         "event_id", "trace_id", "dataset_type", iso_instant_to_ts(F.col("created_at")).alias("created_ts"),
         F.explode("wmo_indexes").alias("wmo_index"), d_from.alias("_f"), d_to.alias("_t")) \
-        .select("event_id", "trace_id", "dataset_type", "created_ts", "wmo_index",
-                F.explode(F.sequence("_f", "_t")).alias("day"))
+        .filter("_f <= _t") \
+        .select("dataset_type", "wmo_index", F.explode(F.sequence("_f", "_t")).alias("day"), "event_id", "trace_id", "created_ts")
 
 
 def read_outcome_log(spark: SparkSession, log_path: str) -> DataFrame:

@@ -22,6 +22,44 @@ def _write_lines(path, rows):
             fh.write((r if isinstance(r, str) else json.dumps(r)) + "\n")
 
 
+def brute_force_breaches(rows, limit, window_s):
+    """``(identity, window_start_s, ts_s, hit_no)`` of every hit over the limit, hit by hit."""
+    out, by_id = [], {}
+    for ident, t in rows:
+        by_id.setdefault(ident, []).append(t)
+    for ident, ts in by_id.items():
+        start, count = None, 0
+        for t in ts:
+            if start is None or t >= start + window_s:
+                start, count = t, 0
+            count += 1
+            if count > limit:
+                out.append((ident, start, t, count))
+    return sorted(out)
+
+
+def _breaches(spark, workdir, files, limit, window):
+    for i, part in enumerate(files):
+        _write_lines(os.path.join(workdir, "hits", f"part-{i}.json"),
+                     [{"identity": a, "ts": datetime.fromtimestamp(t, timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")} for a, t in part])
+        os.utime(os.path.join(workdir, "hits", f"part-{i}.json"), (1_700_000_000 + i, 1_700_000_000 + i))
+    hits = spark.readStream.schema("identity string, ts timestamp").option("maxFilesPerTrigger", 1) \
+        .json(os.path.join(workdir, "hits"))
+    rl.rate_breaches_stream(hits, limit, window).writeStream.format("parquet") \
+        .option("path", os.path.join(workdir, "out")).option("checkpointLocation", os.path.join(workdir, "ck")) \
+        .trigger(availableNow=True).start().awaitTermination()
+    return sorted((r.identity, int(r.window_start.replace(tzinfo=timezone.utc).timestamp()),
+                   int(r.ts.replace(tzinfo=timezone.utc).timestamp()), r.hit_no)
+                  for r in spark.read.parquet(os.path.join(workdir, "out")).collect())
+
+
+def test_late_hits_are_counted(spark, workdir):
+    """Seven hits, limit four; two come after later ones: the fifth to the seventh counted are breaches."""
+    t = 1_700_000_000
+    files = [[("a", t), ("a", t + 30)], [("a", t + 10), ("a", t + 5), ("a", t + 31)], [("a", t + 2)], [("a", t + 40), ("b", t)]]
+    assert sorted(b[3] for b in _breaches(spark, workdir, files, 4, 60)) == [5, 6, 7]
+
+
 def test_rate_breaches_match_brute_force(spark, workdir):
     rnd = random.Random(7)
     rows = []
@@ -31,23 +69,11 @@ def test_rate_breaches_match_brute_force(spark, workdir):
             t += rnd.choice([0, 0, 1, 1, 2, 5, 30, 70])
             rows.append((ident, 1_700_000_000 + t))
     limit, window = 10, 60
-    expected = rl.brute_force_breaches(rows, limit, window)
     # Hits arrive in time order, a few files (micro-batches) at a time.
     rows.sort(key=lambda r: r[1])
+    expected = brute_force_breaches(rows, limit, window)
     chunk = len(rows) // 4 + 1
-    for i in range(4):
-        part = [{"identity": a, "ts": datetime.fromtimestamp(t, timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")}
-                for a, t in rows[i * chunk:(i + 1) * chunk]]
-        _write_lines(os.path.join(workdir, "hits", f"part-{i}.json"), part)
-    hits = spark.readStream.schema("identity string, ts timestamp").option("maxFilesPerTrigger", 1) \
-        .json(os.path.join(workdir, "hits"))
-    q = rl.rate_breaches_stream(hits, limit, window).writeStream.format("parquet") \
-        .option("path", os.path.join(workdir, "out")).option("checkpointLocation", os.path.join(workdir, "ck")) \
-        .trigger(availableNow=True).start()
-    q.awaitTermination()
-    got = sorted((r.identity, int(r.window_start.replace(tzinfo=timezone.utc).timestamp()),
-                  int(r.ts.replace(tzinfo=timezone.utc).timestamp()), r.hit_no)
-                 for r in spark.read.parquet(os.path.join(workdir, "out")).collect())
+    got = _breaches(spark, workdir, [rows[i * chunk:(i + 1) * chunk] for i in range(4)], limit, window)
     assert got == expected and len(expected) > 0
 
 
@@ -63,13 +89,22 @@ def test_suppress_duplicate_fetches(spark, workdir):
     _write_lines(os.path.join(workdir, "ni", "a.json"), evs)
     src = spark.readStream.schema("event_id string, trace_id string, dataset_type string, created_at string, "
                                   "date_from string, date_to string, wmo_indexes array<string>") \
-        .json(os.path.join(workdir, "ni"))
-    out = rs.suppress_duplicate_fetches(rs.need_info_cells(src))
+        .option("maxFilesPerTrigger", 1).json(os.path.join(workdir, "ni"))
+    evs_late = dict(evs[0], event_id="4", trace_id="t4", created_at="2025-12-31T22:00:00Z", date_from="2024-01-02",
+                    date_to="2024-01-04", wmo_indexes=["s2"])
+    bad = dict(evs[0], event_id="5", trace_id="t5", date_from="2024-13-99")
+    _write_lines(os.path.join(workdir, "ni", "b.json"), [evs_late, bad])
+    out = rs.fetch_locks(rs.need_info_cells(src))
     q = out.writeStream.format("memory").queryName("fetch_cells").trigger(availableNow=True).start()
     q.awaitTermination()
-    cells = {(r.dataset_type, r.wmo_index, str(r.day)) for r in spark.sql("SELECT * FROM fetch_cells").collect()}
-    # (actual, s2, 2024-01-02) is requested twice but fetched once; forecast is a separate lock.
-    assert len(cells) == 6 and spark.sql("SELECT * FROM fetch_cells").count() == 6
+    cells = spark.sql("SELECT * FROM fetch_cells").collect()
+    # (actual, s2, 2024-01-02) is asked for three times but fetched once; forecast is a separate lock. The late
+    # event's unseen day is fetched, and its other cells are answered with the trace that owns them.
+    taken = [(r.dataset_type, r.wmo_index, str(r.day)) for r in cells if r.acquired]
+    assert len(taken) == len(set(taken)) == 7 and len(cells) == 10
+    owners = {(r.trace_id, str(r.day)): r.owner_trace_id for r in cells if r.dataset_type == "actual" and r.wmo_index == "s2"}
+    assert len({owners[k] for k in owners if k[1] == "2024-01-02"}) == 1
+    assert owners[("t4", "2024-01-04")] == "t4"
 
 
 def test_manifest_stream_failures_and_quarantine(spark, workdir):
