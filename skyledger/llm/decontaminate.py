@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import register, table
-from skyledger.llm.kernels import ALNUM_WORDS, LOWER, Rolling, spread, text_slices, word_hashes, word_spans
+from skyledger.llm.kernels import ALNUM_WORDS, LOWER, spread, text_slices, word_hashes, word_spans
 
 WINDOW = 13
 BLOCK_WORDS = 200_000          # words of benchmark items in one broadcast
