@@ -16,17 +16,6 @@ KPI_BANDS = {
 BIAS_DOMAIN = 3.0
 
 
-def signed_error(forecast: Column, actual: Column) -> Column:
-    """F16: ``forecast - actual``; null when either side is null."""
-    return forecast - actual
-
-
-def clamp01_ratio(value: Column, denominator: Column) -> Column:
-    """``min(|v| / m, 1)``; 0 when the value is null or m is 0."""
-    return F.when(value.isNull() | (denominator == 0), F.lit(0.0)) \
-        .otherwise(F.least(F.abs(value) / denominator, F.lit(1.0)))
-
-
 def kpi_band(value: Column, good: float, warning: float) -> Column:
     """good / warning / poor on ``|v|``; null value -> null band."""
     mag = F.abs(value)
@@ -48,8 +37,3 @@ def bias_position(value: Column, domain: float = BIAS_DOMAIN) -> Column:
 def bias_intensity(value: Column, domain: float = BIAS_DOMAIN) -> Column:
     """``min(|v| / domain, 1)``, 0 when null."""
     return F.when(value.isNull(), F.lit(0.0)).otherwise(F.least(F.abs(value) / F.lit(domain), F.lit(1.0)))
-
-
-def display_round(value: Column, digits: int = 2) -> Column:
-    """rounding for display (results only, never before aggregation)."""
-    return F.round(value, digits)

@@ -1,4 +1,4 @@
-"""String, array and id column functions."""
+"""String and array column functions."""
 
 from __future__ import annotations
 
@@ -6,41 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def blank_to_null(c: Column) -> Column:
-    """trim; blank -> null."""
-    return F.nullif(F.trim(c), F.lit(""))
-
-
-def contains_ci(haystack: Column, needle: str) -> Column:
-    """case-insensitive contains (Unicode-aware lower-casing, Cyrillic included)."""
-    return F.lower(haystack).contains(F.lit(needle.strip().lower()))
-
-
 def starts_with(c: Column, prefix: str) -> Column:
     """prefix test."""
     return c.startswith(F.lit(prefix))
 
 
-def extract_object_key(path: Column) -> Column:
-    """``<prefix>/date=<day>.json`` out of a full object path."""
-    return F.regexp_extract(path, r"([^/]+/date=[0-9-]+\.json)$", 1)
-
-
-def lock_key(dataset: Column, wmo_index: Column, day: Column) -> Column:
-    """``lock:<dataset>:<station>:<day>``."""
-    return F.concat_ws(":", F.lit("lock"), dataset, wmo_index, F.date_format(day, "yyyy-MM-dd"))
-
-
-def run_id(dataset: Column, event_id: Column) -> Column:
-    """One run per ``<dataset>-<event_id>``; a redelivery maps to the same id."""
-    return F.concat_ws("-", dataset, event_id)
-
-
-def cut_error_text(c: Column, n: int = 1000) -> Column:
-    """error text cut to ``n`` characters."""
-    return F.left(c, F.lit(n))
-
-
 def empty_if_null(c: Column) -> Column:
     """null -> ``''``."""
     return F.coalesce(c, F.lit(""))
@@ -56,21 +26,11 @@ def is_empty(arr: Column) -> Column:
     return F.coalesce(F.size(arr) == 0, F.lit(True))
 
 
-def comma_join(arr: Column) -> Column:
-    """``a,b,c``."""
-    return F.array_join(arr, ",")
-
-
 def comma_split(s: Column) -> Column:
     """split on commas, trim, drop blanks."""
     return F.filter(F.transform(F.split(s, ","), lambda x: F.trim(x)), lambda x: x != F.lit(""))
 
 
-def new_uuid() -> Column:
-    """a random UUID string per row (non-deterministic: never in compared output)."""
-    return F.expr("uuid()")
-
-
 def station_label(name: Column, wmo_index: Column) -> Column:
     """F32: ``name (id)``, id alone when there is no name."""
     return F.coalesce(F.concat(name, F.lit(" ("), wmo_index, F.lit(")")), wmo_index)

@@ -24,11 +24,6 @@ def month_bucket(day: Column) -> Column:
     return F.date_format(day, "yyyyMM")
 
 
-def age_seconds(now: Column, then: Column) -> Column:
-    """F8: seconds between two instants."""
-    return F.unix_timestamp(now) - F.unix_timestamp(then)
-
-
 def run_instant(spark) -> Column:
     """one ingestion instant per run, taken once on the driver and used as a
     literal, so every layer written by the run carries the same stamp. Kept at

@@ -71,13 +71,6 @@ def failure_envelope(stage: Column, source_name: Column, reason: Column, details
             reason.alias("reason"), details.alias("details")]
 
 
-def ready_envelope(trace_id: Column, dataset: Column, date_from: Column, date_to: Column,
-                   record_count: Column) -> list[Column]:
-    """The ``dm.ready`` success contract."""
-    return [trace_id.alias("trace_id"), F.lit(TOPIC_DM_READY).alias("event_type"), dataset.alias("dataset_type"),
-            date_from.alias("date_from"), date_to.alias("date_to"), record_count.cast("long").alias("record_count")]
-
-
 def failure_message(stage: Column, reason: Column, details: Column) -> Column:
     """``upstream failure (<stage>): <reason> — <details>`` with the contract's defaults."""
     return F.format_string(FAILURE_MESSAGE, F.coalesce(stage, F.lit("?")),
