@@ -3,8 +3,8 @@
 Texts become words (letters and digits, lower case) and hashes of five-word shingles. Templates are
 filed by window size: the least of 8, 16, 32, ... words that holds 4/3 of the template, so that with
 windows starting every quarter of their size some window holds a whole occurrence. A window that
-shares no shingle with any template cannot be similar to one; the others get one minimum hash per
-band, and a band that a template shares retrieves it.
+shares no shingle with any template cannot be similar to one (a bit filter and an exact join tell); the
+others get one minimum hash per band, and a band that a template shares retrieves it.
 
 With 64 bands of one row a window of similarity s retrieves a template with probability
 1 - (1 - s)^64. The least similarity of a window that holds 80 % of a template is above 0.15 (a
@@ -29,7 +29,7 @@ SHINGLE = 5
 BANDS = 64
 CONTAINED = 0.8
 SMALLEST_WINDOW = 8
-_FILTER = 1 << 12                # one bit per hash value class, to rule shingles out at once
+_BITS_EACH = 256                 # bits of the filter for each shingle of a template
 
 # License statements and the opening of license notices, by SPDX-like id.
 TEMPLATES = [
@@ -89,13 +89,15 @@ def scan(docs: DataFrame, licenses: DataFrame, id_col: str = "doc_id", text_col:
     seeds, sizes = _seed_filter(prepared)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), _words(F.col(text_col)).alias("words"))
     texts = texts.withColumn("shingles", _shingles(F.col("words"))).drop("words")
-    at = F.filter(F.transform("shingles", lambda h, i: F.when(seeds(h), i)), lambda i: i.isNotNull())
+    at = F.filter(F.transform("shingles", lambda h, i: F.when(seeds(h), F.struct(h.alias("h"), i.alias("seed")))), lambda x: x.isNotNull())
     seeded = staged(texts.withColumn("seeds", at).filter("size(seeds) > 0"), "license-seeds")
+    known = prepared.select(F.explode("of_template").alias("h")).distinct()
+    true_seeds = seeded.select("row", F.explode("seeds").alias("s")).select("row", "s.h", "s.seed").join(known, "h", "left_semi")
     # windows of every size in use that hold a seed; they start at multiples of a quarter of their size
-    starts = seeded.select("row", F.explode("seeds").alias("seed")).withColumn("size", F.explode(F.lit(sizes).cast("array<int>"))).select(
+    starts = true_seeds.select("row", "seed").withColumn("size", F.explode(F.lit(sizes).cast("array<int>"))).select(
         "row", "size", F.explode(F.expr("sequence(greatest(0, ceil((seed - size + 5) * 4 / size)), floor(seed * 4 / size))")).alias("k"))
     windows = starts.distinct().select("row", "size", (F.col("k") * F.col("size") / 4).cast("int").alias("start"))
-    windows = windows.join(seeded.select("doc_id", "row", "shingles"), "row")
+    windows = staged(windows.join(seeded.select("doc_id", "row", "shingles"), "row"), "license-windows")
     windows = windows.withColumn("minima", _minima(F.slice("shingles", F.col("start") + 1, F.col("size") - (SHINGLE - 1))))
     bands = windows.select("row", "size", "start", F.posexplode("minima").alias("band", "value"))
     filed = prepared.select("license_id", "size", F.posexplode("minima").alias("band", "value"))
@@ -114,12 +116,24 @@ def scan(docs: DataFrame, licenses: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def _seed_filter(prepared: DataFrame):
-    """(a test that holds for all shingles of all templates, the window sizes in use). The templates are a
-    stated set; only one bit of _FILTER for each hash class of theirs, and at most 30 sizes, enter the plan."""
-    classes = {r["c"] for r in prepared.select(F.explode("of_template").alias("h")).select(F.pmod("h", F.lit(_FILTER)).alias("c")).distinct().collect()}
-    bits = F.lit([c in classes for c in range(_FILTER)])
+    """(a test that holds for all shingles of all templates and for one in _BITS_EACH^2 of others, the window
+    sizes in use). The templates are a stated set: _BITS_EACH bits for each of their shingles enter the
+    plan as a constant, and at most 30 sizes."""
+    hashes = [r["h"] for r in prepared.select(F.explode("of_template").alias("h")).distinct().collect()]
+    bits = 64
+    while bits < _BITS_EACH * len(hashes):
+        bits *= 2
+    filled = [0] * (bits // 64)
+    for h in hashes:
+        for place in (h % bits, (h >> 32) % bits):
+            filled[place // 64] |= 1 << place % 64
+    words = F.expr("array(" + ", ".join(f"{w - (1 << 64) if w >> 63 else w}L" if w != 1 << 63 else "-9223372036854775807L - 1L" for w in filled) + ")")
+
+    def has(place):
+        return F.getbit(F.get(words, F.shiftright(place, 6).cast("int")), F.pmod(place, F.lit(64)).cast("int")) == 1
+
     sizes = sorted(r["size"] for r in prepared.select("size").distinct().collect())
-    return (lambda h: F.get(bits, F.pmod(h, F.lit(_FILTER)).cast("int"))), sizes
+    return (lambda h: has(F.pmod(h, F.lit(bits))) & has(F.pmod(F.shiftright(h, 32), F.lit(bits)))), sizes
 
 
 @register("op6_license_scan")
