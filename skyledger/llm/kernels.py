@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20          # bytes of text worked on at once (a longer text is worked on alone)
+SLICE_BYTES = 1 << 20          # bytes of text worked on at once (a longer text is worked on alone)
 
 # Word classes: True where the byte belongs to a word.
 SPACE_WORDS = np.ones(256, bool)

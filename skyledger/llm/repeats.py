@@ -47,8 +47,8 @@ from skyledger.llm.kernels import (
     word_spans,
 )
 
-BLOCK_BYTES = 6 << 20
-_SLICE = 1 << 21
+BLOCK_BYTES = 4 << 20
+_SLICE = 1 << 20
 _LOW_BITS, _TOLD = 30, 9                # bits of an anchor within its bucket; bytes told of an anchor
 _LOW = np.uint64((1 << _LOW_BITS) - 1)
 _ZSTD = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))
