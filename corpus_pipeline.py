@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from skyledger.llm.common import staged, table
 from skyledger.llm.decontaminate import without_contaminated
 from skyledger.llm.language import accepted_documents
-from skyledger.llm.near_dedup import one_of_each
+from skyledger.llm.near_dedup import CORPUS_PERCENT, one_of_each
 from skyledger.llm.packing import pack_documents, tokenizer_path
 from skyledger.llm.suffix_dedup import without_repeated_bytes
 
@@ -22,8 +22,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    return one_of_each(docs)
+    """Of each group of near duplicates (word shingles 80 % alike) the document with the smallest id stays."""
+    return one_of_each(docs, CORPUS_PERCENT)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,10 +2,10 @@
 banded buckets and star-shaped candidate edges, confirmed on the full shingle sets.
 
 1. One pass over the texts: the set of distinct five-word shingles (64-bit hashes), its size, its
-   fingerprint and its signature. The hash range is cut into 384 bins and the least hash of each
+   fingerprint and its signature. The hash range is cut into bins (384 at 85 %) and the least hash of each
    non-empty bin is kept; an empty bin takes the value of a bin drawn by its own hash sequence.
 2. Documents with equal sets collapse to the one with the smallest doc_id.
-3. Each of 48 bands of 8 bins gives a bucket. Within a bucket every member is paired with the
+3. Each band (`banding`: 48 of 8 bins at 85 %, 64 of 7 at 80 %) gives a bucket. Within a bucket every member is paired with the
    smallest one: n - 1 pairs. Pairs whose sizes rule the similarity out go.
 4. Pairs are confirmed on full sets, computed anew from the two texts.
 5. A star can miss a link between two members that are both unlike the centre. So wherever a bucket
@@ -15,8 +15,10 @@ banded buckets and star-shaped candidate edges, confirmed on the full shingle se
    many shingles each has that no other of them has: two documents have at most the rest of the
    smaller rest in common, which rules most pairs out before their texts are looked at.
 
-At similarity s a pair shares no bucket with probability (1 - s^8)^48: 2e-7 at 0.85, 2e-12 at 0.9.
-Bands of 8 keep texts that only share a passage apart (one pair in 300 meets at 0.3).
+A pair shares no bucket with probability 2e-7 at the threshold, and less above it: (1 - s^8)^48 at
+similarity s for 85 %, (1 - s^7)^64 for 80 %. Long bands keep texts that only share a passage apart
+(at 0.3 one pair in 300 meets in 48 bands of 8, one in 70 in 64 of 7). Operator 7 asks for 85 %, the
+pipeline's stage for 80 % (`CORPUS_PERCENT`).
 
 Defined results: a null or blank text has an empty set and stands alone; a null doc_id is linked with
 nothing and kept; rows that share a doc_id are one document, linked by any of its texts.
@@ -24,7 +26,9 @@ nothing and kept; rows that share a doc_id are one document, linked by any of it
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +42,22 @@ from skyledger.llm.kernels import LOWER, SPACE_WORDS, Rolling, mixed, text_slice
 
 SHINGLE = 5
 PERCENT = 85
-BANDS, ROWS = 48, 8
-BINS = BANDS * ROWS
-_ATTEMPTS = np.random.default_rng(7).integers(0, BINS, (96, BINS))
+CORPUS_PERCENT = 80
+MISSED = 3e-7                   # a pair at the threshold shares no bucket with at most this probability
+
+
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, bins of a band) for a threshold."""
+    rows = 8 if percent >= PERCENT else 7
+    return math.ceil(math.log(MISSED) / math.log1p(-min(percent / 100, 0.99) ** rows)), rows
+
+
+BANDS, ROWS = banding(PERCENT)
+
+
+@cache
+def _attempts(bins: int) -> np.ndarray:
+    return np.random.default_rng(7).integers(0, bins, (96, bins))
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -64,18 +81,18 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) ->
     return np.concatenate(sets) if sets else np.zeros(0, np.uint64), at
 
 
-def signatures(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+def signatures(hashes: np.ndarray, at: np.ndarray, bins: int = BANDS * ROWS) -> np.ndarray:
     """The densified one-permutation signature of each set (a row of zeros for an empty one)."""
     n = len(at) - 1
     doc = np.repeat(np.arange(n), np.diff(at))
-    cell = doc * BINS + ((hashes >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)      # ascending in a set
+    cell = doc * bins + ((hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)      # ascending in a set
     first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
-    values, filled = np.zeros(n * BINS, np.uint64), np.zeros(n * BINS, bool)
+    values, filled = np.zeros(n * bins, np.uint64), np.zeros(n * bins, bool)
     values[cell[first]], filled[cell[first]] = hashes[first], True
-    values, filled = values.reshape(n, BINS), filled.reshape(n, BINS)
+    values, filled = values.reshape(n, bins), filled.reshape(n, bins)
     out = values.copy()
     row, bin_ = np.nonzero(~filled & filled.any(axis=1)[:, None])
-    for attempt in _ATTEMPTS:                            # each empty bin follows its own sequence of bins
+    for attempt in _attempts(bins):                            # each empty bin follows its own sequence of bins
         source = attempt[bin_]
         got = filled[row, source]
         out[row[got], bin_[got]] = values[row[got], source[got]]
@@ -85,35 +102,36 @@ def signatures(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     step = 0
     while len(row):                                      # sets of a few shingles: the next filled bin
         step += 1
-        source = (bin_ + step) % BINS
+        source = (bin_ + step) % bins
         got = filled[row, source]
         out[row[got], bin_[got]] = values[row[got], source[got]]
         row, bin_ = row[~got], bin_[~got]
     return out
 
 
-def band_keys(signature: np.ndarray) -> np.ndarray:
+def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """One 64-bit bucket key per band, different for different bands."""
-    parts = signature.reshape(len(signature), BANDS, ROWS)
-    key = np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for i in range(ROWS):
+    parts = signature.reshape(len(signature), bands, rows)
+    key = np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for i in range(rows):
         key = mixed((key ^ parts[:, :, i]) + np.uint64(i + 1))
     return key
 
 
-def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, two fingerprints of the set and its band keys (none for an empty set)."""
     kind = docs.schema[id_col].dataType.simpleString()
+    n_bands, n_rows = banding(percent)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, end, data, offsets in text_slices(batch.column(1)):
                 hashes, at = shingle_sets(data, offsets)
                 sums = [np.r_[np.uint64(0), np.cumsum(mixed(hashes ^ np.uint64(salt)))] for salt in (0x51ED27, 0xC0FFEE)]
-                keys = band_keys(signatures(hashes, at)).view(np.int64)
+                keys = band_keys(signatures(hashes, at, n_bands * n_rows), n_bands, n_rows).view(np.int64)
                 n = np.diff(at)
                 full = np.flatnonzero(n > 0)
-                bands = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.where(n > 0, BANDS, 0))], pa.int32()), pa.array(keys[full].reshape(-1)))
+                bands = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.where(n > 0, n_bands, 0))], pa.int32()), pa.array(keys[full].reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, end - row), pa.array(n), *(pa.array((s[at[1:]] - s[at[:-1]]).view(np.int64)) for s in sums), bands],
                     ["doc_id", "n_shingles", "f1", "f2", "bands"])
@@ -152,7 +170,7 @@ def _split(hashes: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of `docs` (columns doc_id and text)."""
-    rows = staged(sketches(docs), "sketches")
+    rows = staged(sketches(docs, percent=percent), "sketches")
     known = rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
     same = ["f1", "f2", "n_shingles"]
     sets = staged(known.groupBy(*same).agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "sets")

@@ -1,12 +1,14 @@
 """Every stage of the pipeline against a direct version on its own input, and the whole run."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from skyledger.llm.common import staged
+from skyledger.llm.near_dedup import banding
 from test_decontaminate import expected as contaminated
 from test_near_dedup import expected as components
 from test_packing_sharding import check_layout, direct_pieces
@@ -51,6 +53,34 @@ def test_each_stage_as_done_directly(spark):
     assert sorted(map(tuple, whole)) == sorted(map(tuple, docs.select(*compare).collect()))
 
 
+def between(seed=6, n=40):
+    """Pairs of texts with similarities around 0.82: a run of 10 replaced words in 140 makes 122 of 150 shingles common."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        words = [f"b{rng.randrange(10**6)}" for _ in range(140)]
+        other = list(words)
+        at = rng.randrange(10, 120)
+        other[at:at + 10] = [f"c{rng.randrange(10**6)}" for _ in range(10)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    return rows
+
+
+def test_near_dedup_goes_by_four_fifths(spark):
+    rows = between()
+    want = {c[0] for c in components(rows, 80) if c[3]}
+    assert len(want) == len(rows) / 2 and len([c for c in components(rows) if c[3]]) == len(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == want
+
+
+def test_bands_reach_the_threshold():
+    assert banding(85) == (48, 8)
+    for percent in (80, 85):
+        bands, rows = banding(percent)
+        assert (1 - (percent / 100) ** rows) ** bands < 3e-7
+
+
 def test_stages_take_odd_and_empty_tables(spark, docs, empty, tmp_path):
     spark.createDataFrame([(1, "al ra be ti"), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     for start in (docs.withColumn("token", F.lit(1)), empty):
