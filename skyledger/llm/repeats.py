@@ -7,11 +7,13 @@ anchor need to meet, and consecutive strings with one anchor travel as one slice
 
 1. Documents are gathered into blocks of bounded size, written once to the shared folder. A block
    tells each bucket which anchors it has, and a mark of each one's slice (72 bits, once per block).
-2. A bucket answers which anchors occur in two documents at least, and which of these have more
-   than one slice; other text goes no further.
+2. A bucket answers which anchors occur in two documents at least, which of these have more than
+   one slice, and which more than MOST_SLICES; other text goes no further.
 3. A block sends its distinct slices under repeated anchors, each once with the smallest and
    largest of its documents in the block, and with its contents where the anchor has several
    slices. (The strings of an anchor's only slice start where the slice does, and nowhere else.)
+   Under an anchor of more than MOST_SLICES (a line that many documents hold, each before its own
+   text), every string travels alone, and its hash takes the anchor's place: equal strings still meet.
 4. A shard settles slices that share an anchor (`settle`: the operator's own method): for every
    string of a slice, the smallest document it starts in. Only strings that some document of the
    block must lose return.
@@ -48,6 +50,7 @@ from skyledger.llm.kernels import (
 )
 
 BLOCK_BYTES = 4 << 20
+MOST_SLICES = 8192                      # of one anchor that are settled together
 _SLICE = 1 << 20
 _LOW_BITS, _TOLD = 30, 9                # bits of an anchor within its bucket; bytes told of an anchor
 _LOW = np.uint64((1 << _LOW_BITS) - 1)
@@ -119,10 +122,32 @@ class Sequence:
     def contents(self, place: np.ndarray, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What a shard needs of slices, as bytes one after another, and sizes: the text, or the hash of each string."""
         if self.unit.symbols == "words":
-            hashes = self.rolling.windows(self.unit.length)
-            return hashes[np.repeat(place, strings) + spread(strings)].view(np.uint8), strings * 8
+            return _gathered(self.rolling.windows(self.unit.length), place, strings).view(np.uint8), strings * 8
         sizes = strings - 1 + self.unit.length
-        return self.data[np.repeat(place, sizes) + spread(sizes)], sizes
+        return _gathered(self.data, place, sizes), sizes
+
+    def apart(self, slices: Slices, chosen: np.ndarray) -> Slices:
+        """The slices, with each string of the chosen ones as a slice of its own; the hash of its halves is its anchor."""
+        n = np.where(chosen, slices.strings, 1)
+        of = np.repeat(np.arange(len(n)), n)
+        split, step = chosen[of], spread(n)
+        anchor, mark, place = slices.anchor[of], slices.mark[of], slices.place[of] + step
+        first, end = place[split], place[split] + self.unit.length
+        middle = first + self.unit.length // 2
+        anchor[split] = mixed(self.rolling.of(first, middle) * np.uint64(0x9E3779B97F4A7C15) + self.rolling.of(middle, end))
+        mark[split] = np.maximum(self.rolling.of(first, end), np.uint64(1))
+        return Slices(slices.row[of], slices.start[of] + step, np.where(split, 1, slices.strings[of]), anchor, mark, place)
+
+
+def _gathered(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of `data`, one after another; their places are worked out for some stretches at a time."""
+    out, at = np.empty(int(sizes.sum()), data.dtype), 0
+    for i in range(0, len(sizes), 1 << 14):
+        some = sizes[i:i + (1 << 14)]
+        end = at + int(some.sum())
+        out[at:end] = data[np.repeat(begins[i:i + (1 << 14)], some) + spread(some)]
+        at = end
+    return out
 
 
 def _bucket(anchor: np.ndarray, buckets: int) -> np.ndarray:
@@ -174,10 +199,15 @@ def _all_slices(unit: Unit, table: pa.Table, id_at: int, text_at: int, keep: Cal
         chosen = np.flatnonzero(known[s.row + row] & (said > 0))
         own = Slices(s.row[chosen] + row, s.start[chosen], s.strings[chosen], s.anchor[chosen], s.mark[chosen], s.place[chosen])
         if keep is not None:
-            alone = said[chosen] == 1
+            said = said[chosen]
+            if (said == 3).any():
+                split = said == 3
+                said = np.repeat(said, np.where(split, own.strings, 1))
+                own = sequence.apart(own, split)
+            alone = said == 1
             own.mark = np.where(alone, np.uint64(0), own.mark)
             data, sizes = sequence.contents(own.place[~alone], own.strings[~alone])
-            every = np.zeros(len(chosen), np.int64)
+            every = np.zeros(len(said), np.int64)
             every[~alone] = sizes
             contents.append((data, every))
         found.append(own)
@@ -191,7 +221,7 @@ def _key(anchor: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _told(slices: Slices, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct anchors in order: (key, whether two rows have it, whether it has two slices, mark of one of them)."""
+    """Distinct anchors in order: (key, whether two rows have it, whether it has two slices, their number or the only one's mark)."""
     key = _key(slices.anchor, buckets)
     order = np.argsort(key, kind="stable")
     key, row, mark = key[order], slices.row[order], slices.mark[order]
@@ -200,7 +230,14 @@ def _told(slices: Slices, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndar
         return key, np.zeros(0, bool), np.zeros(0, bool), mark
     many = np.maximum.reduceat(row, new) != np.minimum.reduceat(row, new)
     several = np.maximum.reduceat(mark, new) != np.minimum.reduceat(mark, new)
-    return key[new], many, several, mark[new]
+    told, n = mark[new], np.where(several, np.diff(np.r_[new, len(key)]), 0)
+    at = np.repeat(new, n) + spread(n)                             # all slices of anchors with several
+    group, own = np.repeat(np.arange(len(new)), n), mark[at]
+    order = np.lexsort((own, group))
+    group, own = group[order], own[order]
+    distinct = np.r_[True, (group[1:] != group[:-1]) | (own[1:] != own[:-1])] if len(own) else np.zeros(0, bool)
+    told[several] = np.bincount(group[distinct], minlength=len(new))[several]
+    return key[new], many, several, told
 
 
 def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
@@ -222,7 +259,7 @@ def without_repeats(docs: DataFrame, unit: Unit, settle: Callable, finish: Calla
     """
     names = docs.columns
     id_at, text_at = names.index(id_col), names.index(text_col)
-    buckets = 4 * partitions(docs)
+    buckets, most = 4 * partitions(docs), MOST_SLICES
 
     def block(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _in_blocks(batches, text_at):
@@ -257,10 +294,11 @@ def without_repeats(docs: DataFrame, unit: Unit, settle: Callable, finish: Calla
         first, group = np.flatnonzero(new), np.cumsum(new) - 1
         repeated = (np.diff(np.r_[first, len(order)]) > 1) | (np.maximum.reduceat(sorted_low & 2, first) > 0)
         several = (np.maximum.reduceat(sorted_mark, first) != np.minimum.reduceat(sorted_mark, first)) | (np.maximum.reduceat(sorted_low & 1, first) > 0)
-        said = np.empty(len(order), np.uint8)                      # 0: one document only, 1: one slice, 2: several
-        said[order] = (repeated * (1 + several))[group]
+        number = np.add.reduceat(np.where(sorted_low & 1, sorted_mark, 1), first)      # of slices, each once per block
+        said = np.empty(len(order), np.uint8)                      # 0: one document only, 1: one slice, 2: several, 3: too many
+        said[order] = (repeated * (1 + several + (several & (number > most))))[group]
         ends = np.cumsum(sizes)
-        answers = [np.packbits(np.stack([said[e - s:e] > 0, said[e - s:e] > 1])).tobytes() for s, e in zip(sizes, ends.tolist(), strict=True)]
+        answers = [np.packbits(np.stack([said[e - s:e] & 1, said[e - s:e] >> 1])).tobytes() for s, e in zip(sizes, ends.tolist(), strict=True)]
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "bits": pa.array(answers, pa.binary())})
 
     answers = blocks.mapInArrow(tell, "block long, bucket int, anchors binary").groupBy("bucket").applyInArrow(
@@ -277,11 +315,11 @@ def without_repeats(docs: DataFrame, unit: Unit, settle: Callable, finish: Calla
                 del every
                 said = [np.unpackbits(np.frombuffer(bits[b], np.uint8), count=2 * (part.stop - part.start)).reshape(2, -1)
                         for b, part in _by_bucket((key >> np.uint64(_LOW_BITS)).astype(np.int64))]
-                said = np.concatenate(said, axis=1).sum(axis=0) if said else np.zeros(0, np.int64)
+                said = np.array([1, 2]) @ np.concatenate(said, axis=1) if said else np.zeros(0, np.int64)
                 repeated, said = key[said > 0], said[said > 0]
 
                 def keep(anchor: np.ndarray, repeated=repeated, said=said) -> np.ndarray:
-                    """0: goes no further, 1: the anchor's only slice, 2: one of several."""
+                    """0: goes no further, 1: the anchor's only slice, 2: one of several, 3: one of too many."""
                     wanted = _key(anchor, buckets)
                     at = np.searchsorted(repeated, wanted)
                     at[at == len(repeated)] = 0
@@ -346,8 +384,7 @@ def _sent(block: pa.Array, slices: Slices, contents: list, ids: np.ndarray, buck
     data = np.concatenate([c[0] for c in contents]) if contents else np.zeros(0, np.uint8)
     begins = np.cumsum(sizes) - sizes
     chosen = order[first]
-    text = data[np.repeat(begins[chosen], sizes[chosen]) + spread(sizes[chosen])]
-    column = binary_column(text, sizes[chosen])
+    column = binary_column(_gathered(data, begins[chosen], sizes[chosen]), sizes[chosen])
     strings = slices.strings[chosen].astype(np.int16)
     groups = [(k, _packed({"anchor": anchor[first][p], "mark": mark[first][p], "least": least[p], "most": most[p], "strings": strings[p], "content": column[p.start:p.stop]}))
               for k, p in _by_bucket(b[first])]
@@ -373,7 +410,8 @@ def _settled(unit: Unit, settle: Callable, table: pa.Table) -> pa.Table:
     group = np.cumsum(np.r_[True, a[first][1:] != a[first][:-1]]) - 1
     contents = got.column("content").combine_chunks()
     contents = contents.chunk(0) if isinstance(contents, pa.ChunkedArray) else contents
-    several = np.flatnonzero(m[first] != 0)                        # an anchor's only slice comes without a mark
+    unshared = (np.bincount(group)[group] == 1) & (smallest == np.maximum.reduceat(most[order], first))      # a string that one document has
+    several = np.flatnonzero((m[first] != 0) & ~unshared)          # an anchor's only slice comes without a mark
     slice_, start, end, doc = settle(unit, group[several], contents.take(pa.array(order[first[several]])), smallest[several])
     alone = np.flatnonzero(m[first] == 0)
     slice_ = np.r_[several[slice_], alone]

@@ -7,7 +7,7 @@ neighbours in suffix order that share `length` bytes as one string; its first do
 smallest of their slices' documents.
 
 Slices of different anchors share no string, so a shard is sorted in parts of at most PART_BYTES
-(an anchor's slices stay together).
+(an anchor's slices stay together: MOST_SLICES of them at most, see `repeats`).
 
 Defined results: a null text has no bytes; documents shorter than `length` lose nothing; rows with a
 null doc_id neither lose nor take anything; rows that share a doc_id do not affect each other;

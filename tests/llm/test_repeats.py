@@ -90,6 +90,48 @@ def test_parts_of_a_shard(docs, rows, monkeypatch):
     assert bytes_found(docs) == expected_bytes(rows)
 
 
+def hot_line(seed=8, n=90):
+    """A line that a third of all documents hold between texts of their own; some of these begin or end alike."""
+    rng = random.Random(seed)
+    own = lambda k: " ".join(f"{rng.randrange(10**5)}" for _ in range(k))
+    line = " ".join(f"l{i}" for i in range(60))
+    tails = [own(70) for _ in range(4)]
+    rows = []
+    for i in range(n):
+        text = f"{own(60)} {line} {own(60)}" if i % 3 == 0 else own(80)
+        rows.append((i, text if i % 9 else f"{own(60)} {line} {tails[i % 4][:rng.randint(60, 300)]} {own(30)}"))
+    return rows
+
+
+@pytest.mark.parametrize("module, found, expected", [(substring_dedup, words_found, expected_words), (suffix_dedup, bytes_found, expected_bytes)])
+def test_hot_anchors_are_split(spark, docs, rows, monkeypatch, module, found, expected):
+    """No more slices of an anchor than MOST_SLICES are settled together, and the results stay."""
+    monkeypatch.setattr(repeats, "MOST_SLICES", 4, raising=False)
+    settle = module.settle
+
+    def bounded(unit, group, contents, least):
+        largest = int(np.unique(group, return_counts=True)[1].max()) if len(group) else 0
+        if largest > 4:
+            raise ValueError(f"{largest} slices of an anchor")
+        return settle(unit, group, contents, least)
+
+    monkeypatch.setattr(module, "settle", bounded)
+    lines = hot_line()
+    want = expected(lines)
+    assert sum(w[2] for w in want) > 1000
+    assert found(spark.createDataFrame(lines, "doc_id long, text string").repartition(3)) == want
+    assert found(docs) == expected(rows)
+
+
+def test_slices_of_anchors_are_counted(spark):
+    """A block tells how many distinct slices an anchor has."""
+    n = np.array([0, 1, 2, 3, 4, 5])
+    u = lambda *x: np.array(x, np.uint64)
+    slices = repeats.Slices(n, n, n + 1, u(7, 7, 7, 7, 9, 9), u(5, 6, 5, 8, 3, 3), n)
+    key, many, several, told = repeats._told(slices, 4)
+    assert many.tolist() == [True, True] and several.tolist() == [True, False] and told.tolist() == [3, 3]
+
+
 def test_texts_without_repeats_keep_their_columns(docs, rows):
     got = {r.doc_id: r for r in suffix_dedup.without_repeated_bytes(docs).collect()}
     assert len(got) == len(rows)
