@@ -10,7 +10,7 @@ taken as often as the counts allow. After a step some length has fewer pieces le
 took at once, so the number of steps depends on the lengths, not on the number of documents.
 
 Defined results: a null text counts as empty (the end token alone); repeated rows are packed as
-often as they occur; ties go to longer lengths; an empty table gives no rows; other columns are not read.
+often as they occur; the string of an added token (<|endoftext|>) is that token; ties go to longer lengths; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -55,19 +55,28 @@ class TokenIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True       # their strings in a text are ordinary text
+        # strings of added tokens in a text are these tokens, as in a plain call; the text is cut there before anything else
+        self._marks = sorted((t.content for t in self._tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self._at_marks = re.compile("(" + "|".join(map(re.escape, self._marks)) + ")")
         self._forget()
 
     def _forget(self) -> None:
         self._known: dict[str, int] = {}
         self._ids, self._starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def pieces(self, text: str) -> list[str]:
+        """The text in pieces that have their ids alone; each string of an added token is one."""
+        if not any(mark in text for mark in self._marks):
+            return _PIECES.findall(text)
+        parts = self._at_marks.split(text)                 # every second one is a mark
+        return [piece for i, part in enumerate(parts) for piece in ([part] if i % 2 else _PIECES.findall(part))]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, one after another; number of ids of each text)."""
         pieces: list[str] = []
         per_text = np.zeros(len(texts) + 1, np.int64)
         for i, text in enumerate(texts):
-            pieces += _PIECES.findall(text)
+            pieces += self.pieces(text)
             per_text[i + 1] = len(pieces)
         if len(self._known) > CACHE_PIECES:
             self._forget()

@@ -75,6 +75,20 @@ def test_pieces_of_random_texts_are_the_tokenizers_own():
         at += n
 
 
+def test_strings_of_added_tokens_as_in_a_plain_call(spark):
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    mark = "<|endoftext|>"
+    texts = [mark, f"a {mark} b", f"{mark}{mark}", f"one\n{mark}\n two{mark}", f"x<{mark}>'s", f"<|endof{mark}text|>", "<|endoftext |>", f"  {mark}  é{mark}9 ", "no mark"]
+    plain = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert sum(ids.count(50256) for ids in plain) == 10
+    ids, counts = packing.TokenIds(packing.tokenizer_path()).encode(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == plain
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.token_pieces(df, packing.tokenizer_path()).collect()}
+    assert got == {i: (len(x) + 1, zlib.crc32(np.array([*x, packing.END_ID], "<u4").tobytes())) for i, x in enumerate(plain)}
+
+
 def test_cut():
     assert packing.cut(1024, 1024) == [(0, 1024)]
     assert packing.cut(1025, 1024) == [(0, 1), (1, 1024)]
