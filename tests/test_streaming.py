@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from conftest import write_document
+from helpers import write_document
 from skyledger.sources.events import read_events
 from skyledger.streaming import manifests as sm
 from skyledger.streaming import rate_limits as rl

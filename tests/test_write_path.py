@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import write_document
+from helpers import write_document
 from skyledger.plans.write_path import Manifest, read_current_dm, read_current_errors, run_manifest
 from skyledger.sources import documents as docs
 
