@@ -42,7 +42,6 @@ def fewest(lengths, size=1024):
 def direct_pieces(rows, size=1024):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     out = []
     for d, text, *_ in rows:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [packing.END_ID]

@@ -35,7 +35,7 @@ def test_each_stage_as_done_directly(spark):
     gone = [t for d, t in seen["language_id"] if d not in kept]
     assert len(gone) <= 0.02 * len(seen["language_id"])
     # near duplicates
-    assert {d for d, _ in seen["suffix_dedup"]} == {c[0] for c in components(seen["near_dedup"]) if c[3]}
+    assert {d for d, _ in seen["suffix_dedup"]} == {c[0] for c in components(seen["near_dedup"], 80) if c[3]}
     # repeated bytes
     texts = [(d, (t or "").encode()) for d, t in seen["suffix_dedup"]]
     left = {d: bytes(x for x, g in zip(b, gone) if not g).decode("utf-8", "ignore") for (d, b), gone in zip(texts, covered(texts, 50))}
