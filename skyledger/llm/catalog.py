@@ -7,6 +7,7 @@ from skyledger.llm import (  # noqa: F401  (each registers its queries)
     near_dedup,
     neighbours,
     packing,
+    phrases,
     sharding,
     substring_dedup,
     suffix_dedup,
