@@ -11,6 +11,7 @@ from skyledger.llm import (  # noqa: F401  (each registers its queries)
     sharding,
     substring_dedup,
     suffix_dedup,
+    token_files,
     warc,
 )
 from skyledger.llm.common import ORACLE, QUERIES  # noqa: F401
