@@ -1,6 +1,7 @@
 """The queries of the training-data operators, and their SQL where SQL can express them."""
 
 from skyledger.llm import (  # noqa: F401  (each registers its queries)
+    conversation_trie,
     decontaminate,
     language,
     licenses,
