@@ -1,129 +1,100 @@
-"""T12 batch form: first-hit-anchored fixed windows, exact and without per-identity groups.
-
-Per identity a window opens at its first hit and lasts ``window_s``; the next
-hit at or after the window's end opens the next one. The window starts form a
-chain ``s, next(s), next(next(s)), ...`` where ``next(h)`` is the first hit of
-the same identity at or after ``t_h + window``. Instead of scanning each
-identity in one task (one identity may hold a third of all hits), the chain is
-found with data-parallel steps whose work is keyed by hit position:
-
-1. a global sort on ``(identity, ts)`` (range partitioning splits a hot
-   identity over many tasks) and dense positions from per-partition counts;
-2. ``next(h)`` for every hit by sorting probes ``t_h + window`` together with
-   the hits and filling each probe with the following hit (partition-local
-   backward fill, plus the first hit of later partitions as the carry);
-3. pointer doubling: ``R <- R + jump(R)``, ``jump <- jump o jump`` until no new
-   start appears (about log2 of the longest chain rounds), each round's tables
-   checkpointed to the shared checkpoint folder to keep lineage short.
-
-The hit count of a window is ``pos(next start) - pos(start)``. pandas runs only
-inside tasks, over one sorted partition at a time.
+"""T12 batch form, and the chains of fetch locks (T5): windows anchored at a key's first hit.
+
+A key's window opens at its first hit and lasts ``width``; the next hit at or after its end opens the
+next one. Starts form a chain ``s, next(s), next(next(s)), ...`` with ``next(t)`` the key's first
+instant at or after ``t + width``. It is found by joins and windows over *stretches* of the time axis, as
+long as a window, so that a key with very many hits is spread over its stretches:
+
+1. equal instants of a key are one; a stretch keeps its first and last instant;
+2. a hit that follows a gap of a window or more always opens one: the chains fall into segments there, and only
+   segments longer than a window are looked at further;
+3. ``next`` of an instant lies in the following stretch, or is the first one of a later stretch;
+4. starts are reached from the segments' first instants by pointer doubling: after round ``k`` the first
+   ``2^k`` starts of every segment are known.
+
+A window reaches into the following stretch at most, so each hit finds its start in its own stretch or the one before.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.session import checkpoint_root
-
-ROWS_PER_PART = 1_000_000
-WINDOWS_SCHEMA = "identity string, window_start timestamp, n_hits long, breached boolean, first_breach_at timestamp"
-
-
-def _positions(spark: SparkSession, hits: DataFrame, n_parts: int) -> DataFrame:
-    """Globally sorted hits with dense 0-based positions ``pos`` (lineage cut)."""
-    ordered = hits.repartitionByRange(n_parts, "identity", "t").sortWithinPartitions("identity", "t") \
-        .withColumn("pid", F.spark_partition_id()) \
-        .withColumn("local", F.monotonically_increasing_id() - F.shiftleft(F.col("pid").cast("long"), 33)) \
-        .checkpoint()
-    counts = sorted((r.pid, r.n) for r in ordered.groupBy("pid").agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, acc = {}, 0
-    for pid, n in counts:                      # at most n_parts entries
-        offsets[pid] = acc
-        acc += n
-    off = F.create_map(*[x for pid, o in offsets.items() for x in (F.lit(pid), F.lit(o))]) if offsets \
-        else F.create_map(F.lit(0), F.lit(0))
-    return ordered.select("identity", "t", (off[F.col("pid")] + F.col("local")).alias("pos"))
-
-
-def _successors(spark: SparkSession, pos: DataFrame, window_us: int, n_parts: int) -> DataFrame:
-    """``pos, nxt``: position of the first hit of the same identity at or after ``t + window``."""
-    probes = pos.select("identity", (F.col("t") + F.lit(window_us)).alias("t"), F.lit(0).alias("kind"),
-                        F.col("pos").alias("src"), F.lit(None).cast("long").alias("pos"))
-    hits = pos.select("identity", "t", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("src"), "pos")
-    # Equal (identity, t, kind) keys land in one partition; tied hits follow their positions.
-    union = probes.unionByName(hits).repartitionByRange(n_parts, "identity", "t", "kind") \
-        .sortWithinPartitions("identity", "t", "kind", "pos").withColumn("pid", F.spark_partition_id()).checkpoint()
-    # Carry for a partition: the first hit (smallest position) of any later partition.
-    firsts = union.filter("kind = 1").groupBy("pid").agg(
-        F.min_by("identity", "pos").alias("identity"), F.min("pos").alias("pos")).collect()
-    first_by_pid = {r.pid: (r.identity, r.pos) for r in firsts}
-    carry, nxt_first = {}, (None, None)
-    for pid in range(n_parts - 1, -1, -1):
-        carry[pid] = nxt_first
-        if pid in first_by_pid:
-            nxt_first = first_by_pid[pid]
-
-    def fill(batches):
-        frames = list(batches)
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        if pdf.empty:
-            return
-        c_ident, c_pos = carry.get(int(pdf["pid"].iloc[0]), (None, None))
-        is_hit = pdf["kind"] == 1
-        next_ident = pdf["identity"].where(is_hit).bfill()
-        next_pos = pdf["pos"].where(is_hit).bfill()
-        tail = next_pos.isna()
-        next_ident = next_ident.where(~tail, c_ident)
-        next_pos = next_pos.where(~tail, c_pos)
-        probe = ~is_hit
-        same = next_ident == pdf["identity"]
-        out = pd.DataFrame({"pos": pdf.loc[probe, "src"].astype("int64"),
-                            "nxt": next_pos[probe].where(same[probe])})
-        yield out.astype({"nxt": "Int64"})
-
-    return union.mapInPandas(fill, "pos long, nxt long")
-
-
-def anchored_windows(spark: SparkSession, hits: DataFrame, window_s: int, limit: int,
-                     identity_col: str = "identity", ts_col: str = "ts", n_parts: int | None = None) -> DataFrame:
-    """Every window per identity: start, hit count, breach flag (> limit) and the first breaching hit."""
-    checkpoint_root(spark)                     # fails fast without shared checkpoint storage
-    window_us = int(window_s) * 1_000_000
-    h = hits.select(F.col(identity_col).cast("string").alias("identity"),
-                    F.unix_micros(F.col(ts_col).cast("timestamp")).alias("t")) \
-        .filter(F.col("identity").isNotNull() & F.col("t").isNotNull())
-    if n_parts is None:
-        # Sized by data: about ROWS_PER_PART hits per range partition (the pandas fill
-        # holds one partition), independent of the session's shuffle setting.
-        n_parts = max(spark.sparkContext.defaultParallelism, -(-h.count() // ROWS_PER_PART))
-    pos = _positions(spark, h, n_parts)
-    jump = _successors(spark, pos, window_us, n_parts).checkpoint()        # next(h) = the next window start
-    bounds = pos.groupBy("identity").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
-    starts = bounds.select(F.col("first").alias("pos")).checkpoint()
-    level = jump.filter(F.col("nxt").isNotNull())          # 1-step jumps
-    n = starts.count()
+from skyledger.session import staged
+
+
+def stretch_of(t: str, width: int) -> Column:
+    """The number of the stretch of ``width`` that holds an instant (exact, also before 1970)."""
+    return F.expr(f"({t} - pmod({t}, {width}L)) div {width}L")
+
+
+def window_starts(points: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """``keys, t``: the instants that open a window. ``points``: distinct ``keys, t`` (microseconds)."""
+    points = points.select(*keys, "t", stretch_of("t", width).alias("stretch"))
+    whole = points.groupBy(*keys, "stretch").agg(F.min("t").alias("first"), F.max("t").alias("last"))
+    by_time = Window.partitionBy(*keys).orderBy("stretch")          # a row per stretch: bounded by time, not by hits
+    opens = F.coalesce(F.col("first") - F.lag("last").over(by_time) >= width, F.lit(True))
+    goes_on = F.coalesce(F.lead("first").over(by_time) - F.col("last") < width, F.lit(False))
+    whole = staged(whole.select("*", opens.alias("opens"), goes_on.alias("goes_on"), F.lead("first").over(by_time).alias("after")), "stretches")
+    heads = whole.filter("opens").select(*keys, F.col("first").alias("t"))
+    # a segment of one stretch is shorter than a window: its first instant is all
+    long = whole.filter("NOT opens OR goes_on")
+    if long.limit(1).count() == 0:
+        return heads
+    inner = points.join(long.select(*keys, "stretch"), [*keys, "stretch"])
+    jumps = staged(_next_instants(inner, long, keys, width), "anchors")
+    starts, reached = [heads], heads.join(jumps.select(*keys), keys, "left_semi")
     while True:
-        # R <- R + jump(R): after round k, R holds the first 2^k starts of every chain.
-        reached = starts.join(level, "pos").select(F.col("nxt").alias("pos"))
-        grown = starts.unionByName(reached).distinct().checkpoint()
-        m = grown.count()
-        if m == n:                                              # no chain is longer than 2^k
+        reached = staged(reached.join(jumps, [*keys, "t"]).select(*keys, F.col("next").alias("t")), "anchors")
+        if reached.limit(1).count() == 0:
             break
-        starts, n = grown, m
-        a, b = level.alias("a"), level.alias("b")               # jump <- jump o jump
-        level = a.join(b, F.col("a.nxt") == F.col("b.pos")).select(F.col("a.pos"), F.col("b.nxt").alias("nxt")) \
-            .checkpoint()
-    win = starts.join(pos, "pos").join(jump, "pos", "left").join(bounds.select("identity", "last"), "identity")
-    win = win.select("identity", "pos", "t", F.coalesce("nxt", F.col("last") + 1).alias("end"))
-    win = win.withColumn("n_hits", F.col("end") - F.col("pos"))
-    breach = pos.select(F.col("pos").alias("bpos"), F.col("t").alias("bt"))
-    win = win.withColumn("bpos", F.when(F.col("n_hits") > limit, F.col("pos") + limit)) \
-        .join(breach, "bpos", "left")
-    return win.select("identity", F.timestamp_micros("t").alias("window_start"), "n_hits",
-                      (F.col("n_hits") > limit).alias("breached"),
-                      F.timestamp_micros("bt").alias("first_breach_at"))
+        starts.append(reached)
+        known = starts[0]
+        for more in starts[1:]:
+            known = known.unionByName(more)
+        then = jumps.select(*keys, F.col("t").alias("next"), F.col("next").alias("then"))
+        jumps = staged(jumps.join(then, [*keys, "next"]).select(*keys, "t", F.col("then").alias("next")), "anchors")
+        reached = known
+    out = starts[0]
+    for more in starts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _next_instants(points: DataFrame, whole: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """``keys, t, next``: for each instant the first one of its segment at or after ``t + width``."""
+    targets = points.select(*keys, "stretch", F.col("t").alias("at"), F.col("t").alias("target"), F.lit(None).cast("long").alias("t"))
+    asked = points.select(*keys, (F.col("stretch") + 1).alias("stretch"), (F.col("t") + width).alias("at"), F.lit(None).cast("long").alias("target"), "t")
+    later_first = Window.partitionBy(*keys, "stretch").orderBy(F.desc("at"), F.desc_nulls_last("target")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = targets.unionByName(asked).withColumn("next", F.min("target").over(later_first)).filter("t IS NOT NULL").select(*keys, "stretch", "t", "next")
+    # a following stretch that opens a segment leads to that segment's own first instant; where it has none late enough, the
+    # stretch after it goes on, if it is of the same segment. An empty one ends the segment: it is a gap of a window.
+    rows = whole.select(*keys, "stretch", "opens", "after", "goes_on")
+    then = F.expr("CASE WHEN next IS NULL THEN CASE WHEN goes_on THEN after END WHEN NOT opens THEN next END")
+    return near.join(rows, [*keys, "stretch"]).select(*keys, "t", then.alias("next")).filter("next IS NOT NULL")
+
+
+def in_windows(points: DataFrame, starts: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """``keys, t, start``: each distinct instant with the start of its window."""
+    flagged = points.select(*keys, "t").join(starts.select(*keys, "t", F.col("t").alias("start")), [*keys, "t"], "left").withColumn("stretch", stretch_of("t", width))
+    running = Window.partitionBy(*keys, "stretch").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = starts.groupBy(*keys, (stretch_of("t", width) + 1).alias("stretch")).agg(F.max("t").alias("before"))
+    found = flagged.withColumn("start", F.max("start").over(running)).join(before, [*keys, "stretch"], "left")
+    return found.select(*keys, "t", F.coalesce("start", "before").alias("start"))
+
+
+def anchored_windows(hits: DataFrame, window_s: int, limit: int, identity_col: str = "identity", ts_col: str = "ts") -> DataFrame:
+    """Every window per identity: start, hit count, breach flag (> limit) and the first breaching hit.
+
+    Hits without an identity or an instant are left out; equal hits all count."""
+    width, keys = int(window_s) * 1_000_000, ["identity"]
+    points = hits.select(F.col(identity_col).cast("string").alias("identity"), F.unix_micros(F.col(ts_col).cast("timestamp")).alias("t")) \
+        .filter("identity IS NOT NULL AND t IS NOT NULL").groupBy(*keys, "t").agg(F.count(F.lit(1)).alias("n"))
+    points = staged(points, "hits")
+    starts = window_starts(points, keys, width)
+    placed = points.join(in_windows(points, starts, keys, width), [*keys, "t"])
+    so_far = F.sum("n").over(Window.partitionBy("identity", "start").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = placed.withColumn("so_far", so_far).groupBy("identity", "start").agg(
+        F.sum("n").alias("n_hits"), F.min(F.when(F.col("so_far") > limit, F.col("t"))).alias("breach"))
+    return out.select("identity", F.timestamp_micros("start").alias("window_start"), "n_hits", (F.col("n_hits") > limit).alias("breached"),
+                      F.timestamp_micros("breach").alias("first_breach_at"))

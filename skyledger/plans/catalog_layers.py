@@ -651,7 +651,7 @@ _RATE_LIMIT, _RATE_WINDOW = 60, 60          # the general contract: 60 hits per
 def q_rate_windows(spark, sf):
     from skyledger.operators.anchored_windows import anchored_windows
     hits = dt.table(spark, sf, "events").select(F.col("user_id").alias("identity"), "ts")
-    out = anchored_windows(spark, hits, _RATE_WINDOW, _RATE_LIMIT)
+    out = anchored_windows(hits, _RATE_WINDOW, _RATE_LIMIT)
     return out.select("identity", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n_hits",
                       "breached", F.col("first_breach_at").cast("timestamp_ntz").alias("first_breach_at"))
 

@@ -123,47 +123,58 @@ def q_stream_manifest_dedup(spark, sf):
 
 # -- T5: one fetch per (dataset, station, day) within the lock lifetime ---------------------------
 
-_LOCKS_SQL = "WITH " + fx.ORACLE_ORDER_EVENTS.strip() + """
-    , ok AS (SELECT * FROM oe WHERE dataset_type IS NOT NULL AND trim(event_id) <> '' AND n_ids > 0
-                                AND CAST(date_from AS DATE) <= CAST(date_to AS DATE)),
-    cells AS (SELECT dataset_type, first_id AS wmo_index, CAST(d AS DATE) AS day, trace_id
-              FROM ok, generate_series(CAST(date_from AS TIMESTAMP), CAST(date_to AS TIMESTAMP), INTERVAL 1 DAY) t(d))
+_LOCK_BATCHES, _LOCK_SECONDS = 3, 2_500
+
+_LOCKS_SQL = "WITH RECURSIVE " + fx.ORACLE_ORDER_EVENTS.strip() + f"""
+    , ok AS (SELECT *, CAST(substr(trace_id, 4) AS BIGINT) AS k FROM oe
+             WHERE dataset_type IS NOT NULL AND trim(event_id) <> '' AND n_ids > 0 AND CAST(date_from AS DATE) <= CAST(date_to AS DATE)),
+    cells AS (SELECT dataset_type, first_id AS wmo_index, CAST(d AS DATE) AS day, event_id, trace_id, k % {_LOCK_BATCHES} AS batch,
+                     CASE WHEN k % 11 = 0 THEN NULL ELSE (k * 7919) % {_LOCK_SECONDS} END AS t
+              FROM ok, generate_series(CAST(date_from AS TIMESTAMP), CAST(date_to AS TIMESTAMP), INTERVAL 1 DAY) x(d)),
+    lined AS (SELECT *, row_number() OVER (PARTITION BY dataset_type, wmo_index, day ORDER BY batch, t NULLS FIRST, event_id, trace_id) AS rn FROM cells),
+    -- cell after cell: a lock ends {600} s after its instant; one taken by a cell of no instant ends with the next instant
+    fold AS (
+        SELECT dataset_type, wmo_index, day, rn, trace_id, true AS acquired, trace_id AS owner, coalesce(t, -1000000) AS locked FROM lined WHERE rn = 1
+        UNION ALL
+        SELECT l.dataset_type, l.wmo_index, l.day, l.rn, l.trace_id, coalesce(l.t >= f.locked + 600, false),
+               CASE WHEN coalesce(l.t >= f.locked + 600, false) THEN l.trace_id ELSE f.owner END,
+               CASE WHEN coalesce(l.t >= f.locked + 600, false) THEN l.t ELSE f.locked END
+        FROM fold f JOIN lined l ON l.dataset_type = f.dataset_type AND l.wmo_index = f.wmo_index AND l.day = f.day AND l.rn = f.rn + 1)
 """
 
 
 def _lock_stream(spark, sf):
-    """Need-info events derived from ``orders`` (the valid ones; ranges are under a year), created
-    within five minutes but delivered in any order, over several micro-batches."""
+    """Need-info events derived from ``orders`` (the valid ones; ranges are under a year), delivered in three micro-batches
+    whose instants overlap, so that cells come late and locks expire; every eleventh event has no instant."""
     root = scratch_dir(spark, "locks")
     ev = fx.order_events(spark, sf)
-    at = F.expr("date_format(timestampadd(SECOND, CAST(hash(trace_id) % 300 AS INT), TIMESTAMP '2026-07-06 12:20:00'), "
-                "\"yyyy-MM-dd'T'HH:mm:ss'Z'\")")
+    k = "CAST(substr(trace_id, 4) AS BIGINT)"
+    at = F.expr(f"CASE WHEN {k} % 11 <> 0 THEN date_format(timestampadd(SECOND, CAST(({k} * 7919) % {_LOCK_SECONDS} AS INT), "
+                "TIMESTAMP '2026-07-06 12:20:00'), \"yyyy-MM-dd'T'HH:mm:ss'Z'\") END")
     ev = rq.valid_need_info(ev.filter(F.col("dataset_type").isNotNull())) \
         .select("event_id", "trace_id", "dataset_type", at.alias("created_at"), "date_from", "date_to", "wmo_indexes")
-    ev.repartition(3, "trace_id").write.mode("overwrite").json(f"{root}/in")
+    for i in range(_LOCK_BATCHES):                                  # one file after another
+        ev.filter(F.expr(f"{k} % {_LOCK_BATCHES} = {i}")).coalesce(1).write.mode("append").json(f"{root}/in")
     src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).json(f"{root}/in")
-    q = rs.fetch_locks(rs.need_info_cells(src)).writeStream.format("parquet").option("path", f"{root}/out") \
-        .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
-    _await(q)
-    return spark.read.schema(rs.LOCK_OUTPUT).parquet(f"{root}/out")
+    _await(rs.run_fetch_locks(rs.need_info_cells(src), lock_path=f"{root}/table", answer_path=f"{root}/out", checkpoint=f"{root}/ckpt"))
+    return rs.read_answers(spark, f"{root}/out")
 
 
-@register("stream_fetch_locks", _LOCKS_SQL + "SELECT DISTINCT dataset_type, wmo_index, day FROM cells")
+@register("stream_fetch_locks", _LOCKS_SQL + "SELECT dataset_type, wmo_index, day, trace_id FROM fold WHERE acquired")
 def q_stream_fetch_locks(spark, sf):
-    """Every ``(dataset, station, day)`` cell is fetched once."""
-    return _lock_stream(spark, sf).filter("acquired").select("dataset_type", "wmo_index", "day")
+    """The ``(dataset, station, day)`` cells to fetch: those that took their lock."""
+    return _lock_stream(spark, sf).filter("acquired").select("dataset_type", "wmo_index", "day", "trace_id")
 
 
 @register("stream_lock_owners", _LOCKS_SQL + """
-    , asked AS (SELECT dataset_type, wmo_index, day, count(*) AS n FROM cells GROUP BY 1, 2, 3)
-    SELECT c.dataset_type, c.wmo_index, c.day, CAST(a.n AS BIGINT) AS n_asked, CAST(1 AS BIGINT) AS n_owners, true AS owner_asked
-    FROM (SELECT DISTINCT dataset_type, wmo_index, day FROM cells) c JOIN asked a USING (dataset_type, wmo_index, day)""")
+    SELECT owner AS owner_trace_id, CAST(count(*) AS BIGINT) AS n_cells, CAST(count(*) FILTER (WHERE acquired) AS BIGINT) AS n_acquired,
+           CAST(count(DISTINCT trace_id) AS BIGINT) AS n_waiting, min(day) AS first_day, max(day) AS last_day
+    FROM fold GROUP BY owner""")
 def q_stream_lock_owners(spark, sf):
-    """Every asking cell is answered with one owner's trace, and the owner is one that asked for it."""
-    locks = _lock_stream(spark, sf)
-    return locks.groupBy("dataset_type", "wmo_index", "day").agg(
-        F.count(F.lit(1)).alias("n_asked"), F.countDistinct("owner_trace_id").alias("n_owners"),
-        F.expr("count_if(acquired AND trace_id = owner_trace_id) = 1").alias("owner_asked"))
+    """What waits on each owner's trace: every asking cell is answered with one."""
+    return _lock_stream(spark, sf).groupBy("owner_trace_id").agg(
+        F.count(F.lit(1)).alias("n_cells"), F.count_if("acquired").alias("n_acquired"), F.countDistinct("trace_id").alias("n_waiting"),
+        F.min("day").alias("first_day"), F.max("day").alias("last_day"))
 
 
 # -- T12 stream form: hits over the limit ---------------------------------------------------------

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -90,6 +90,13 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{checkpoint_root(spark)}/skyledger/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Write rows once under the shared checkpoint root and read them back: a lost executor repeats nothing before."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_local_checkpoint_dir(spark: SparkSession, path: str) -> str:
     """Tests only: give a session without ``spark.checkpoint.dir`` a folder."""
     os.makedirs(path, exist_ok=True)

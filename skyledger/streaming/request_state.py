@@ -9,27 +9,32 @@ no per-request mutable state is kept in memory, a hot request is reduced by
 partial aggregates like any other, and a lost executor only replays a batch.
 
 T5 (suppress duplicate fetches) keeps one lock per ``(dataset, station, day)``
-with the trace that owns it. No cell is dropped for being late: each one either
+with the trace that owns it. A batch's cells are joined with the lock table, its own locks
+are the starts of windows anchored at the first open cell, and owners come by a join; no
+Python runs per cell. No cell is dropped for being late: each one either
 takes the lock or is answered with its owner, whose trace the new request waits on.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from datetime import datetime, timezone
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from skyledger.functions.timefmt import iso_instant_to_ts
 from skyledger.operators import requests as rq
+from skyledger.operators.anchored_windows import in_windows, window_starts
+from skyledger.operators.current import current
 from skyledger.schemas import ANY_EVENT
+from skyledger.session import staged as _staged
 from skyledger.sources.events import parse_events
+from skyledger.sources.paths import child_names, path_exists, remove_tree
 
 LOCK_TTL_SECONDS = 600
-LOCK_STATE = "owner string, locked_us long"
+SNAPSHOT_EVERY = 16              # every so many batches the whole lock table is written, not only what the batch touched
+LOCK_KEYS = ["dataset_type", "wmo_index", "day"]
+LOCK_TABLE = "dataset_type string, wmo_index string, day date, owner string, locked long, seen timestamp, epoch long"
 LOCK_OUTPUT = ("dataset_type string, wmo_index string, day date, event_id string, trace_id string, created_ts timestamp, "
                "acquired boolean, owner_trace_id string")
 
@@ -66,56 +71,94 @@ def waiter_rows(requests: DataFrame) -> DataFrame:
     return requests.select("request_id", F.explode("pending_trace_ids").alias("trace_id")).distinct()
 
 
-def fetch_locks(cells: DataFrame, ttl_s: int = LOCK_TTL_SECONDS) -> DataFrame:
-    """T5: every need-info cell with ``acquired`` and the trace that owns its lock.
-
-    The first cell of a ``(dataset_type, wmo_index, day)`` takes the lock for ``ttl_s`` seconds from
-    its instant; a cell within that time (or a late one, stamped before it) is answered with the
-    owner's trace; a later one takes the lock anew. A lock is forgotten after ``ttl_s`` seconds
-    of processing time without a cell: a late cell then is fetched again, never lost."""
-    ttl_us = ttl_s * 1_000_000
-
-    def lock(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        owner, locked = state.get if state.exists else (None, None)
-        for part in batches:
-            part = part.sort_values(["created_ts", "event_id"], kind="stable", na_position="first").reset_index(drop=True)
-            at = part["created_ts"].to_numpy().astype("datetime64[us]").astype("int64")
-            known = part["created_ts"].notna().to_numpy()
-            acquired = np.zeros(len(part), bool)
-            owners = np.empty(len(part), object)
-            i = 0
-            while i < len(part):                         # one step per lock, not per cell
-                if locked is None or known[i] and at[i] >= locked + ttl_us:
-                    owner, locked, acquired[i] = part["trace_id"][i], int(at[i]) if known[i] else 0, True
-                end = max(int(np.searchsorted(np.where(known, at, np.iinfo(np.int64).min), locked + ttl_us)), i + 1)
-                owners[i:end] = owner
-                i = end
-            yield part.assign(acquired=acquired, owner_trace_id=owners)[[f.split()[0] for f in LOCK_OUTPUT.split(", ")]]
-        if locked is not None:
-            state.update((owner, locked))
-            state.setTimeoutDuration(ttl_s * 1000)
-
-    return cells.groupBy("dataset_type", "wmo_index", "day").applyInPandasWithState(
-        lock, LOCK_OUTPUT, LOCK_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
-
-
-def suppress_duplicate_fetches(cells: DataFrame, ttl_s: int = LOCK_TTL_SECONDS) -> DataFrame:
-    """T5: the cells to fetch (those that took their lock)."""
-    return fetch_locks(cells, ttl_s).filter("acquired").drop("acquired", "owner_trace_id")
+def answer_cells(cells: DataFrame, locks: DataFrame, ttl_s: int = LOCK_TTL_SECONDS) -> tuple[DataFrame, DataFrame]:
+    """T5 for a batch: ``(answers, taken)``, every cell with its owner and the locks that cells of the batch took.
+
+    A cell within ``ttl_s`` seconds of its key's lock, stamped before it or without an instant is answered with the
+    lock's owner. The others fall into windows anchored at the first of them (``ttl_s`` long): that one, by
+    ``(created_ts, event_id, trace_id)``, takes the lock, the rest wait on its trace. Without a lock,
+    cells of no instant come first. ``locks``: ``owner, locked`` (microseconds) by key, as they were before the batch."""
+    ttl = ttl_s * 1_000_000
+    cells = cells.withColumn("t", F.unix_micros("created_ts")).withColumn("cell", F.monotonically_increasing_id())
+    held = _staged(cells.join(locks.select(*LOCK_KEYS, "owner", "locked"), LOCK_KEYS, "left"), "cells")
+    free = F.expr(f"owner IS NULL OR coalesce(t >= locked + {ttl}, false)")
+    open_ = held.filter(free).withColumn("t", F.coalesce("t", F.lit(0)))
+    points = open_.select(*LOCK_KEYS, "t").distinct()
+    placed = open_.join(in_windows(points, window_starts(points, LOCK_KEYS, ttl), LOCK_KEYS, ttl), [*LOCK_KEYS, "t"])
+    first = placed.groupBy(*LOCK_KEYS, "start").agg(F.min(F.struct("t", "event_id", "trace_id", "cell")).alias("first"))
+    taken = _staged(first.select(*LOCK_KEYS, F.col("start").alias("locked"), F.col("first.trace_id").alias("owner"), F.col("first.cell").alias("taker")), "locks")
+    new = placed.drop("owner", "locked").join(taken.withColumnRenamed("locked", "start"), [*LOCK_KEYS, "start"])
+    columns = [*LOCK_KEYS, "event_id", "trace_id", "created_ts", "acquired", F.col("owner").alias("owner_trace_id")]
+    answers = held.filter(~free).withColumn("acquired", F.lit(False)).select(*columns).unionByName(
+        new.withColumn("acquired", F.col("cell") == F.col("taker")).select(*columns))
+    return answers, taken.drop("taker")
+
+
+def lock_table(spark: SparkSession, path: str, before_epoch: int, now: Column, ttl_s: int = LOCK_TTL_SECONDS) -> DataFrame:
+    """The newest lock of every key, from the last full table and the batches after it. A lock is forgotten after
+    ``ttl_s`` seconds of processing time without a cell: a late cell then is fetched again, never lost."""
+    first = max(before_epoch - 1, 0) // SNAPSHOT_EVERY * SNAPSHOT_EVERY
+    folders = [f for e in range(first, before_epoch) if path_exists(spark, f := f"{path.rstrip('/')}/epoch={e}")]
+    rows = spark.read.schema(LOCK_TABLE).parquet(*folders) if folders else spark.createDataFrame([], LOCK_TABLE)
+    newest = current(rows, LOCK_KEYS, "epoch")
+    return newest.filter(F.col("seen") > now - F.make_dt_interval(secs=F.lit(ttl_s)))
+
+
+def process_lock_batch(batch: DataFrame, epoch_id: int, *, lock_path: str, answer_path: str, ttl_s: int = LOCK_TTL_SECONDS,
+                       now: Column | None = None) -> None:
+    """``foreachBatch`` body. Answers and locks of a batch have folders of their own, so a batch that is tried again
+    replaces what it left, and it looks only at the locks of the batches before it."""
+    spark = batch.sparkSession
+    now = F.lit(datetime.now(timezone.utc)) if now is None else now            # one instant for the batch
+    cells = _staged(batch.select(*LOCK_KEYS, "event_id", "trace_id", "created_ts"), "batch")
+    locks = lock_table(spark, lock_path, epoch_id, now, ttl_s)
+    answers, taken = answer_cells(cells, locks, ttl_s)
+    answers.write.mode("overwrite").parquet(f"{answer_path.rstrip('/')}/epoch={epoch_id}")
+    touched = cells.select(*LOCK_KEYS).distinct().withColumn("seen", now)
+    prior = locks.select(*LOCK_KEYS, "owner", "locked", F.col("seen").alias("last_seen"))
+    held = prior.join(touched, LOCK_KEYS, "left")
+    if epoch_id % SNAPSHOT_EVERY:
+        held = held.filter("seen IS NOT NULL")
+    kept = held.select(*LOCK_KEYS, "owner", "locked", F.coalesce("seen", "last_seen").alias("seen"))
+    every = kept.unionByName(taken.withColumn("seen", now))
+    newest = every.groupBy(*LOCK_KEYS).agg(F.max(F.struct("locked", "owner", "seen")).alias("lock"))
+    newest.select(*LOCK_KEYS, "lock.owner", "lock.locked", "lock.seen", F.lit(epoch_id).cast("long").alias("epoch")) \
+        .write.mode("overwrite").parquet(f"{lock_path.rstrip('/')}/epoch={epoch_id}")
+    for old in _outdated(spark, lock_path, epoch_id):
+        remove_tree(spark, old)
+
+
+def _outdated(spark: SparkSession, lock_path: str, epoch_id: int) -> list[str]:
+    """Folders before the full table that a repeated run of this batch would begin at."""
+    first = max(epoch_id - 1, 0) // SNAPSHOT_EVERY * SNAPSHOT_EVERY
+    names = [n for n in child_names(spark, lock_path) if n.startswith("epoch=")]
+    return [f"{lock_path.rstrip('/')}/{n}" for n in names if int(n.split("=")[1]) < first]
+
+
+def run_fetch_locks(cells: DataFrame, *, lock_path: str, answer_path: str, checkpoint: str, ttl_s: int = LOCK_TTL_SECONDS,
+                    available_now: bool = True):
+    """T5: start the stream that answers need-info cells; returns the running query."""
+    trigger = {"availableNow": True} if available_now else {"processingTime": "30 seconds"}
+    return cells.writeStream.foreachBatch(
+        lambda df, epoch: process_lock_batch(df, epoch, lock_path=lock_path, answer_path=answer_path, ttl_s=ttl_s)) \
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def read_answers(spark: SparkSession, answer_path: str) -> DataFrame:
+    """T5: every need-info cell with ``acquired`` and the trace that owns its lock; those that acquired are fetched."""
+    return spark.read.schema(LOCK_OUTPUT).parquet(answer_path).drop("epoch")
 
 
 def need_info_cells(need_info: DataFrame) -> DataFrame:
     """Expand need-info events to ``(dataset_type, wmo_index, day)`` cells (range capped upstream).
-    Events whose dates are no dates, or in the wrong order, have no cells (P12 reports them)."""
+    Events whose dates are no dates, or in the wrong order, have no cells (P12 reports them); neither have nulls in a station list."""
     d_from, d_to = F.col("date_from").try_cast("date"), F.col("date_to").try_cast("date")
     return need_info.select(
         "event_id", "trace_id", "dataset_type", iso_instant_to_ts(F.col("created_at")).alias("created_ts"),
         F.explode("wmo_indexes").alias("wmo_index"), d_from.alias("_f"), d_to.alias("_t")) \
         .filter("_f <= _t") \
-        .select("dataset_type", "wmo_index", F.explode(F.sequence("_f", "_t")).alias("day"), "event_id", "trace_id", "created_ts")
+        .select("dataset_type", "wmo_index", F.explode(F.sequence("_f", "_t")).alias("day"), "event_id", "trace_id", "created_ts") \
+        .filter("dataset_type IS NOT NULL AND wmo_index IS NOT NULL")
 
 
 def read_outcome_log(spark: SparkSession, log_path: str) -> DataFrame:

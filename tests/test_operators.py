@@ -258,13 +258,30 @@ def test_anchored_windows_match_brute_force(spark):
     hits = spark.createDataFrame([(i, datetime.fromtimestamp(t, timezone.utc)) for i, t in rows],
                                  "identity string, ts timestamp")
     limit, window = 10, 60
-    got = anchored_windows(spark, hits, window, limit, n_parts=7).collect()
+    got = anchored_windows(hits, window, limit).collect()
     norm = sorted(((r.identity, int(r.window_start.replace(tzinfo=timezone.utc).timestamp()), r.n_hits, r.breached,
                     int(r.first_breach_at.replace(tzinfo=timezone.utc).timestamp()) if r.first_breach_at else None)
                    for r in got), key=lambda r: (r[0], r[1]))
     assert norm == _brute_windows(rows, window, limit)
 
 
+def test_window_chains_by_brute_force(spark):
+    """Borders of stretches and segments: gaps of just under, exactly and over a window, before and after zero."""
+    import random
+    from skyledger.operators.anchored_windows import in_windows, window_starts
+    rnd, width, expected = random.Random(4), 10, {}
+    for key in "abc":
+        t, start = rnd.randint(-500, 0), None
+        for _ in range(150):
+            t += rnd.choice([1, 1, 2, 3, 6, width - 1, width, width + 1, 3 * width])
+            start = t if start is None or t >= start + width else start
+            expected[key, t] = start
+    points = spark.createDataFrame(sorted(expected), "k string, t long")
+    starts = window_starts(points, ["k"], width)
+    assert {(r.k, r.t): r.start for r in in_windows(points, starts, ["k"], width).collect()} == expected
+    assert sorted((r.k, r.t) for r in starts.collect()) == sorted({(k, s) for (k, _), s in expected.items()})
+
+
 def test_station_search_order_and_float_syntax(spark, workdir):
     path = os.path.join(workdir, "s.csv")
     with open(path, "w") as fh:

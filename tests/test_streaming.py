@@ -94,10 +94,9 @@ def test_suppress_duplicate_fetches(spark, workdir):
                     date_to="2024-01-04", wmo_indexes=["s2"])
     bad = dict(evs[0], event_id="5", trace_id="t5", date_from="2024-13-99")
     _write_lines(os.path.join(workdir, "ni", "b.json"), [evs_late, bad])
-    out = rs.fetch_locks(rs.need_info_cells(src))
-    q = out.writeStream.format("memory").queryName("fetch_cells").trigger(availableNow=True).start()
-    q.awaitTermination()
-    cells = spark.sql("SELECT * FROM fetch_cells").collect()
+    rs.run_fetch_locks(rs.need_info_cells(src), lock_path=os.path.join(workdir, "locks"), answer_path=os.path.join(workdir, "out"),
+                       checkpoint=os.path.join(workdir, "ck")).awaitTermination()
+    cells = rs.read_answers(spark, os.path.join(workdir, "out")).collect()
     # (actual, s2, 2024-01-02) is asked for three times but fetched once; forecast is a separate lock. The late
     # event's unseen day is fetched, and its other cells are answered with the trace that owns them.
     taken = [(r.dataset_type, r.wmo_index, str(r.day)) for r in cells if r.acquired]
@@ -107,6 +106,46 @@ def test_suppress_duplicate_fetches(spark, workdir):
     assert owners[("t4", "2024-01-04")] == "t4"
 
 
+def _fold_cells(batches, ttl=600):
+    """Cell by cell: ``(key, event, owner, acquired)``."""
+    state, out = {}, []
+    for batch in batches:
+        for key, event, trace, t in sorted(batch, key=lambda c: (c[3] is not None, c[3] or 0, c[1], c[2])):
+            owner, locked = state.get(key, (None, None))
+            take = owner is None or t is not None and t >= locked + ttl
+            if take:
+                owner, locked = state[key] = trace, 0 if t is None else t
+            out.append((key, event, owner, take))
+    return sorted(out)
+
+
+def test_locks_by_brute_force_over_batches(spark, workdir, monkeypatch):
+    """Late cells, cells of no instant, expiring locks, chains of locks within a batch, batches that are tried again."""
+    monkeypatch.setattr(rs, "SNAPSHOT_EVERY", 3)
+    rnd, start = random.Random(5), 1_780_000_000
+    batches, n = [], 0
+    for b in range(8):
+        batch = []
+        for _ in range(60):
+            n += 1
+            t = None if rnd.random() < 0.1 else start + b * 500 + rnd.randint(-900, 2500)
+            batch.append((rnd.choice(["1", "2", "3", "hot", "hot"]), f"e{n:04}", f"t{n:04}", t))
+        batches.append(batch)
+    now = F.lit(datetime(2026, 7, 6, tzinfo=timezone.utc))
+    locks, out = os.path.join(workdir, "locks dir"), os.path.join(workdir, "answers")
+    for epoch, batch in enumerate(batches):
+        rows = [("actual", k, datetime(2024, 1, 1).date(), e, tr, None if t is None else datetime.fromtimestamp(t, timezone.utc)) for k, e, tr, t in batch]
+        df = spark.createDataFrame(rows, "dataset_type string, wmo_index string, day date, event_id string, trace_id string, created_ts timestamp")
+        for _ in range(2 if epoch in (2, 3, 6) else 1):
+            rs.process_lock_batch(df, epoch, lock_path=locks, answer_path=out, now=now)
+    got = sorted((r.wmo_index, r.event_id, r.owner_trace_id, r.acquired) for r in rs.read_answers(spark, out).collect())
+    assert got == _fold_cells(batches)
+    # silent for longer than the lifetime: forgotten, and a late cell is fetched again
+    late = spark.createDataFrame([("actual", "1", datetime(2024, 1, 1).date(), "z", "tz", datetime.fromtimestamp(start - 5000, timezone.utc))], df.schema)
+    rs.process_lock_batch(late, len(batches), lock_path=locks, answer_path=out, now=now + F.expr("INTERVAL 601 SECONDS"))
+    assert rs.read_answers(spark, out).filter("event_id = 'z'").first().acquired
+
+
 def test_manifest_stream_failures_and_quarantine(spark, workdir):
     raw_root = os.path.join(workdir, "raw")
     write_document(raw_root, "actual", "1960-01-01", [
