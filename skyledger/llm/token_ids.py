@@ -3,8 +3,8 @@
 Texts are cut by array operations at places where the byte-level pattern always ends a match, whatever
 lies around: between letters, digits, marks and white space of ASCII (and letters of Latin and Cyrillic);
 where a character's kind isn't certain the text stays whole. Each piece has its ids alone. Pieces of at most 24
-bytes are found in a table of their own bytes, so nothing rests on a hash; new and longer ones go to
-the tokenizer. Strings of added tokens are these tokens, as in the tokenizer's plain call.
+bytes are found in a table of their own bytes, so nothing rests on a hash. New ones go to the tokenizer
+in one text, joined where a match always ends, and are told apart by the bytes of their tokens. Strings of added tokens are these tokens, as in the tokenizer's plain call.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import numpy as np
 from skyledger.llm.kernels import mixed, spread
 
 STRETCH = 1 << 20               # bytes worked on at once, also within one long text
-KEEP = 400_000                  # pieces a worker keeps the ids of (speed only)
+KEEP = 1_000_000                # pieces a worker keeps the ids of (speed only)
 _WIDE = 24
 
 # Kinds of bytes; 0 is uncertain.
@@ -65,10 +65,16 @@ class TokenIds:
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
         self._marks = [t.content.encode() for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._keep, self._stretch, self._bits = keep, stretch, (2 * keep).bit_length()
-        self._forget()
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=False)
+        self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)           # of each token: one per character, by this kind's alphabet
+        for token, number in vocabulary.items():
+            self._bytes[number] = len(token)
+        self._keep, self._stretch = keep, stretch
+        self._forget(0)
 
-    def _forget(self) -> None:
+    def _forget(self, need: int) -> None:
+        """An empty table, with room for `need` pieces at least."""
+        self._bits = (2 * max(self._keep, need)).bit_length()
         slots = 1 << self._bits
         self._keys = np.zeros((3, slots), np.uint64)
         self._sizes = np.zeros(slots, np.uint8)                      # 0: free
@@ -88,7 +94,7 @@ class TokenIds:
             at = piece_starts(data[start:look], own)
             for a, b in spans[(spans[:, 0] < look) & (spans[:, 1] > start)] - start:
                 at = at[(at <= a) | (at >= b)]
-            at = np.unique(np.r_[0, at])
+            at = at if len(at) and at[0] == 0 else np.r_[0, at]
             if end < n:
                 at = at[at <= end - start]
                 if len(at) < 2:                                      # one piece fills the stretch
@@ -125,26 +131,10 @@ class TokenIds:
         size = sizes[short]
         keys = [eight[starts[short] + 8 * k] & _MASK[np.clip(size - 8 * k, 0, 8)] for k in range(3)]
         size = size.astype(np.uint8)
-        home = self._home(keys, size)
         entry = np.full(len(starts), -1, np.int64)
-        entry[short] = self._find(keys, size, home)
-        new = short[entry[short] < 0]
+        entry[short], new = self._found(keys, size)
         if len(new):
-            texts = [bytes(data[a:b]) for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
-            first = dict.fromkeys(texts)
-            if self._known + len(first) > self._keep:
-                self._forget()
-                if len(first) < len(short):                          # what was known is looked up anew
-                    entry[short] = -1
-                    texts = [bytes(data[a:b]) for a, b in zip(starts[short].tolist(), ends[short].tolist(), strict=True)]
-                    first = dict.fromkeys(texts)
-            number = {t: self._known + i for i, t in enumerate(first)}
-            self._add([t.decode() for t in first])
-            again = np.flatnonzero(entry[short] < 0)
-            got = np.fromiter(map(number.__getitem__, texts), np.int64, len(texts))
-            entry[short[again]] = got
-            seen, at = np.unique(got, return_index=True)
-            self._insert([k[again][at] for k in keys], size[again][at], home[again][at], seen)
+            self._add_joined(data, starts[short[new]], ends[short[new]])
         long, extra, at_known = np.flatnonzero(sizes > _WIDE), {}, self._known
         if len(long):
             texts = [bytes(data[a:b]) for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)]
@@ -157,49 +147,94 @@ class TokenIds:
         self._known = at_known                                       # long pieces are not kept
         return ids, counts
 
-    def _home(self, keys: list[np.ndarray], size: np.ndarray) -> np.ndarray:
-        a, b, c = keys
-        h = a * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F) + c * np.uint64(0x165667B19E3779F9) + size
-        return (mixed(h) >> np.uint64(64 - self._bits)).astype(np.int64)
-
-    def _find(self, keys: list[np.ndarray], size: np.ndarray, home: np.ndarray) -> np.ndarray:
-        """Each piece's entry, or -1."""
-        out = np.full(len(size), -1, np.int64)
-        open_, slot = np.arange(len(size)), home
-        while len(open_):
-            same = self._sizes[slot] == size[open_]
-            for own, key in zip(self._keys, keys, strict=True):
-                same &= own[slot] == key[open_]
-            out[open_[same]] = self._entry[slot[same]]
-            on = ~same & (self._sizes[slot] > 0)
-            open_, slot = open_[on], (slot[on] + 1) & (len(self._sizes) - 1)
-        return out
-
-    def _insert(self, keys: list[np.ndarray], size: np.ndarray, home: np.ndarray, entries: np.ndarray) -> None:
-        open_, slot = np.arange(len(size)), home.copy()
-        while len(open_):
-            free = np.flatnonzero(self._sizes[slot] == 0)
-            _, one = np.unique(slot[free], return_index=True)        # of several for one slot, one gets it
-            put = free[one]
-            at, who = slot[put], open_[put]
-            for own, key in zip(self._keys, keys, strict=True):
-                own[at] = key[who]
-            self._sizes[at], self._entry[at] = size[who], entries[who]
-            rest = np.ones(len(open_), bool)
-            rest[put] = False
-            open_, slot = open_[rest], (slot[rest] + 1) & (len(self._sizes) - 1)
+    def _found(self, keys: list[np.ndarray], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(each piece's entry; which pieces are the first of their kind here). New ones get the next entries."""
+        while True:
+            a, b, c = keys
+            h = a * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F) + c * np.uint64(0x165667B19E3779F9) + size
+            home = (mixed(h) >> np.uint64(64 - self._bits)).astype(np.int64)
+            entry, new, count = np.full(len(size), -1, np.int64), [], self._known
+            open_, slot, last = np.arange(len(size)), home, len(self._sizes) - 1
+            while len(open_):
+                there = self._sizes[slot]
+                same = there == size[open_]
+                for own, key in zip(self._keys, keys, strict=True):
+                    same &= own[slot] == key[open_]
+                entry[open_[same]] = self._entry[slot[same]]
+                free = np.flatnonzero(there == 0)
+                if len(free):                                        # of several for a free slot one gets it, the others look again
+                    if count + len(free) > max(self._keep, len(size)):
+                        break
+                    self._entry[slot[free]] = free
+                    put = free[self._entry[slot[free]] == free]
+                    at, who = slot[put], open_[put]
+                    for own, key in zip(self._keys, keys, strict=True):
+                        own[at] = key[who]
+                    self._sizes[at] = size[who]
+                    self._entry[at] = entry[who] = count + np.arange(len(put))
+                    new.append(who)
+                    count += len(put)
+                    open_rest = entry[open_] < 0
+                    moved = open_rest & (there > 0)
+                else:
+                    open_rest = moved = ~same
+                slot = np.where(moved, (slot + 1) & last, slot)[open_rest]
+                open_ = open_[open_rest]
+            if not len(open_):
+                return entry, np.concatenate(new) if new else np.zeros(0, np.int64)
+            self._forget(len(size))
+
+    def _add_joined(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Entries for new pieces after those known. Pieces that begin with a character of a certain kind, or a blank before one, and end
+        with one are encoded as one text: a line end parts those that don't begin with a blank, and is a token of its own."""
+        kind = _KIND[data]
+        head, second, tail = kind[starts], kind[np.minimum(starts + 1, ends - 1)], kind[ends - 1]
+        certain = lambda k: (k > 0) & (k < _SPACE)
+        joined = certain(tail) & (certain(head) | ((head == _SPACE) & certain(second)))
+        for mark in self._marks:
+            joined &= ends - starts != len(mark)
+        counts, parts = np.zeros(len(starts), np.int64), {}
+        own = np.flatnonzero(joined)
+        if len(own):
+            line = (head[own] != _SPACE).astype(np.int64)
+            sizes = ends[own] - starts[own] + line
+            begins = np.cumsum(sizes) - sizes
+            text = np.full(int(sizes.sum()), 0x0A, np.uint8)
+            inner = sizes - line
+            text[np.repeat(begins + line, inner) + spread(inner)] = data[np.repeat(starts[own], inner) + spread(inner)]
+            ids = np.array(self._tokenizer.encode_batch_fast([text.tobytes().decode()], add_special_tokens=False)[0].ids, np.uint32)
+            upto = np.cumsum(self._bytes[ids])
+            first = np.searchsorted(upto, begins + line, "right")       # the token that begins there
+            after = np.searchsorted(upto, begins + sizes, "right")
+            if not len(upto) or upto[-1] != len(text):
+                raise ValueError("the tokenizer's tokens are not the text's bytes")
+            counts[own] = after - first
+        rest = np.flatnonzero(~joined)
+        if len(rest):
+            got = self._tokenizer.encode_batch_fast([bytes(data[a:b]).decode() for a, b in zip(starts[rest].tolist(), ends[rest].tolist(), strict=True)], add_special_tokens=False)
+            for i, e in zip(rest.tolist(), got, strict=True):
+                parts[i] = e.ids
+                counts[i] = len(e.ids)
+        ends_ = np.cumsum(counts)
+        flat = np.zeros(int(ends_[-1]), np.uint32)
+        if len(own):
+            flat[np.repeat(ends_[own] - counts[own], counts[own]) + spread(counts[own])] = ids[np.repeat(first, counts[own]) + spread(counts[own])]
+        for i, x in parts.items():
+            flat[ends_[i] - counts[i]:ends_[i]] = x
+        self._append(flat, counts)
+
+    def _append(self, flat: np.ndarray, counts: np.ndarray) -> None:
+        low, n = int(self._starts[self._known]), len(counts)
+        self._starts, self._ids = _room(self._starts, self._known + n + 1), _room(self._ids, low + len(flat))
+        self._starts[self._known + 1:self._known + 1 + n] = low + np.cumsum(counts)
+        self._ids[low:low + len(flat)] = flat
+        self._known += n
 
     def _add(self, texts: list[str]) -> None:
-        """Entries for new pieces after those known."""
+        """Entries for texts after those known."""
         got = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         counts = np.fromiter(map(len, got), np.int64, len(got))
-        ends = self._starts[self._known] + np.cumsum(counts)
-        self._starts = _room(self._starts, self._known + len(got) + 1)
-        self._starts[self._known + 1:self._known + 1 + len(got)] = ends
-        self._ids = _room(self._ids, int(ends[-1]) if len(ends) else 0)
-        low = int(self._starts[self._known])
-        self._ids[low:low + int(counts.sum())] = np.fromiter((x for ids in got for x in ids), np.uint32, int(counts.sum()))
-        self._known += len(got)
+        self._append(np.fromiter((x for ids in got for x in ids), np.uint32, int(counts.sum())), counts)
 
 
 def _room(array: np.ndarray, n: int) -> np.ndarray:
