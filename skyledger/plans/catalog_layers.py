@@ -14,10 +14,12 @@ from skyledger.operators import metrics as mx
 from skyledger.operators import requests as rq
 from skyledger.plans import fixtures as fx
 from skyledger.plans.catalog import register
+from skyledger.schemas import DATASETS
 from skyledger.session import scratch_dir
 from skyledger.sources import documents as docs
 from skyledger.sources import driver_tables as dt
 from skyledger.sources.driver_tables import oracle_with
+from skyledger.sources.paths import child_names
 
 MEAS = ["wmo_index", "name", "country", "min_temp", "avg_temp", "max_temp", "precipitation"]
 
@@ -75,13 +77,21 @@ def q_dm_layer(spark, sf):
 
 
 @register("run_summary", oracle_with("wx") +
-          "SELECT dataset_type, CAST(count(*) AS BIGINT) AS record_count, min(day) AS date_from, max(day) AS date_to "
-          "FROM wx GROUP BY dataset_type")
+          "SELECT dataset_type, CAST(count(*) AS BIGINT) AS record_count, CAST((SELECT min(day) FROM wx) AS VARCHAR) AS date_from, "
+          "CAST((SELECT max(day) FROM wx) AS VARCHAR) AS date_to, min(day) AS first_day, max(day) AS last_day FROM wx GROUP BY dataset_type")
 def q_run_summary(spark, sf):
-    """A6/S12 per dataset over the adapter's DM rows."""
-    rows = fx.weather_rows(spark, sf)
-    return rows.groupBy("dataset_type").agg(F.count(F.lit(1)).cast("long").alias("record_count"),
-                                            F.min("day").alias("date_from"), F.max("day").alias("date_to"))
+    """A run per dataset writes its RAW rows in the table's layout and reports what it wrote."""
+    from pyspark.sql import Observation
+    from skyledger.plans.write_path import observe_run, run_summary
+    from skyledger.sources import tables as tb
+    root, out = scratch_dir(spark, "runs"), []
+    bounds = fx.weather_rows(spark, sf).agg(F.min("day").cast("string").alias("f"), F.max("day").cast("string").alias("t")).first()
+    for ds in DATASETS:
+        rows = Observation()
+        side = fx.weather_rows(spark, sf).filter(F.col("dataset_type") == ds)
+        observe_run(tb.layout(side), rows).write.partitionBy("month").parquet(f"{root}/{ds}")
+        out.append(run_summary(rows, ds, bounds.f, bounds.t))
+    return spark.createDataFrame(out, "dataset_type string, record_count long, date_from string, date_to string, first_day date, last_day date")
 
 
 # -- S11 -> S1 -> S4 roundtrip through files -------------------------------------------
@@ -100,6 +110,20 @@ def q_documents_roundtrip(spark, sf):
     return back.select("observation_date", "station.*", "raw_object_key")
 
 
+@register("documents_scan", oracle_with("wx").rstrip() + ",\n" + _MEAS_SQL.strip() + """
+    SELECT date AS observation_date, wmo_index, name, country, min_temp, avg_temp, max_temp, precipitation,
+           'actual/date=' || strftime(date, '%Y-%m-%d') || '.json' AS raw_object_key
+    FROM meas""")
+def q_documents_scan(spark, sf):
+    """S11 -> S1 -> S4 over the producers' objects: one per day, every measurement in its list."""
+    root = scratch_dir(spark, "objects")
+    m = fx.measurements(spark, sf, "actual")
+    docs.write_documents(spark, m, root, "actual")
+    bounds = m.agg(F.min("date").cast("string"), F.max("date").cast("string")).first()
+    back = docs.explode_stations(docs.scan_daily_documents(spark, root, "actual", bounds[0], bounds[1], layout="document"))
+    return back.select("observation_date", "station.*", "raw_object_key")
+
+
 # -- S10 / F24 / F25 provider payloads built from orders x lineitem -------------------------
 
 @fx.per_session()
@@ -142,10 +166,30 @@ def _payload_text(spark, sf):
            l.l_discount AS temperature_2m_min, mx.v AS temperature_2m_max, l.l_tax AS precipitation_sum
     FROM l LEFT JOIN mx ON mx.order_key = l.order_key AND mx.j = l.i""")
 def q_payload_rows(spark, sf):
-    parsed = docs.parse_payload_text(_payload_text(spark, sf))
+    parsed, _rejected = docs.split_payload_text(_payload_text(spark, sf))
     return docs.payload_rows(parsed, keep=["order_key", "pos"])
 
 
+@register("payload_quarantine", """
+    WITH o AS (SELECT DISTINCT l_orderkey AS order_key FROM lineitem),
+    k AS (SELECT *, order_key % 11 AS kind FROM o)
+    SELECT order_key, CAST(NULL AS INTEGER) AS pos, CASE WHEN kind = 5 THEN 'not_a_payload' ELSE 'malformed' END AS reason FROM k WHERE kind IN (3, 5, 6)
+    UNION ALL SELECT order_key, 1, 'wrong_type' FROM k WHERE kind IN (7, 8)
+    UNION ALL SELECT order_key, 0, 'wrong_type' FROM k WHERE kind = 9
+    UNION ALL SELECT order_key, 0, 'payload' FROM k WHERE kind NOT IN (3, 5, 6, 9)
+    UNION ALL SELECT order_key, 2, 'payload' FROM k WHERE kind = 8""")
+def q_payload_quarantine(spark, sf):
+    """S10 with faults: responses cut short, no text, a bare number, arrays with a number or a payload of other types among good ones.
+    Every response and every element is found in one of the two outputs."""
+    kind, v = F.col("order_key") % 11, F.col("value")
+    bad = F.regexp_replace(v, r'"time":\[[^\]]*\]', '"time":"soon"')
+    text = _payload_text(spark, sf).withColumn("value", F.when(kind == 3, F.expr("left(value, length(value) - 9)")).when(kind == 5, F.lit("17"))
+                                                .when(kind == 6, F.lit(None)).when(kind == 7, F.concat(F.lit("["), v, F.lit(", 5]")))
+                                                .when(kind == 8, F.concat(F.lit("["), v, F.lit(","), bad, F.lit(","), v, F.lit("]"))).when(kind == 9, bad).otherwise(v))
+    good, rejected = docs.split_payload_text(text)
+    return rejected.select("order_key", "pos", "reason").unionByName(good.select("order_key", "pos", F.lit("payload").alias("reason")))
+
+
 # -- U4 merge of documents ----------------------------------------------------------------
 
 def _load(spark, sf, first: bool):
@@ -182,6 +226,24 @@ def q_merge_documents(spark, sf):
     return docs.merge_measurements(_load(spark, sf, True), _load(spark, sf, False))
 
 
+@register("merge_stored_documents", _LOADS_SQL + """,
+    merged AS (
+        SELECT * FROM second_load
+        UNION ALL
+        SELECT f.* FROM first_load f ANTI JOIN second_load s ON s.date = f.date AND s.wmo_index = f.wmo_index),
+    placed AS (
+        SELECT m.*, f.wmo_index IS NULL AS is_new FROM merged m LEFT JOIN first_load f ON f.date = m.date AND f.wmo_index = m.wmo_index)
+    SELECT date, CAST(row_number() OVER (PARTITION BY date ORDER BY is_new, wmo_index) - 1 AS INTEGER) AS pos, wmo_index, name, country,
+           min_temp, avg_temp, max_temp, precipitation FROM placed""")
+def q_merge_stored_documents(spark, sf):
+    """U4 on disk: the second load is merged into the first one's documents, day by day; old stations keep their places."""
+    root = scratch_dir(spark, "merged objects")
+    docs.write_documents(spark, _load(spark, sf, True), root, "actual")
+    docs.merge_into_documents(spark, _load(spark, sf, False), root, "actual")
+    days = [n[5:15] for n in child_names(spark, f"{root}/actual") if n.startswith("date=")]
+    return docs.stored_stations(spark, root, "actual", sorted(days))
+
+
 # -- acceptance path: J11 + F22 -> J12, F21 -> D2, D3 ---------------------------------------
 
 @fx.per_session()
@@ -286,6 +348,58 @@ def q_replace_day(spark, sf):
     return cur.replace_partitions(dm(_ods_load(spark, sf, True)), dm(_ods_load(spark, sf, False)), "day")
 
 
+_DAYS_SQL = _ODS_LOADS_SQL + """
+    SELECT CAST(station_id AS VARCHAR) AS wmo_index, observation_date AS day, temperature, temp_min, temp_max, precipitation_mm FROM o2
+    UNION ALL
+    SELECT CAST(station_id AS VARCHAR), observation_date, temperature, temp_min, temp_max, precipitation_mm
+    FROM o1 WHERE observation_date NOT IN (SELECT observation_date FROM o2)"""
+
+
+@register("replace_days_on_disk", _DAYS_SQL)
+def q_replace_days_on_disk(spark, sf):
+    """D3 on a stored table, in a folder whose name has a blank: the second load's days replace the first one's."""
+    from skyledger.sources import tables as tb
+
+    def dm(o):
+        return o.select(F.col("station_id").cast("string").alias("wmo_index"), F.col("observation_date").alias("day"),
+                        "temperature", "temp_min", "temp_max", "precipitation_mm")
+    path = scratch_dir(spark, "daily weather")
+    tb.append_layer(dm(_ods_load(spark, sf, True)), path)
+    tb.replace_days(spark, dm(_ods_load(spark, sf, False)), path)
+    return spark.read.parquet(path).drop("month")
+
+
+@register("compact_on_disk", oracle_with("cur") + """
+    SELECT wmo_index, day, temperature, precipitation_mm, trace_id, seq, ingested_at FROM cur WHERE dataset_type = 'actual'""")
+def q_compact_on_disk(spark, sf):
+    """D1 on a stored table: all versions of two appended halves, then the touched months hold the newest ones alone."""
+    from skyledger.sources import tables as tb
+    rows = dt.dm_side(spark, sf, "actual").select("wmo_index", "day", "temperature", "precipitation_mm", "trace_id", "seq", "ingested_at")
+    path = scratch_dir(spark, "all versions")
+    for half in (0, 1):
+        tb.append_layer(rows.filter(F.floor(F.col("seq") / 2) % 2 == half), path)
+    tb.compact_current(spark, path, ["wmo_index", "day"], "ingested_at", "seq")
+    return spark.read.parquet(path).drop("month")
+
+
+@register("pipeline_state", """
+    WITH u AS (SELECT 'clerk ' || (o_custkey % 7) AS pipeline_name, CAST(o_custkey AS VARCHAR) AS key, CAST(o_orderkey AS VARCHAR) AS value,
+                      o_orderdate AS updated_at, o_orderkey % 3 AS load, o_orderkey FROM orders)
+    SELECT pipeline_name, key, arg_max(value, (load, updated_at, value)) AS value, arg_max(updated_at, (load, updated_at, value)) AS updated_at
+    FROM (SELECT * FROM u WHERE NOT (load = 2 AND pipeline_name IN ('clerk 3', 'clerk 5'))) GROUP BY 1, 2""")
+def q_pipeline_state(spark, sf):
+    """Three rounds of updates by pipeline and key; the last one names some pipelines only."""
+    from skyledger.sources import tables as tb
+    o = dt.table(spark, sf, "orders")
+    updates = o.select(F.format_string("clerk %d", o.o_custkey % 7).alias("pipeline_name"), o.o_custkey.cast("string").alias("key"),
+                       o.o_orderkey.cast("string").alias("value"), o.o_orderdate.alias("updated_at"), (o.o_orderkey % 3).alias("load"))
+    path = scratch_dir(spark, "state")
+    for load in (0, 1, 2):
+        fresh = updates.filter(F.col("load") == load).filter((F.lit(load) < 2) | ~F.col("pipeline_name").isin("clerk 3", "clerk 5"))
+        tb.upsert_state(spark, path, fresh)
+    return spark.read.schema(tb.STATE_SCHEMA).parquet(path).select("pipeline_name", "key", "value", F.col("updated_at").cast("timestamp_ntz").alias("updated_at"))
+
+
 # -- dimension: S5-shaped station table, A8, A9, W4, O5, O6, J5, J7, J13, F32 ----------------
 
 _DIM_SQL = oracle_with("station")

@@ -1,10 +1,9 @@
 """The write path: one manifest (dataset, day range, lineage) -> RAW, ODS, DM -> error mart.
 
 Storage is a folder of parquet tables (``<root>/<table>/month=yyyyMM/``).
-The JSON scan and the layout shuffle run once: the run's RAW files are written
-beside the RAW table, ODS and DM are derived from those files as they lie (no
-further shuffle), and then the RAW files are moved into their table; nothing is
-left behind. The mart is then recomputed for the touched days from the newest DM rows of both datasets, in
+The JSON scan and the layout shuffle run once: the run's rows are staged in the shared
+scratch folder, counted as they are written, and RAW, ODS and DM are appended from that copy as it
+lies (no further shuffle); then the copy goes. The mart is then recomputed for the touched days from the newest DM rows of both datasets, in
 one aggregation over their union; arrival order of actual and forecast does
 not matter and re-running a manifest leaves the newest-wins reads unchanged.
 """
@@ -13,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.timefmt import iso_instant_to_ts, run_instant
@@ -22,7 +21,8 @@ from skyledger.operators.current import current
 from skyledger.schemas import DATASET_TABLES, DATASETS, DM, ERROR, ERROR_TABLE
 from skyledger.sources import documents as docs
 from skyledger.sources import tables as tb
-from skyledger.sources.paths import adopt, path_exists, write_beside
+from skyledger.session import scratch_dir
+from skyledger.sources.paths import path_exists, remove_tree
 
 DM_KEYS = ["wmo_index", "day"]
 
@@ -86,14 +86,17 @@ def land_manifest(spark: SparkSession, raw_root: str, table_root: str, m: Manife
                     trace_id=m.trace_id, event_created_at=iso_instant_to_ts(F.lit(m.created_at)),
                     ingested_at=stamp)
     raw_table = table_path(table_root, names["raw"])
-    side = write_beside(tb.layout(raw, "observation_date"), raw_table, "month")
-    written = spark.read.schema(raw.schema).parquet(side)         # this run's rows, sorted files by month
+    rows = Observation()
+    laid = observe_run(tb.layout(raw, "observation_date").drop("month"), rows, "observation_date")
+    copy = scratch_dir(spark, "run")                             # this run's rows, sorted files of month and key ranges
+    laid.write.parquet(copy)
+    written = spark.read.schema(raw.schema).parquet(copy)
+    tb.append_as_laid(written, table_path(table_root, names["raw"]), day_col="observation_date")
     ods = ly.to_ods(written)
     tb.append_as_laid(ods, table_path(table_root, names["ods"]), day_col="observation_date")
     tb.append_as_laid(ly.to_dm(ods), table_path(table_root, names["dm"]))
-    summary = run_summary(written, m.dataset_type, m.date_from, m.date_to).first().asDict()
-    adopt(spark, side, raw_table, "month")
-    return summary
+    remove_tree(spark, copy)
+    return run_summary(rows, m.dataset_type, m.date_from, m.date_to)
 
 
 def recompute_mart(spark: SparkSession, table_root: str, ranges: list[tuple[str, str]], stamp: Column) -> None:
@@ -117,8 +120,14 @@ def run_manifest(spark: SparkSession, raw_root: str, table_root: str, m: Manifes
     return summary
 
 
-def run_summary(df: DataFrame, dataset: str, date_from: str, date_to: str) -> DataFrame:
-    """S12/A6 as a one-row DataFrame."""
-    return df.agg(F.count(F.lit(1)).cast("long").alias("record_count")).select(
-        "record_count", F.lit(date_from).alias("date_from"), F.lit(date_to).alias("date_to"),
-        F.lit(dataset).alias("dataset_type"))
+def observe_run(df: DataFrame, rows: Observation, day_col: str = "day") -> DataFrame:
+    """Count a run's rows, and their days, in the job that writes them. Observe last: a range shuffle below would
+    run what lies under it twice, once for its sample."""
+    return df.observe(rows, F.count(F.lit(1)).alias("record_count"), F.min(day_col).alias("first_day"), F.max(day_col).alias("last_day"))
+
+
+def run_summary(rows: Observation, dataset: str, date_from: str, date_to: str) -> dict:
+    """What a run reports, from the rows observed while they were written; no further scan."""
+    seen = rows.get
+    return {"dataset_type": dataset, "record_count": seen["record_count"], "date_from": date_from, "date_to": date_to,
+            "first_day": seen["first_day"], "last_day": seen["last_day"]}

@@ -14,12 +14,14 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.schemas import DAILY_ARRAYS, DATASET_TABLES, MEASUREMENT, PAYLOAD, RAW_DOC
-from skyledger.sources.paths import child_names
+from skyledger.session import scratch_dir
+from skyledger.sources.paths import child_names, make_folder, remove_tree, replace_object
+
 
 class MissingDays(FileNotFoundError):
     """Days of a requested range without documents."""
@@ -94,30 +96,105 @@ def write_daily_documents(measurements: DataFrame, root: str, dataset: str, mode
 
 
 def measurements_by_date(measurements: DataFrame) -> DataFrame:
-    """``date, stations`` documents with the station list sorted by id.
+    """``date, stations`` with each day's list sorted by id, as one row per day.
 
-    Builds the producers' one-row-per-day shape; the list size is the
-    station count of one day, so use it for document exchange, not as an
-    intermediate of the pipeline (which stays in long form)."""
+    The list is a day in one row: a form to look at or send, not one to write from;
+    :func:`write_documents` writes the same documents without it."""
     cols = [f.name for f in MEASUREMENT.fields]
     return measurements.groupBy("date").agg(
         F.sort_array(F.collect_list(F.struct(*cols))).alias("stations")).orderBy("date")
 
 
-def scan_provider_payload(spark: SparkSession, path: str) -> DataFrame:
-    """Each file is one payload object or an array of them -> ``source, pos, payload``.
+def write_documents(spark: SparkSession, measurements: DataFrame, root: str, dataset: str, order: list[str] | None = None) -> None:
+    """The producers' objects, one ``{date, stations: [...]}`` per ``<prefix>/date=<day>.json``.
+
+    A day's stations go through one task in order (by id, or ``order``, extra columns of ``measurements``), a line each; the
+    first line opens the object and the last one closes it, so no row and no buffer holds a day. All objects are
+    written in full before the first one is put in place of an older one, each at once: a reader never sees half
+    an object, and a run that breaks off is repeated. Days without measurements are left as they are."""
+    prefix, cols = DATASET_TABLES[dataset]["prefix"], [f.name for f in MEASUREMENT.fields]
+    order = list(order or ["wmo_index"])
+    keys = [F.col(c).asc_nulls_last() for c in order] + [F.col(c) for c in cols if c not in order]
+    in_day = Window.partitionBy("date").orderBy(*keys)
+    day = F.col("date").cast("date").cast("string")
+    station = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    lines = measurements.filter("date IS NOT NULL").select(
+        day.alias("date"), station.alias("station"), (F.row_number().over(in_day) == 1).alias("opens"),
+        F.lead(F.lit(False), 1, True).over(in_day).alias("closes"))
+    value = F.concat(F.when(F.col("opens"), F.concat(F.lit('{"date":"'), "date", F.lit('","stations":[\n'))).otherwise(F.lit("")), "station",
+                     F.when(F.col("closes"), F.lit("]}")).otherwise(F.lit(",")))
+    copy = scratch_dir(spark, "documents")
+    lines.select("date", value.alias("value")).write.partitionBy("date").text(copy)
+    make_folder(spark, f"{root.rstrip('/')}/{prefix}")
+    for folder in child_names(spark, copy):
+        if folder.startswith("date="):
+            for name in child_names(spark, f"{copy}/{folder}"):          # one file: a day is one task's
+                replace_object(spark, f"{copy}/{folder}/{name}", f"{root.rstrip('/')}/{prefix}/{folder}.json")
+    remove_tree(spark, copy)
+
+
+def stored_stations(spark: SparkSession, root: str, dataset: str, days: list[str]) -> DataFrame:
+    """``date, pos, <measurement>`` of the stored documents of some days, by place in their document.
+
+    A day without a document has no rows; nor has one whose document can't be read as JSON of the schema: it counts
+    as absent and is written anew."""
+    there = set(child_names(spark, f"{root.rstrip('/')}/{DATASET_TABLES[dataset]['prefix']}"))
+    paths = [f"{root.rstrip('/')}/{k}" for d in days for k in object_keys(dataset, d, d) if k.rsplit("/", 1)[1] in there]
+    with_corrupt = T.StructType([*RAW_DOC.fields, T.StructField("_corrupt", T.StringType())])
+    docs = spark.read.schema(with_corrupt).option("multiLine", "true").option("mode", "PERMISSIVE") \
+        .option("columnNameOfCorruptRecord", "_corrupt").json(paths) if paths else spark.createDataFrame([], with_corrupt)
+    key_day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), r"date=([0-9-]{10})", 1)) if paths else F.col("date")
+    rows = docs.withColumn("_day", key_day).filter("_corrupt IS NULL").select(F.col("_day").alias("date"), F.posexplode("stations").alias("pos", "s"))
+    return rows.select("date", "pos", *[F.col(f"s.{f.name}").alias(f.name) for f in MEASUREMENT.fields])
+
+
+def merge_into_documents(spark: SparkSession, fresh: DataFrame, root: str, dataset: str) -> list[str]:
+    """U4 on stored documents: a fresh record replaces the whole old one of its station, at its place in the day's list; other
+    stations stay; new ones follow by id. Only the days of ``fresh`` are read and written; returns the keys written.
+
+    ``fresh`` holds a request's days (its range is capped). Of several fresh records of a station and day, the one with
+    the greatest values is taken."""
+    cols = [f.name for f in MEASUREMENT.fields]
+    days = sorted(r.date for r in fresh.select(F.col("date").cast("date").cast("string").alias("date")).filter("date IS NOT NULL").distinct().collect())
+    new = fresh.select(F.col("date").cast("date").alias("date"), *cols).withColumn("fresh", F.lit(1)).withColumn("pos", F.lit(None).cast("int"))
+    old = stored_stations(spark, root, dataset, days).withColumn("fresh", F.lit(0))
+    merged = old.unionByName(new).groupBy("date", "wmo_index").agg(
+        F.min("pos").alias("pos"), F.max(F.struct("fresh", *[c for c in cols if c != "wmo_index"])).alias("m"))
+    write_documents(spark, merged.select("date", "pos", "wmo_index", *[F.col(f"m.{c}").alias(c) for c in cols if c != "wmo_index"]),
+                    root, dataset, order=["pos", "wmo_index"])
+    return [f"{DATASET_TABLES[dataset]['prefix']}/date={d}.json" for d in days]
+
 
-    Files are read whole (one provider response each) and parsed with an
-    array schema, which also accepts a single object as a one-element array."""
+def scan_provider_payload(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Each file is one payload object or an array of them -> ``(source, pos, payload)`` and what can't be read so.
+
+    Files are read whole (one provider response each)."""
     text = spark.read.option("wholetext", "true").text(path).select(
         F.col("_metadata.file_path").alias("source"), "value")
-    return parse_payload_text(text)
+    return split_payload_text(text)
+
 
+def split_payload_text(text: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """``(payloads, rejected)`` of response texts. A response is one object or an array; each element keeps its place.
 
-def parse_payload_text(text: DataFrame, value_col: str = "value") -> DataFrame:
-    parsed = text.withColumn("_arr", F.from_json(F.col(value_col), T.ArrayType(PAYLOAD)))
+    ``rejected`` has every response that is no JSON (``malformed``), or neither object nor array (``not_a_payload``), and every
+    element that is no object or whose fields have other types (``wrong_type``), with its text. An empty array has no rows."""
     keep = [c for c in text.columns if c != value_col]
-    return parsed.select(*keep, F.posexplode("_arr").alias("pos", "payload"))
+    variant = F.try_parse_json(F.col(value_col))
+    shape = F.when(variant.isNull(), "malformed").otherwise(F.regexp_extract(F.schema_of_variant(variant), "^(OBJECT|ARRAY)", 1))
+    read = text.withColumn("_v", variant).withColumn("_shape", shape)
+    elements = F.when(F.col("_shape") == "ARRAY", F.try_variant_get("_v", "$", "array<variant>")).otherwise(F.array("_v"))
+    whole = read.filter("_shape IN ('OBJECT', 'ARRAY')").select(*keep, F.posexplode(elements).alias("pos", "_e"))
+    with_corrupt = T.StructType([*PAYLOAD.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = whole.withColumn("_text", F.to_json("_e")).withColumn(
+        "_p", F.from_json("_text", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    ok = F.coalesce(F.col("_text").startswith("{") & F.col("_p").isNotNull() & F.col("_p._corrupt").isNull(), F.lit(False))
+    good = parsed.filter(ok).select(*keep, "pos", F.struct(*[F.col(f"_p.{f.name}").alias(f.name) for f in PAYLOAD.fields]).alias("payload"))
+    wrong = parsed.filter(~ok).select(*keep, "pos", F.lit("wrong_type").alias("reason"), F.col("_text").alias("raw_value"))
+    unread = read.filter("_shape NOT IN ('OBJECT', 'ARRAY')").select(
+        *keep, F.lit(None).cast("int").alias("pos"), F.when(F.col("_shape") == "malformed", "malformed").otherwise("not_a_payload").alias("reason"),
+        F.col(value_col).alias("raw_value"))
+    return good, unread.unionByName(wrong)
 
 
 def payload_rows(payloads: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Existence, listing and switching of files through Hadoop's file systems (any store Spark reaches)."""
+"""Existence, listing and replacement of files through Hadoop's file systems (any store Spark reaches)."""
 
 from __future__ import annotations
 
@@ -26,42 +26,56 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 def remove_tree(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
-def write_beside(new: DataFrame, path: str, part_col: str | None = None) -> str:
-    """Write rows in full beside a parquet table, in a folder of the table that readers skip; returns it."""
-    side = f"{path.rstrip('/')}/_new-{uuid.uuid4().hex[:12]}"
-    writer = new.write.mode("errorifexists")
-    (writer.partitionBy(part_col) if part_col else writer).parquet(side)
-    return side
-
-
-def adopt(spark: SparkSession, side: str, path: str, part_col: str | None = None) -> list[str]:
-    """Move files written beside a table into it; returns the partitions that got files."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
-    target = path.rstrip("/")
-    _, fs = _fs(spark, target)
-    touched = [n for n in child_names(spark, side) if n.startswith(f"{part_col}=")] if part_col else [""]
-    for part in touched:
-        into, source = (f"{target}/{part}", f"{side}/{part}") if part else (target, side)
-        fs.mkdirs(jvm_path(into))
-        for name in child_names(spark, source):
-            if name.startswith("part-") and not fs.rename(jvm_path(f"{source}/{name}"), jvm_path(f"{into}/{name}")):
-                raise OSError(f"could not move {name} into {into}")
-    remove_tree(spark, side)
-    return touched
-
-
-def switch_files(spark: SparkSession, new: DataFrame, path: str, old_files: list[str], part_col: str | None = None) -> None:
-    """Put the rows of ``new`` in place of ``old_files`` of a parquet table.
-
-    The new files are written in full beside the table, moved into it, and only then are the old
-    files removed. A crash at any point loses no row, and files that others appended meanwhile
-    stay. With ``part_col``, only old files of partitions that ``new`` has are removed."""
-    touched = adopt(spark, write_beside(new, path, part_col), path, part_col)
-    for old in old_files:
-        if part_col is None or any(f"/{part}/" in old for part in touched):
-            p, fs = _fs(spark, old)
-            fs.delete(p, False)
+    if fs.exists(p) and not fs.delete(p, True):
+        raise OSError(f"could not remove {path}")
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def replace_object(spark: SparkSession, source: str, target: str) -> None:
+    """Put one file in place of another (or of none): readers see the old or the new one."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    overwrite = spark._sc._gateway.new_array(jvm.Options.Rename, 1)
+    overwrite[0] = jvm.Options.Rename.OVERWRITE
+    jvm.FileContext.getFileContext(jvm.Path(target).toUri(), spark._jsc.hadoopConfiguration()).rename(jvm.Path(source), jvm.Path(target), overwrite)
+
+
+_REWRITE = "_rewrite-"           # folders that readers of a table skip
+
+
+def rewrite_partitions(spark: SparkSession, new: DataFrame, path: str, part_col: str, order: list[str]) -> None:
+    """Replace the partitions of a parquet table that ``new`` has rows of; other partitions stay.
+
+    The rows are written in full to a staged copy in the table's folder, which readers skip; then Spark's dynamic
+    partition overwrite takes them from there. The copy goes last, so that a run which breaks off while
+    partitions are replaced is repeated from it (:func:`finish_rewrites`). A table has one writer at a time."""
+    finish_rewrites(spark, path, part_col, order)
+    copy = f"{path.rstrip('/')}/{_REWRITE}{uuid.uuid4().hex[:12]}"
+    new.write.partitionBy(part_col).parquet(copy)                # its _SUCCESS says that the copy is whole
+    _overwrite(spark, copy, path, part_col, order)
+
+
+def finish_rewrites(spark: SparkSession, path: str, part_col: str, order: list[str]) -> None:
+    """Repeat rewrites that broke off after their copy was whole; drop copies that never were."""
+    for name in child_names(spark, path):
+        if name.startswith(_REWRITE):
+            copy = f"{path.rstrip('/')}/{name}"
+            if path_exists(spark, f"{copy}/_SUCCESS"):
+                _overwrite(spark, copy, path, part_col, order)
+            else:
+                remove_tree(spark, copy)
+
+
+def _overwrite(spark: SparkSession, copy: str, path: str, part_col: str, order: list[str]) -> None:
+    if any(n.startswith(f"{part_col}=") for n in child_names(spark, copy)):
+        rows = spark.read.option("basePath", copy).parquet(copy).withColumn(part_col, _text(part_col))
+        rows.sortWithinPartitions(part_col, *order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path)
+    remove_tree(spark, copy)
+
+
+def _text(part_col: str):
+    from pyspark.sql import functions as F
+    return F.col(part_col).cast("string")

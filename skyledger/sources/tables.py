@@ -3,9 +3,9 @@ month layout, and rewrite safely (S6, S7, S13, D1, D3).
 
 A table is a folder of parquet files partitioned by ``month`` (``yyyyMM``)
 and sorted by ``(wmo_index, day)`` inside each file, so a day range prunes
-partitions and row groups. Rewrites write their new files in full, move them
-into the table and only then remove the files they replace: a crash loses no
-row, and rows appended meanwhile stay.
+partitions and row groups. Rewrites stage the touched partitions in full and then
+overwrite exactly these with Spark's dynamic partition overwrite; one that breaks off
+is repeated from its copy. A table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.operators.metrics import between_days
-from skyledger.sources.paths import path_exists, switch_files
+from skyledger.sources.paths import finish_rewrites, path_exists, rewrite_partitions
 
 
 def month_of(day_col: str) -> F.Column:
@@ -56,39 +56,40 @@ def append_as_laid(df: DataFrame, path: str, day_col: str = "day") -> None:
     df.withColumn("month", month_of(day_col)).write.mode("append").partitionBy("month").parquet(path)
 
 
-def replace_partitions(spark: SparkSession, new: DataFrame, path: str, part_col: str = "month",
-                       old_files: list[str] | None = None) -> None:
-    """D3: only partitions present in ``new`` are replaced. ``old_files``: the table's files as
-    they were when ``new`` was derived from them (default: those of now)."""
-    if old_files is None:
-        old_files = spark.read.parquet(path).inputFiles() if path_exists(spark, path) else []
-    switch_files(spark, new, path, old_files, part_col)
+ROW_ORDER = ["wmo_index", "day"]
 
 
 def replace_days(spark: SparkSession, new: DataFrame, path: str, day_col: str = "day") -> None:
     """D3 (delete day, then insert): every day present in ``new`` is replaced wholly;
     other days of the touched months are carried over from the current table. Only an
     absent table counts as empty; any other read error is raised."""
-    fresh, old_files = new.withColumn("month", month_of(day_col)), []
+    order = [ROW_ORDER[0], day_col]
+    fresh = new.withColumn("month", month_of(day_col))
+    finish_rewrites(spark, path, "month", order)
     if path_exists(spark, path):
-        old = spark.read.parquet(path)
-        old_files = old.inputFiles()
+        old = _with_text_month(spark.read.parquet(path))
         months = fresh.select("month").distinct()
         kept = old.join(months, "month", "left_semi").join(fresh.select(day_col).distinct(), day_col, "left_anti")
         fresh = kept.unionByName(fresh.select(*kept.columns))
-    replace_partitions(spark, fresh.repartitionByRange("month", "wmo_index", day_col)
-                       .sortWithinPartitions("wmo_index", day_col), path, old_files=old_files)
+    rewrite_partitions(spark, fresh.repartitionByRange("month", *order).sortWithinPartitions("month", *order), path, "month", order)
 
 
 def compact_current(spark: SparkSession, path: str, keys: list[str], version: str, tie: str | None = None,
-                    touched_months: DataFrame | None = None) -> None:
+                    touched_months: DataFrame | None = None, day_col: str = "day") -> None:
     """Rewrite touched months keeping only the newest version per key."""
     from skyledger.operators.current import current
-    df = spark.read.parquet(path)
-    old_files = df.inputFiles()
+    order = [ROW_ORDER[0], day_col]
+    finish_rewrites(spark, path, "month", order)
+    df = _with_text_month(spark.read.parquet(path))
     if touched_months is not None:
         df = df.join(touched_months.select("month").distinct(), "month", "left_semi")
-    replace_partitions(spark, current(df, keys + ["month"], version, tie), path, old_files=old_files)
+    newest = current(df, keys + ["month"], version, tie)
+    rewrite_partitions(spark, newest.repartitionByRange("month", *order).sortWithinPartitions("month", *order), path, "month", order)
+
+
+def _with_text_month(df: DataFrame) -> DataFrame:
+    """``month`` is text, also in a session that infers types of partition values."""
+    return df.withColumn("month", F.col("month").cast("string"))
 
 
 STATE_SCHEMA = "pipeline_name string, key string, value string, updated_at timestamp"
@@ -97,15 +98,15 @@ STATE_SCHEMA = "pipeline_name string, key string, value string, updated_at times
 def upsert_state(spark: SparkSession, path: str, updates: DataFrame) -> None:
     """Pipeline state ``(pipeline_name, key) -> value``; a newer update replaces the old value.
 
-    The table is small and keyed; the merged files are written first and then take the
-    place of the files they were read from. Only an absent table counts as empty."""
-    from skyledger.operators.current import current
-    fresh, old_files = updates.select("pipeline_name", "key", "value", "updated_at").withColumn("_src", F.lit(1)), []
+    The table lies by pipeline, and only the pipelines that the updates name are rewritten. Several updates of
+    one key in a call: the newest by ``updated_at``, then ``value``. Only an absent table counts as empty."""
+    finish_rewrites(spark, path, "pipeline_name", ["key"])
+    fresh = updates.select("pipeline_name", "key", "value", "updated_at").withColumn("_src", F.lit(1))
     if path_exists(spark, path):
-        old = spark.read.schema(STATE_SCHEMA).parquet(path)
-        old_files = old.inputFiles()
+        old = spark.read.schema(STATE_SCHEMA).parquet(path).join(fresh.select("pipeline_name").distinct(), "pipeline_name", "left_semi")
         fresh = old.withColumn("_src", F.lit(0)).unionByName(fresh)
-    switch_files(spark, current(fresh, ["pipeline_name", "key"], "_src").drop("_src"), path, old_files)
+    newest = fresh.groupBy("pipeline_name", "key").agg(F.max(F.struct("_src", "updated_at", "value")).alias("u")).select("pipeline_name", "key", "u.value", "u.updated_at")
+    rewrite_partitions(spark, newest.repartition("pipeline_name"), path, "pipeline_name", ["key"])
 
 
 def read_jdbc_table(spark: SparkSession, url: str, table: str, date_from: str | None = None,

@@ -123,7 +123,8 @@ def test_payload_parsing(spark, workdir):
     with open(many, "w") as fh:
         fh.write('[{"latitude": 3.0, "longitude": 4.0, "daily": {"time": ["2024-01-01"],'
                  ' "temperature_2m_mean": [7.0]}}, {"latitude": 5.0, "longitude": 6.0, "daily": null}]')
-    p = docs.scan_provider_payload(spark, workdir + "/*.json")
+    p, rejected = docs.scan_provider_payload(spark, workdir + "/*.json")
+    assert rejected.collect() == []
     assert p.count() == 3
     rows = docs.payload_rows(p).collect()
     assert len(rows) == 3                                   # null daily -> no rows; time drives the rows

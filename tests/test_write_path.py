@@ -138,3 +138,71 @@ def test_replace_days_and_compaction_on_disk(spark, workdir):
     got = sorted((r.wmo_index, str(r.day), r.temperature, r.month) for r in spark.read.parquet(path).collect())
     assert got == [("1", "2024-01-01", 5.0, "202401"), ("2", "2024-02-01", 3.0, "202402"),
                    ("9", "2024-01-02", 9.0, "202401")]
+
+
+def _rows(spark, rows):
+    return spark.createDataFrame(rows, "wmo_index string, day string, temperature double").withColumn("day", F.to_date("day"))
+
+
+def test_rewrite_that_breaks_off_is_repeated_from_its_copy(spark, workdir, monkeypatch):
+    from skyledger.sources import paths
+    from skyledger.sources import tables as tb
+    path = f"{workdir}/my table"
+    tb.replace_days(spark, _rows(spark, [("1", "2024-01-01", 1.0), ("1", "2024-02-01", 2.0), ("1", "2024-03-01", 3.0)]), path)
+
+    def broken(spark, copy, path, *rest):
+        paths.remove_tree(spark, f"{path}/month=202401")                 # the overwrite ends when it has removed a partition
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(paths, "_overwrite", broken)
+        try:
+            tb.replace_days(spark, _rows(spark, [("2", "2024-01-01", 9.0), ("2", "2024-02-02", 8.0)]), path)
+        except RuntimeError:
+            pass
+    assert spark.read.parquet(path).filter("month = '202401'").count() == 0
+    # a copy that was never finished goes
+    _rows(spark, [("7", "2024-01-01", 7.0)]).write.parquet(f"{path}/_rewrite-half")
+    paths.remove_tree(spark, f"{path}/_rewrite-half/_SUCCESS")
+    tb.replace_days(spark, _rows(spark, [("3", "2024-03-01", 5.0)]), path)
+    got = sorted((r.wmo_index, str(r.day), r.temperature) for r in spark.read.parquet(path).collect())
+    assert got == [("1", "2024-02-01", 2.0), ("2", "2024-01-01", 9.0), ("2", "2024-02-02", 8.0), ("3", "2024-03-01", 5.0)]
+    assert [n for n in paths.child_names(spark, path) if n.startswith("_rewrite")] == []
+
+
+def test_state_of_one_pipeline_leaves_the_others(spark, workdir):
+    from skyledger.sources import tables as tb
+    path = f"{workdir}/pipeline state"
+    rows = lambda *r: spark.createDataFrame([(p, k, v, None) for p, k, v in r], tb.STATE_SCHEMA)
+    tb.upsert_state(spark, path, rows(("a=1/b", "x", "1"), ("c", "x", "2")))
+    other = {f for f in spark.read.schema(tb.STATE_SCHEMA).parquet(path).inputFiles() if "pipeline_name=c" in f}
+    tb.upsert_state(spark, path, rows(("a=1/b", "x", "3"), ("a=1/b", "y", "4")))
+    read = spark.read.schema(tb.STATE_SCHEMA).parquet(path).select("pipeline_name", "key", "value")
+    assert sorted(tuple(r) for r in read.collect()) == [("a=1/b", "x", "3"), ("a=1/b", "y", "4"), ("c", "x", "2")]
+    assert other <= set(read.inputFiles())
+
+
+def test_producers_objects_and_merge(spark, workdir):
+    import json
+    root, schema = f"{workdir}/raw data", "date string, wmo_index string, name string, country string, min_temp double, avg_temp double, max_temp double, precipitation double"
+    rows = [("2024-01-01", str(i), f'"n" {i}\\', "é", float(i), None, 1e-7, 0.0) for i in (30, 4, 100)] + [("2024-01-02", "7", None, None, None, None, None, None), (None, "9", "x", "y", 0., 0., 0., 0.)]
+    docs.write_documents(spark, spark.createDataFrame(rows, schema), root, "actual")
+    first = json.load(open(f"{root}/actual/date=2024-01-01.json"))
+    assert first["date"] == "2024-01-01" and [s["wmo_index"] for s in first["stations"]] == ["100", "30", "4"]
+    assert list(first["stations"][1].values()) == ["30", '"n" 30\\', "é", 30.0, None, 1e-7, 0.0]
+    assert json.load(open(f"{root}/actual/date=2024-01-02.json"))["stations"] == [dict.fromkeys(first["stations"][0], None) | {"wmo_index": "7"}]
+    with open(f"{root}/actual/date=2024-01-03.json", "w") as fh:
+        fh.write('{"date":"2024-01-03","stations":[{"wmo_index"')                # unreadable: counts as absent
+    before = open(f"{root}/actual/date=2024-01-02.json").read()
+    fresh = [("2024-01-01", "5", "new", None, None, None, None, None), ("2024-01-01", "30", None, None, None, 2.0, None, None),
+             ("2024-01-03", "1", "a", None, None, None, None, None), ("2024-01-04", "1", "b", None, None, None, None, None)]
+    keys = docs.merge_into_documents(spark, spark.createDataFrame(fresh, schema), root, "actual")
+    assert keys == [f"actual/date=2024-01-0{i}.json" for i in (1, 3, 4)]
+    got = json.load(open(f"{root}/actual/date=2024-01-01.json"))["stations"]
+    assert [(s["wmo_index"], s["name"], s["avg_temp"]) for s in got] == [("100", '"n" 100\\', None), ("30", None, 2.0), ("4", '"n" 4\\', None), ("5", "new", None)]
+    assert [len(json.load(open(f"{root}/{k}"))["stations"]) for k in keys] == [4, 1, 1]
+    assert open(f"{root}/actual/date=2024-01-02.json").read() == before              # untouched days are not rewritten
+
+
+def test_empty_fresh_rows_write_nothing(spark, workdir):
+    schema = "date string, wmo_index string, name string, country string, min_temp double, avg_temp double, max_temp double, precipitation double"
+    assert docs.merge_into_documents(spark, spark.createDataFrame([], schema), f"{workdir}/raw", "forecast") == []
