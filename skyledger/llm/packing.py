@@ -15,8 +15,6 @@ often as they occur; the string of an added token (<|endoftext|>) is that token;
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -26,82 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import dense_rank_in, register, staged, table
-from skyledger.llm.kernels import spread
+from skyledger.llm.kernels import text_slices
+from skyledger.llm.token_ids import encoder, tokenizer_path
 
 SEQUENCE = 1024
 END_ID = 2
-CACHE_PIECES = 300_000          # distinct text pieces remembered by a worker (speed only)
-_SLICE_CHARS = 1 << 20
-
-# White space as byte-level BPE's pattern means it, and letters of common Latin text.
-_WS = r"\t-\r \x85\xa0  -     　"
-_LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
-# Pieces that the byte-level pattern never joins with their neighbours, so that each has its ids alone:
-# Latin words before an ASCII non-letter, ASCII marks or digits before something of another kind, a
-# single line end; otherwise all up to the next white space.
-_PIECES = re.compile(
-    rf" ?[{_LATIN}]+(?=[\x00-@\[-`{{-\x7f]|\Z)"
-    rf"| ?[!-&(-/:-@\[-`{{-~]+(?=[{_LATIN}0-9 \n]|\Z)"
-    rf"| ?[0-9]+(?=[\x00-/:-\x7f]|\Z)"
-    rf"|\n(?=[^{_WS}])"
-    rf"|[{_WS}]*[^{_WS}]+(?=[{_WS}]|\Z)"
-    rf"|[{_WS}]+")
-
-
-class TokenIds:
-    """Token ids of texts; the ids of recurring pieces are kept, so that each is encoded once."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self._tokenizer = Tokenizer.from_file(path)
-        # strings of added tokens in a text are these tokens, as in a plain call; the text is cut there before anything else
-        self._marks = sorted((t.content for t in self._tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
-        self._at_marks = re.compile("(" + "|".join(map(re.escape, self._marks)) + ")")
-        self._forget()
-
-    def _forget(self) -> None:
-        self._known: dict[str, int] = {}
-        self._ids, self._starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def pieces(self, text: str) -> list[str]:
-        """The text in pieces that have their ids alone; each string of an added token is one."""
-        if not any(mark in text for mark in self._marks):
-            return _PIECES.findall(text)
-        parts = self._at_marks.split(text)                 # every second one is a mark
-        return [piece for i, part in enumerate(parts) for piece in ([part] if i % 2 else _PIECES.findall(part))]
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, one after another; number of ids of each text)."""
-        pieces: list[str] = []
-        per_text = np.zeros(len(texts) + 1, np.int64)
-        for i, text in enumerate(texts):
-            pieces += self.pieces(text)
-            per_text[i + 1] = len(pieces)
-        if len(self._known) > CACHE_PIECES:
-            self._forget()
-        new = list(set(pieces).difference(self._known))
-        if new:
-            got = [e.ids for e in self._tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            self._known.update(zip(new, range(len(self._known), len(self._known) + len(new)), strict=True))
-            sizes = np.fromiter(map(len, got), np.int64, len(got))
-            self._starts = np.r_[self._starts, self._starts[-1] + np.cumsum(sizes)]
-            self._ids = np.r_[self._ids, np.fromiter((x for ids in got for x in ids), np.uint32, int(sizes.sum()))]
-        at = np.fromiter(map(self._known.__getitem__, pieces), np.int64, len(pieces))
-        first, counts = self._starts[at], self._starts[at + 1] - self._starts[at]
-        ids = self._ids[np.repeat(first, counts) + spread(counts)]
-        ends = np.r_[0, np.cumsum(counts)]
-        return ids, np.diff(ends[per_text])
-
-
-_encoders: dict[str, TokenIds] = {}
-
-
-def encoder(path: str) -> TokenIds:
-    """One encoder per worker process."""
-    if path not in _encoders:
-        _encoders[path] = TokenIds(path)
-    return _encoders[path]
+_SLICE = 4 << 20
 
 
 def cut(n_ids: int, size: int) -> list[tuple[int, int]]:
@@ -118,25 +46,17 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         for batch in batches:
-            texts = batch.column(1).fill_null("").to_pylist()
-            row = 0
-            while row < len(texts):
-                end, chars = row, 0
-                while end < len(texts) and (end == row or chars + len(texts[end]) <= _SLICE_CHARS):
-                    chars += len(texts[end])
-                    end += 1
-                ids, counts = encode(texts[row:end])
-                out, at = [], 0
-                for i, n in enumerate(counts.tolist()):
-                    own = np.append(ids[at:at + n], np.uint32(end_id)).astype("<u4")
-                    at += n
-                    out += [(row + i, k, s, length, zlib.crc32(own[s:s + length].tobytes()))
-                            for k, (s, length) in enumerate(cut(n + 1, size))]
+            for row, end, data, offsets in text_slices(batch.column(1), _SLICE):
+                ids, begins = encode(data, offsets)
+                closed = np.insert(ids, begins[1:], end_id).astype("<u4")
+                begins = begins + np.arange(len(begins))             # every document before has its end token by now
+                out = []
+                for i, (at, n) in enumerate(zip(begins[:-1].tolist(), np.diff(begins).tolist(), strict=True)):
+                    out += [(row + i, k, s, length, zlib.crc32(closed[at + s:at + s + length])) for k, (s, length) in enumerate(cut(n, size))]
                 which, piece, start, length, crc = map(list, zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(pa.array(which, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                     pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
-                row = end
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(
@@ -228,11 +148,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id
     return packed(pieces, size)
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 @register("op4_best_fit_packing")
 def op4_best_fit_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path()).select(
