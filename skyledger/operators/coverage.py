@@ -3,9 +3,9 @@
 A request is ``request_id`` + a station set (``request_stations``: one row per
 ``(request_id, wmo_index)``) + an inclusive day range (``request_ranges``:
 ``request_id, date_from, date_to`` as DATE). Many requests are answered by one
-plan: the mart, pruned to the days of all requests together, is joined with the
-requested stations, and the rows inside a request's range are counted per
-``(request, day)`` with a partial aggregate. Nothing is collected to the driver.
+plan: the mart, pruned to the days of all requests together, becomes one row per
+station and month with a bit for each day, which are joined with the requested
+stations and ANDed per ``(request, month)``. Nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.functions import monthbits as mb
 from skyledger.schemas import DATASETS
 
 # Fixed values of the request contract.
@@ -56,38 +57,63 @@ def request_calendar(request_ranges: DataFrame) -> DataFrame:
     return request_ranges.selectExpr("request_id", f"explode({day_list_sql('date_from', 'date_to')}) AS day")
 
 
-def requested_rows(error: DataFrame, request_stations: DataFrame, request_ranges: DataFrame) -> DataFrame:
-    """The mart's rows of each request: one per (request, station, day) that is there.
-
-    The days of all requests together prune the mart's partitions (``month``, when it has one) and
-    row groups before anything is joined; the join is on the station, and a row is kept for
-    the requests whose range holds its day. Cells that the mart lacks are never generated."""
+def _asked_rows(error: DataFrame, request_ranges: DataFrame) -> DataFrame:
+    """The mart's rows of the days of all requests together: months (when it has them) and row groups are pruned."""
     bounds = request_ranges.agg(F.struct(F.min("date_from").alias("f"), F.max("date_to").alias("t"))).scalar()
     rows = error.filter((F.col("day") >= bounds["f"]) & (F.col("day") <= bounds["t"]))
     if "month" in error.columns:
         rows = rows.filter((F.col("month") >= F.date_format(bounds["f"], "yyyyMM")) & (F.col("month") <= F.date_format(bounds["t"], "yyyyMM"))).drop("month")
-    asked = request_stations.select("request_id", "wmo_index").distinct() \
+    return rows
+
+
+def _asked_stations(request_stations: DataFrame, request_ranges: DataFrame) -> DataFrame:
+    return request_stations.select("request_id", "wmo_index").distinct() \
         .join(request_ranges.select("request_id", "date_from", "date_to"), "request_id")
-    return rows.join(asked, "wmo_index").filter("day BETWEEN date_from AND date_to").drop("date_from", "date_to")
+
+
+def requested_rows(error: DataFrame, request_stations: DataFrame, request_ranges: DataFrame) -> DataFrame:
+    """The mart's rows of each request: one per (request, station, day) that is there.
+
+    The join is on the station, and a row is kept for the requests whose range holds its day. Cells that the
+    mart lacks are never generated."""
+    asked = _asked_stations(request_stations, request_ranges)
+    return _asked_rows(error, request_ranges).join(asked, "wmo_index").filter("day BETWEEN date_from AND date_to").drop("date_from", "date_to")
+
+
+def covered_months(error: DataFrame, request_stations: DataFrame, request_ranges: DataFrame) -> DataFrame:
+    """``request_id, month_start, bits``: the days on which **every** requested station has a mart row, as bits.
+
+    Stations become one row a month before they meet the requests; a request's stations are then ANDed, and a
+    month counts only if all of them have a row of it."""
+    columns = [c for c in ("wmo_index", "day", "month") if c in error.columns]
+    present = _asked_rows(error.select(*columns), request_ranges).groupBy("wmo_index", F.expr(f"{mb.month_of('day')} AS month_start")) \
+        .agg(F.expr(f"bit_or({mb.bit_of('day')}) AS bits"))
+    need = request_stations.groupBy("request_id").agg(F.countDistinct("wmo_index").alias("n_stations"))
+    met = present.join(_asked_stations(request_stations, request_ranges), "wmo_index") \
+        .filter("month_start <= date_to AND last_day(month_start) >= date_from AND date_from <= date_to")
+    both = met.groupBy("request_id", "month_start").agg(F.expr(f"bit_and(bits & {mb.range_bits('month_start', 'date_from', 'date_to')}) AS bits"), F.expr("count(1) AS n_there"))
+    return both.join(need, "request_id").filter("n_there = n_stations AND bits <> 0").select("request_id", "month_start", "bits")
 
 
 def covered_days(error: DataFrame, request_stations: DataFrame, request_ranges: DataFrame) -> DataFrame:
     """A3: ``(request_id, day)`` where **every** requested station has a mart row.
 
-    Exact: station sets are de-duplicated and the current mart has one row per
-    ``(wmo_index, day)``, so a count per ``(request, day)`` equals the number of
-    distinct covered stations."""
-    need = request_stations.groupBy("request_id").agg(F.countDistinct("wmo_index").alias("n_stations"))
-    columns = [c for c in ("wmo_index", "day", "month") if c in error.columns]
-    have = requested_rows(error.select(*columns), request_stations, request_ranges)
-    per_day = have.groupBy("request_id", "day").agg(F.expr("count(1) AS n_covered"))
-    return per_day.join(need, "request_id").filter("n_covered = n_stations").select("request_id", "day")
+    Exact: station sets are de-duplicated, and versions of a day set the same bit."""
+    return covered_months(error, request_stations, request_ranges).selectExpr("request_id", f"explode({mb.days_of('month_start', 'bits')}) AS day")
+
+
+def missing_months(error: DataFrame, request_stations: DataFrame, request_ranges: DataFrame) -> DataFrame:
+    """``request_id, month_start, bits`` of the days of a request's range that are not covered."""
+    months = request_ranges.selectExpr("request_id", "date_from", "date_to", f"explode({mb.months_between('date_from', 'date_to')}) AS month_start")
+    asked = months.selectExpr("request_id", "month_start", f"{mb.range_bits('month_start', 'date_from', 'date_to')} AS asked")
+    covered = covered_months(error, request_stations, request_ranges)
+    return asked.join(covered, ["request_id", "month_start"], "left") \
+        .selectExpr("request_id", "month_start", "asked & ~coalesce(bits, 0L) AS bits").filter("bits <> 0")
 
 
 def missing_days(error: DataFrame, request_stations: DataFrame, request_ranges: DataFrame) -> DataFrame:
     """Calendar minus covered days, per request."""
-    covered = covered_days(error, request_stations, request_ranges)
-    return request_calendar(request_ranges).join(covered, ["request_id", "day"], "left_anti")
+    return missing_months(error, request_stations, request_ranges).selectExpr("request_id", f"explode({mb.days_of('month_start', 'bits')}) AS day")
 
 
 def contiguous_ranges(days: DataFrame, by: list[str] | tuple[str, ...] = ("request_id",),

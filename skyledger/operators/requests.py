@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.functions import monthbits as mb
 from skyledger.schemas import DATASET_TABLES
 
 # Fixed values of the event contract.
@@ -151,21 +152,32 @@ def pending_requests(status: DataFrame) -> DataFrame:
     return status.filter(F.col("status") == "pending")
 
 
-def build_manifests(need_info: DataFrame, written_keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+def written_days(need_info: DataFrame, rows: DataFrame) -> DataFrame:
+    """``event_id, days``: the days of each event's range on which one of its stations has a row of its dataset, in order.
+
+    ``rows`` (``dataset_type, wmo_index, day``) become bits per station and month, which meet an event's stations
+    by dataset and station, are cut by its range and ORed; neither side is expanded to days. Days of one event: its (capped) range."""
+    present = rows.groupBy("dataset_type", "wmo_index", F.expr(f"{mb.month_of('day')} AS month_start")).agg(F.expr(f"bit_or({mb.bit_of('day')}) AS bits"))
+    asked = need_info.select("event_id", "dataset_type", F.explode("wmo_indexes").alias("wmo_index"),
+                             F.col("date_from").try_cast("date").alias("f"), F.col("date_to").try_cast("date").alias("t"))
+    met = asked.join(present, ["dataset_type", "wmo_index"]).filter("month_start <= t AND last_day(month_start) >= f AND f <= t")
+    months = met.groupBy("event_id", "month_start").agg(F.expr(f"bit_or(bits & {mb.range_bits('month_start', 'f', 't')}) AS bits")).filter("bits <> 0")
+    lined = months.groupBy("event_id").agg(F.sort_array(F.collect_list(F.struct("month_start", "bits"))).alias("months"))
+    return lined.selectExpr("event_id", f"flatten(transform(months, m -> {mb.days_of('m.month_start', 'm.bits')})) AS days")
+
+
+def build_manifests(need_info: DataFrame, written: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The keys actually written for each need-info event become one
     ``raw.created`` manifest; an event with nothing written becomes a failure row.
 
-    ``written_keys``: ``event_id, object_key, day``. The key list of one event is
-    bounded by its (capped) day range."""
-    per_event = written_keys.groupBy("event_id").agg(
-        F.sort_array(F.collect_set("object_key")).alias("object_keys"),
-        F.min("day").cast("string").alias("keys_from"), F.max("day").cast("string").alias("keys_to"))
-    joined = need_info.join(per_event, "event_id", "left")
+    ``written``: ``event_id, days`` (ordered, without repeats; bounded by the event's capped range)."""
     topic = F.when(F.col("dataset_type") == "forecast", F.lit(TOPIC_RAW_CREATED["forecast"])) \
         .otherwise(F.lit(TOPIC_RAW_CREATED["actual"]))
-    manifests = joined.filter(F.col("object_keys").isNotNull()).select(
-        "event_id", "trace_id", topic.alias("event_type"), "object_keys", "date_from", "date_to", "dataset_type")
-    empty = joined.filter(F.col("object_keys").isNull()).select(
+    joined = need_info.join(written.filter(F.size("days") > 0), "event_id", "left")
+    manifests = joined.filter(F.col("days").isNotNull()).select(
+        "event_id", "trace_id", topic.alias("event_type"),
+        F.transform("days", lambda day: object_key_of(F.col("dataset_type"), day)).alias("object_keys"), "date_from", "date_to", "dataset_type")
+    empty = joined.filter(F.col("days").isNull()).select(
         "trace_id", *failure_envelope(F.lit("fetch"), F.lit("fetcher"), F.lit("nothing_written"),
                                       F.format_string("no documents written for event %s", F.col("event_id"))))
     return manifests, empty

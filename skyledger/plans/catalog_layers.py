@@ -608,18 +608,14 @@ def q_manifest_errors(spark, sf):
 def q_build_manifest(spark, sf):
     """Documents 'written' for a need-info event = the days of its range on which
     one of its stations has data of its dataset (adapter rows); one manifest per event, or a
-    failure. Each event asks for its customer's station and the next one. Events are expanded to
-    their (station, day) cells (ranges are capped), so the join is on dataset, station and day."""
+    failure. Each event asks for its customer's station and the next one."""
     ev = fx.order_events(spark, sf).filter((F.size("wmo_indexes") > 0)
                                            & (F.to_date("date_from") <= F.to_date("date_to")))
     ev = ev.withColumn("dataset_type", F.coalesce("dataset_type", F.lit("actual"))) \
         .withColumn("wmo_indexes", F.flatten(F.transform("wmo_indexes", lambda x: F.array(x, (x.cast("long") + 1).cast("string"))))) \
         .withColumn("event_id", F.concat_ws("|", "event_id", "trace_id"))
-    cells = ev.select("event_id", "dataset_type", F.explode(F.expr("sequence(to_date(date_from), to_date(date_to))")).alias("day"),
-                      "wmo_indexes").withColumn("wmo_index", F.explode("wmo_indexes")).drop("wmo_indexes")
-    rows = fx.weather_rows(spark, sf).select("dataset_type", "wmo_index", "day").distinct()
-    written = cells.join(rows, ["dataset_type", "wmo_index", "day"]) \
-        .select("event_id", "day", rq.object_key_of(F.col("dataset_type"), F.col("day")).alias("object_key"))
+    rows = fx.weather_rows(spark, sf).select("dataset_type", "wmo_index", "day")
+    written = rq.written_days(ev, rows)
     manifests, failures = rq.build_manifests(ev, written)
     m = manifests.select("trace_id", F.lit("manifest").alias("route"), F.size("object_keys").cast("long").alias("n_keys"),
                          F.array_join("object_keys", ",").alias("object_keys"))

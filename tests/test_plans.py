@@ -54,4 +54,13 @@ def test_coverage_prunes_months_and_generates_no_cells(spark):
     plan = _plan(cov.covered_days(fx.mart_table(spark, SF), rs, rr))
     scan = [line for line in plan.splitlines() if "FileScan" in line and "month" in line][0]
     assert re.search(r"PartitionFilters: \[[^\]]*month", scan)
-    assert "Generate" not in plan
+    # days are spelled out from the bits after the last exchange only
+    assert "Generate" not in plan.split("Exchange", 1)[1] and plan.count("Generate") == 1
+    assert "partial_bit_or" in plan and "partial_bit_and" in plan
+
+
+def test_manifests_expand_no_range_before_the_join(spark):
+    from skyledger.operators import requests as rq
+    ev = fx.order_events(spark, SF).filter("dataset_type IS NOT NULL")
+    plan = _plan(rq.written_days(ev, fx.weather_rows(spark, SF).select("dataset_type", "wmo_index", "day")))
+    assert plan.count("Generate ") == 1 and "explode(wmo_indexes" in plan and "partial_bit_or" in plan
