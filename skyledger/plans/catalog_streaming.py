@@ -12,7 +12,7 @@ from skyledger.plans import fixtures as fx
 from skyledger.plans.catalog import ORACLE, register
 from skyledger.plans.write_path import read_current_errors
 from skyledger.schemas import ERROR_FIELDS
-from skyledger.session import scratch_dir
+from skyledger.session import scratch_dir, staged
 from skyledger.sources import documents as docs
 from skyledger.sources import driver_tables as dt
 from skyledger.sources.driver_tables import oracle_with
@@ -113,14 +113,43 @@ def q_stream_manifest_dedup(spark, sf):
     valid, _failures, _bad = sm.prepare_manifests(read_events(spark, "text", f"{root}/in", maxFilesPerTrigger=1))
 
     def batch(df, epoch_id):
-        fresh = sm.new_manifests(df, f"{root}/finished").select("dataset_type", "event_id", "trace_id")
-        fresh.write.mode("overwrite").parquet(f"{root}/runs/batch={epoch_id}")
-        sm.mark_finished(spark.read.parquet(f"{root}/runs/batch={epoch_id}"), f"{root}/finished")
+        held = staged(sm.with_ids(df).select("dataset_type", "event_id", "trace_id"), "manifests")
+        sm.new_manifests(held, f"{root}/finished", epoch_id).write.mode("overwrite").parquet(f"{root}/runs/batch={epoch_id}")
+        sm.mark_finished(spark.read.parquet(f"{root}/runs/batch={epoch_id}"), f"{root}/finished", epoch_id)
 
     _await(valid.writeStream.foreachBatch(batch).option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
     return spark.read.schema("dataset_type string, trace_id string").parquet(f"{root}/runs").select("dataset_type", "trace_id")
 
 
+# -- T8/T10: the outcome events of batches that are tried again -------------------------------------
+
+@register("stream_outcomes_replayed", oracle_with("cur").rstrip() + """
+    , days AS (SELECT dataset_type, day, count(*) AS n FROM cur GROUP BY 1, 2)
+    SELECT 'ready-' || dataset_type || '-ev-' || day AS event_id, 'tr-' || day AS trace_id, 'weather.dm.ready' AS event_type, dataset_type,
+           CAST(day AS VARCHAR) AS date_from, CAST(day AS VARCHAR) AS date_to, CAST(n AS BIGINT) AS record_count, CAST(NULL AS VARCHAR) AS stage,
+           CAST(NULL AS VARCHAR) AS reason, '2026-07-06T12:20:00Z' AS created_at
+    FROM days WHERE dataset_type = 'actual' AND day IN (SELECT DISTINCT day FROM days ORDER BY day LIMIT 6)
+    UNION ALL
+    SELECT 'failed-actual-ev-none', 'tr-none', 'weather.pipeline.failed', NULL, NULL, NULL, NULL, 'dm', 'dag_task_failed', '2026-07-06T12:20:00Z'
+    """)
+def q_stream_outcomes_replayed(spark, sf):
+    """One manifest per day (the first six days) and one for a day without a document, in two batches that are each run twice, the
+    second one with redeliveries of the first: every column of the outcome events."""
+    root = scratch_dir(spark, "replayed")
+    side = _side_documents(spark, sf, "actual")
+    docs.write_daily_documents(side, f"{root}/raw", "actual")
+    days = [r.day for r in fx.weather_rows(spark, sf).select("day").distinct().orderBy("day").limit(6).collect()]
+    rows = [("actual", str(d), str(d), f"tr-{d}", f"ev-{d}", "weather-raw", "fetcher", "2026-07-06T12:20:00Z") for d in days]
+    rows.append(("actual", "1901-01-01", "1901-01-01", "tr-none", "ev-none", "weather-raw", "fetcher", "2026-07-06T12:20:00Z"))
+    schema = "dataset_type string, date_from string, date_to string, trace_id string, event_id string, bucket string, source_name string, created_at string"
+    for epoch, batch in enumerate((rows[:4], rows[2:])):
+        for _ in range(2):
+            sm.process_manifest_batch(spark.createDataFrame(batch, schema), epoch, raw_root=f"{root}/raw", table_root=f"{root}/tables",
+                                      outcome_path=f"{root}/outcomes", layout="partitioned")
+    out = spark.read.schema(sm.OUTCOME_SCHEMA).json(f"{root}/outcomes")
+    return out.select("event_id", "trace_id", "event_type", "dataset_type", "date_from", "date_to", "record_count", "stage", "reason", "created_at")
+
+
 # -- T5: one fetch per (dataset, station, day) within the lock lifetime ---------------------------
 
 _LOCK_BATCHES, _LOCK_SECONDS = 3, 2_500

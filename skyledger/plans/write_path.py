@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.timefmt import iso_instant_to_ts, run_instant
 from skyledger.operators import layers as ly
 from skyledger.operators.current import current
-from skyledger.schemas import DATASET_TABLES, DATASETS, DM, ERROR, ERROR_TABLE
+from skyledger.schemas import DATASET_TABLES, DATASETS, DM, ERROR, ERROR_TABLE, RAW
 from skyledger.sources import documents as docs
 from skyledger.sources import tables as tb
 from skyledger.session import scratch_dir
@@ -76,27 +76,29 @@ def recompute_errors(spark: SparkSession, root: str, date_from: str, date_to: st
     return ly.forecast_error(pairs, ingested_at=ingested_at)
 
 
-def land_manifest(spark: SparkSession, raw_root: str, table_root: str, m: Manifest, stamp: Column,
-                  layout: str = "document") -> dict:
-    """S1..S4 -> P1 -> RAW -> P2 -> ODS -> P3 -> DM -> S12 for one manifest."""
-    names = DATASET_TABLES[m.dataset_type]
+def stage_manifest(spark: SparkSession, raw_root: str, m: Manifest, stamp: Column, layout: str = "document") -> tuple[str, dict]:
+    """S1..S4 -> P1 -> S12 for one manifest: its RAW rows in the table's layout, in a folder of the shared scratch
+    space, and what the run reports. Manifests are staged side by side; tables are appended to by one job at a time."""
     stations = docs.explode_stations(docs.scan_daily_documents(spark, raw_root, m.dataset_type, m.date_from,
                                                                m.date_to, layout=layout))
     raw = ly.to_raw(stations, source_name=m.source_name, bucket=m.bucket, event_id=m.event_id,
                     trace_id=m.trace_id, event_created_at=iso_instant_to_ts(F.lit(m.created_at)),
                     ingested_at=stamp)
-    raw_table = table_path(table_root, names["raw"])
-    rows = Observation()
-    laid = observe_run(tb.layout(raw, "observation_date").drop("month"), rows, "observation_date")
-    copy = scratch_dir(spark, "run")                             # this run's rows, sorted files of month and key ranges
-    laid.write.parquet(copy)
-    written = spark.read.schema(raw.schema).parquet(copy)
+    rows, copy = Observation(), scratch_dir(spark, "run")
+    observe_run(tb.layout(raw, "observation_date").drop("month"), rows, "observation_date").write.parquet(copy)
+    return copy, run_summary(rows, m.dataset_type, m.date_from, m.date_to)
+
+
+def append_staged(spark: SparkSession, table_root: str, dataset: str, copies: list[str]) -> None:
+    """RAW -> P2 -> ODS -> P3 -> DM for one or more staged runs of a dataset, as their rows lie; the copies go last."""
+    names = DATASET_TABLES[dataset]
+    written = spark.read.schema(RAW).parquet(*copies)
     tb.append_as_laid(written, table_path(table_root, names["raw"]), day_col="observation_date")
     ods = ly.to_ods(written)
     tb.append_as_laid(ods, table_path(table_root, names["ods"]), day_col="observation_date")
     tb.append_as_laid(ly.to_dm(ods), table_path(table_root, names["dm"]))
-    remove_tree(spark, copy)
-    return run_summary(rows, m.dataset_type, m.date_from, m.date_to)
+    for copy in copies:
+        remove_tree(spark, copy)
 
 
 def recompute_mart(spark: SparkSession, table_root: str, ranges: list[tuple[str, str]], stamp: Column) -> None:
@@ -115,7 +117,8 @@ def run_manifest(spark: SparkSession, raw_root: str, table_root: str, m: Manifes
                  layout: str = "document") -> dict:
     """T1 body for one manifest: land its rows, recompute its days of the mart, return the summary."""
     stamp = run_instant(spark)                                    # F9: one literal per run
-    summary = land_manifest(spark, raw_root, table_root, m, stamp, layout)
+    copy, summary = stage_manifest(spark, raw_root, m, stamp, layout)
+    append_staged(spark, table_root, m.dataset_type, [copy])
     recompute_mart(spark, table_root, [(m.date_from, m.date_to)], stamp)
     return summary
 

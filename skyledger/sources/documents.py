@@ -27,12 +27,19 @@ class MissingDays(FileNotFoundError):
     """Days of a requested range without documents."""
 
 
+class BadDates(ValueError):
+    """A range whose ends are no dates."""
+
+
 SOURCE_KEY_RX = r"([^/]+/date=[0-9]{4}-[0-9]{2}-[0-9]{2}(?:\.json)?)(?:/[^/]*)?$"
 
 
 def day_strings(date_from: str, date_to: str) -> list[str]:
     """F1 on the driver: the (request-capped) list of days, inclusive."""
-    start, end = date.fromisoformat(date_from), date.fromisoformat(date_to)
+    try:
+        start, end = date.fromisoformat(date_from), date.fromisoformat(date_to)
+    except ValueError as exc:
+        raise BadDates(f"not a range of dates: {date_from} to {date_to}") from exc
     return [(start + timedelta(days=i)).isoformat() for i in range((end - start).days + 1)]
 
 

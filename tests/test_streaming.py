@@ -171,6 +171,30 @@ def test_manifest_stream_failures_and_quarantine(spark, workdir):
     assert spark.read.text(out + "_quarantine").count() == 1
 
 
+def test_finished_ids_read_their_prefixes_only(spark, workdir):
+    """A batch of few ids reads few partitions; compaction leaves a file each, with a Bloom filter on the id."""
+    import glob
+    import pyarrow.parquet as pq
+    path = os.path.join(workdir, "finished")
+    ids = spark.range(3000).select(F.lit("actual").alias("dataset_type"), F.concat(F.lit("ev-"), "id").alias("event_id"))
+    for epoch in range(3):
+        sm.mark_finished(ids.filter(F.expr(f"substring(event_id, 4) % 3 = {epoch}")), path, epoch)
+    sm.mark_finished(ids.limit(10), path, 1)                                    # a batch that was tried again
+    batch = ids.filter("event_id IN ('ev-5', 'ev-77')").unionByName(spark.createDataFrame([("actual", "new"), ("forecast", "ev-5"), ("forecast", "ev-5")], ids.schema))
+    got = sorted(tuple(r) for r in sm.new_manifests(batch, path, 9).select("dataset_type", "event_id").collect())
+    assert got == [("actual", "new"), ("forecast", "ev-5")]
+    assert sm.new_manifests(batch, path, 0).count() == 4                        # nothing is finished before batch 0
+    prefixes = sorted({r.p for r in batch.select(sm.prefix_of("event_id").alias("p")).collect()})
+    plan = sm.finished_ids(spark, path, prefixes, 9)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in text and "prefix" in text.split("PartitionFilters: [")[1].split("]")[0]
+    sm.compact_finished(spark, path)
+    files = glob.glob(f"{path}/prefix=*/*.parquet")
+    assert len(files) == len({os.path.dirname(f) for f in files}) == 256
+    assert sm.finished_ids(spark, path, [p[-2:] for p in map(os.path.dirname, files)], 9).count() == 3000
+    assert pq.ParquetFile(files[0]).num_row_groups == 1
+
+
 def test_event_values_roundtrip_and_quarantine(spark, workdir):
     from skyledger.schemas import DM_READY_EVENT
     from skyledger.sources.events import parse_events, write_events
