@@ -14,13 +14,14 @@ A candidate is verified exactly: at least 80 % of the template's distinct shingl
 window or half a window beside it.
 
 Defined results: null texts and texts of fewer than five words match nothing; a template of fewer
-than five words matches nothing; repeated rows give repeated results; templates that share an id are
-one license; an empty table gives no rows. The result has a row per document and license found.
+than five words matches nothing; repeated rows give repeated results; texts that share an id are
+one license, found when any of them is, and reported with the one found best (by containment, then size,
+then text); an empty table gives no rows. The result has a row per document and license found.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import register, staged, table
@@ -31,7 +32,7 @@ CONTAINED = 0.8
 SMALLEST_WINDOW = 8
 _BITS_EACH = 256                 # bits of the filter for each shingle of a template
 
-# License statements and the opening of license notices, by SPDX-like id.
+# License statements, the opening of license notices and paragraphs of their bodies, by SPDX-like id.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0-notice", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
@@ -47,6 +48,24 @@ TEMPLATES = [
     ("MIT-notice", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
                    "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
                    "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
+    # paragraphs of license bodies, each found without the opening
+    ("BSD-notice", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+                   "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+                   "disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-notice", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, "
+                   "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
+    ("MIT-notice", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("MIT-notice", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+                   "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE "
+                   "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+                   "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+            "the above copyright notice and this permission notice appear in all copies."),
+    ("Apache-2.0-notice", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+                          "\"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific "
+                          "language governing permissions and limitations under the License."),
+    ("GPL-3.0-notice", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+                       "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
 ]
 
 
@@ -75,11 +94,12 @@ def _hashed(band: int):
 
 
 def _prepared(licenses: DataFrame) -> DataFrame:
-    """license_id, its distinct shingles, window size and minima."""
-    words = licenses.groupBy("license_id").agg(F.first("text").alias("text")).withColumn("words", _words(F.col("text")))
+    """template (a number), license_id, the text's distinct shingles, window size and minima. The templates are a stated set."""
+    words = licenses.select("license_id", "text").distinct().withColumn("template", F.row_number().over(Window.orderBy("license_id", "text"))) \
+        .withColumn("words", _words(F.col("text")))
     doublings = F.ceil(F.log2(F.size("words") * 4 / (3 * F.lit(SMALLEST_WINDOW))) - F.lit(1e-9))
     size = (F.lit(SMALLEST_WINDOW) * F.pow(F.lit(2.0), F.greatest(F.lit(0), doublings))).cast("int")
-    return words.select("license_id", F.array_distinct(_shingles(F.col("words"))).alias("of_template"), size.alias("size")).filter(
+    return words.select("template", "license_id", F.array_distinct(_shingles(F.col("words"))).alias("of_template"), size.alias("size")).filter(
         "size(of_template) > 0").withColumn("minima", _minima(F.col("of_template")))
 
 
@@ -97,22 +117,25 @@ def scan(docs: DataFrame, licenses: DataFrame, id_col: str = "doc_id", text_col:
     starts = true_seeds.select("row", "seed").withColumn("size", F.explode(F.lit(sizes).cast("array<int>"))).select(
         "row", "size", F.explode(F.expr("sequence(greatest(0, ceil((seed - size + 5) * 4 / size)), floor(seed * 4 / size))")).alias("k"))
     windows = starts.distinct().select("row", "size", (F.col("k") * F.col("size") / 4).cast("int").alias("start"))
-    windows = staged(windows.join(seeded.select("doc_id", "row", "shingles"), "row"), "license-windows")
-    windows = windows.withColumn("minima", _minima(F.slice("shingles", F.col("start") + 1, F.col("size") - (SHINGLE - 1))))
-    bands = windows.select("row", "size", "start", F.posexplode("minima").alias("band", "value"))
-    filed = prepared.select("license_id", "size", F.posexplode("minima").alias("band", "value"))
-    candidates = bands.join(filed, ["size", "band", "value"]).select("row", "size", "start", "license_id").distinct()
-    verified = candidates.join(windows.select("doc_id", "row", "size", "start", "shingles"), ["row", "size", "start"]).join(
-        prepared.select("license_id", "of_template"), "license_id")
     begin = F.greatest(F.lit(0), F.col("start") - (F.col("size") / 2).cast("int"))
     near = F.slice("shingles", begin + 1, (F.col("start") - begin + F.col("size") * 1.5).cast("int") - (SHINGLE - 1))
-    verified = verified.withColumn("near", near).withColumn("found", F.size(F.array_intersect("of_template", "near"))).withColumn(
+    # a window goes on with its own words and half a window on either side, not with its document
+    windows = staged(windows.join(seeded.select("doc_id", "row", "shingles"), "row").select(
+        "doc_id", "row", "size", "start", begin.alias("begin"), near.alias("near")), "license-windows")
+    windows = windows.withColumn("minima", _minima(F.slice("near", F.col("start") - F.col("begin") + 1, F.col("size") - (SHINGLE - 1))))
+    bands = windows.select("row", "size", "start", F.posexplode("minima").alias("band", "value"))
+    filed = prepared.select("template", "size", F.posexplode("minima").alias("band", "value"))
+    candidates = bands.join(filed, ["size", "band", "value"]).select("row", "size", "start", "template").distinct()
+    verified = candidates.join(windows.select("doc_id", "row", "size", "start", "begin", "near"), ["row", "size", "start"]).join(
+        prepared.select("template", "license_id", "of_template"), "template")
+    verified = verified.withColumn("found", F.size(F.array_intersect("of_template", "near"))).withColumn(
         "shingles", F.size("of_template")).filter(F.col("found") >= F.lit(contained) * F.col("shingles"))
     first = F.array_min(F.filter(F.transform("near", lambda h, i: F.when(F.array_contains("of_template", h), i)), lambda i: i.isNotNull()))
-    return verified.withColumn("first_word", begin + first).groupBy("doc_id", "row", "license_id").agg(
-        F.first("shingles").cast("long").alias("shingles"), F.max("found").cast("long").alias("found"),
-        F.min("first_word").cast("long").alias("first_word")).select(
-        "doc_id", "license_id", "shingles", "found", F.round(F.col("found") / F.col("shingles"), 6).alias("containment"), "first_word")
+    texts_found = verified.withColumn("first_word", F.col("begin") + first).groupBy("doc_id", "row", "license_id", "template").agg(
+        F.first("shingles").cast("long").alias("shingles"), F.max("found").cast("long").alias("found"), F.min("first_word").cast("long").alias("first_word"))
+    best = F.max(F.struct((F.col("found") / F.col("shingles")).alias("share"), "shingles", (-F.col("template")).alias("place"), "found", "first_word")).alias("b")
+    return texts_found.groupBy("doc_id", "row", "license_id").agg(best).select(
+        "doc_id", "license_id", "b.shingles", "b.found", F.round("b.share", 6).alias("containment"), "b.first_word")
 
 
 def _seed_filter(prepared: DataFrame):

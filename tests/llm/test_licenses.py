@@ -18,10 +18,10 @@ def expected(docs, templates):
     """The same windows and the same exact test, without hashes or bands."""
     out = []
     for doc_id, text in docs:
-        w = shingles(words(text or ""))
-        for license_id, template in templates:
-            t = set(shingles(words(template)))
-            n, size = len(words(template)), licenses.SMALLEST_WINDOW
+        w, of_license = shingles(words(text or "")), {}
+        for license_id, template in sorted(set(templates)):
+            t = set(shingles(words(template or "")))
+            n, size = len(words(template or "")), licenses.SMALLEST_WINDOW
             while size < n * 4 / 3:
                 size *= 2
             best = 0
@@ -31,8 +31,11 @@ def expected(docs, templates):
                 begin = max(0, start - size // 2)
                 if own & t:
                     best = max(best, len(t & set(w[begin:start + size * 3 // 2 - 4])))
-            if t and best >= 0.8 * len(t):
-                out.append((doc_id, license_id, len(t), best))
+            if t and best >= 0.8 * len(t):                         # of several texts the one found best, then the largest, then the first
+                of_license.setdefault(license_id, []).append((best / len(t), len(t), best))
+        for license_id, found_texts in of_license.items():
+            _, n, best = max(found_texts, key=lambda x: x[:2])
+            out.append((doc_id, license_id, n, best))
     return sorted(out, key=str)
 
 
@@ -69,6 +72,23 @@ def test_as_scanned_directly(spark):
     assert found(licenses.scan(df, licenses.templates(spark))) == want
 
 
+def test_texts_of_one_license(spark):
+    """Two texts under one id: a document with either is found, one with both once, with the text that it has whole."""
+    first, second = "alpha beta gamma delta epsilon zeta eta", "one two three four five six seven eight nine ten"
+    given = [("L", second), ("L", first), ("L", first), ("M", "one two three four five"), ("M", None)]
+    docs = [(1, f"x {first} y"), (2, f"{second}"), (3, f"{first} . {second[:-9]} changed word"), (4, "beta gamma")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = found(licenses.scan(df, spark.createDataFrame(given, "license_id string, text string")))
+    assert got == expected(docs, [g for g in given if g[1]]) and [g[:2] for g in got] == [(1, "L"), (2, "L"), (2, "M"), (3, "L"), (3, "M")]
+
+
+def test_body_without_its_opening(spark):
+    mit = [t for i, t in licenses.TEMPLATES if i == "MIT-notice"]
+    assert len(mit) == 3
+    df = spark.createDataFrame([(1, "code code code\n\n" + "\n".join(mit[1:]) + "\nint main"), (2, "int main")], "doc_id long, text string")
+    assert [(r.doc_id, r.license_id, r.containment) for r in licenses.scan(df, licenses.templates(spark)).collect()] == [(1, "MIT-notice", 1.0)]
+
+
 def test_place_and_containment(spark):
     df = spark.createDataFrame([(1, "a b c. Released under the MIT License, d e")], "doc_id long, text string")
     row = licenses.scan(df, licenses.templates(spark)).first()
