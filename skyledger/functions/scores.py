@@ -37,3 +37,8 @@ def bias_position(value: Column, domain: float = BIAS_DOMAIN) -> Column:
 def bias_intensity(value: Column, domain: float = BIAS_DOMAIN) -> Column:
     """``min(|v| / domain, 1)``, 0 when null."""
     return F.when(value.isNull(), F.lit(0.0)).otherwise(F.least(F.abs(value) / F.lit(domain), F.lit(1.0)))
+
+
+def shown(value: Column) -> Column:
+    """two digits for display, halves away from zero; results only, never an intermediate. Null stays null."""
+    return F.round(value, 2)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions import monthbits as mb
+from skyledger.functions.text import json_string
 from skyledger.schemas import DATASETS
 
 # Fixed values of the request contract.
@@ -213,12 +214,10 @@ def request_fingerprint(path: Column, date_from: Column, date_to: Column, ids: C
     """``<path>:<sha256 of the canonical body>``.
 
     The canonical body is the sorted-key JSON text with ``", "``/``": "``
-    separators (the byte form of Python's ``json.dumps(sort_keys=True)`` for
-    plain ASCII values), built with string functions so the hash is stable."""
-    quoted = F.transform(ids, lambda x: F.concat(F.lit('"'), x, F.lit('"')))
-    items = {"from": F.concat(F.lit('"'), date_from, F.lit('"')),
-             ids_key: F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]")),
-             "to": F.concat(F.lit('"'), date_to, F.lit('"'))}
+    separators and ASCII escapes: the byte form of Python's ``json.dumps(sort_keys=True)``."""
+    items = {"from": json_string(date_from),
+             ids_key: F.concat(F.lit("["), F.array_join(F.transform(ids, json_string), ", "), F.lit("]")),
+             "to": json_string(date_to)}
     parts = []
     for i, key in enumerate(sorted(items)):
         parts += [F.lit(("" if i == 0 else ", ") + f'"{key}": '), items[key]]

@@ -96,7 +96,8 @@ def request_status_rollup(waiters: DataFrame, outcomes: DataFrame, timeout_s: in
 
     The result depends on the instants of the events, not on their order of arrival. Partial
     aggregates keep a request with very many traces off one task: touches are reduced to the
-    first and last of each stretch of ``timeout_s`` before gaps are looked for."""
+    first and last of each stretch of ``timeout_s`` before gaps are looked for. Waiters and outcomes are joined
+    once; counts, the latest failure and the touches go through the same two aggregations."""
     created = "created_at" in waiters.columns
     w = waiters.groupBy("request_id", "trace_id").agg(
         F.expr("min(created_at)" if created else "CAST(NULL AS TIMESTAMP)").alias("created_at"))
@@ -107,29 +108,23 @@ def request_status_rollup(waiters: DataFrame, outcomes: DataFrame, timeout_s: in
         F.expr(f"max(CASE WHEN event_type = '{TOPIC_FAILED}' THEN struct(created_at, event_id, stage, reason, details) END) AS _fail"),
         F.expr("max(created_at) AS _last"))
     joined = w.join(per_trace, "trace_id", "left")
-    agg = joined.groupBy("request_id").agg(
-        F.expr("CAST(count(1) AS BIGINT) AS n_traces"),
-        F.expr("CAST(count_if(NOT coalesce(_is_ready, false) AND _fail IS NULL) AS BIGINT) AS n_pending"),
-        F.expr("max(_fail) AS _fail"),
-        F.expr("greatest(max(_last), max(created_at)) AS updated_at"))
-    status = agg.join(_timed_out(joined, timeout_s), "request_id", "left")
-    return status.select(
+    width = timeout_s * 1_000_000
+    # one row per waited-on trace, and one more for its success if it is touched by both; counts go with the first
+    touched = joined.selectExpr("request_id", f"""explode(array_compact(array(
+        struct(CAST(created_at AS TIMESTAMP) AS at, 1L AS traces, CAST(NOT coalesce(_is_ready, false) AND _fail IS NULL AS BIGINT) AS open, _fail AS fail, greatest(_last, created_at) AS last),
+        CASE WHEN _ready IS NOT NULL THEN struct(CAST(_ready AS TIMESTAMP) AS at, 0L AS traces, 0L AS open, NULL AS fail, NULL AS last) END))) AS x""")
+    stretches = touched.selectExpr("request_id", "x.*", f"unix_micros(x.at) div {width} AS stretch").groupBy("request_id", "stretch").agg(
+        F.expr("min(at) AS first"), F.expr("max(at) AS end"), F.expr("sum(traces) AS traces"), F.expr("sum(open) AS open"), F.expr("max(fail) AS fail"), F.expr("max(last) AS last"))
+    before = F.lag("end").over(Window.partitionBy("request_id").orderBy(F.asc_nulls_first("stretch")))
+    gap = F.expr(f"coalesce(unix_micros(first) - unix_micros(before) > {width}, false) AS gap")
+    return stretches.withColumn("before", before).select("*", gap).groupBy("request_id").agg(
+        F.expr("CAST(sum(traces) AS BIGINT) AS n_traces"), F.expr("CAST(sum(open) AS BIGINT) AS n_pending"),
+        F.expr("max(fail) AS _fail"), F.expr("max(last) AS updated_at"), F.expr("max(gap) AS _gap")).select(
         "request_id", "n_traces", "n_pending",
         F.when(F.col("_fail").isNotNull(), failure_message(F.col("_fail.stage"), F.col("_fail.reason"), F.col("_fail.details")))
         .when(F.col("_gap"), F.lit(TIMEOUT_MESSAGE)).alias("error_message"),
         "updated_at",
-        F.expr("CASE WHEN _fail IS NOT NULL OR coalesce(_gap, false) THEN 'failed' WHEN n_pending = 0 THEN 'ready' "
-               "ELSE 'pending' END AS status"))
-
-
-def _timed_out(joined: DataFrame, timeout_s: int) -> DataFrame:
-    """``request_id, _gap`` for requests with two touches more than ``timeout_s`` apart."""
-    touches = joined.selectExpr("request_id", "explode(array(CAST(created_at AS TIMESTAMP), CAST(_ready AS TIMESTAMP))) AS at").filter("at IS NOT NULL")
-    stretches = touches.withColumn("_stretch", F.expr(f"unix_micros(at) div {timeout_s * 1_000_000}")) \
-        .groupBy("request_id", "_stretch").agg(F.min("at").alias("_first"), F.max("at").alias("_end"))
-    before = F.lag("_end").over(Window.partitionBy("request_id").orderBy("_stretch"))
-    gap = F.expr(f"unix_micros(_first) - unix_micros(_before) > {timeout_s * 1_000_000}")
-    return stretches.withColumn("_before", before).filter(gap).select("request_id", F.lit(True).alias("_gap")).distinct()
+        F.expr("CASE WHEN _fail IS NOT NULL OR _gap THEN 'failed' WHEN n_pending = 0 THEN 'ready' ELSE 'pending' END AS status"))
 
 
 def request_timeouts(status: DataFrame, now: Column, timeout_s: int = TIMEOUT_SECONDS) -> DataFrame:

@@ -694,6 +694,97 @@ def q_zip_locations(spark, sf):
     return pairs.select("o_orderkey", "pos", "wmo_index")
 
 
+# -- S5/F31/W4/A8 from a real CSV --------------------------------------------------------------
+
+@register("dimension_csv", """
+    WITH lines AS (
+        SELECT o_orderkey AS n, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS id,
+               CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'St. "' || o_orderpriority || '", ' || o_orderkey END AS name,
+               CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_custkey % 9 AS VARCHAR) END AS region,
+               CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN o_custkey / 8.0 WHEN 2 THEN 1000.5 ELSE NULL END AS lat,
+               CASE WHEN o_orderkey % 4 IN (1, 2) THEN -(o_orderkey % 1000) / 4.0 END AS lng
+        FROM orders)
+    SELECT id AS wmo_index, arg_max(name, n) FILTER (WHERE name IS NOT NULL) AS name, arg_max(region, n) FILTER (WHERE region IS NOT NULL) AS region_id,
+           CAST(arg_max(lat, n) FILTER (WHERE lat IS NOT NULL AND lng IS NOT NULL) AS DOUBLE) AS lat,
+           CAST(arg_max(lng, n) FILTER (WHERE lat IS NOT NULL AND lng IS NOT NULL) AS DOUBLE) AS lng,
+           CAST(count(*) FILTER (WHERE region IS NOT NULL) AS BIGINT) AS n_member_lines,
+           (SELECT CAST(count(*) AS BIGINT) FROM lines WHERE id IS NULL) AS skipped
+    FROM lines WHERE id IS NOT NULL GROUP BY id""")
+def q_dimension_csv(spark, sf):
+    """A CSV file of stations with an order's line each, with quotes, commas and line ends in names, blank
+    ids, names and regions, numbers that are none; the last non-blank value of each station in file order wins."""
+    from skyledger.sources import dimension_csv as dcsv
+    o, path = dt.table(spark, sf, "orders"), scratch_dir(spark, "stations csv")
+    k = o.o_orderkey
+    lines = o.select(
+        F.when(k % 13 == 0, F.lit("  ")).otherwise(F.concat(F.lit(" "), o.o_custkey.cast("string"))).alias("WMO_index"),
+        F.when(k % 5 == 0, F.lit(" ")).otherwise(F.concat(F.lit('St. "'), "o_orderpriority", F.lit('", '), k.cast("string"))).alias("Station"),
+        F.when(k % 7 == 0, F.lit("")).otherwise((o.o_custkey % 9).cast("string")).alias("Region"),
+        F.expr("CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN CAST(o_custkey / 8 AS STRING) WHEN 2 THEN '1_000.5' ELSE '1.0d' END").alias("Latitude"),
+        F.expr("CASE WHEN o_orderkey % 4 = 0 THEN 'north' ELSE CAST(-(o_orderkey % 1000) / 4 AS STRING) END").alias("Longitude"), k.alias("k"))
+    lines.coalesce(1).sortWithinPartitions("k").drop("k").write.option("header", "true").option("escape", '"').csv(path)
+    station, members, skipped = dcsv.scan_station_dimension(spark, path)
+    lines_of = members.groupBy("wmo_index").agg(F.count(F.lit(1)).alias("n_member_lines"))
+    return station.join(lines_of, "wmo_index", "left").select(
+        "wmo_index", "name", "region_id", "lat", "lng", F.coalesce("n_member_lines", F.lit(0)).cast("long").alias("n_member_lines"),
+        skipped.agg(F.count(F.lit(1))).scalar().alias("skipped"))
+
+
+# -- W5: the mart holds every recomputation, reads take the newest ----------------------------------
+
+@register("mart_newest_version", oracle_with("err") + """
+    SELECT wmo_index, day, temperature_error + CASE WHEN dayofmonth(day) % 2 = 0 THEN 2 ELSE 1 END AS temperature_error,
+           make_timestamp(2026, 7, CASE WHEN dayofmonth(day) % 2 = 0 THEN 3 ELSE 2 END, 0, 0, 0) AS ingested_at
+    FROM err""")
+def q_mart_newest_version(spark, sf):
+    """Three recomputations appended to the mart, the last one of even days only; each key reads its newest row."""
+    from skyledger.plans import write_path as wp
+    from skyledger.schemas import ERROR, ERROR_TABLE
+    from skyledger.sources import tables as tb
+    root = scratch_dir(spark, "versions")
+    errors = fx.mart_rows(spark, sf)
+    for run in (0, 1, 2):
+        rows = errors.filter(F.dayofmonth("day") % 2 == 0) if run == 2 else errors
+        rows = rows.withColumn("temperature_error", F.col("temperature_error") + run).withColumn("ingested_at", F.lit(f"2026-07-0{run + 1}").cast("timestamp"))
+        tb.append_layer(rows.select(*[f.name for f in ERROR.fields]), wp.table_path(root, ERROR_TABLE))
+    return wp.read_current_errors(spark, root).select("wmo_index", "day", "temperature_error", F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"))
+
+
+# -- F4/F5, F15/F26/F27, F20 over columns of the driver tables ---------------------------------------
+
+@register("instant_texts", """
+    SELECT event_id, strftime(CAST(ts AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S.%fZ') AS exact, date_trunc('second', CAST(ts AS TIMESTAMP)) AS read_back FROM events""")
+def q_instant_texts(spark, sf):
+    """F5 and back by F4 (cut to seconds)."""
+    from skyledger.functions import timefmt as tf
+    exact = tf.iso_instant_text(F.col("ts").cast("timestamp"))
+    return dt.table(spark, sf, "events").select("event_id", exact.alias("exact"), iso_instant_to_ts(exact).cast("timestamp_ntz").alias("read_back"))
+
+
+@register("id_lists", """
+    WITH l AS (SELECT l_orderkey AS order_key, l_suppkey AS s, l_linenumber AS n, l_partkey AS p FROM lineitem),
+    lists AS (SELECT order_key, list(CAST(s AS VARCHAR) ORDER BY s) AS ids FROM l GROUP BY 1)
+    SELECT order_key, array_to_string(ids, ',') AS ids, array_to_string(list_filter(ids, lambda x: x <> ids[1]), ',') AS others,
+           len(list_filter(ids, lambda x: x <> ids[1])) = 0 AS done, CASE WHEN order_key % 2 = 0 THEN '' ELSE ids[1] END AS first_id
+    FROM lists""")
+def q_id_lists(spark, sf):
+    """a comma-separated text with blanks and empty places is split to ids; F26: the resolved id leaves the list; F15."""
+    from skyledger.functions import text as tx
+    lists = dt.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("order_key")).agg(
+        F.transform(F.sort_array(F.collect_list("l_suppkey")), lambda x: x.cast("string")).alias("l"))
+    split = lists.withColumn("ids", tx.comma_split(F.concat(F.lit(" , "), F.array_join("l", " ,, "), F.lit(" "))))
+    rest = tx.remove_from(F.col("ids"), F.col("ids")[0])
+    return split.select("order_key", F.array_join("ids", ",").alias("ids"), F.array_join(rest, ",").alias("others"), tx.is_empty(rest).alias("done"),
+                        tx.empty_if_null(F.when(F.col("order_key") % 2 == 1, F.col("ids")[0])).alias("first_id"))
+
+
+@register("errors_shown", oracle_with("err") + "SELECT wmo_index, day, round(temperature_error, 2) AS temperature_error, round(precipitation_mm_error, 2) AS precipitation_mm_error FROM err")
+def q_errors_shown(spark, sf):
+    """errors as the dashboard shows them."""
+    from skyledger.functions.scores import shown
+    return fx.mart_rows(spark, sf).select("wmo_index", "day", *[shown(F.col(c)).alias(c) for c in ("temperature_error", "precipitation_mm_error")])
+
+
 # -- J5 lenient: coordinates for the asked ids, unknown -> null ----------------------------------
 
 @register("station_coordinates", _DIM_SQL + """

@@ -305,3 +305,15 @@ def test_instant_functions(spark):
         tf.month_bucket(F.to_date(F.lit("1960-01-31"))).alias("m")).first()
     assert r.a.strftime("%Y-%m-%d %H:%M:%S.%f") == "2026-07-06 12:20:00.000000"   # UTC, cut to seconds
     assert r.b == "2026-07-06T12:20:00.000000Z" and r.m == "196001"
+
+
+def test_fingerprint_is_python_json(spark):
+    import hashlib
+    import json
+    from skyledger.operators.coverage import request_fingerprint
+    ids = [["20674"], ['a"b\\c/', "é ß\u007f", "\n\r\t\b\f\x01", "🙂 中", ""], [], ["x", None]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "i int, ids array<string>")
+    got = {r.i: r.k for r in df.select("i", request_fingerprint(F.lit("/p"), F.lit("2024-01-01"), F.lit("2024-02-01"), F.col("ids"), "station ids").alias("k")).collect()}
+    for i, x in enumerate(ids[:3]):
+        body = json.dumps({"from": "2024-01-01", "to": "2024-02-01", "station ids": x}, sort_keys=True)
+        assert got[i] == "/p:" + hashlib.sha256(body.encode()).hexdigest(), x

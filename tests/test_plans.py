@@ -64,3 +64,10 @@ def test_manifests_expand_no_range_before_the_join(spark):
     ev = fx.order_events(spark, SF).filter("dataset_type IS NOT NULL")
     plan = _plan(rq.written_days(ev, fx.weather_rows(spark, SF).select("dataset_type", "wmo_index", "day")))
     assert plan.count("Generate ") == 1 and "explode(wmo_indexes" in plan and "partial_bit_or" in plan
+
+
+def test_request_status_joins_waiters_and_outcomes_once(spark):
+    from skyledger.operators import requests as rq
+    waiters, outcomes = fx.lineitem_requests(spark, SF)
+    plan = rq.request_status_rollup(waiters, outcomes)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and plan.count("Window [") == 1
