@@ -238,9 +238,7 @@ def q_stream_rate_breaches(spark, sf):
     for i in (1, 2, 3):
         parts.filter(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(f"{root}/in")
     src = spark.readStream.schema(hits.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    q = rl.rate_breaches_stream(src, _HIT_LIMIT, _HIT_WINDOW).writeStream.format("parquet").option("path", f"{root}/out") \
-        .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
-    _await(q)
+    _await(rl.write_breaches(rl.rate_breaches_stream(src, _HIT_LIMIT, _HIT_WINDOW), f"{root}/out", f"{root}/ckpt"))
     out = spark.read.schema(rl.OUTPUT_SCHEMA).parquet(f"{root}/out")
     return out.select("identity", F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.col("ts").cast("timestamp_ntz").alias("ts"), "hit_no")
 

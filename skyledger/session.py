@@ -30,9 +30,6 @@ BASE_CONF = {
     # Partition values keep their written text (month = 'yyyyMM'); typed columns
     # come from explicit schemas.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    # State that expires by processing time is looked at when data comes; without this an
-    # availableNow run over such state would never end.
-    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

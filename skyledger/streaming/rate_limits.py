@@ -65,3 +65,24 @@ def rate_breaches_stream(hits: DataFrame, limit: int = GENERAL_LIMIT[0], window_
         .filter("identity IS NOT NULL AND ts IS NOT NULL")
     return src.groupBy("identity").applyInPandasWithState(
         _breach_fn(limit, window_s, idle_s), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def write_breaches(breaches: DataFrame, path: str, checkpoint: str, available_now: bool = True):
+    """Start the stream of breaches into a parquet folder; returns the running query.
+
+    A run over what is there now would never end while state waits for its time-out in batches without data, so these
+    are turned off for such a run; the setting is read when a stream starts and is put back for the session's others."""
+    spark = breaches.sparkSession
+    trigger = {"availableNow": True} if available_now else {"processingTime": "30 seconds"}
+    writer = breaches.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger)
+    if not available_now:
+        return writer.start()
+    before = spark.conf.get(NO_DATA_BATCHES)
+    spark.conf.set(NO_DATA_BATCHES, "false")
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(NO_DATA_BATCHES, before)

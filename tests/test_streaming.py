@@ -45,9 +45,9 @@ def _breaches(spark, workdir, files, limit, window):
         os.utime(os.path.join(workdir, "hits", f"part-{i}.json"), (1_700_000_000 + i, 1_700_000_000 + i))
     hits = spark.readStream.schema("identity string, ts timestamp").option("maxFilesPerTrigger", 1) \
         .json(os.path.join(workdir, "hits"))
-    rl.rate_breaches_stream(hits, limit, window).writeStream.format("parquet") \
-        .option("path", os.path.join(workdir, "out")).option("checkpointLocation", os.path.join(workdir, "ck")) \
-        .trigger(availableNow=True).start().awaitTermination()
+    before = spark.conf.get(rl.NO_DATA_BATCHES)
+    rl.write_breaches(rl.rate_breaches_stream(hits, limit, window), os.path.join(workdir, "out"), os.path.join(workdir, "ck")).awaitTermination()
+    assert spark.conf.get(rl.NO_DATA_BATCHES) == before == "true"
     return sorted((r.identity, int(r.window_start.replace(tzinfo=timezone.utc).timestamp()),
                    int(r.ts.replace(tzinfo=timezone.utc).timestamp()), r.hit_no)
                   for r in spark.read.parquet(os.path.join(workdir, "out")).collect())
