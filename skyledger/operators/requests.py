@@ -157,6 +157,15 @@ def written_days(need_info: DataFrame, rows: DataFrame) -> DataFrame:
                              F.col("date_from").try_cast("date").alias("f"), F.col("date_to").try_cast("date").alias("t"))
     met = asked.join(present, ["dataset_type", "wmo_index"]).filter("month_start <= t AND last_day(month_start) >= f AND f <= t")
     months = met.groupBy("event_id", "month_start").agg(F.expr(f"bit_or(bits & {mb.range_bits('month_start', 'f', 't')}) AS bits")).filter("bits <> 0")
+    return _lined_days(months)
+
+
+def days_by_event(rows: DataFrame) -> DataFrame:
+    """``event_id, days``: the days of each event's rows (``event_id, day``), in order."""
+    return _lined_days(rows.groupBy("event_id", F.expr(f"{mb.month_of('day')} AS month_start")).agg(F.expr(f"bit_or({mb.bit_of('day')}) AS bits")))
+
+
+def _lined_days(months: DataFrame) -> DataFrame:
     lined = months.groupBy("event_id").agg(F.sort_array(F.collect_list(F.struct("month_start", "bits"))).alias("months"))
     return lined.selectExpr("event_id", f"flatten(transform(months, m -> {mb.days_of('m.month_start', 'm.bits')})) AS days")
 

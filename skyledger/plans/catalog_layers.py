@@ -624,6 +624,67 @@ def q_build_manifest(spark, sf):
     return m.unionByName(f)
 
 
+# -- need-info -> locations -> responses -> documents -> manifests -----------------------------------
+
+_CHAIN_SQL = """
+    WITH lines AS (
+        SELECT l_orderkey AS k, l_suppkey AS s, CAST(l_shipdate AS DATE) AS d,
+               row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey, CAST(l_shipdate AS DATE), l_quantity, l_tax) AS n
+        FROM lineitem),
+    ev AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS f, CAST(o_orderdate AS DATE) + 60 AS t FROM orders WHERE o_orderkey IN (SELECT k FROM lines)),
+    rows AS (
+        SELECT ev.k, l.s, l.d + CAST(g AS INTEGER) AS day FROM ev JOIN lines l ON l.k = ev.k JOIN supplier ON s_suppkey = l.s AND s_acctbal >= 0, range(2) x(g)
+        WHERE ev.k % 11 <> 3 AND l.d + CAST(g AS INTEGER) BETWEEN ev.f AND ev.t),
+    days AS (SELECT DISTINCT k, day FROM rows)
+"""
+
+
+def _fetch_chain(spark, sf):
+    """An order asks for its lines' suppliers (those with a balance below 0 have no coordinates) over 60 days; the provider answers
+    each line with its ship date and the day after. Every eleventh response is cut short."""
+    from skyledger.plans.fetch_chain import fetch_chain
+    o, li = dt.table(spark, sf, "orders"), dt.table(spark, sf, "lineitem")
+    sup = dt.table(spark, sf, "supplier")
+    station = sup.select(F.col("s_suppkey").cast("string").alias("wmo_index"), F.col("s_name").alias("name"),
+                         F.when(F.col("s_acctbal") >= 0, F.col("s_nationkey").cast("double")).alias("lat"), F.lit(1.0).alias("lng"))
+    ship = F.col("l_shipdate").cast("date")
+    one = li.join(sup.select(F.col("s_suppkey").alias("l_suppkey"), (F.col("s_acctbal") >= 0).alias("known")), "l_suppkey", "left").select(
+        "l_orderkey", F.struct("l_linenumber", "l_suppkey", ship.alias("d"), "l_quantity", "l_tax", "known").alias("x"))
+    of_order = one.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    ev = o.join(of_order, o.o_orderkey == F.col("l_orderkey")).select(
+        o.o_orderkey.cast("string").alias("event_id"), F.format_string("tr-%d", o.o_orderkey).alias("trace_id"), F.lit("actual").alias("dataset_type"),
+        o.o_orderdate.cast("date").cast("string").alias("date_from"), F.date_add(o.o_orderdate.cast("date"), 60).cast("string").alias("date_to"),
+        F.transform("xs", lambda x: x["l_suppkey"].cast("string")).alias("wmo_indexes"), "xs", o.o_orderkey.alias("k"))
+    answer = F.to_json(F.transform(F.filter("xs", lambda x: x["known"]), lambda x: F.struct(F.struct(
+        F.array(x["d"], F.date_add(x["d"], 1)).alias("time"), F.array(x["l_quantity"], x["l_quantity"] + 1).alias("temperature_2m_mean"),
+        F.array(x["l_tax"]).alias("temperature_2m_min")).alias("daily"))))
+    events = fx.store(spark, ev.withColumn("value", answer), "need-info")
+    text = F.when(F.col("k") % 11 == 3, F.expr("concat(left(value, length(value) - 1), ' oops')")).otherwise(F.col("value"))
+    root = scratch_dir(spark, "fetched objects")
+    return root, fetch_chain(spark, events.drop("xs", "value", "k"), station, events.select("event_id", text.alias("value")), root, "actual")
+
+
+@register("fetch_chain", _CHAIN_SQL + """
+    SELECT 'tr-' || ev.k AS trace_id, CASE WHEN ev.k % 11 = 3 OR count(day) = 0 THEN 'failed' ELSE 'manifest' END AS route,
+           CASE WHEN ev.k % 11 = 3 THEN 'malformed' WHEN count(day) = 0 THEN 'nothing_written' END AS reason, CAST(count(day) AS BIGINT) AS n_keys,
+           'actual/date=' || CAST(min(day) AS VARCHAR) || '.json' AS first_key, 'actual/date=' || CAST(max(day) AS VARCHAR) || '.json' AS last_key
+    FROM ev LEFT JOIN days ON days.k = ev.k GROUP BY ev.k""")
+def q_fetch_chain(spark, sf):
+    _root, (manifests, failures, _mismatches) = _fetch_chain(spark, sf)
+    none = lambda c: F.lit(None).cast("string").alias(c)
+    m = manifests.select("trace_id", F.lit("manifest").alias("route"), none("reason"), F.size("object_keys").cast("long").alias("n_keys"),
+                         F.col("object_keys")[0].alias("first_key"), F.element_at("object_keys", -1).alias("last_key"))
+    return m.unionByName(failures.select("trace_id", F.lit("failed").alias("route"), "reason", F.lit(0).cast("long").alias("n_keys"), none("first_key"), none("last_key")))
+
+
+@register("fetched_documents", _CHAIN_SQL + "SELECT DISTINCT day AS date, CAST(s AS VARCHAR) AS wmo_index, s_name AS name, '' AS country FROM rows JOIN supplier ON s_suppkey = s")
+def q_fetched_documents(spark, sf):
+    """What the chain left in the documents: each station once a day."""
+    root, _ = _fetch_chain(spark, sf)
+    days = sorted(n[5:15] for n in child_names(spark, f"{root}/actual") if n.startswith("date="))
+    return docs.stored_stations(spark, root, "actual", days).select("date", "wmo_index", "name", "country")
+
+
 # -- Q1, Q2, Q4 ------------------------------------------------------------------------------
 
 @register("unexpected_stations", oracle_with("cur", "station") + """
