@@ -214,8 +214,11 @@ def _contaminated(n_hit: int, n_words: int) -> bool:
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` that are not contaminated, as they are."""
-    names = docs.columns
+    """The rows of `docs` that are not contaminated, as they are, whatever their columns are called."""
+    names, free = docs.columns, f"{FOUND}_"
+    while free in names:
+        free += "_"
+    renamed = docs.toDF(*[free if c == FOUND else c for c in names])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,7 +226,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> Da
             clean = pa.array([not _contaminated(h, r["n_words"]) for h, r in zip(_hits(rows), rows, strict=True)], pa.bool_())
             yield batch.select(range(len(names))).filter(clean)
 
-    return contamination(docs, benchmark, **options).mapInArrow(run, docs.schema)
+    return contamination(renamed, benchmark, **options).mapInArrow(run, renamed.schema).toDF(*names)
 
 
 def judged(docs: DataFrame, benchmark: DataFrame, keep: list[str], **options) -> DataFrame:

@@ -15,7 +15,7 @@ Models are fitted on at most TRAIN_ROWS labelled documents per language (those w
 hashes of their ids); all counts for reliabilities and priors cover all documents.
 
 Defined results: null or blank texts, and texts that the model of no language explains best, are
-`und` and rejected; declared languages that no model knows count as not declared; a null host or
+`und` and rejected; a text of one or two bytes is decided by what is declared and the prior; declared languages that no model knows count as not declared; a null host or
 address is its own group; rows are judged one by one, repeated or not; an empty table gives no rows.
 """
 
@@ -36,6 +36,9 @@ TRAIN_ROWS = 500                 # labelled documents per language that the mode
 TABLE = 1 << 15                  # hashed trigrams
 TEMPER = 0.25                    # weight of one trigram's evidence
 MOST_EVIDENCE = 40.0             # nats by which a text can favour one language over another
+MAX_LANGUAGES = 256              # labels that get a model: those with the most documents
+MAX_BROADCAST = 16 << 20         # bytes of host priors that every task is given; more are dealt with salt
+SALT = 16
 HOST_WEIGHT = 20.0               # documents that a host's parent counts for
 ACCEPT = 0.5                     # least posterior
 UNKNOWN = "und"
@@ -68,8 +71,10 @@ def _inside(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(docs: DataFrame, text_col: str, label_col: str, id_col: str, train_rows: int = TRAIN_ROWS) -> Models:
-    """Models from a bounded sample: `train_rows` documents per label, at most."""
-    labelled = docs.filter(f"`{label_col}` IS NOT NULL AND length(`{text_col}`) > 0").select(
+    """Models from a bounded sample: `train_rows` documents per label at most, of the MAX_LANGUAGES labels with the most documents."""
+    counts = docs.filter(f"`{label_col}` IS NOT NULL").groupBy(F.col(label_col).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    admitted = [r["label"] for r in counts.orderBy(F.desc("n"), "label").limit(MAX_LANGUAGES).collect()]
+    labelled = docs.filter(F.col(label_col).cast("string").isin(admitted) & (F.length(text_col) > 0)).select(
         F.col(label_col).cast("string").alias("label"), F.xxhash64(id_col).alias("h"), F.col(text_col).alias("text"))
     place = F.row_number().over(Window.partitionBy("label").orderBy("h"))
     last = labelled.select("label", "h").withColumn("place", place).filter(F.col("place") <= train_rows).groupBy("label").agg(F.max("h").alias("h"))
@@ -100,7 +105,8 @@ def fit(docs: DataFrame, text_col: str, label_col: str, id_col: str, train_rows:
 
 
 def text_evidence(docs: DataFrame, models: Models, text_col: str, keep: list) -> DataFrame:
-    """`keep` and `evidence`: the tempered log likelihoods (last: no language), null without trigrams."""
+    """`keep` and `evidence`: the tempered log likelihoods (last: no language), even (zeros) for a text of one or two bytes, which has no
+    trigram, and null for a null or blank one."""
     shared = docs.sparkSession.sparkContext.broadcast(models.table)      # TABLE rows of one number per language
     selected = docs.select(*keep, F.col(text_col).alias("__text"))
     names = selected.columns[:-1]
@@ -116,6 +122,9 @@ def text_evidence(docs: DataFrame, models: Models, text_col: str, keep: list) ->
                     total = np.r_[0.0, np.cumsum(log_p[:, k][grams], dtype=np.float64)]
                     sums[:, k] = total[np.minimum(ends, len(total) - 1)] - total[np.minimum(starts, len(total) - 1)]
                 some = ends > starts
+                for i in np.flatnonzero(~some & (offsets[1:] > offsets[:-1])).tolist():
+                    some[i] = bool(data[offsets[i]:offsets[i + 1]].tobytes().strip())      # decided by declaration and prior
+                sums[ends <= starts] = 0.0
                 ratio = np.clip(TEMPER * (sums - sums.max(axis=1, keepdims=True)), -MOST_EVIDENCE, 0)
                 evidence = pa.array([r.tolist() if ok else None for r, ok in zip(ratio, some, strict=True)], pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([batch.column(i).slice(row, end - row) for i in range(len(names))] + [evidence], [*names, "evidence"])
@@ -149,7 +158,7 @@ def identify(docs: DataFrame, models: Models, *, text_col: str, keep: list[str],
     scored = staged(text_evidence(docs, models, text_col, columns), "language-evidence")
     even = F.array(*[F.lit(1.0 / (len(names) + 1))] * (len(names) + 1))
     scored = scored.withColumn("p", F.when(F.col("evidence").isNotNull(), _softmax(F.col("evidence"))).otherwise(even))
-    seen = scored.filter("evidence IS NOT NULL")
+    seen = scored.filter("evidence IS NOT NULL AND array_min(evidence) < 0")     # texts that say something
     size = len(names) + 1
     corpus = _mean_by(seen, [], size).select(F.coalesce(_smoothed(F.col("sums"), F.col("n"), even, 1.0), even).alias("q0"))
     by_suffix = _mean_by(seen, ["__suffix"], size).withColumn("q0", corpus.scalar()).select(
@@ -165,7 +174,7 @@ def identify(docs: DataFrame, models: Models, *, text_col: str, keep: list[str],
     trust = seen.agg(F.struct(
         *[F.least(F.lit(0.99), F.greatest(F.lit(1.0 / size), (F.sum(F.when(ok, a)) + 1) / (F.sum(F.when(ok, 1.0)) + 2))).alias(n)
           for n, ok, a in (("declared_trust", declared_known, agreement), ("suffix_trust", of_suffix, agreed))]).alias("t"))
-    fused = scored.join(by_host, scored["__host"].eqNullSafe(by_host["h"]) & scored["__suffix"].eqNullSafe(by_host["s"]), "left")
+    fused = _with_priors(scored, staged(by_host, "language-priors"), size)
     fused = fused.withColumn("q0", corpus.scalar()).withColumn("trust", trust.scalar())
 
     def vote(column: str, ok, reliability: str):
@@ -184,6 +193,16 @@ def identify(docs: DataFrame, models: Models, *, text_col: str, keep: list[str],
     return result.withColumn("accepted", (F.col("language") != UNKNOWN) & (F.col("confidence") >= ACCEPT))
 
 
+def _with_priors(scored: DataFrame, priors: DataFrame, size: int) -> DataFrame:
+    """Each row with the prior of its host and suffix. Rows stay where they are while the priors are small enough to be sent to all; else the
+    priors are repeated for SALT parts of each host, so that no host's rows meet in one task."""
+    if priors.count() * (8 * size + 128) <= MAX_BROADCAST:
+        return scored.join(F.broadcast(priors), scored["__host"].eqNullSafe(priors["h"]) & scored["__suffix"].eqNullSafe(priors["s"]), "left")
+    dealt = scored.withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.lit(SALT)))
+    many = priors.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return dealt.join(many, dealt["__host"].eqNullSafe(many["h"]) & dealt["__suffix"].eqNullSafe(many["s"]) & (dealt["__part"] == many["part"]), "left").drop("__part", "part")
+
+
 def address_parts(url) -> dict:
     """Host and suffix of an address column: the first path part if it is a two-letter code, else the host's last label."""
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/@]*@)?([^/:?#]+)", 1))

@@ -86,3 +86,10 @@ def test_empty_tables(spark):
     none_d, none_b = d.limit(0), spark.createDataFrame([], "item_id long, text string")
     assert found(decontaminate.judged(d, none_b, ["doc_id"])) == expected(docs, [])
     assert found(decontaminate.judged(none_d, spark.createDataFrame(items, "item_id long, text string"), ["doc_id"])) == []
+
+
+def test_columns_called_as_the_operators_own(spark):
+    items = spark.createDataFrame([("i", " ".join(f"w{k}" for k in range(13)))], "item_id string, text string")
+    rows = [(1, " ".join(f"w{k}" for k in range(13)), "x", 1), (2, "clean text", "y", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __contamination string, __contamination_ int")
+    assert [tuple(r) for r in decontaminate.without_contaminated(docs, items).collect()] == [rows[1]]

@@ -53,11 +53,12 @@ def test_odd_rows(spark):
     got = language.identify(df, models, text_col="text", keep=["doc_id"], declared=F.col("lang"), host=F.col("source")).collect()
     assert len(got) == len(odd)
     by_id = {r.doc_id: r for r in got}
-    assert not by_id[1].accepted and not by_id[2].accepted and not by_id[4].accepted and by_id[1].language == "und"
+    assert not by_id[1].accepted and not by_id[2].accepted and by_id[1].language == "und"
+    assert by_id[4].accepted and by_id[4].language == "aa"            # no trigram: what is declared decides
     assert by_id[5].language == by_id[6].language == by_id[7].language == by_id[None].language == rows[0][2]
     kept = language.accepted_documents(spark.createDataFrame(rows + odd, SCHEMA)).collect()
     assert {r.doc_id for r in kept if r.doc_id is None or r.doc_id > 7} == {None, *range(8, 240)}
-    assert [len(r.text or "") > 3 for r in kept] == [True] * len(kept)
+    assert [len(r.text or "") > 1 for r in kept] == [True] * len(kept)
 
 
 def test_empty_tables(spark):
@@ -129,3 +130,25 @@ def test_accuracy_on_documents_that_the_models_have_not_seen(spark):
     right = got.join(held_out, "doc_id").filter(F.col("language") == F.col("lang")).count()
     accepted = language.accepted_documents(docs).count()
     assert right >= 0.97 * total and accepted >= 0.99 * docs.count()
+
+
+def test_short_texts_go_by_declaration_and_prior(spark):
+    """One or two bytes have no trigram: what is declared decides; blanks stay unknown."""
+    long = {"en": "the weather of the day was fine and the wind came from the sea ", "de": "das Wetter war heute schön und der Wind kam von der See her "}
+    rows = [(i, long[lang] * 3, lang, "s") for i, lang in enumerate(["en", "de"] * 20)]
+    rows += [(100, "ok", "en", "t"), (101, "A.", "de", "t"), (102, " ", "en", "t"), (103, "", "en", "t"), (104, None, "en", "t"), (105, "\t\n", "de", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: (r.language, r.accepted) for r in language.identified_documents(df, ["doc_id"]).collect()}
+    assert got[100] == ("en", True) and got[101] == ("de", True)
+    assert all(got[i] == ("und", False) for i in (102, 103, 104, 105))
+    assert all(got[i] == (rows[i][2], True) for i in range(40))
+
+
+def test_priors_dealt_with_salt_are_the_same(spark, monkeypatch):
+    rows = [(i, "the weather of the day was fine " * 2 if i % 3 else "das Wetter war heute schön " * 2, "en" if i % 3 else "de", f"s{i % 5}" if i % 7 else None) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    one = sorted(map(tuple, language.identified_documents(df, ["doc_id"]).collect()))
+    monkeypatch.setattr(language, "MAX_BROADCAST", 0)
+    assert sorted(map(tuple, language.identified_documents(df, ["doc_id"]).collect())) == one
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 1)
+    assert {r[1] for r in language.identified_documents(df, ["doc_id"]).collect()} <= {"en", "und"}
