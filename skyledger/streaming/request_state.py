@@ -27,12 +27,13 @@ from skyledger.operators import requests as rq
 from skyledger.operators.anchored_windows import in_windows, window_starts
 from skyledger.operators.current import current
 from skyledger.schemas import ANY_EVENT
-from skyledger.session import staged as _staged
+from skyledger.session import staged
 from skyledger.sources.events import parse_events
 from skyledger.sources.paths import child_names, path_exists, remove_tree
 
 LOCK_TTL_SECONDS = 600
 SNAPSHOT_EVERY = 16              # every so many batches the whole lock table is written, not only what the batch touched
+ROUNDS = 4                       # locks after one another that a batch settles one by one
 LOCK_KEYS = ["dataset_type", "wmo_index", "day"]
 LOCK_TABLE = "dataset_type string, wmo_index string, day date, owner string, locked long, seen timestamp, epoch long"
 LOCK_OUTPUT = ("dataset_type string, wmo_index string, day date, event_id string, trace_id string, created_ts timestamp, "
@@ -75,23 +76,33 @@ def answer_cells(cells: DataFrame, locks: DataFrame, ttl_s: int = LOCK_TTL_SECON
     """T5 for a batch: ``(answers, taken)``, every cell with its owner and the locks that cells of the batch took.
 
     A cell within ``ttl_s`` seconds of its key's lock, stamped before it or without an instant is answered with the
-    lock's owner. The others fall into windows anchored at the first of them (``ttl_s`` long): that one, by
-    ``(created_ts, event_id, trace_id)``, takes the lock, the rest wait on its trace. Without a lock,
+    lock's owner. Of the others the first, by ``(created_ts, event_id, trace_id)``, takes the lock, and the rest of its
+    ``ttl_s`` seconds wait on its trace; what comes later does the same among itself. After ``ROUNDS`` such rounds, of
+    which each is one aggregation and one join, longer chains are found as anchored windows all at once. Without a lock,
     cells of no instant come first. ``locks``: ``owner, locked`` (microseconds) by key, as they were before the batch."""
     ttl = ttl_s * 1_000_000
-    cells = cells.withColumn("t", F.unix_micros("created_ts")).withColumn("cell", F.monotonically_increasing_id())
-    held = _staged(cells.join(locks.select(*LOCK_KEYS, "owner", "locked"), LOCK_KEYS, "left"), "cells")
+    named = cells.withColumn("t", F.unix_micros("created_ts")).withColumn("cell", F.monotonically_increasing_id())
+    held = staged(named.join(locks.select(*LOCK_KEYS, "owner", "locked"), LOCK_KEYS, "left"), "cells")
     free = F.expr(f"owner IS NULL OR coalesce(t >= locked + {ttl}, false)")
-    open_ = held.filter(free).withColumn("t", F.coalesce("t", F.lit(0)))
-    points = open_.select(*LOCK_KEYS, "t").distinct()
-    placed = open_.join(in_windows(points, window_starts(points, LOCK_KEYS, ttl), LOCK_KEYS, ttl), [*LOCK_KEYS, "t"])
-    first = placed.groupBy(*LOCK_KEYS, "start").agg(F.min(F.struct("t", "event_id", "trace_id", "cell")).alias("first"))
-    taken = _staged(first.select(*LOCK_KEYS, F.col("start").alias("locked"), F.col("first.trace_id").alias("owner"), F.col("first.cell").alias("taker")), "locks")
-    new = placed.drop("owner", "locked").join(taken.withColumnRenamed("locked", "start"), [*LOCK_KEYS, "start"])
-    columns = [*LOCK_KEYS, "event_id", "trace_id", "created_ts", "acquired", F.col("owner").alias("owner_trace_id")]
-    answers = held.filter(~free).withColumn("acquired", F.lit(False)).select(*columns).unionByName(
-        new.withColumn("acquired", F.col("cell") == F.col("taker")).select(*columns))
-    return answers, taken.drop("taker")
+    columns = [*LOCK_KEYS, "event_id", "trace_id", "created_ts"]
+    answers = held.filter(~free).select(*columns, F.lit(False).alias("acquired"), F.col("owner").alias("owner_trace_id"))
+    rest, taken = held.filter(free).drop("owner", "locked").withColumn("t", F.coalesce("t", F.lit(0))), None
+    own = rest.columns
+    for last in [*[False] * ROUNDS, True]:
+        if last:
+            points = rest.select(*LOCK_KEYS, "t").distinct()
+            rest = rest.join(in_windows(points, window_starts(points, LOCK_KEYS, ttl), LOCK_KEYS, ttl), [*LOCK_KEYS, "t"])
+        by = [*LOCK_KEYS, "start"] if last else LOCK_KEYS
+        first = rest.groupBy(*by).agg(F.min(F.struct("t", "event_id", "trace_id", "cell")).alias("first"))
+        joined = staged(rest.join(first, by).select(*own, "first"), "locks")
+        now = joined.filter(F.col("t") < F.col("first.t") + ttl)
+        answers = answers.unionByName(now.select(*columns, (F.col("cell") == F.col("first.cell")).alias("acquired"), F.col("first.trace_id").alias("owner_trace_id")))
+        fresh = now.filter(F.col("cell") == F.col("first.cell")).select(*LOCK_KEYS, F.col("t").alias("locked"), F.col("trace_id").alias("owner"))
+        taken = fresh if taken is None else taken.unionByName(fresh)
+        rest = joined.filter(F.col("t") >= F.col("first.t") + ttl).select(*own)
+        if last or rest.isEmpty():
+            break
+    return answers, taken
 
 
 def lock_table(spark: SparkSession, path: str, before_epoch: int, now: Column, ttl_s: int = LOCK_TTL_SECONDS) -> DataFrame:
@@ -110,7 +121,7 @@ def process_lock_batch(batch: DataFrame, epoch_id: int, *, lock_path: str, answe
     replaces what it left, and it looks only at the locks of the batches before it."""
     spark = batch.sparkSession
     now = F.lit(datetime.now(timezone.utc)) if now is None else now            # one instant for the batch
-    cells = _staged(batch.select(*LOCK_KEYS, "event_id", "trace_id", "created_ts"), "batch")
+    cells = staged(batch.select(*LOCK_KEYS, "event_id", "trace_id", "created_ts"), "batch")
     locks = lock_table(spark, lock_path, epoch_id, now, ttl_s)
     answers, taken = answer_cells(cells, locks, ttl_s)
     answers.write.mode("overwrite").parquet(f"{answer_path.rstrip('/')}/epoch={epoch_id}")

@@ -122,6 +122,7 @@ def _fold_cells(batches, ttl=600):
 def test_locks_by_brute_force_over_batches(spark, workdir, monkeypatch):
     """Late cells, cells of no instant, expiring locks, chains of locks within a batch, batches that are tried again."""
     monkeypatch.setattr(rs, "SNAPSHOT_EVERY", 3)
+    monkeypatch.setattr(rs, "ROUNDS", 2)
     rnd, start = random.Random(5), 1_780_000_000
     batches, n = [], 0
     for b in range(8):
