@@ -6,7 +6,9 @@ words, hashes and windows of many documents are found by array operations.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,27 @@ def _powers(base: int, n: int) -> np.ndarray:
     return got[:n]
 
 
+def released(run: Callable) -> Callable:
+    """A task's function over Arrow batches; when the task ends, what its arrays took goes back to the system. Workers live on for the
+    next stages, and what they keep would add up with them."""
+    @functools.wraps(run)
+    def task(batches: Iterable) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+    return task
+
+
+def _give_back() -> None:
+    for base in [b for b, table in _tables.items() if len(table) > SLICE_BYTES + 1]:
+        del _tables[base]                                            # grown for a long text
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)           # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: spreads every input bit over all output bits."""
     x = x ^ (x >> np.uint64(30))

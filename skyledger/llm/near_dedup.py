@@ -8,12 +8,13 @@ banded buckets and star-shaped candidate edges, confirmed on the full shingle se
 3. Each band (`banding`: 48 of 8 bins at 85 %, 64 of 7 at 80 %) gives a bucket. Within a bucket every member is paired with the
    smallest one: n - 1 pairs. Pairs whose sizes rule the similarity out go.
 4. Pairs are confirmed on full sets, computed anew from the two texts.
-5. A star can miss a link between two members that are both unlike the centre. So wherever a bucket
-   still holds several components, members outside the first centre's component become centres
-   too, 4, 16, 64, ... a round, until all have been; pairs within a component are not needed, as
-   they change nothing. No bucket is capped. For the documents of such buckets it is counted how
-   many shingles each has that no other of them has: two documents have at most the rest of the
-   smaller rest in common, which rules most pairs out before their texts are looked at.
+5. A star can miss a link between two members that are both unlike the centre. Documents of buckets that still hold several
+   components are contested. Of each such bucket the member with the fewest shingles of its own becomes a second
+   centre: where a bucket holds edited copies, that is what they were made from, and they are joined by it.
+6. What contested documents are still apart meets by an exact prefix filter: their shingles are ordered by rarity, and two sets
+   that reach the similarity share one of the first few, in both of which enough must follow. Only pairs of
+   different components are made; pairs within one change nothing. A common passage's shingles come late in the order.
+   No bucket is capped.
 
 A pair shares no bucket with probability 2e-7 at the threshold, and less above it: (1 - s^8)^48 at
 similarity s for 85 %, (1 - s^7)^64 for 80 %. Long bands keep texts that only share a passage apart
@@ -36,9 +37,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from skyledger.llm.common import partitions, register, staged, table
+from skyledger.llm.common import register, staged, table
 from skyledger.llm.graph import components
-from skyledger.llm.kernels import LOWER, SPACE_WORDS, Rolling, mixed, text_slices, word_hashes, word_spans
+from skyledger.llm.kernels import LOWER, SPACE_WORDS, Rolling, mixed, released, text_slices, word_hashes, word_spans
 
 SHINGLE = 5
 PERCENT = 85
@@ -123,6 +124,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     kind = docs.schema[id_col].dataType.simpleString()
     n_bands, n_rows = banding(percent)
 
+    @released
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, end, data, offsets in text_slices(batch.column(1)):
@@ -145,6 +147,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Dat
     first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     both = pairs.select("a", "b").join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b")
 
+    @released
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
@@ -186,25 +189,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = staged(confirmed(pairs, texts, percent), "links")
     labels = staged(components(links), "components")
     shared = staged(_contested(shared, labels), "contested")
-    one_text = texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).filter("k = 1").select(F.col("doc_id").alias("node"))
-    own = own_shingles(texts.join(shared.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")).join(one_text, "node", "left_semi")
+    contested = texts.join(shared.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    prefixes, own = rare_prefixes(contested, percent)
     shared = staged(shared.join(own, "node", "left").withColumn("rest", F.greatest(F.lit(0), F.col("n") - F.coalesce("own", F.lit(0)))).drop("own"), "contested")
-    tested, done, width = pairs, None, 4
-    while True:
-        outside = _outside(shared, labels).filter(f"100 * rest >= {percent} * n")
-        waiting = outside if done is None else outside.join(done, ["bucket", "node"], "left_anti")
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-        chosen = staged(waiting.withColumn("place", place).filter(F.col("place") <= width).drop("place"), "centres")
-        if chosen.isEmpty():
-            break
-        fresh = staged(_stars(shared, labels, chosen, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.unionByName(fresh)
+    tested = pairs
+    for find in (lambda: _stars(shared, labels, _plainest(shared, labels), percent), lambda: _between(prefixes, labels, percent)):
+        fresh = staged(find().join(tested, ["a", "b"], "left_anti"), "pairs")
         more = staged(confirmed(fresh, texts, percent), "links")
         if not more.isEmpty():
             links = more.unionByName(labels.select(F.col("component").alias("a"), F.col("node").alias("b")))
             labels = staged(components(links), "components")
-        used = chosen.select("bucket", "node")
-        done, width = used if done is None else done.unionByName(used), width * 4
+        tested = tested.unionByName(fresh)
     of_set = sets.select(*same, F.col("node")).join(labels, "node", "left").select(*same, F.coalesce("component", "node").alias("set_component"))
     # rows that share a doc_id may have different sets; the document's component is the smallest of theirs
     own = rows.join(of_set, same, "left")
@@ -214,45 +209,33 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.coalesce(F.coalesce("least", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def own_shingles(texts: DataFrame) -> DataFrame:
-    """(node, own): how many shingles of each document no other document of `texts` has.
-
-    Hashes travel in blocks, by ranges of the hash; a shingle that several documents of a block have
-    is sent once, as had by several, so that a common one is as many entries as there are blocks."""
-    buckets = 4 * partitions(texts)
+def rare_prefixes(texts: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """((node, n, shingle, place), (node, own)) of the contested texts (columns doc_id and text).
 
+    The shingles of a text are ordered by how many contested texts have them, rarest first, ties by hash; `place` is a shingle's
+    number in that order. Only the first n - ceil(percent % of n) + 1 are kept, and of these the ones that another text
+    has: two sets that reach the similarity share one of them. `own` counts the shingles that no other text has (of documents with one text)."""
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, end, data, offsets in text_slices(batch.column(1)):
+            for row, end, data, offsets in text_slices(batch.column(2)):
                 hashes, at = shingle_sets(data, offsets)
-                ids = np.repeat(batch.column(0).slice(row, end - row).to_numpy(zero_copy_only=False).astype(np.int64), np.diff(at))
-                order = np.lexsort((ids, hashes))
-                hashes, ids = hashes[order], ids[order]
-                first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]]) if len(hashes) else np.zeros(0, np.int64)
-                last = np.r_[first[1:] - 1, len(hashes) - 1] if len(first) else first
-                several = ids[first] != ids[last]
-                bucket = ((hashes[first] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else first
-                edges = np.r_[edges, len(bucket)]
-                parts = [slice(s, e) for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([int(bucket[p.start]) for p in parts], pa.int32()), pa.array([hashes[first[p]].tobytes() for p in parts], pa.binary()),
-                    pa.array([ids[first[p]].tobytes() for p in parts], pa.binary()), pa.array([several[p].tobytes() for p in parts], pa.binary())],
-                    ["bucket", "hashes", "ids", "several"])
-
-    def count(table: pa.Table) -> pa.Table:
-        hashes, ids, several = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)])
-                                for name, kind in (("hashes", np.uint64), ("ids", np.int64), ("several", bool)))
-        order = np.lexsort((ids, hashes))
-        hashes, ids, several = hashes[order], ids[order], several[order]
-        first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
-        last = np.r_[first[1:] - 1, len(hashes) - 1]
-        alone = (ids[first] == ids[last]) & ~np.logical_or.reduceat(several, first)
-        node, own = np.unique(ids[first[alone]], return_counts=True)
-        return pa.table({"node": pa.array(node, pa.int64()), "own": pa.array(own, pa.int64())})
-
-    sent = texts.select(F.col("doc_id").cast("long"), "text").mapInArrow(send, "bucket int, hashes binary, ids binary, several binary")
-    return sent.groupBy("bucket").applyInArrow(count, "node long, own long").groupBy("node").agg(F.sum("own").alias("own"))
+                n = np.diff(at)
+                of = np.repeat(np.arange(len(n)), n)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(row, end - row).take(pa.array(of)), batch.column(1).slice(row, end - row).take(pa.array(of)),
+                     pa.array(n[of]), pa.array(hashes.view(np.int64))], ["node", "member", "n", "shingle"])
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    numbered = texts.select("doc_id", F.monotonically_increasing_id().alias("member"), "text")
+    every = staged(numbered.mapInArrow(released(send), f"node {kind}, member long, n long, shingle long"), "contested-shingles")
+    had = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("had"))
+    place = F.row_number().over(Window.partitionBy("member").orderBy("had", "shingle")) - 1
+    ranked = staged(every.join(had, "shingle").withColumn("place", place).filter(
+        F.expr(f"place <= n - ({percent} * n + 99) div 100")), "prefixes")
+    own = every.join(had.filter("had = 1"), "shingle").groupBy("node", "member").agg(F.count(F.lit(1)).alias("own"))
+    own = own.groupBy("node").agg(F.max("own").alias("own"), F.count(F.lit(1)).alias("k"))
+    one_text = texts.groupBy(F.col("doc_id").alias("node")).agg(F.count(F.lit(1)).alias("texts")).filter("texts = 1")
+    return ranked.filter("had > 1").select("node", "n", "shingle", "place"), own.join(one_text, "node").select("node", "own")
 
 
 def _labelled(shared: DataFrame, labels: DataFrame) -> DataFrame:
@@ -266,11 +249,21 @@ def _contested(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return at.join(several, "bucket").select("bucket", "node", "n", "centre")
 
 
-def _outside(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members outside the component of their bucket's first centre."""
-    at = _labelled(shared, labels)
-    home = at.filter("node = centre").select("bucket", F.col("component").alias("home"))
-    return at.join(home, "bucket").filter("component <> home").select("bucket", "node", "n", "rest", "component")
+def _plainest(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Of each contested bucket the member with the fewest shingles of its own: what edited copies were made from, if it is there."""
+    best = F.min(F.struct((F.col("n") - F.col("rest")).alias("alone"), "node", "n", "rest", "component")).alias("b")
+    return _labelled(shared, labels).groupBy("bucket").agg(best).select("bucket", "b.node", "b.n", "b.rest", "b.component")
+
+
+def _between(prefixes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a shingle of their prefixes early enough: what stands after it in either
+    order must still make up the common part that the similarity asks for."""
+    at = _labelled(prefixes, labels).select("shingle", "node", "n", "place", "component")
+    other = at.select("shingle", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "place", "component")])
+    common = f"(({percent} * (n + o_n) + {99 + percent}) div {100 + percent})"
+    early = f"n - place >= {common} AND o_n - o_place >= {common}"
+    met = at.join(other, "shingle").filter(f"node < o_node AND component <> o_component AND 100 * least(n, o_n) >= {percent} * greatest(n, o_n) AND {early}")
+    return met.select(F.col("node").alias("a"), F.col("o_node").alias("b")).distinct()
 
 
 def _stars(shared: DataFrame, labels: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
