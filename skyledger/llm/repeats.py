@@ -43,6 +43,7 @@ from skyledger.llm.kernels import (
     byte_rolling,
     merged_spans,
     mixed,
+    released,
     spread,
     text_slices,
     word_hashes,
@@ -51,7 +52,7 @@ from skyledger.llm.kernels import (
 
 BLOCK_BYTES = 4 << 20
 MOST_SLICES = 8192                      # of one anchor that are settled together
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _LOW_BITS, _TOLD = 30, 9                # bits of an anchor within its bucket; bytes told of an anchor
 _LOW = np.uint64((1 << _LOW_BITS) - 1)
 _ZSTD = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))
@@ -261,6 +262,7 @@ def without_repeats(docs: DataFrame, unit: Unit, settle: Callable, finish: Calla
     id_at, text_at = names.index(id_col), names.index(text_col)
     buckets, most = 4 * partitions(docs), MOST_SLICES
 
+    @released
     def block(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _in_blocks(batches, text_at):
             yield pa.RecordBatch.from_arrays([pa.array([int.from_bytes(os.urandom(8), "little", signed=True)], pa.int64()),
@@ -268,6 +270,7 @@ def without_repeats(docs: DataFrame, unit: Unit, settle: Callable, finish: Calla
 
     blocks = staged(docs.mapInArrow(block, "block long, payload binary"), "blocks")
 
+    @released
     def tell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
@@ -305,6 +308,7 @@ def without_repeats(docs: DataFrame, unit: Unit, settle: Callable, finish: Calla
         answer, "block long, bucket int, bits binary")
     answers = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))      # as many as there are buckets
 
+    @released
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
@@ -340,6 +344,7 @@ def without_repeats(docs: DataFrame, unit: Unit, settle: Callable, finish: Calla
     runs = runs.groupBy("block").agg(F.collect_list(F.struct("bucket", "runs")).alias("runs"))
     results = staged(runs, "runs")
 
+    @released
     def done(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
@@ -410,10 +415,12 @@ def _settled(unit: Unit, settle: Callable, table: pa.Table) -> pa.Table:
     group = np.cumsum(np.r_[True, a[first][1:] != a[first][:-1]]) - 1
     contents = got.column("content").combine_chunks()
     contents = contents.chunk(0) if isinstance(contents, pa.ChunkedArray) else contents
-    unshared = (np.bincount(group)[group] == 1) & (smallest == np.maximum.reduceat(most[order], first))      # a string that one document has
-    several = np.flatnonzero((m[first] != 0) & ~unshared)          # an anchor's only slice comes without a mark
+    # a group of one slice has nothing to compare: its strings start where the slice does, and nowhere else. An anchor's only slice
+    # comes without a mark; strings that travel alone, and what is left of an anchor in a shard, may be such groups too
+    single = (m[first] == 0) | (np.bincount(group)[group] == 1)
+    several = np.flatnonzero(~single)
     slice_, start, end, doc = settle(unit, group[several], contents.take(pa.array(order[first[several]])), smallest[several])
-    alone = np.flatnonzero(m[first] == 0)
+    alone = np.flatnonzero(single & (smallest < np.maximum.reduceat(most[order], first)))      # else one document has it
     slice_ = np.r_[several[slice_], alone]
     start, end = np.r_[start, np.zeros(len(alone), np.int64)], np.r_[end, _number(got, "strings")[order[first[alone]]]]
     doc = np.r_[doc, smallest[alone]]

@@ -2,8 +2,8 @@
 
 Over a small alphabet (bytes) a whole bucket is induced at once by array operations: what a bucket
 holds is known when its turn comes, but for what its own members induce into it, which follows in
-waves. The reduced text of names has a large alphabet and is sorted by the same induction entry
-by entry.
+waves. The recursion ends at a reduced text of names with a large alphabet: there the suffixes, which separators
+end within a slice or two, are ranked by doubling.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         return np.arange(n)[::-1].copy()
     size = int(text.max()) + 1
     if size > _BUCKETS_AT_ONCE and size > n // 64:
-        return np.array(_by_entries(text.tolist(), size), np.int64)
+        return _by_doubling(text)
     small = _smaller(text)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     order = _induced(text, small, lms, size)                       # sorts the leftmost-smaller substrings
@@ -125,47 +125,35 @@ def _named(text: np.ndarray, by_substring: np.ndarray, lms: np.ndarray) -> tuple
     return names[lms], int(names[by_substring[-1]]) + 1
 
 
-def _by_entries(text: list[int], size: int) -> list[int]:
-    """Induced sorting for a large alphabet. The last symbol is 0 and occurs only there."""
+def _by_doubling(text: np.ndarray) -> np.ndarray:
+    """Starts of all suffixes in order, for a large alphabet. The last symbol occurs only there.
+
+    The end of the recursion: suffixes that begin with equal symbols are told apart by the ranks of what follows, 1, 2, 4, ...
+    symbols on, and only those still equal are sorted again. Separators end what slices have in common, so few rounds do."""
     n = len(text)
-    if n <= 2:
-        return list(range(n))[::-1]
-    array = np.array(text)
-    is_small = _smaller(array)
-    small = is_small.tolist()
-    lms = np.flatnonzero(is_small[1:] & ~is_small[:-1]) + 1
-    ends = np.cumsum(np.bincount(array, minlength=size))
-    starts = np.r_[0, ends[:-1]]
-
-    def induced(order: list[int]) -> list[int]:
-        out = [-1] * n
-        tail = ends.tolist()
-        for place in reversed(order):
-            tail[text[place]] -= 1
-            out[tail[text[place]]] = place
-        head = starts.tolist()
-        for place in out:
-            if place > 0 and not small[place - 1]:
-                symbol = text[place - 1]
-                out[head[symbol]] = place - 1
-                head[symbol] += 1
-        tail = ends.tolist()
-        for i in range(n - 1, -1, -1):
-            place = out[i]
-            if place > 0 and small[place - 1]:
-                symbol = text[place - 1]
-                tail[symbol] -= 1
-                out[tail[symbol]] = place - 1
-        return out
-
-    order = np.array(induced(lms.tolist()), np.int64)
-    marked = np.zeros(n, bool)
-    marked[lms] = True
-    by_substring = order[marked[order]]
-    names, distinct = _named(array, by_substring, lms)
-    if distinct < len(lms):
-        by_substring = lms[suffix_array(names)]
-    return induced(by_substring.tolist())
+    order = np.argsort(text, kind="stable")
+    rank = np.empty(n, np.int64)
+    first = np.flatnonzero(np.r_[True, text[order][1:] != text[order][:-1]])
+    size = np.diff(np.r_[first, n])
+    rank[order] = np.repeat(first, size)
+    at = np.repeat(first, size)[np.repeat(size, size) > 1]          # where groups that are still equal begin, for each member
+    places = np.flatnonzero(np.repeat(size, size) > 1)             # the members' places in the order
+    step = 1
+    while len(places):
+        members = order[places]
+        then = rank[np.minimum(members + step, n - 1)]             # of equal suffixes none ends here: the last symbol is alone
+        new_order = np.lexsort((then, at))
+        members, then = members[new_order], then[new_order]
+        order[places] = members
+        new = np.r_[True, (at[1:] != at[:-1]) | (then[1:] != then[:-1])]
+        begin = np.flatnonzero(new)
+        size = np.diff(np.r_[begin, len(places)])
+        group = np.repeat(places[begin], size)
+        rank[members] = group
+        open_ = np.repeat(size, size) > 1
+        at, places = group[open_], places[open_]
+        step *= 2
+    return order
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
