@@ -14,6 +14,7 @@ from test_near_dedup import expected as components
 from test_neighbours import exact
 from test_packing_sharding import check_layout, direct_pieces, fewest, least_capacity
 from test_repeats import expected_bytes, expected_words
+from test_token_files import expected as token_files
 from test_warc import expected as archived
 
 SF = "/root/testdata/sf0.001"
@@ -98,3 +99,13 @@ def test_op10(spark, texts):
     assert max(loads.values()) == least_capacity([groups[k] for k in sorted(groups)], 8)
     for s in loads:
         assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
+
+
+def test_op13(spark, texts):
+    assert run(spark, "op13_", "doc_id", "start", "n_tokens", "ids_crc32") == sorted(token_files(texts), key=str)
+
+
+@pytest.mark.parametrize("name", ["op11_phrase_collocations", "op12_conversation_trie"])
+def test_queries_with_sql(spark, name):
+    from oracle_check import compare
+    assert compare(spark, SF, [name], verbose=False)[name].startswith("ok")
