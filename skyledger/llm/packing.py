@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import dense_rank_in, register, staged, table
-from skyledger.llm.kernels import text_slices
-from skyledger.llm.token_ids import encoder, tokenizer_path
+from skyledger.llm.kernels import released, text_slices
+from skyledger.llm.token_ids import KEEP, encoder, tokenizer_path
 
 SEQUENCE = 1024
 END_ID = 2
@@ -41,10 +41,11 @@ def cut(n_ids: int, size: int) -> list[tuple[int, int]]:
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                 size: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
-    """One row per piece: its document, number, start, length and the CRC-32 of its ids."""
+                 size: int = SEQUENCE, end_id: int = END_ID, keep: int = KEEP) -> DataFrame:
+    """One row per piece: its document, number, start, length and the CRC-32 of its ids. `keep`: text pieces whose ids a worker remembers."""
+    @released
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, keep).encode
         for batch in batches:
             for row, end, data, offsets in text_slices(batch.column(1), _SLICE):
                 ids, begins = encode(data, offsets)
@@ -142,9 +143,9 @@ def packed(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     return numbered.mapInArrow(place, f"{schema}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int = END_ID, keep: int = KEEP) -> DataFrame:
     """All documents as pieces with their places in sequences of at most `size` tokens."""
-    pieces = staged(token_pieces(docs, tokenizer, size=size, end_id=end_id), "token-pieces")
+    pieces = staged(token_pieces(docs, tokenizer, size=size, end_id=end_id, keep=keep), "token-pieces")
     return packed(pieces, size)
 
 

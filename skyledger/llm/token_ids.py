@@ -246,14 +246,14 @@ def _room(array: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-_encoders: dict[str, TokenIds] = {}
+_encoders: dict[tuple[str, int], TokenIds] = {}
 
 
-def encoder(path: str) -> TokenIds:
+def encoder(path: str, keep: int = KEEP) -> TokenIds:
     """One encoder per worker process."""
-    if path not in _encoders:
-        _encoders[path] = TokenIds(path)
-    return _encoders[path]
+    if (path, keep) not in _encoders:
+        _encoders[path, keep] = TokenIds(path, keep)
+    return _encoders[path, keep]
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
