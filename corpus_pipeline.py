@@ -15,6 +15,8 @@ from skyledger.llm.near_dedup import CORPUS_PERCENT, one_of_each
 from skyledger.llm.packing import pack_documents, tokenizer_path
 from skyledger.llm.suffix_dedup import without_repeated_bytes
 
+KEPT_PIECES = 150_000           # text pieces whose ids a worker remembers beside the other stages' memory (speed only)
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no known language go."""
@@ -38,7 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as pieces of token sequences."""
-    return pack_documents(docs, tokenizer_path())
+    return pack_documents(docs, tokenizer_path(), keep=KEPT_PIECES)
 
 
 STAGES = [
