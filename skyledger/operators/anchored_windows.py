@@ -28,24 +28,24 @@ def stretch_of(t: str, width: int) -> Column:
     return F.expr(f"({t} - pmod({t}, {width}L)) div {width}L")
 
 
-def window_starts(points: DataFrame, keys: list[str], width: int) -> DataFrame:
-    """``keys, t``: the instants that open a window. ``points``: distinct ``keys, t`` (microseconds)."""
+def window_starts(points: DataFrame, keys: list[str], width: int, under: str | None = None) -> DataFrame:
+    """``keys, t``: the instants that open a window. ``points``: distinct ``keys, t`` (microseconds). ``under``: see :func:`staged`."""
     points = points.select(*keys, "t", stretch_of("t", width).alias("stretch"))
     whole = points.groupBy(*keys, "stretch").agg(F.min("t").alias("first"), F.max("t").alias("last"))
     by_time = Window.partitionBy(*keys).orderBy("stretch")          # a row per stretch: bounded by time, not by hits
     opens = F.coalesce(F.col("first") - F.lag("last").over(by_time) >= width, F.lit(True))
     goes_on = F.coalesce(F.lead("first").over(by_time) - F.col("last") < width, F.lit(False))
-    whole = staged(whole.select("*", opens.alias("opens"), goes_on.alias("goes_on"), F.lead("first").over(by_time).alias("after")), "stretches")
+    whole = staged(whole.select("*", opens.alias("opens"), goes_on.alias("goes_on"), F.lead("first").over(by_time).alias("after")), "stretches", under)
     heads = whole.filter("opens").select(*keys, F.col("first").alias("t"))
     # a segment of one stretch is shorter than a window: its first instant is all
     long = whole.filter("NOT opens OR goes_on")
     if long.limit(1).count() == 0:
         return heads
     inner = points.join(long.select(*keys, "stretch"), [*keys, "stretch"])
-    jumps = staged(_next_instants(inner, long, keys, width), "anchors")
+    jumps = staged(_next_instants(inner, long, keys, width), "anchors", under)
     starts, reached = [heads], heads.join(jumps.select(*keys), keys, "left_semi")
     while True:
-        reached = staged(reached.join(jumps, [*keys, "t"]).select(*keys, F.col("next").alias("t")), "anchors")
+        reached = staged(reached.join(jumps, [*keys, "t"]).select(*keys, F.col("next").alias("t")), "anchors", under)
         if reached.limit(1).count() == 0:
             break
         starts.append(reached)
@@ -53,7 +53,7 @@ def window_starts(points: DataFrame, keys: list[str], width: int) -> DataFrame:
         for more in starts[1:]:
             known = known.unionByName(more)
         then = jumps.select(*keys, F.col("t").alias("next"), F.col("next").alias("then"))
-        jumps = staged(jumps.join(then, [*keys, "next"]).select(*keys, "t", F.col("then").alias("next")), "anchors")
+        jumps = staged(jumps.join(then, [*keys, "next"]).select(*keys, "t", F.col("then").alias("next")), "anchors", under)
         reached = known
     out = starts[0]
     for more in starts[1:]:

@@ -22,10 +22,13 @@ from skyledger.streaming import rate_limits as rl
 from skyledger.streaming import request_state as rs
 
 
+_TOPIC_FILES = 4                 # of a delivery, at most: each is a micro-batch, which reads a large one by many tasks
+
+
 def _publish(df: DataFrame, root: str, topic: str, copies: int = 1) -> None:
     """Write event values as JSON lines under ``<root>/topic=<topic>/`` (a file-based topic);
     ``copies > 1`` redelivers every event."""
-    values = to_event_values(df)
+    values = to_event_values(df).coalesce(_TOPIC_FILES)
     for i in range(copies):
         values.write.mode("append").text(f"{root}/topic={topic}")
 
@@ -172,7 +175,7 @@ _LOCKS_SQL = "WITH RECURSIVE " + fx.ORACLE_ORDER_EVENTS.strip() + f"""
 """
 
 
-def _lock_stream(spark, sf):
+def _lock_stream(spark, sf, by_day):
     """Need-info events derived from ``orders`` (the valid ones; ranges are under a year), delivered in three micro-batches
     whose instants overlap, so that cells come late and locks expire; every eleventh event has no instant."""
     root = scratch_dir(spark, "locks")
@@ -182,17 +185,17 @@ def _lock_stream(spark, sf):
                 "TIMESTAMP '2026-07-06 12:20:00'), \"yyyy-MM-dd'T'HH:mm:ss'Z'\") END")
     ev = rq.valid_need_info(ev.filter(F.col("dataset_type").isNotNull())) \
         .select("event_id", "trace_id", "dataset_type", at.alias("created_at"), "date_from", "date_to", "wmo_indexes")
-    for i in range(_LOCK_BATCHES):                                  # one file after another
-        ev.filter(F.expr(f"{k} % {_LOCK_BATCHES} = {i}")).coalesce(1).write.mode("append").json(f"{root}/in")
-    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).json(f"{root}/in")
-    _await(rs.run_fetch_locks(rs.need_info_cells(src), lock_path=f"{root}/table", answer_path=f"{root}/out", checkpoint=f"{root}/ckpt"))
-    return rs.read_answers(spark, f"{root}/out")
+    for i in range(_LOCK_BATCHES):                                  # one delivery after another: a micro-batch takes all files of one
+        ev.filter(F.expr(f"{k} % {_LOCK_BATCHES} = {i}")).write.mode("append").json(f"{root}/in")
+        src = spark.readStream.schema(ev.schema).json(f"{root}/in")
+        _await(rs.run_fetch_locks(rs.need_info_cells(src), lock_path=f"{root}/table", answer_path=f"{root}/out", checkpoint=f"{root}/ckpt"))
+    return rs.read_answers(spark, f"{root}/out", by_day)
 
 
 @register("stream_fetch_locks", _LOCKS_SQL + "SELECT dataset_type, wmo_index, day, trace_id FROM fold WHERE acquired")
 def q_stream_fetch_locks(spark, sf):
     """The ``(dataset, station, day)`` cells to fetch: those that took their lock."""
-    return _lock_stream(spark, sf).filter("acquired").select("dataset_type", "wmo_index", "day", "trace_id")
+    return _lock_stream(spark, sf, by_day=True).filter("acquired").select("dataset_type", "wmo_index", "day", "trace_id")
 
 
 @register("stream_lock_owners", _LOCKS_SQL + """
@@ -201,9 +204,10 @@ def q_stream_fetch_locks(spark, sf):
     FROM fold GROUP BY owner""")
 def q_stream_lock_owners(spark, sf):
     """What waits on each owner's trace: every asking cell is answered with one."""
-    return _lock_stream(spark, sf).groupBy("owner_trace_id").agg(
-        F.count(F.lit(1)).alias("n_cells"), F.count_if("acquired").alias("n_acquired"), F.countDistinct("trace_id").alias("n_waiting"),
-        F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    days = F.datediff("last_day", "first_day").cast("long") + 1
+    return _lock_stream(spark, sf, by_day=False).groupBy("owner_trace_id").agg(
+        F.sum(days).alias("n_cells"), F.sum(F.when(F.col("acquired"), days).otherwise(F.lit(0))).alias("n_acquired"),
+        F.countDistinct("trace_id").alias("n_waiting"), F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
 
 
 # -- T12 stream form: hits over the limit ---------------------------------------------------------
@@ -234,11 +238,12 @@ def q_stream_rate_breaches(spark, sf):
     hits = dt.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("identity"), F.col("ts").cast("timestamp").alias("ts"))
     third = F.ntile(3).over(Window.partitionBy(F.lit(0)).orderBy("day"))
     days = hits.select(F.to_date("ts").alias("day")).distinct().withColumn("part", third)       # one row per day
-    parts = hits.withColumn("day", F.to_date("ts")).join(days, "day").drop("day")
-    for i in (1, 2, 3):
-        parts.filter(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(f"{root}/in")
-    src = spark.readStream.schema(hits.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    _await(rl.write_breaches(rl.rate_breaches_stream(src, _HIT_LIMIT, _HIT_WINDOW), f"{root}/out", f"{root}/ckpt"))
+    days = staged(days, "hit-days")
+    for i in (1, 2, 3):                                             # one delivery after another: a micro-batch takes all files of one
+        now = F.broadcast(days.filter(F.col("part") == i).select("day"))
+        hits.withColumn("day", F.to_date("ts")).join(now, "day", "left_semi").drop("day").write.mode("append").parquet(f"{root}/in")
+        src = spark.readStream.schema(hits.schema).parquet(f"{root}/in")
+        _await(rl.write_breaches(rl.rate_breaches_stream(src, _HIT_LIMIT, _HIT_WINDOW), f"{root}/out", f"{root}/ckpt"))
     out = spark.read.schema(rl.OUTPUT_SCHEMA).parquet(f"{root}/out")
     return out.select("identity", F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.col("ts").cast("timestamp_ntz").alias("ts"), "hit_no")
 

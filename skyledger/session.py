@@ -23,9 +23,10 @@ BASE_CONF = {
     # sizes are compressed; the factor keeps the estimate on the safe side.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.sources.fileCompressionFactor": "3.0",
-    # Task sizes for large inputs: 256 MB scan splits and post-shuffle partitions.
-    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    # Task sizes for large inputs: 128 MB scan splits and post-shuffle partitions of 64 MB (compressed; a task that
+    # joins and sorts holds them several times over, as rows).
+    "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Partition values keep their written text (month = 'yyyyMM'); typed columns
     # come from explicit schemas.
@@ -87,9 +88,10 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{checkpoint_root(spark)}/skyledger/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """Write rows once under the shared checkpoint root and read them back: a lost executor repeats nothing before."""
-    path = scratch_dir(df.sparkSession, purpose)
+def staged(df: DataFrame, purpose: str, under: str | None = None) -> DataFrame:
+    """Write rows once under the shared checkpoint root and read them back: a lost executor repeats nothing before.
+    ``under``: a scratch folder that its caller removes, in place of one of its own."""
+    path = f"{under}/{purpose}-{uuid.uuid4().hex[:12]}" if under else scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

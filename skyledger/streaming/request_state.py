@@ -9,7 +9,10 @@ no per-request mutable state is kept in memory, a hot request is reduced by
 partial aggregates like any other, and a lost executor only replays a batch.
 
 T5 (suppress duplicate fetches) keeps one lock per ``(dataset, station, day)``
-with the trace that owns it. A batch's cells are joined with the lock table, its own locks
+with the trace that owns it. Neither events, locks nor answers are held by the day: a row is a stretch of days,
+cut only where another event or lock of its station begins or ends, so that stretches of a station are equal
+or have no day in common, and what holds for one holds for each of its days. Stretches lie within blocks of ``BLOCK``
+days, whose bounds are bits of one number. A batch's stretches are joined with the lock table, its own locks
 are the starts of windows anchored at the first open cell, and owners come by a join; no
 Python runs per cell. No cell is dropped for being late: each one either
 takes the lock or is answered with its owner, whose trace the new request waits on.
@@ -27,16 +30,18 @@ from skyledger.operators import requests as rq
 from skyledger.operators.anchored_windows import in_windows, window_starts
 from skyledger.operators.current import current
 from skyledger.schemas import ANY_EVENT
-from skyledger.session import staged
+from skyledger.session import scratch_dir, staged
 from skyledger.sources.events import parse_events
 from skyledger.sources.paths import child_names, path_exists, remove_tree
 
 LOCK_TTL_SECONDS = 600
 SNAPSHOT_EVERY = 16              # every so many batches the whole lock table is written, not only what the batch touched
 ROUNDS = 4                       # locks after one another that a batch settles one by one
-LOCK_KEYS = ["dataset_type", "wmo_index", "day"]
-LOCK_TABLE = "dataset_type string, wmo_index string, day date, owner string, locked long, seen timestamp, epoch long"
-LOCK_OUTPUT = ("dataset_type string, wmo_index string, day date, event_id string, trace_id string, created_ts timestamp, "
+BLOCK = 64                       # days: a bit each
+BLOCK_KEYS = ["dataset_type", "wmo_index", "block"]
+LOCK_KEYS = ["dataset_type", "wmo_index", "first_day", "last_day"]           # equal or without a common day
+LOCK_TABLE = "dataset_type string, wmo_index string, first_day date, last_day date, owner string, locked long, seen timestamp, epoch long"
+LOCK_OUTPUT = ("dataset_type string, wmo_index string, first_day date, last_day date, event_id string, trace_id string, created_ts timestamp, "
                "acquired boolean, owner_trace_id string")
 
 
@@ -72,17 +77,46 @@ def waiter_rows(requests: DataFrame) -> DataFrame:
     return requests.select("request_id", F.explode("pending_trace_ids").alias("trace_id")).distinct()
 
 
-def answer_cells(cells: DataFrame, locks: DataFrame, ttl_s: int = LOCK_TTL_SECONDS) -> tuple[DataFrame, DataFrame]:
+def by_block(ranges: DataFrame) -> DataFrame:
+    """``first_day, last_day`` cut at the bounds of blocks: ``block`` and the places ``low`` to ``high`` in it."""
+    number = lambda c: F.unix_date(F.col(c))
+    first, last = (F.floor(number(c) / BLOCK).cast("int") for c in ("first_day", "last_day"))
+    blocks = ranges.filter("first_day <= last_day").withColumn("block", F.explode(F.sequence(first, last)))
+    place = lambda c, edge: F.when(F.floor(number(c) / BLOCK) == F.col("block"), F.pmod(number(c), F.lit(BLOCK))).otherwise(F.lit(edge)).cast("int")
+    return blocks.withColumn("low", place("first_day", 0)).withColumn("high", place("last_day", BLOCK - 1)).drop("first_day", "last_day")
+
+
+def bounds_of(*blocked: DataFrame) -> DataFrame:
+    """By station and block the places where something begins, or begins to lack, as bits."""
+    bits = F.expr(f"shiftleft(1L, low) | CASE WHEN high < {BLOCK - 1} THEN shiftleft(1L, high + 1) ELSE 0L END")
+    every = [b.select(*BLOCK_KEYS, bits.alias("bits")) for b in blocked]
+    rows = every[0]
+    for more in every[1:]:
+        rows = rows.unionByName(more)
+    return rows.groupBy(*BLOCK_KEYS).agg(F.bit_or("bits").alias("bounds"))
+
+
+def in_pieces(blocked: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Rows cut at all bounds of their block: ``first_day, last_day`` of a station are then equal or have no day in common."""
+    cut = blocked.join(bounds, BLOCK_KEYS).withColumn("starts", F.expr("filter(sequence(low, high), i -> getbit(bounds, i) = 1)"))
+    piece = F.expr("explode(transform(starts, (x, i) -> struct(x AS low, coalesce(get(starts, i + 1) - 1, high) AS high)))")
+    day = lambda at: F.expr(f"date_from_unix_date(block * {BLOCK} + {at})")
+    kept = [c for c in blocked.columns if c not in ("block", "low", "high")]
+    return cut.select(*kept, "block", piece.alias("piece")).select(*kept, day("piece.low").alias("first_day"), day("piece.high").alias("last_day"))
+
+
+def answer_cells(cells: DataFrame, locks: DataFrame, ttl_s: int = LOCK_TTL_SECONDS, under: str | None = None) -> tuple[DataFrame, DataFrame]:
     """T5 for a batch: ``(answers, taken)``, every cell with its owner and the locks that cells of the batch took.
 
     A cell within ``ttl_s`` seconds of its key's lock, stamped before it or without an instant is answered with the
     lock's owner. Of the others the first, by ``(created_ts, event_id, trace_id)``, takes the lock, and the rest of its
     ``ttl_s`` seconds wait on its trace; what comes later does the same among itself. After ``ROUNDS`` such rounds, of
     which each is one aggregation and one join, longer chains are found as anchored windows all at once. Without a lock,
-    cells of no instant come first. ``locks``: ``owner, locked`` (microseconds) by key, as they were before the batch."""
+    cells of no instant come first. ``locks``: ``owner, locked`` (microseconds) by key, as they were before the batch.
+    Stretches of days of both sides are equal or have no day in common (:func:`in_pieces`). ``under``: see :func:`staged`."""
     ttl = ttl_s * 1_000_000
     named = cells.withColumn("t", F.unix_micros("created_ts")).withColumn("cell", F.monotonically_increasing_id())
-    held = staged(named.join(locks.select(*LOCK_KEYS, "owner", "locked"), LOCK_KEYS, "left"), "cells")
+    held = staged(named.join(locks.select(*LOCK_KEYS, "owner", "locked"), LOCK_KEYS, "left"), "cells", under)
     free = F.expr(f"owner IS NULL OR coalesce(t >= locked + {ttl}, false)")
     columns = [*LOCK_KEYS, "event_id", "trace_id", "created_ts"]
     answers = held.filter(~free).select(*columns, F.lit(False).alias("acquired"), F.col("owner").alias("owner_trace_id"))
@@ -91,10 +125,10 @@ def answer_cells(cells: DataFrame, locks: DataFrame, ttl_s: int = LOCK_TTL_SECON
     for last in [*[False] * ROUNDS, True]:
         if last:
             points = rest.select(*LOCK_KEYS, "t").distinct()
-            rest = rest.join(in_windows(points, window_starts(points, LOCK_KEYS, ttl), LOCK_KEYS, ttl), [*LOCK_KEYS, "t"])
+            rest = rest.join(in_windows(points, window_starts(points, LOCK_KEYS, ttl, under), LOCK_KEYS, ttl), [*LOCK_KEYS, "t"])
         by = [*LOCK_KEYS, "start"] if last else LOCK_KEYS
         first = rest.groupBy(*by).agg(F.min(F.struct("t", "event_id", "trace_id", "cell")).alias("first"))
-        joined = staged(rest.join(first, by).select(*own, "first"), "locks")
+        joined = staged(rest.join(first, by).select(*own, "first"), "locks", under)
         now = joined.filter(F.col("t") < F.col("first.t") + ttl)
         answers = answers.unionByName(now.select(*columns, (F.col("cell") == F.col("first.cell")).alias("acquired"), F.col("first.trace_id").alias("owner_trace_id")))
         fresh = now.filter(F.col("cell") == F.col("first.cell")).select(*LOCK_KEYS, F.col("t").alias("locked"), F.col("trace_id").alias("owner"))
@@ -105,25 +139,35 @@ def answer_cells(cells: DataFrame, locks: DataFrame, ttl_s: int = LOCK_TTL_SECON
     return answers, taken
 
 
-def lock_table(spark: SparkSession, path: str, before_epoch: int, now: Column, ttl_s: int = LOCK_TTL_SECONDS) -> DataFrame:
-    """The newest lock of every key, from the last full table and the batches after it. A lock is forgotten after
-    ``ttl_s`` seconds of processing time without a cell: a late cell then is fetched again, never lost."""
+def stored_locks(spark: SparkSession, path: str, before_epoch: int) -> DataFrame:
+    """What batches before this one wrote of locks: the last full table and what the batches after it touched."""
     first = max(before_epoch - 1, 0) // SNAPSHOT_EVERY * SNAPSHOT_EVERY
     folders = [f for e in range(first, before_epoch) if path_exists(spark, f := f"{path.rstrip('/')}/epoch={e}")]
-    rows = spark.read.schema(LOCK_TABLE).parquet(*folders) if folders else spark.createDataFrame([], LOCK_TABLE)
-    newest = current(rows, LOCK_KEYS, "epoch")
-    return newest.filter(F.col("seen") > now - F.make_dt_interval(secs=F.lit(ttl_s)))
+    return spark.read.schema(LOCK_TABLE).parquet(*folders) if folders else spark.createDataFrame([], LOCK_TABLE)
+
+
+def newest_locks(rows: DataFrame, now: Column, ttl_s: int = LOCK_TTL_SECONDS) -> DataFrame:
+    """The newest lock of every key. A lock is forgotten after ``ttl_s`` seconds of processing time without a cell: a late
+    cell then is fetched again, never lost."""
+    return current(rows, LOCK_KEYS, "epoch").filter(F.col("seen") > now - F.make_dt_interval(secs=F.lit(ttl_s)))
 
 
 def process_lock_batch(batch: DataFrame, epoch_id: int, *, lock_path: str, answer_path: str, ttl_s: int = LOCK_TTL_SECONDS,
                        now: Column | None = None) -> None:
     """``foreachBatch`` body. Answers and locks of a batch have folders of their own, so a batch that is tried again
-    replaces what it left, and it looks only at the locks of the batches before it."""
+    replaces what it left, and it looks only at the locks of the batches before it. ``batch``: ``first_day, last_day``, or a
+    ``day`` for both. What the batch stages goes when it is done."""
     spark = batch.sparkSession
     now = F.lit(datetime.now(timezone.utc)) if now is None else now            # one instant for the batch
-    cells = staged(batch.select(*LOCK_KEYS, "event_id", "trace_id", "created_ts"), "batch")
-    locks = lock_table(spark, lock_path, epoch_id, now, ttl_s)
-    answers, taken = answer_cells(cells, locks, ttl_s)
+    under = scratch_dir(spark, "lock batch")
+    if "day" in batch.columns:
+        batch = batch.withColumn("first_day", F.col("day")).withColumn("last_day", F.col("day"))
+    asked = staged(by_block(batch.select(*LOCK_KEYS, "event_id", "trace_id", "created_ts")), "batch", under)
+    stored = by_block(stored_locks(spark, lock_path, epoch_id))
+    bounds = staged(bounds_of(asked, stored), "bounds", under)
+    cells = staged(in_pieces(asked, bounds), "pieces", under)
+    locks = staged(newest_locks(in_pieces(stored, bounds), now, ttl_s), "lock-pieces", under)
+    answers, taken = answer_cells(cells, locks, ttl_s, under)
     answers.write.mode("overwrite").parquet(f"{answer_path.rstrip('/')}/epoch={epoch_id}")
     touched = cells.select(*LOCK_KEYS).distinct().withColumn("seen", now)
     prior = locks.select(*LOCK_KEYS, "owner", "locked", F.col("seen").alias("last_seen"))
@@ -137,6 +181,7 @@ def process_lock_batch(batch: DataFrame, epoch_id: int, *, lock_path: str, answe
         .write.mode("overwrite").parquet(f"{lock_path.rstrip('/')}/epoch={epoch_id}")
     for old in _outdated(spark, lock_path, epoch_id):
         remove_tree(spark, old)
+    remove_tree(spark, under)
 
 
 def _outdated(spark: SparkSession, lock_path: str, epoch_id: int) -> list[str]:
@@ -155,21 +200,24 @@ def run_fetch_locks(cells: DataFrame, *, lock_path: str, answer_path: str, check
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def read_answers(spark: SparkSession, answer_path: str) -> DataFrame:
-    """T5: every need-info cell with ``acquired`` and the trace that owns its lock; those that acquired are fetched."""
-    return spark.read.schema(LOCK_OUTPUT).parquet(answer_path).drop("epoch")
+def read_answers(spark: SparkSession, answer_path: str, by_day: bool = True) -> DataFrame:
+    """T5: every need-info cell with ``acquired`` and the trace that owns its lock; those that acquired are fetched.
+    Without ``by_day`` the cells stay in their stretches (``first_day, last_day``), as they are written."""
+    rows = spark.read.schema(LOCK_OUTPUT).parquet(answer_path).drop("epoch")
+    if not by_day:
+        return rows
+    return rows.select("dataset_type", "wmo_index", F.explode(F.sequence("first_day", "last_day")).alias("day"),
+                       "event_id", "trace_id", "created_ts", "acquired", "owner_trace_id")
 
 
 def need_info_cells(need_info: DataFrame) -> DataFrame:
-    """Expand need-info events to ``(dataset_type, wmo_index, day)`` cells (range capped upstream).
+    """Need-info events as ``(dataset_type, wmo_index)`` cells of the days ``first_day`` to ``last_day`` (range capped upstream).
     Events whose dates are no dates, or in the wrong order, have no cells (P12 reports them); neither have nulls in a station list."""
     d_from, d_to = F.col("date_from").try_cast("date"), F.col("date_to").try_cast("date")
     return need_info.select(
         "event_id", "trace_id", "dataset_type", iso_instant_to_ts(F.col("created_at")).alias("created_ts"),
-        F.explode("wmo_indexes").alias("wmo_index"), d_from.alias("_f"), d_to.alias("_t")) \
-        .filter("_f <= _t") \
-        .select("dataset_type", "wmo_index", F.explode(F.sequence("_f", "_t")).alias("day"), "event_id", "trace_id", "created_ts") \
-        .filter("dataset_type IS NOT NULL AND wmo_index IS NOT NULL")
+        F.explode("wmo_indexes").alias("wmo_index"), d_from.alias("first_day"), d_to.alias("last_day")) \
+        .filter("first_day <= last_day AND dataset_type IS NOT NULL AND wmo_index IS NOT NULL")
 
 
 def read_outcome_log(spark: SparkSession, log_path: str) -> DataFrame:
