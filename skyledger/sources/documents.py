@@ -187,21 +187,21 @@ def split_payload_text(text: DataFrame, value_col: str = "value") -> tuple[DataF
     ``rejected`` has every response that is no JSON (``malformed``), or neither object nor array (``not_a_payload``), and every
     element that is no object or whose fields have other types (``wrong_type``), with its text. An empty array has no rows."""
     keep = [c for c in text.columns if c != value_col]
-    variant = F.try_parse_json(F.col(value_col))
-    shape = F.when(variant.isNull(), "malformed").otherwise(F.regexp_extract(F.schema_of_variant(variant), "^(OBJECT|ARRAY)", 1))
-    read = text.withColumn("_v", variant).withColumn("_shape", shape)
-    elements = F.when(F.col("_shape") == "ARRAY", F.try_variant_get("_v", "$", "array<variant>")).otherwise(F.array("_v"))
-    whole = read.filter("_shape IN ('OBJECT', 'ARRAY')").select(*keep, F.posexplode(elements).alias("pos", "_e"))
+    once = lambda c: F.explode(F.array(c))  # noqa: E731 - a value out of an array of one is computed once, whatever is asked of it
+    read = text.select(*keep, F.col(value_col).alias("_value"), once(F.try_parse_json(F.col(value_col))).alias("_v"))
+    opens = F.substring(F.expr("ltrim(' \t\r\n', _value)"), 1, 1)          # of valid JSON
+    read = read.withColumn("_shape", F.when(F.col("_v").isNull(), "malformed").when(opens == "{", "OBJECT").when(opens == "[", "ARRAY").otherwise("not_a_payload"))
+    elements = F.when(F.col("_shape") == "ARRAY", F.try_variant_get("_v", "$", "array<variant>")).when(F.col("_shape") == "OBJECT", F.array("_v"))
+    whole = read.select(*keep, "_value", "_shape", F.posexplode_outer(elements).alias("pos", "_e")).filter("pos IS NOT NULL OR _shape <> 'ARRAY'")
     with_corrupt = T.StructType([*PAYLOAD.fields, T.StructField("_corrupt", T.StringType())])
-    parsed = whole.withColumn("_text", F.to_json("_e")).withColumn(
-        "_p", F.from_json("_text", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    parsed = whole.select(*keep, "_value", "_shape", "pos", once(F.to_json("_e")).alias("_text")).withColumn(
+        "_p", once(F.from_json("_text", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})))
     ok = F.coalesce(F.col("_text").startswith("{") & F.col("_p").isNotNull() & F.col("_p._corrupt").isNull(), F.lit(False))
     good = parsed.filter(ok).select(*keep, "pos", F.struct(*[F.col(f"_p.{f.name}").alias(f.name) for f in PAYLOAD.fields]).alias("payload"))
-    wrong = parsed.filter(~ok).select(*keep, "pos", F.lit("wrong_type").alias("reason"), F.col("_text").alias("raw_value"))
-    unread = read.filter("_shape NOT IN ('OBJECT', 'ARRAY')").select(
-        *keep, F.lit(None).cast("int").alias("pos"), F.when(F.col("_shape") == "malformed", "malformed").otherwise("not_a_payload").alias("reason"),
-        F.col(value_col).alias("raw_value"))
-    return good, unread.unionByName(wrong)
+    rejected = parsed.filter(~ok).select(
+        *keep, "pos", F.when(F.col("pos").isNull(), F.col("_shape")).otherwise(F.lit("wrong_type")).alias("reason"),
+        F.when(F.col("pos").isNull(), F.col("_value")).otherwise(F.col("_text")).alias("raw_value"))
+    return good, rejected
 
 
 def payload_rows(payloads: DataFrame, keep: list[str] | None = None) -> DataFrame:
