@@ -772,7 +772,7 @@ def q_zip_locations(spark, sf):
            (SELECT CAST(count(*) AS BIGINT) FROM lines WHERE id IS NULL) AS skipped
     FROM lines WHERE id IS NOT NULL GROUP BY id""")
 def q_dimension_csv(spark, sf):
-    """A CSV file of stations with an order's line each, with quotes, commas and line ends in names, blank
+    """CSV files of stations, one after another by name, with an order's line each, with quotes, commas and line ends in names, blank
     ids, names and regions, numbers that are none; the last non-blank value of each station in file order wins."""
     from skyledger.sources import dimension_csv as dcsv
     o, path = dt.table(spark, sf, "orders"), scratch_dir(spark, "stations csv")
@@ -783,7 +783,7 @@ def q_dimension_csv(spark, sf):
         F.when(k % 7 == 0, F.lit("")).otherwise((o.o_custkey % 9).cast("string")).alias("Region"),
         F.expr("CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN CAST(o_custkey / 8 AS STRING) WHEN 2 THEN '1_000.5' ELSE '1.0d' END").alias("Latitude"),
         F.expr("CASE WHEN o_orderkey % 4 = 0 THEN 'north' ELSE CAST(-(o_orderkey % 1000) / 4 AS STRING) END").alias("Longitude"), k.alias("k"))
-    lines.coalesce(1).sortWithinPartitions("k").drop("k").write.option("header", "true").option("escape", '"').csv(path)
+    lines.repartitionByRange("k").sortWithinPartitions("k").drop("k").write.option("header", "true").option("escape", '"').csv(path)
     station, members, skipped = dcsv.scan_station_dimension(spark, path)
     lines_of = members.groupBy("wmo_index").agg(F.count(F.lit(1)).alias("n_member_lines"))
     return station.join(lines_of, "wmo_index", "left").select(
