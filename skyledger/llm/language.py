@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from skyledger.llm.common import register, staged, table
-from skyledger.llm.kernels import LOWER, text_slices
+from skyledger.llm.kernels import LOWER, released, text_slices
 
 TRAIN_ROWS = 500                 # labelled documents per language that the models are fitted on
 TABLE = 1 << 15                  # hashed trigrams
@@ -83,6 +83,7 @@ def fit(docs: DataFrame, text_col: str, label_col: str, id_col: str, train_rows:
         chosen = chosen | ((F.col("label") == r["label"]) & (F.col("h") <= r["h"]))
     sample = labelled.filter(chosen).select("label", "text")
 
+    @released
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -111,6 +112,7 @@ def text_evidence(docs: DataFrame, models: Models, text_col: str, keep: list) ->
     selected = docs.select(*keep, F.col(text_col).alias("__text"))
     names = selected.columns[:-1]
 
+    @released
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log_p = shared.value
         for batch in batches:

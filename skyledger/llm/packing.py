@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import dense_rank_in, register, staged, table
 from skyledger.llm.kernels import released, text_slices
-from skyledger.llm.token_ids import KEEP, encoder, tokenizer_path
+from skyledger.llm.token_ids import KEEP, drop_encoders, encoder, tokenizer_path
 
 SEQUENCE = 1024
 END_ID = 2
@@ -45,19 +45,22 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     """One row per piece: its document, number, start, length and the CRC-32 of its ids. `keep`: text pieces whose ids a worker remembers."""
     @released
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, keep).encode
-        for batch in batches:
-            for row, end, data, offsets in text_slices(batch.column(1), _SLICE):
-                ids, begins = encode(data, offsets)
-                closed = np.insert(ids, begins[1:], end_id).astype("<u4")
-                begins = begins + np.arange(len(begins))             # every document before has its end token by now
-                out = []
-                for i, (at, n) in enumerate(zip(begins[:-1].tolist(), np.diff(begins).tolist(), strict=True)):
-                    out += [(row + i, k, s, length, zlib.crc32(closed[at + s:at + s + length])) for k, (s, length) in enumerate(cut(n, size))]
-                which, piece, start, length, crc = map(list, zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(pa.array(which, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                    pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        try:
+            encode = encoder(tokenizer, keep).encode
+            for batch in batches:
+                for row, end, data, offsets in text_slices(batch.column(1), _SLICE):
+                    ids, begins = encode(data, offsets)
+                    closed = np.insert(ids, begins[1:], end_id).astype("<u4")
+                    begins = begins + np.arange(len(begins))             # every document before has its end token by now
+                    out = []
+                    for i, (at, n) in enumerate(zip(begins[:-1].tolist(), np.diff(begins).tolist(), strict=True)):
+                        out += [(row + i, k, s, length, zlib.crc32(closed[at + s:at + s + length])) for k, (s, length) in enumerate(cut(n, size))]
+                    which, piece, start, length, crc = map(list, zip(*out, strict=True))
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column(0).take(pa.array(which, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+                        pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        finally:
+            drop_encoders()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(

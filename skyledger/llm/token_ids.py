@@ -256,6 +256,11 @@ def encoder(path: str, keep: int = KEEP) -> TokenIds:
     return _encoders[path, keep]
 
 
+def drop_encoders() -> None:
+    """Free this worker's encoders and what they remember: a worker lives on for other stages."""
+    _encoders.clear()
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
