@@ -32,7 +32,8 @@ def parse_events(raw: DataFrame, schema: T.StructType, value_col: str = "value")
     quarantine with its text, it does not stop the stream. JSON without ids is parsed: what it
     lacks is for the reader of the events to judge."""
     with_corrupt = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    parsed = raw.withColumn("_e", F.from_json(F.col(value_col), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    # out of an array of one: a filter on it isn't pushed below, where the value would be parsed once more
+    parsed = raw.withColumn("_e", F.explode(F.array(F.from_json(F.col(value_col), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))))
     ok = F.coalesce(F.trim(value_col).startswith("{") & F.col("_e").isNotNull() & F.col("_e._corrupt").isNull(), F.lit(False))
     keep = [c for c in raw.columns if c != value_col]
     good = parsed.filter(ok).select(*keep, *[F.col(f"_e.{f.name}").alias(f.name) for f in schema.fields])
