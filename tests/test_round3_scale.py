@@ -14,7 +14,9 @@ from skyledger.streaming import request_state as rs
 def test_locks_are_held_by_stretches_of_days(spark, workdir, monkeypatch):
     """Ranges of days over batches, some tried again, equal the same cells day by day, in far fewer rows; nothing staged is left."""
     from test_streaming import _fold_cells
-    from skyledger.session import checkpoint_root
+    from skyledger.session import scratch_dir
+    made = []
+    monkeypatch.setattr(rs, "scratch_dir", lambda s, purpose: made.append(scratch_dir(s, purpose)) or made[-1])
     monkeypatch.setattr(rs, "SNAPSHOT_EVERY", 2)
     monkeypatch.setattr(rs, "ROUNDS", 2)
     rnd, start, first = random.Random(11), 1_780_000_000, date(1969, 11, 1)
@@ -37,7 +39,7 @@ def test_locks_are_held_by_stretches_of_days(spark, workdir, monkeypatch):
     got = sorted(((r.wmo_index, r.day), r.event_id, r.owner_trace_id, r.acquired) for r in rs.read_answers(spark, out).collect())
     assert got == _fold_cells(by_day)
     assert rs.read_answers(spark, out, by_day=False).count() < len(got) / 4
-    assert not [x for x in os.listdir(f"{checkpoint_root(spark)}/skyledger") if x.startswith("lock batch")]
+    assert len(made) == 4 and not any(map(os.path.exists, made))
 
 
 class _State:
@@ -106,22 +108,21 @@ def test_deliveries_have_few_files(spark, workdir):
     assert spark.read.text(workdir).count() == 400
 
 
-def test_dimension_lines_are_written_by_many_tasks(spark, workdir):
+def test_dimension_lines_are_written_by_many_tasks(spark, workdir, monkeypatch):
     """The last name in order of the key wins, whichever file it is in."""
-    from skyledger.plans.catalog_layers import q_dimension_csv
-    from skyledger.session import checkpoint_root
-    folder = f"{checkpoint_root(spark)}/skyledger"
-    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    import __spark_entry__  # noqa: F401
+    from skyledger.plans import catalog_layers as layers
+    csv = f"{workdir}/stations csv"
+    monkeypatch.setattr(layers, "scratch_dir", lambda s, purpose: csv)
     spark.range(1, 400).selectExpr("id AS o_orderkey", "id % 3 AS o_custkey", "'1-URGENT' AS o_orderpriority").repartition(3).write.parquet(f"{workdir}/orders.parquet")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got = {r.wmo_index: r.name for r in q_dimension_csv(spark, workdir).collect()}
+        got = {r.wmo_index: r.name for r in layers.q_dimension_csv(spark, workdir).collect()}
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     last = {k % 3: k for k in range(1, 400) if k % 13 and k % 5}
     assert got == {str(c): f'St. "1-URGENT", {k}' for c, k in last.items()}
-    csv = [x for x in os.listdir(folder) if x.startswith("stations csv") and x not in before]
-    assert len([x for x in os.listdir(f"{folder}/{csv[0]}") if x.endswith(".csv")]) > 1
+    assert len([x for x in os.listdir(csv) if x.endswith(".csv")]) > 1
 
 
 def test_tasks_take_bounded_partitions(spark):
