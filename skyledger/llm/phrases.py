@@ -40,7 +40,7 @@ NO_LANGUAGE = "und"
 MAX_FILTER_BITS = 1 << 27
 PATH_EDGES = 1024                     # edges of a path that one row holds
 WORDS = ["w1", "w2", "w3", "w4"]
-_SLICE = 1 << 21
+_SLICE = 1 << 19                      # bytes of text whose words are found at once: each takes some 60 bytes of arrays
 
 _BREAKS = np.zeros(256, bool)                                        # [.,;:!?\x0A-\x0D]
 _BREAKS[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -119,6 +119,7 @@ def _long(column: np.ndarray) -> pa.Array:
 
 def word_counts(docs: DataFrame, seed: int = 0, id_bits: int = 64) -> DataFrame:
     """(lang, word, id, f): every distinct word of each language with its occurrences."""
+    @kernels.released
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _sliced(batches, seed, id_bits):
             order = np.argsort(words.ids, kind="stable")
@@ -150,6 +151,7 @@ def _bitmap(ids: DataFrame, column: str) -> np.ndarray:
 
 
 def _grams(docs: DataFrame, find: Callable[[_Words], list[np.ndarray]], names: list[str], seed: int, id_bits: int) -> DataFrame:
+    @kernels.released
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _sliced(batches, seed, id_bits):
             *columns, counts = _counted(find(words))

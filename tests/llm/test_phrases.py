@@ -2,11 +2,13 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
-from skyledger.llm import phrases
+from skyledger.llm import kernels, phrases
 
 SCHEMA = "text string, lang string"
 
@@ -96,3 +98,28 @@ def test_empty_and_clashing_columns(spark):
     wide = spark.createDataFrame([(t, x, 1, 2, 3, 4, None) for t, x in rows], SCHEMA + ", id int, f int, w1 int, n int, phrase string")
     got = sorted(tuple(r) for r in phrases.collocations(wide, support=5).select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())
     assert got == expected(rows, 5)
+
+
+def test_words_of_a_large_batch_take_bounded_memory():
+    text = " ".join(f"word{i % 977} of,sentence{i % 31}" for i in range(4000))
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 120), pa.array([text] * 120)], ["lang", "text"])
+    tracemalloc.start()
+    counted = sum(len(words.marks()) for words in phrases._sliced([batch], 0, 64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counted == 120 * 12000 and peak < 64 << 20
+
+
+def test_workers_give_memory_back_when_a_task_ends(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(kernels, "_give_back", lambda: given.append(True))
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array(["a b a"])], ["lang", "text"])
+
+    class Docs:
+        def mapInArrow(self, run, schema):
+            assert list(run([batch]))
+            return spark.createDataFrame([], schema)
+
+    phrases.word_counts(Docs())
+    phrases._grams(Docs(), lambda words: [words.ids], ["w1"], 0, 64)
+    assert len(given) == 2
