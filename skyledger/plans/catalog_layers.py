@@ -743,7 +743,8 @@ def q_zip_locations(spark, sf):
     provider answered one response per line that was not returned, in order; the
     pairs are cut to the shorter side."""
     from pyspark.sql import Window
-    li = dt.table(spark, sf, "lineitem").join(dt.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey")),
+    # Merged, not broadcast: the lines go by order anyway, and a table of all orders' keys in every task would grow with the input.
+    li = dt.table(spark, sf, "lineitem").join(dt.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey")).hint("merge"),
                                                "l_orderkey")
     # Line order within an order (a handful of lines; ties broken on the line's content).
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_suppkey", "l_partkey", "l_shipdate", "l_quantity")

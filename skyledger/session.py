@@ -23,10 +23,10 @@ BASE_CONF = {
     # sizes are compressed; the factor keeps the estimate on the safe side.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.sources.fileCompressionFactor": "3.0",
-    # Task sizes for large inputs: 128 MB scan splits and post-shuffle partitions of 64 MB (compressed; a task that
-    # joins and sorts holds them several times over, as rows).
+    # Task sizes for large inputs: 128 MB scan splits and post-shuffle partitions of 16 MB (compressed; as rows they take
+    # some six times that, and a task that joins and sorts holds them several times over).
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(16 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Partition values keep their written text (month = 'yyyyMM'); typed columns
     # come from explicit schemas.

@@ -143,3 +143,20 @@ def test_workers_keep_no_tokenizer(spark):
             yield pa.RecordBatch.from_arrays([pa.array([len(own._encoders)])], ["n"])
 
     assert spark.range(40, numPartitions=8).mapInArrow(kept, "n long").agg(F.max("n")).first()[0] == 0
+
+
+def test_locations_are_paired_without_a_table_of_all_orders(spark, workdir):
+    """Lines meet their orders by a merge join (a broadcast grows with the orders); keys repeat and are null, the shorter side cuts."""
+    from skyledger.plans import catalog_layers as layers
+    from skyledger.session import apply_defaults
+    apply_defaults(spark)
+    spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "o_orderkey long").write.parquet(f"{workdir}/zip/orders.parquet")
+    lines = [(1, 5, 71, 1, "N"), (1, 5, 72, 2, "R"), (1, 5, 73, 3, None), (1, 5, 74, 4, "A"), (2, 5, 75, 1, "N"), (3, 5, 76, 1, "R"),
+             (None, 5, 77, 1, "N"), (9, 5, 78, 1, "N")]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string") \
+        .selectExpr("*", "date'2024-01-01' AS l_shipdate", "1.0D AS l_quantity").write.parquet(f"{workdir}/zip/lineitem.parquet")
+    pairs = layers.q_zip_locations(spark, f"{workdir}/zip")
+    assert sorted(map(tuple, pairs.collect())) == [(1, 0, "71"), (1, 1, "72"), (2, 0, "75"), (2, 1, "75")]
+    lookups = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert lookups.count("rightHint=(strategy=merge)") == 2
+    assert int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= 16 << 20
