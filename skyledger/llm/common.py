@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.session import scratch_dir
+from skyledger.sources.paths import remove_tree
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
+_passing: ContextVar[str | None] = ContextVar("passing", default=None)
+
 
 def register(name: str, oracle: str | None = None):
     def deco(fn):
@@ -24,15 +31,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def staged(df: DataFrame, purpose: str, lasting: bool = False) -> DataFrame:
     """Write `df` once to the cluster's shared folder and read it back: cuts the lineage, and
     lost executors cost no recomputation of what lies before."""
-    spark = df.sparkSession
+    spark, under = df.sparkSession, None if lasting else _passing.get()
     path = scratch_dir(spark, purpose)
+    if under:
+        path = f"{under}/{path.rsplit('/', 1)[1]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing(spark: SparkSession, purpose: str) -> Iterator[None]:
+    """Tables staged inside are removed at the end, so that they don't lie beside a later stage's; what is read after it is
+    staged as `lasting`."""
+    path = scratch_dir(spark, purpose)
+    token = _passing.set(path)
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        remove_tree(spark, path)
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

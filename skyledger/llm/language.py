@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from skyledger.llm.common import register, staged, table
+from skyledger.llm.common import passing, register, staged, table
 from skyledger.llm.kernels import LOWER, released, text_slices
 
 TRAIN_ROWS = 500                 # labelled documents per language that the models are fitted on
@@ -234,8 +234,10 @@ def accepted_documents(docs: DataFrame) -> DataFrame:
     """The rows of `docs` whose language is accepted, as they are. A row is found again by its id and a hash of
     what the decision depends on."""
     key = F.xxhash64("text", "lang", "source")
-    judged = identified_documents(docs.withColumn("__key", key), ["doc_id", "__key"])
-    rejected = judged.filter(~F.col("accepted")).select(F.col("doc_id").alias("__id"), F.col("__key").alias("__rejected")).distinct()
+    with passing(docs.sparkSession, "language"):
+        judged = identified_documents(docs.withColumn("__key", key), ["doc_id", "__key"])
+        rejected = staged(judged.filter(~F.col("accepted")).select(F.col("doc_id").alias("__id"), F.col("__key").alias("__rejected")).distinct(),
+                          "language-rejected", lasting=True)
     return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["__id"]) & (key == rejected["__rejected"]), "left_anti")
 
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from skyledger.llm.common import register, staged, table
+from skyledger.llm.common import passing, register, staged, table
 from skyledger.llm.graph import components
 from skyledger.llm.kernels import LOWER, SPACE_WORDS, Rolling, mixed, released, text_slices, word_hashes, word_spans
 
@@ -276,7 +276,8 @@ def _stars(shared: DataFrame, labels: DataFrame, chosen: DataFrame, percent: int
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of `docs` that are the smallest document of their group, as they are."""
-    gone = near_duplicates(docs, percent).filter(~F.col("kept")).select("doc_id").distinct()
+    with passing(docs.sparkSession, "near-dedup"):
+        gone = staged(near_duplicates(docs, percent).filter(~F.col("kept")).select("doc_id").distinct(), "near-copies", lasting=True)
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

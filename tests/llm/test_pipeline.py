@@ -2,6 +2,7 @@
 
 import os
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,3 +96,27 @@ def test_stages_take_odd_and_empty_tables(spark, docs, empty, tmp_path):
 
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "suffix_dedup", "decontamination", "packing"]
+
+
+def test_stages_leave_no_intermediate_tables(spark, tmp_path, monkeypatch):
+    """What a stage staged on its way is gone when its rows are asked for; else it lies beside the tables of later stages."""
+    from skyledger.llm import common
+    from skyledger.llm.language import accepted_documents
+    from skyledger.llm.near_dedup import one_of_each
+    monkeypatch.setattr(common, "scratch_dir", lambda s, purpose: f"{tmp_path}/{purpose}-{uuid.uuid4().hex}")
+    text = "the old man went to the river and sat there for the whole of the long day with his dog "
+    docs = spark.createDataFrame([(1, text * 2, "en", "a"), (2, text * 2, "en", "a"), (3, "it was not what they had thought of before " * 3, "en", None), (4, "", None, None)],
+                                 "doc_id long, text string, lang string, source string")
+    assert sorted(r.doc_id for r in one_of_each(docs).collect()) == [1, 3, 4]
+    assert [d.rsplit("-", 1)[0] for d in os.listdir(tmp_path)] == ["near-copies"]
+    accepted_documents(docs).collect()
+    assert sorted(d.rsplit("-", 1)[0] for d in os.listdir(tmp_path)) == ["language-rejected", "near-copies"]
+
+
+def test_tables_pass_also_when_a_stage_fails(spark, tmp_path, monkeypatch):
+    from skyledger.llm import common
+    monkeypatch.setattr(common, "scratch_dir", lambda s, purpose: f"{tmp_path}/{purpose}")
+    with pytest.raises(ZeroDivisionError), common.passing(spark, "all"):
+        assert common.staged(spark.range(3), "kept", lasting=True).count() == staged(spark.range(3), "gone").count() == 3
+        1 / 0
+    assert os.listdir(tmp_path) == ["kept"]
