@@ -15,6 +15,8 @@ from skyledger.sources.paths import remove_tree
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"       # else they stay until the driver collects its garbage
+
 _passing: ContextVar[str | None] = ContextVar("passing", default=None)
 
 
@@ -33,15 +35,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def staged(df: DataFrame, purpose: str, lasting: bool = False) -> DataFrame:
     """Write `df` once to the cluster's shared folder and read it back: cuts the lineage, and
-    lost executors cost no recomputation of what lies before."""
+    lost executors cost no recomputation of what lies before. The shuffle files of the write go when it ends."""
     spark, under = df.sparkSession, None if lasting else _passing.get()
     path = scratch_dir(spark, purpose)
     if under:
         path = f"{under}/{path.rsplit('/', 1)[1]}"
-    df.write.parquet(path)
+    with _setting(spark, CLEANUP, "true"):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 @contextmanager
 def passing(spark: SparkSession, purpose: str) -> Iterator[None]:
     """Tables staged inside are removed at the end, so that they don't lie beside a later stage's; what is read after it is

@@ -307,6 +307,7 @@ def without_repeats(docs: DataFrame, unit: Unit, settle: Callable, finish: Calla
     answers = blocks.mapInArrow(tell, "block long, bucket int, anchors binary").groupBy("bucket").applyInArrow(
         answer, "block long, bucket int, bits binary")
     answers = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))      # as many as there are buckets
+    answers = staged(answers, "answers")                           # the anchors' exchange goes before the blocks are joined
 
     @released
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
