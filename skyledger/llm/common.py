@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -16,6 +17,10 @@ QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"       # else they stay until the driver collects its garbage
+BATCHES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+# Parquet looks at the size of pages and row groups after 100 rows only, and compresses and reads them whole
+LARGE_ROWS = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.page.row.count.limit": "1", "parquet.page.size.row.check.min": "1",
+              "parquet.block.size": str(8 << 20), "parquet.block.size.row.check.min": "1"}
 
 _passing: ContextVar[str | None] = ContextVar("passing", default=None)
 
@@ -33,15 +38,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, purpose: str, lasting: bool = False) -> DataFrame:
+def staged(df: DataFrame, purpose: str, lasting: bool = False, large_rows: bool = False) -> DataFrame:
     """Write `df` once to the cluster's shared folder and read it back: cuts the lineage, and
-    lost executors cost no recomputation of what lies before. The shuffle files of the write go when it ends."""
+    lost executors cost no recomputation of what lies before. The shuffle files of the write go when it ends.
+    `large_rows`: rows of some megabytes, compressed already; few of them are held at once by who writes or reads."""
     spark, under = df.sparkSession, None if lasting else _passing.get()
     path = scratch_dir(spark, purpose)
     if under:
         path = f"{under}/{path.rsplit('/', 1)[1]}"
     with _setting(spark, CLEANUP, "true"):
-        df.write.parquet(path)
+        df.write.options(**LARGE_ROWS if large_rows else {}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -58,6 +64,14 @@ def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python workers in batches of BATCH_BYTES at most (a longer row alone), where the session allows more: a batch is held by
+    the executor and, some times over, by the worker."""
+    allowed = re.fullmatch(r"(\d+)([kmgtp]?)b?", str(spark.conf.get(BATCHES, None)).strip().lower())
+    if not allowed or int(allowed[1]) << 10 * " kmgtp".find(allowed[2] or " ") > BATCH_BYTES:
+        spark.conf.set(BATCHES, BATCH_BYTES)
+
+
 @contextmanager
 def passing(spark: SparkSession, purpose: str) -> Iterator[None]:
     """Tables staged inside are removed at the end, so that they don't lie beside a later stage's; what is read after it is

@@ -53,9 +53,19 @@ def released(run: Callable) -> Callable:
     return task
 
 
+def released_group(run: Callable) -> Callable:
+    """The same for a function of one group's table."""
+    @functools.wraps(run)
+    def group(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            _give_back()
+    return group
+
+
 def _give_back() -> None:
-    for base in [b for b, table in _tables.items() if len(table) > SLICE_BYTES + 1]:
-        del _tables[base]                                            # grown for a long text
+    _tables.clear()                                                  # soon made again
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)           # where the C library has it
     if trim is not None:

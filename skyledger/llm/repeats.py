@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import partitions, staged
+from skyledger.llm.common import partitions, small_batches, staged
 from skyledger.llm.kernels import (
     SPACE_WORDS,
     Rolling,
@@ -44,6 +44,7 @@ from skyledger.llm.kernels import (
     merged_spans,
     mixed,
     released,
+    released_group,
     spread,
     text_slices,
     word_hashes,
@@ -261,6 +262,7 @@ def without_repeats(docs: DataFrame, unit: Unit, settle: Callable, finish: Calla
     names = docs.columns
     id_at, text_at = names.index(id_col), names.index(text_col)
     buckets, most = 4 * partitions(docs), MOST_SLICES
+    small_batches(docs.sparkSession)
 
     @released
     def block(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,7 +270,7 @@ def without_repeats(docs: DataFrame, unit: Unit, settle: Callable, finish: Calla
             yield pa.RecordBatch.from_arrays([pa.array([int.from_bytes(os.urandom(8), "little", signed=True)], pa.int64()),
                                               pa.array([_stream(table)], pa.binary())], ["block", "payload"])
 
-    blocks = staged(docs.mapInArrow(block, "block long, payload binary"), "blocks")
+    blocks = staged(docs.mapInArrow(block, "block long, payload binary"), "blocks", large_rows=True)
 
     @released
     def tell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,6 +286,7 @@ def without_repeats(docs: DataFrame, unit: Unit, settle: Callable, finish: Calla
                     pa.array(np.full(len(parts), batch.column(0)[r].as_py()), pa.int64()), pa.array([b for b, _ in parts], pa.int32()),
                     pa.array([words[part].tobytes() for _, part in parts], pa.binary())], ["block", "bucket", "anchors"])
 
+    @released_group
     def answer(table: pa.Table) -> pa.Table:
         sizes = [len(x.as_buffer()) // _TOLD for x in table.column("anchors")]
         told = np.frombuffer(b"".join(x.as_buffer().to_pybytes() for x in table.column("anchors")), np.uint8).reshape(-1, _TOLD)
@@ -335,8 +338,9 @@ def without_repeats(docs: DataFrame, unit: Unit, settle: Callable, finish: Calla
                 yield _sent(batch.column(0).slice(r, 1), slices, contents, ids, buckets)
 
     sent = staged(blocks.select("block", "payload").join(answers, "block").mapInArrow(
-        send, "block long, occurrences binary, sent array<struct<bucket:int,slices:binary>>"), "slices")
+        send, "block long, occurrences binary, sent array<struct<bucket:int,slices:binary>>"), "slices", large_rows=True)
 
+    @released_group
     def shard(table: pa.Table) -> pa.Table:
         return _settled(unit, settle, table)
 

@@ -28,7 +28,7 @@ from skyledger.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH = 50
 GRAM = 16
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 19
 
 
 def settle(unit: Unit, group: np.ndarray, contents: pa.Array, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -1,11 +1,26 @@
-"""What operators 2 and 8 and the pipeline leave on disk on their way."""
+"""What operators 2 and 8 and the pipeline leave on disk and hold in memory on their way."""
 
 import time
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
-from skyledger.llm import suffix_dedup
-from skyledger.llm.common import CLEANUP, staged
+import corpus_pipeline
+from skyledger.llm import kernels, suffix_dedup
+from skyledger.llm.common import BATCH_BYTES, BATCHES, CLEANUP, small_batches, staged
+
+LARGE = "64m"
+
+
+@pytest.fixture
+def large_batches(spark):
+    before = spark.conf.get(BATCHES)
+    spark.conf.set(BATCHES, LARGE)
+    yield
+    spark.conf.set(BATCHES, before)
 
 
 def shuffle_files(spark):
@@ -31,7 +46,69 @@ def test_shuffle_files_of_a_staged_table_go(spark):
     assert {r["count"] for r in counts.collect()} == {142, 143}
 
 
+def test_large_rows_lie_in_small_row_groups(spark):
+    rows = spark.range(0, 24, 1, 1).select("id", F.repeat(F.lit("x"), 1 << 20).cast("binary").alias("payload"))
+    back = staged(rows, "test-large-rows", large_rows=True)
+    files = [pq.ParquetFile(path.removeprefix("file://").removeprefix("file:")) for path in back.inputFiles()]
+    groups = [f.metadata.row_group(i) for f in files for i in range(f.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 24 and max(g.num_rows for g in groups) <= 10
+    assert {(r.id, r.n) for r in back.select("id", F.length("payload").alias("n")).collect()} == {(i, 1 << 20) for i in range(24)}
+
+
+def test_no_tables_stay_after_a_task():
+    def run(batches):
+        for data in batches:
+            yield len(kernels.byte_rolling(data).windows(2))
+
+    assert list(kernels.released(run)([np.zeros(9, np.uint8)])) == [8] and not kernels._tables
+
+
 def test_repeated_bytes_leave_no_shuffle_files_on_the_way(spark, docs):
     before = shuffle_files(spark)
     suffix_dedup.removal_report(docs.coalesce(1))                  # all but the last step has run
     assert not left(spark, before)
+
+
+def test_rows_go_to_workers_in_small_batches(spark, large_batches):
+    rows = spark.range(0, 24, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    def most():
+        return [r.n for r in rows.mapInArrow(sizes, "n long").collect()]
+
+    assert max(most()) > 8
+    small_batches(spark)
+    assert max(most()) <= (BATCH_BYTES >> 20) + 1 and sum(most()) == 24
+
+
+@pytest.mark.parametrize("allowed, then", [("1m", "1m"), ("4096k", "4096k"), ("1g", str(BATCH_BYTES)), ("67108864b", str(BATCH_BYTES))])
+def test_smaller_batches_stay(spark, large_batches, allowed, then):
+    spark.conf.set(BATCHES, allowed)
+    small_batches(spark)
+    assert spark.conf.get(BATCHES).rstrip("b") == then
+
+
+def test_every_stage_sends_small_batches(spark, docs, large_batches, monkeypatch):
+    for name in ("accepted_documents", "one_of_each", "without_repeated_bytes", "without_contaminated", "pack_documents", "table", "tokenizer_path"):
+        monkeypatch.setattr(corpus_pipeline, name, lambda *a, **b: docs)
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.set(BATCHES, LARGE)
+        stage(spark, docs, "")
+        assert spark.conf.get(BATCHES).rstrip("b") == str(BATCH_BYTES)
+
+
+def test_the_query_sends_small_batches(spark, docs, large_batches):
+    suffix_dedup.removal_report(docs)
+    assert spark.conf.get(BATCHES).rstrip("b") == str(BATCH_BYTES)
+
+
+def test_a_groups_function_gives_memory_back(monkeypatch):
+    given = []
+    monkeypatch.setattr(kernels, "_give_back", lambda: given.append(1))
+    assert kernels.released_group(lambda table: table.num_rows)(pa.table({"a": [1, 2]})) == 2 and given == [1]
+    with pytest.raises(ZeroDivisionError):
+        kernels.released_group(lambda table: 1 // 0)(pa.table({"a": [1]}))
+    assert given == [1, 1]
