@@ -19,15 +19,16 @@ and contamination, not for n_items; an empty benchmark hits nothing.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skyledger.llm.common import register, table
-from skyledger.llm.kernels import ALNUM_WORDS, LOWER, spread, text_slices, word_hashes, word_spans
+from skyledger.llm.kernels import ALNUM_WORDS, LOWER, released, spread, text_slices, word_hashes, word_spans
 
 WINDOW = 13
 BLOCK_WORDS = 200_000          # words of benchmark items in one broadcast
@@ -136,19 +137,21 @@ def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> list[li
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW,
-                  block_words: int = BLOCK_WORDS) -> DataFrame:
+                  block_words: int = BLOCK_WORDS, then: Callable | None = None, schema: StructType | None = None) -> DataFrame:
     """All rows and columns of `docs`, and last a struct column FOUND with n_words, the hit word ranges
-    (arrays of starts and ends) and the item ids found (array of strings, sorted)."""
+    (arrays of starts and ends) and the item ids found (array of strings, sorted). `then`: a function over
+    these batches, with rows of `schema`, that runs in the worker of the last search (a step of its own would take a second worker a core)."""
     spark = docs.sparkSession
     out = docs.withColumn(FOUND, F.lit(None).cast(
         "struct<n_words:bigint,starts:array<bigint>,ends:array<bigint>,item_ids:array<string>>"))
     blocks = [b for b in item_blocks(benchmark, block_words) if b] or [[]]
-    for block in blocks:
-        out = _searched(out, spark.sparkContext.broadcast(block), text_col, window)
+    for i, block in enumerate(blocks):
+        last = i == len(blocks) - 1
+        out = _searched(out, spark.sparkContext.broadcast(block), text_col, window, then if last else None, schema if last else None)
     return out
 
 
-def _searched(docs: DataFrame, block, text_col: str, window: int) -> DataFrame:
+def _searched(docs: DataFrame, block, text_col: str, window: int, then: Callable | None, schema: StructType | None) -> DataFrame:
     names = docs.columns
     text_at, found_at = names.index(text_col), names.index(FOUND)
 
@@ -167,7 +170,9 @@ def _searched(docs: DataFrame, block, text_col: str, window: int) -> DataFrame:
                                                 fields=[pa.field(n, t) for n, t in kinds])
             yield pa.RecordBatch.from_arrays([struct if i == found_at else batch.column(i) for i in range(len(names))], names)
 
-    return docs.mapInArrow(run, docs.schema)
+    if then is None:
+        return docs.mapInArrow(released(run), docs.schema)
+    return docs.mapInArrow(released(lambda batches: then(run(batches))), schema)
 
 
 def _found(tables: ItemBlock, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, list[int], list[int], set[str]]]:
@@ -226,7 +231,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> Da
             clean = pa.array([not _contaminated(h, r["n_words"]) for h, r in zip(_hits(rows), rows, strict=True)], pa.bool_())
             yield batch.select(range(len(names))).filter(clean)
 
-    return contamination(renamed, benchmark, **options).mapInArrow(run, renamed.schema).toDF(*names)
+    return contamination(renamed, benchmark, **options, then=run, schema=renamed.schema).toDF(*names)
 
 
 def judged(docs: DataFrame, benchmark: DataFrame, keep: list[str], **options) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from skyledger.llm import kernels, suffix_dedup
+from skyledger.llm import decontaminate, kernels, suffix_dedup
 from skyledger.llm.common import BATCH_BYTES, BATCHES, CLEANUP, small_batches, staged
 
 LARGE = "64m"
@@ -112,3 +112,13 @@ def test_a_groups_function_gives_memory_back(monkeypatch):
     with pytest.raises(ZeroDivisionError):
         kernels.released_group(lambda table: 1 // 0)(pa.table({"a": [1]}))
     assert given == [1, 1]
+
+
+def test_search_and_filter_share_a_worker(spark):
+    words = [f"w{k}" for k in range(26)]
+    items = spark.createDataFrame([("a", " ".join(words[:13])), ("b", " ".join(words[13:]))], "item_id string, text string")
+    docs = spark.createDataFrame([(1, " ".join(words[:13])), (2, "clean text"), (3, " ".join(words[13:])), (4, None)], "doc_id long, text string")
+    for options, searches in (({}, 1), ({"block_words": 1}, 2)):
+        left_over = decontaminate.without_contaminated(docs, items, **options)
+        assert left_over._jdf.queryExecution().analyzed().toString().count("MapInArrow") == searches
+        assert sorted(r.doc_id for r in left_over.collect()) == [2, 4]
