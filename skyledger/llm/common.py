@@ -18,6 +18,7 @@ ORACLE: dict[str, str] = {}
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"       # else they stay until the driver collects its garbage
 BATCHES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+READS, READ_ROWS = "spark.sql.parquet.columnarReaderBatchSize", 512      # the reader holds a batch's texts as one array, doubled as it fills
 # Parquet looks at the size of pages and row groups after 100 rows only, and compresses and reads them whole
 LARGE_ROWS = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.page.row.count.limit": "1", "parquet.page.size.row.check.min": "1",
               "parquet.block.size": str(8 << 20), "parquet.block.size.row.check.min": "1"}
@@ -66,10 +67,12 @@ def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
 
 def small_batches(spark: SparkSession) -> None:
     """Rows go to Python workers in batches of BATCH_BYTES at most (a longer row alone), where the session allows more: a batch is held by
-    the executor and, some times over, by the worker."""
+    the executor and, some times over, by the worker. Parquet files are read READ_ROWS rows at a time."""
     allowed = re.fullmatch(r"(\d+)([kmgtp]?)b?", str(spark.conf.get(BATCHES, None)).strip().lower())
     if not allowed or int(allowed[1]) << 10 * " kmgtp".find(allowed[2] or " ") > BATCH_BYTES:
         spark.conf.set(BATCHES, BATCH_BYTES)
+    if int(spark.conf.get(READS)) > READ_ROWS:
+        spark.conf.set(READS, READ_ROWS)
 
 
 @contextmanager

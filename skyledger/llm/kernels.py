@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20          # bytes of text worked on at once (a longer text is worked on alone)
+SLICE_BYTES = 1 << 18          # bytes of text worked on at once (a longer text is worked on alone): each takes some hundred bytes of arrays
 
 # Word classes: True where the byte belongs to a word.
 SPACE_WORDS = np.ones(256, bool)

@@ -29,7 +29,8 @@ from skyledger.llm.token_ids import KEEP, drop_encoders, encoder, tokenizer_path
 
 SEQUENCE = 1024
 END_ID = 2
-_SLICE = 4 << 20
+_SLICE = 1 << 20
+_STRETCH = 1 << 18              # bytes whose pieces are found at once
 
 
 def cut(n_ids: int, size: int) -> list[tuple[int, int]]:
@@ -46,7 +47,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     @released
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
-            encode = encoder(tokenizer, keep).encode
+            encode = encoder(tokenizer, keep, _STRETCH).encode
             for batch in batches:
                 for row, end, data, offsets in text_slices(batch.column(1), _SLICE):
                     ids, begins = encode(data, offsets)

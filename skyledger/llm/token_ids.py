@@ -246,14 +246,14 @@ def _room(array: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-_encoders: dict[tuple[str, int], TokenIds] = {}
+_encoders: dict[tuple[str, int, int], TokenIds] = {}
 
 
-def encoder(path: str, keep: int = KEEP) -> TokenIds:
+def encoder(path: str, keep: int = KEEP, stretch: int = STRETCH) -> TokenIds:
     """One encoder per worker process."""
-    if (path, keep) not in _encoders:
-        _encoders[path, keep] = TokenIds(path, keep)
-    return _encoders[path, keep]
+    if (path, keep, stretch) not in _encoders:
+        _encoders[path, keep, stretch] = TokenIds(path, keep, stretch)
+    return _encoders[path, keep, stretch]
 
 
 def drop_encoders() -> None:

@@ -1,6 +1,8 @@
 """What operators 2 and 8 and the pipeline leave on disk and hold in memory on their way."""
 
+import random
 import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -9,8 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from skyledger.llm import decontaminate, kernels, suffix_dedup
-from skyledger.llm.common import BATCH_BYTES, BATCHES, CLEANUP, small_batches, staged
+from skyledger.llm import decontaminate, kernels, near_dedup, packing, suffix_dedup
+from skyledger.llm.common import BATCH_BYTES, BATCHES, CLEANUP, READ_ROWS, READS, small_batches, staged
 
 LARGE = "64m"
 
@@ -122,3 +124,62 @@ def test_search_and_filter_share_a_worker(spark):
         left_over = decontaminate.without_contaminated(docs, items, **options)
         assert left_over._jdf.queryExecution().analyzed().toString().count("MapInArrow") == searches
         assert sorted(r.doc_id for r in left_over.collect()) == [2, 4]
+
+
+class Worker:
+    """Stands for a table; keeps the function that would run in the workers."""
+
+    def __init__(self, schema):
+        self.schema, self.run = schema, None
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+
+@pytest.fixture(scope="module")
+def batch():
+    """4 MB of words, as a worker gets them."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(2000)]
+    return pa.RecordBatch.from_arrays([pa.array(range(2000), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+
+
+def most_held(make, schema, batch):
+    """MB that Python's and numpy's memory grows by at most while the worker's function goes through the batch twice."""
+    run = make(Worker(schema)).run
+    sum(b.num_rows for b in run(iter([batch])))                   # what is made once
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in run(iter([batch, batch])))
+        return rows, tracemalloc.get_traced_memory()[1] / (1 << 20)
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_packing_worker_holds_little(docs, batch):
+    rows, mb = most_held(lambda d: packing.token_pieces(d, packing.tokenizer_path(), keep=corpus_pipeline.KEPT_PIECES), docs.schema, batch)
+    assert rows >= 2 * 2000 and mb < 48
+
+
+def test_a_sketching_worker_holds_little(docs, batch):
+    rows, mb = most_held(lambda d: near_dedup.sketches(d, percent=near_dedup.CORPUS_PERCENT), docs.schema, batch)
+    assert rows == 2 * 2000 and mb < 40
+
+
+@pytest.mark.parametrize("allowed, then", [("4096", READ_ROWS), ("64", 64)])
+def test_files_are_read_in_small_batches(spark, docs, monkeypatch, allowed, then):
+    for name in ("accepted_documents", "one_of_each", "without_repeated_bytes", "without_contaminated", "pack_documents", "table", "tokenizer_path"):
+        monkeypatch.setattr(corpus_pipeline, name, lambda *a, **b: docs)
+    before = spark.conf.get(READS)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(READS, allowed)
+            stage(spark, docs, "")
+            assert int(spark.conf.get(READS)) == then
+    finally:
+        spark.conf.set(READS, before)
